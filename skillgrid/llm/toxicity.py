@@ -1,7 +1,7 @@
 """Toxicity by a subsequence string kernel, a Nyström map and a linear SVM.
 
-Units are words in lower case without accents, cut into windows of
-``UNIT_CHARS`` letters; letters spelled apart ("i d i o t") make one unit. The
+Units are words in lower case without accents, with a mark at the start, cut into
+windows of ``UNIT_CHARS`` letters; letters spelled apart ("i d i o t") make one unit. The
 kernel of two units sums over all subsequences of three letters that both have,
 gaps allowed, each weighted by DECAY to the length it spans in either, and is
 normalised. So an insult still resembles itself with letters put in, left out or
@@ -32,12 +32,16 @@ from pyspark.sql import functions as F
 from .common import split_remainder, table, texts_of
 
 #: Labelled rows to learn from, as expected numbers; whole texts of rows drawn by a hash of their key.
-TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
+TOXIC_ROWS, CLEAN_ROWS = 1000, 2000
+#: Of drawn rows that begin with the same characters one is learned from: copies are not further evidence.
+HEAD_CHARS = 48
 #: Landmarks that mark toxic rows, and neutral ones, at most.
 MARKING, NEUTRAL = 48, 8
 #: Letters of a unit; longer words are cut into windows that overlap by half.
-UNIT_CHARS = 6
+UNIT_CHARS = 7
 DECAY = 0.6
+#: A mark, or what resembles it, is so many times more frequent in toxic rows at least.
+MIN_LIFT = 12.0
 #: Longer sentences are cut, so that many chance likenesses do not add up.
 SENTENCE_WORDS = 16
 #: Power of the unit kernels within the sentence kernel: likeness counts, chance letters do not.
@@ -51,8 +55,10 @@ _SENTENCE = re.compile(r"[.!?;|\n]+(?:\s|\Z)")
 _SPELLED = re.compile(r"(?<!\S)[^\W_](?:[\s.*_-][^\W_](?!\w)){3,}")
 _LOOKALIKE = str.maketrans("01345@$!", "oieasasi")
 _OUTER = "\"'()[]{}<>,.:;!?#%&*$+=~`_-/\\|"
-#: Letters a-z are 0 to 25; whatever else a word has is a gap.
-_GAP = 26
+#: Letters a-z are 0 to 25, the mark at a word's start is 26; whatever else a word has is a gap.
+_START, _GAP = "^", 27
+_BASE = _GAP + 1
+_NONE = _BASE**3
 
 
 def sentences_of(text: str) -> list[list[str]]:
@@ -71,6 +77,7 @@ def plain(word: str) -> str:
 
 def windows_of(word: str) -> list[str]:
     """The units of a word: itself, or overlapping windows of ``UNIT_CHARS``."""
+    word = _START + word
     if len(word) <= UNIT_CHARS:
         return [word]
     step = UNIT_CHARS // 2
@@ -80,20 +87,20 @@ def windows_of(word: str) -> list[str]:
 def _codes(units: list[str]) -> np.ndarray:
     """Letter codes of units of one length."""
     raw = np.frombuffer("".join(units).encode("utf-32-le", "replace"), np.uint32).reshape(len(units), -1)
-    return np.where((raw >= 97) & (raw <= 122), raw - 97, _GAP).astype(np.int64)
+    return np.where((raw >= 97) & (raw <= 122), raw - 97, np.where(raw == ord(_START), 26, _GAP)).astype(np.int64)
 
 
 def _subsequences(codes: np.ndarray) -> Iterator[tuple[np.ndarray, float]]:
-    """Feature number of every three places, and its weight; the number is 27**3 if a gap takes part."""
+    """Feature number of every three places, and its weight; the number is _NONE if a gap takes part."""
     for i, j, k in combinations(range(codes.shape[1]), 3):
         a, b, c = codes[:, i], codes[:, j], codes[:, k]
-        yield np.where((a < _GAP) & (b < _GAP) & (c < _GAP), (a * 27 + b) * 27 + c, 27**3), DECAY ** (k - i + 1)
+        yield np.where((a < _GAP) & (b < _GAP) & (c < _GAP), (a * _BASE + b) * _BASE + c, _NONE), DECAY ** (k - i + 1)
 
 
 def _features(unit: str) -> dict[int, float]:
     out: dict[int, float] = {}
     for code, weight in _subsequences(_codes([unit])):
-        if code[0] < 27**3:
+        if code[0] < _NONE:
             out[int(code[0])] = out.get(int(code[0]), 0.0) + weight
     return out
 
@@ -107,7 +114,7 @@ class Kernel:
 
     @classmethod
     def of(cls, landmarks: list[str]) -> Kernel:
-        out = np.zeros((27**3 + 1, len(landmarks)), np.float32)
+        out = np.zeros((_NONE + 1, len(landmarks)), np.float32)
         for m, unit in enumerate(landmarks):
             f = _features(unit)
             norm = np.sqrt(sum(v * v for v in f.values()))
@@ -150,7 +157,7 @@ def _self_kernel(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Squared norm of each unit's features; like features of a unit add up first."""
     order = np.argsort(codes, axis=1, kind="stable")
     code, w = np.take_along_axis(codes, order, 1), weights[order]
-    w = np.where(code < 27**3, w, 0.0)
+    w = np.where(code < _NONE, w, 0.0)
     new = np.ones(code.shape, bool)
     new[:, 1:] = code[:, 1:] != code[:, :-1]
     group = np.cumsum(new.ravel()) - 1
@@ -208,7 +215,9 @@ def labelled_sample(
     n = {r["toxic"]: r["n"] for r in of.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     u = F.pmod(F.xxhash64("key", F.lit(8)), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("toxic") == 1, min(1.0, toxic_rows / max(1, n.get(1, 0)))).otherwise(min(1.0, clean_rows / max(1, n.get(0, 0))))
-    return docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text")).join(F.broadcast(of.where(u < share)), "key").select("toxic", "text")
+    texts = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
+    drawn = texts.join(F.broadcast(of.where(u < share)), "key")
+    return drawn.withColumn("head", F.substring("text", 1, HEAD_CHARS)).dropDuplicates(["toxic", "head"]).select("toxic", "text")
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,8 +226,8 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         toxic, strings = [], []
         for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             words = {plain(w) for s in sentences_of(t) for w in s}
-            units = {u for w in words for u in windows_of(w) if len(u) >= 4 and u.isascii() and u.isalpha()}
-            found = {u[:k] for u in units for k in range(4, len(u) + 1)}
+            units = {u for w in words for u in windows_of(w) if u.isascii() and u.strip(_START).isalpha()}
+            found = {u[:k] for u in units for k in range(5, len(u) + 1)}
             toxic += [y] * len(found)
             strings += found
         yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(strings, pa.string())], names=["toxic", "string"])
@@ -234,7 +243,7 @@ def choose_landmarks(sample: DataFrame, marking: int = MARKING, neutral: int = N
         F.sum(F.col("toxic")).alias("one"), F.sum(1 - F.col("toxic")).alias("zero")
     )
     counts = counts.where(one + zero >= 3).select("string", "one", "zero", F.log(lift).alias("lift"))
-    marks = counts.where((F.col("lift") > 2.5) & (one >= max(3, n1 // 250))).orderBy(F.desc(one * F.col("lift")), F.length("string").desc(), "string").limit(600)
+    marks = counts.where((F.col("lift") > float(np.log(MIN_LIFT))) & (one >= max(6, n1 // 50))).orderBy(F.desc(one * F.col("lift")), F.length("string").desc(), "string").limit(600)
     common = counts.where(F.abs("lift") < 1).orderBy(F.desc(one + zero), "string").limit(200)
     out: list[str] = []
     found = 0
@@ -267,16 +276,29 @@ def train(sample: DataFrame) -> Model | None:
                 for s in ss:
                     doc.append(hash(t) & (2**62 - 1))
                     toxic.append(y)
-                    rows.append(np.sum([of[w] for w in s], axis=0).astype(np.float32).tobytes())
+                    rows.append(np.sum([of[w] for w in s], axis=0).astype(np.float16).tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(toxic, pa.int32()), pa.array(rows, pa.binary())], names=["doc", "toxic", "k"])
 
     got = sample.mapInArrow(sentence_kernels, "doc long, toxic int, k binary").toArrow()
     if not len(got):
         return None
-    k = np.frombuffer(b"".join(got.column("k").to_pylist()), np.float32).reshape(-1, len(marks)).astype(np.float64)
+    k = np.frombuffer(b"".join(got.column("k").to_pylist()), np.float16).reshape(-1, len(marks)).astype(np.float32)
     y, doc = got.column("toxic").to_numpy(), got.column("doc").to_numpy()
     if y.min() == y.max():
         return None
+    # a mark that other words of clean rows resemble as often marks nothing
+    ids, at = np.unique(doc, return_inverse=True)
+    label = np.zeros(len(ids))
+    np.maximum.at(label, at, y)
+    n1, n0 = (label > 0).sum(), (label == 0).sum()
+    keep = np.ones(len(marks), bool)
+    for m in range(n_marks):
+        fires = label[np.unique(at[k[:, m] >= 0.5])]
+        keep[m] = ((fires > 0).sum() + 0.5) / (n1 + 1) >= MIN_LIFT * ((fires == 0).sum() + 0.5) / (n0 + 1)
+    n_marks, marks, k = int(keep[:n_marks].sum()), [u for u, kept in zip(marks, keep, strict=True) if kept], k[:, keep]
+    if not n_marks:
+        return None
+    kernel = Kernel.of(marks)
     # only the sentences of a toxic row that resemble a mark are labelled toxic, the others are left out
     use = (y == 0) | (k[:, :n_marks].max(1) >= 0.3)
     if not (y[use] == 1).any():
@@ -287,10 +309,8 @@ def train(sample: DataFrame) -> Model | None:
     w, bias = _svm(k[use] @ root, np.where(y[use] == 1, 1.0, -1.0))
     beta = root @ w
     margin = k @ beta + bias
-    ids, at = np.unique(doc, return_inverse=True)
-    top, label = np.full(len(ids), -np.inf), np.zeros(len(ids))
+    top = np.full(len(ids), -np.inf)
     np.maximum.at(top, at, margin)
-    np.maximum.at(label, at, y)
     slope, offset = _platt(top, label)
     return Model(kernel, beta.astype(np.float32), float(bias), slope, offset)
 
