@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 import pyarrow as pa
@@ -61,3 +62,34 @@ def span_count(spans: Column, kind: str) -> Column:
 def span_digest(spans: Column, kinds: tuple[str, ...]) -> Column:
     """SHA-256 of the text of the spans of the given kinds."""
     return F.sha2(span_text(F.filter(spans, lambda s: s["kind"].isin(*kinds))), 256)
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` computed once and read from reliable storage from then on, its lineage cut.
+
+    The folder is the one in spark.checkpoint.dir; only a session that names
+    none, as in tests, gets a folder of its own.
+    """
+    spark = df.sparkSession
+    if not spark.conf.get("spark.checkpoint.dir", "") and not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+    return df.checkpoint()
+
+
+def components(links: DataFrame) -> DataFrame:
+    """Connected components of links (a, b): (id, component), component the smallest id that links reach.
+
+    Each round takes the smallest label among a node and its neighbours, and then
+    the label of that label, so that long chains need few rounds.
+    """
+    both = kept(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct())
+    label = kept(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("component")))
+    while True:
+        near = both.join(label.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id"))
+        near = near.agg(F.min("component").alias("near"))
+        once = label.join(near, "id").select("id", "component", F.least("component", "near").alias("next"))
+        jump = label.select(F.col("id").alias("next"), F.col("component").alias("beyond"))
+        new = kept(once.join(jump, "next").select("id", F.col("component").alias("old"), F.least("next", "beyond").alias("component")))
+        label = new.select("id", "component")
+        if new.where("old != component").isEmpty():
+            return label

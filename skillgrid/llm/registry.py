@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, langid, pii, secrets, toxicity
+from . import bpe, jaccard, langid, pii, secrets, toxicity
 
-_MODULES = (bpe, langid, secrets, toxicity, pii)
+_MODULES = (bpe, jaccard, langid, secrets, toxicity, pii)
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLE = {k: v for m in _MODULES for k, v in m.ORACLE.items()}
