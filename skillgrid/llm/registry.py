@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import bpe, jaccard, langid, pii, secrets, topk, toxicity
+from . import ann, bpe, jaccard, langid, pii, secrets, topk, toxicity
 
-_MODULES = (bpe, topk, jaccard, langid, secrets, toxicity, pii)
+_MODULES = (bpe, topk, ann, jaccard, langid, secrets, toxicity, pii)
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLE = {k: v for m in _MODULES for k, v in m.ORACLE.items()}

@@ -46,10 +46,12 @@ MIN_LIFT = 12.0
 SENTENCE_WORDS = 16
 #: Power of the unit kernels within the sentence kernel: likeness counts, chance letters do not.
 POWER = 6
+#: Unit kernels under this count as nothing.
+FLOOR = 0.4
 #: Score from which a document counts as toxic.
 CUT = 0.3
 #: Distinct words whose margins a task remembers.
-_CACHE = 1_000_000
+_CACHE = 200_000
 
 _SENTENCE = re.compile(r"[.!?;|\n]+(?:\s|\Z)")
 _SPELLED = re.compile(r"(?<!\S)[^\W_](?:[\s.*_-][^\W_](?!\w)){3,}")
@@ -111,6 +113,7 @@ class Kernel:
 
     landmarks: list[str]
     table: np.ndarray  # feature x landmark
+    highest: np.ndarray  # of each feature over the landmarks
 
     @classmethod
     def of(cls, landmarks: list[str]) -> Kernel:
@@ -120,7 +123,7 @@ class Kernel:
             norm = np.sqrt(sum(v * v for v in f.values()))
             for code, v in f.items():
                 out[code, m] = v / norm
-        return cls(landmarks, out)
+        return cls(landmarks, out, out.max(1) if landmarks else out.sum(1))
 
     def units(self, units: list[str]) -> np.ndarray:
         """Powers of the normalised kernels of units with the landmarks (units x landmarks)."""
@@ -132,16 +135,20 @@ class Kernel:
             if length < 3:
                 continue
             for lo in range(0, len(rows), 4096):
-                part = rows[lo : lo + 4096]
-                codes = _codes([units[k] for k in part])
-                dot = np.zeros((len(part), len(self.landmarks)), np.float32)
-                each, weights = [], []
-                for code, weight in _subsequences(codes):
-                    dot += np.float32(weight) * self.table[code]
-                    each.append(code)
-                    weights.append(weight)
-                own = _self_kernel(np.stack(each, 1), np.array(weights))
-                out[part] = (dot / np.sqrt(np.maximum(own, 1e-9))[:, None].astype(np.float32)) ** POWER
+                part = np.array(rows[lo : lo + 4096])
+                found = list(_subsequences(_codes([units[k] for k in part])))
+                code, weight = np.stack([c for c, _ in found], 1), np.array([w for _, w in found], np.float32)
+                # no landmark is nearer than this: features that fall together only lengthen the unit
+                reach = self.highest[code] @ weight / np.sqrt(((code < _NONE) @ (weight * weight)) + 1e-9)
+                near = np.flatnonzero(reach >= FLOOR)
+                if not len(near):
+                    continue
+                code = code[near]
+                dot = np.zeros((len(near), len(self.landmarks)), np.float32)
+                for t, w in enumerate(weight):
+                    dot += w * self.table[code[:, t]]
+                kernel = dot / np.sqrt(np.maximum(_self_kernel(code, weight), 1e-9))[:, None].astype(np.float32)
+                out[part[near]] = np.where(kernel >= FLOOR, kernel, 0) ** POWER
         return out
 
     def words(self, words: list[str]) -> np.ndarray:
@@ -193,8 +200,8 @@ class Scorer:
         if len(self.known) + len(new) > _CACHE:
             self.known, new = {}, set().union(*(w for s in split for w in s))
         new = sorted(new)
-        for lo in range(0, len(new), 50_000):
-            part = new[lo : lo + 50_000]
+        for lo in range(0, len(new), 20_000):
+            part = new[lo : lo + 20_000]
             self.known.update(zip(part, (self.model.kernel.words(part) @ self.model.beta).tolist(), strict=True))
         get = self.known.__getitem__
         return np.array([self.model.bias + max((sum(map(get, s)) for s in ss), default=0.0) for ss in split])
@@ -356,7 +363,7 @@ def score_column(text: Column, model: Model | None, spark: SparkSession) -> Colu
             if scorer is None:
                 yield pa.array(np.zeros(len(rows)))
             else:
-                parts = [scorer.margins(rows[k : k + 512]) for k in range(0, len(rows), 512)]
+                parts = [scorer.margins(rows[k : k + 256]) for k in range(0, len(rows), 256)]
                 yield pa.array(shared.value.probability(np.concatenate(parts or [np.zeros(0)])))
 
     return score(text)
