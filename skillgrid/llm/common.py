@@ -64,15 +64,18 @@ def span_digest(spans: Column, kinds: tuple[str, ...]) -> Column:
     return F.sha2(span_text(F.filter(spans, lambda s: s["kind"].isin(*kinds))), 256)
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read from reliable storage from then on, its lineage cut.
-
-    The folder is the one in spark.checkpoint.dir; only a session that names
-    none, as in tests, gets a folder of its own.
-    """
-    spark = df.sparkSession
-    if not spark.conf.get("spark.checkpoint.dir", "") and not spark.sparkContext.getCheckpointDir():
+def storage_folder(spark: SparkSession) -> str:
+    """The shared folder of spark.checkpoint.dir; a session that names none, as in tests, gets one of its own."""
+    found = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
+    if not found:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        found = spark.sparkContext.getCheckpointDir()
+    return found
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` computed once and read from reliable storage from then on, its lineage cut."""
+    storage_folder(df.sparkSession)
     return df.checkpoint()
 
 
