@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skillgrid.llm import bpe, jaccard, langid, mixing, secrets
-from skillgrid.llm.common import kept, storage_folder, table
+from skillgrid.llm.common import kept, ship, storage_folder, table
 
 RANKS = "byte_bpe_50k.tiktoken"
 #: Near-duplicate documents share so many hundredths of their shingles of so many words.
@@ -31,6 +31,7 @@ def _tokenizer() -> tuple[str, str]:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a recognised language: those without letters, or alike in all languages, go."""
+    ship(spark)
     model = langid.fit(langid.training_counts(docs))
     found = langid.identify(docs.select(*COLUMNS), model)
     sure = (F.col("language.lang_pred") != "und") & (F.col("language.score") >= langid.MIN_SCORE)
@@ -39,6 +40,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates: the one with the smallest id."""
+    ship(spark)
     classes = jaccard.jaccard_classes(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
     gone = kept(classes.where("component_id <> doc_id").select("doc_id"))
     if gone.count() <= BROADCAST_IDS:
@@ -48,6 +50,7 @@ def duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secret_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with every secret replaced by a mark; n_chars is that of the new text."""
+    ship(spark)
     found = secrets.scan_secrets(docs.select(*COLUMNS), *_tokenizer())
     clean = secrets.redacted(F.col("text"), F.col("secret_spans"))
     changed = F.size("secret_spans") > 0
@@ -62,6 +65,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, their number, and whether they decode to its text."""
+    ship(spark)
     encoded = bpe.encode_documents(docs.select("doc_id", "lang", "source", "text"), *_tokenizer())
     decoded = bpe.decode_documents(encoded, *_tokenizer())
     return decoded.select(

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,8 +18,23 @@ SPAN_DDL = "array<struct<kind:string,start:int,end:int>>"
 SPAN_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the session's Python workers, once a context, as --py-files would."""
+    context = spark.sparkContext
+    if getattr(context, "_skillgrid_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="skillgrid-")) / "skillgrid-src.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for f in sorted(root.rglob("*.py")):
+            z.write(f, f.relative_to(root.parent))
+    context.addPyFile(str(archive))
+    context._skillgrid_shipped = True
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Table ``name`` of the folder; any path that Spark reads."""
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

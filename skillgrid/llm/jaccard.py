@@ -39,8 +39,8 @@ from .common import components, kept, table
 WORDS, PERCENT = 4, 85
 #: Members of a block of an index list.
 BLOCK = 1024
-#: Counters of a set's sketch; sets so large that counters would overflow are not sketched.
-COUNTERS, SKETCH_MAX = 128, 20_000
+#: Counters of a set's sketch, by size: up to so many shingles, so many counters. Powers of two, so that they fold.
+COUNTERS = ((1000, 128), (4000, 512), (1 << 62, 2048))
 #: Shared shingles: summaries hold so many a task, and the order so many in all.
 SUMMARY, SHARED = 1 << 16, 1 << 17
 
@@ -146,10 +146,18 @@ def _ordered(shingles: np.ndarray, shared: np.ndarray, rank: np.ndarray) -> np.n
 
 
 def _sketch(keys: np.ndarray) -> bytes:
-    if len(keys) > SKETCH_MAX:
-        return b"\xff" * COUNTERS
-    counts = np.bincount((_mix(keys) >> np.uint64(64 - 7)).astype(np.int64), minlength=COUNTERS)
-    return b"\xff" * COUNTERS if counts.max(initial=0) >= 255 else counts.astype(np.uint8).tobytes()
+    """How many shingles fall on each counter, one byte each; all bytes 255 if one would overflow."""
+    size = next(c for most, c in COUNTERS if len(keys) <= most)
+    counts = np.bincount((_mix(keys) >> np.uint64(65 - size.bit_length())).astype(np.int64), minlength=size)
+    return b"\xff" * size if counts.max(initial=0) >= 255 else counts.astype(np.uint8).tobytes()
+
+
+def _folded(sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Sketches with as many counters as the shortest has, and which of them bound nothing."""
+    size = min(len(s) for s in sketches)
+    rows = [np.frombuffer(s, np.uint8) for s in sketches]
+    plain = np.array([bool((r == 255).all()) for r in rows])
+    return np.stack([r.reshape(size, -1).sum(1, dtype=np.uint16) for r in rows]), plain
 
 
 def _shared_summaries(words: int):
@@ -322,8 +330,8 @@ def _propose(percent: int, turn: int):
 def _forest(left: list[dict], right: list[dict] | None, failed: list[dict] | None, percent: int, turn: int) -> list[tuple[int, int]]:
     """Pairs between classes that may link and did not fail: a forest over the classes.
 
-    From the second turn on each class but the largest also proposes its best
-    pairs, four times as many each turn, so that few turns are needed.
+    From the second turn on each set outside the largest class also proposes its best
+    pairs, sixteen times as many each turn, so that few turns are needed.
     """
     members = left + (right or [])
     ids = np.array([m["id"] for m in members])
@@ -331,8 +339,7 @@ def _forest(left: list[dict], right: list[dict] | None, failed: list[dict] | Non
     if of.max() == 0:
         return []
     n = np.array([m["n"] for m in members], np.int64)
-    sketch = np.frombuffer(b"".join(m["sketch"] for m in members), np.uint8).reshape(len(members), COUNTERS)
-    plain = (sketch == 255).all(1)
+    sketch, plain = _folded([m["sketch"] for m in members])
     side = np.arange(len(members)) >= len(left)
     lost: dict[int, list[int]] = {}
     if failed:
@@ -379,7 +386,7 @@ def _forest(left: list[dict], right: list[dict] | None, failed: list[dict] | Non
         for u in np.flatnonzero(of != largest):
             among = np.arange(len(ids))
             got = spare(u, among)
-            best = np.argsort(-got, kind="stable")[: 4 ** (turn - 1)]
+            best = np.argsort(-got, kind="stable")[: 16 ** (turn - 1)]
             pairs |= {(int(ids[min(u, v)]), int(ids[max(u, v)])) for v in best[got[best] >= 0]}
     return list(pairs)
 
