@@ -25,7 +25,7 @@ import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, texts_of
+from .common import in_slices, table, texts_of
 
 #: Characters of a leaf. Leaves are encoded in one call; longer texts by joins.
 LEAF_CHARS = 4096
@@ -124,10 +124,14 @@ def encode_column(text: Column, ranks_path: str, pattern: str, leaf_chars: int =
     @F.arrow_udf("array<int>")
     def encode(texts: pa.Array) -> pa.Array:
         own = codec(ranks_path, pattern, leaf_chars)
-        ids = [own.encode(t) for t in texts_of(texts)]
-        offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-        values = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+        def some(part: pa.Array) -> pa.Array:
+            ids = [own.encode(t) for t in texts_of(part)]
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+            values = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+
+        return in_slices(some, texts)
 
     return encode(text)
 
@@ -138,10 +142,12 @@ def decode_column(ids: Column, ranks_path: str, pattern: str) -> Column:
     @F.arrow_udf("binary")
     def decode(lists: pa.Array) -> pa.Array:
         own = codec(ranks_path, pattern)
-        offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
-        return pa.array(
-            [own.decode(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary()
-        )
+
+        def some(part: pa.Array) -> pa.Array:
+            offsets, values = part.offsets.to_numpy(), part.values.to_numpy(zero_copy_only=False)
+            return pa.array([own.decode(values[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)], pa.binary())
+
+        return in_slices(some, lists)
 
     return decode(ids)
 

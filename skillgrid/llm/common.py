@@ -113,3 +113,10 @@ def components(links: DataFrame) -> DataFrame:
         label = new.select("id", "component")
         if new.where("old != component").isEmpty():
             return label
+
+
+def in_slices(f: Callable[..., pa.Array], *arrays: pa.Array, rows: int = 256) -> pa.Array:
+    """``f`` over slices of a batch, put together again: bounds what Python holds beside the batch itself."""
+    n = len(arrays[0])
+    parts = [f(*(a.slice(lo, rows) for a in arrays)) for lo in range(0, max(n, 1), rows)]
+    return parts[0] if len(parts) == 1 else pa.concat_arrays(parts)

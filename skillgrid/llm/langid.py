@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import split_remainder, table
+from .common import in_slices, split_remainder, table, texts_of
 
 #: Longest context in bytes.
 ORDER = 3
@@ -40,7 +40,7 @@ MIN_SCORE = 0.5
 
 _GRAM = 256 ** np.arange(ORDER, -1, -1, dtype=np.uint64)
 #: Bytes scored at once; bounds the memory of a task.
-_CHUNK = 1 << 20
+_CHUNK = 1 << 19
 
 
 @dataclass
@@ -220,15 +220,19 @@ def predict_columns(text: Column, model: Model | None, spark: SparkSession) -> C
     @F.arrow_udf("struct<lang_pred:string,score:double>")
     def predict(texts: pa.Array) -> pa.Array:
         own = shared.value
-        rows = [t or "" for t in texts.to_pylist()]
-        pred, score = ["und"] * len(rows), np.zeros(len(rows))
-        if own is not None:
-            use = [k for k, t in enumerate(rows) if _has_letter(t)]
-            bits = code_lengths(own, [rows[k].encode("utf-8", "replace") for k in use])
-            for k, b in zip(use, bits, strict=True):
-                best = int(b.argmin())
-                pred[k], score[k] = own.languages[best], 1 / np.exp2(np.minimum(b[best] - b, 0)).sum()
-        return pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=["lang_pred", "score"])
+
+        def some(part: pa.Array) -> pa.Array:
+            rows = texts_of(part)
+            pred, score = ["und"] * len(rows), np.zeros(len(rows))
+            if own is not None:
+                use = [k for k, t in enumerate(rows) if _has_letter(t)]
+                bits = code_lengths(own, [rows[k].encode("utf-8", "replace") for k in use])
+                for k, b in zip(use, bits, strict=True):
+                    best = int(b.argmin())
+                    pred[k], score[k] = own.languages[best], 1 / np.exp2(np.minimum(b[best] - b, 0)).sum()
+            return pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64())], names=["lang_pred", "score"])
+
+        return in_slices(some, texts)
 
     return predict(text)
 

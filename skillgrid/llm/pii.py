@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import SPAN_DDL, span_count, span_digest, span_text, spans_array, table, texts_of
+from .common import SPAN_DDL, in_slices, span_count, span_digest, span_text, spans_array, table, texts_of
 
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "credential_url", "iban", "account")
@@ -126,7 +126,7 @@ def pii_spans(text: Column) -> Column:
 
     @F.arrow_udf(SPAN_DDL)
     def scan(texts: pa.Array) -> pa.Array:
-        return spans_array([find_pii(t) for t in texts_of(texts)])
+        return in_slices(lambda part: spans_array([find_pii(t) for t in texts_of(part)]), texts)
 
     return scan(text)
 

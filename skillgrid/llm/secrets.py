@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import codec
-from .common import SPAN_DDL, span_count, span_digest, span_text, spans_array, table, texts_of
+from .common import SPAN_DDL, in_slices, span_count, span_digest, span_text, spans_array, table, texts_of
 
 BASE_KINDS = ("assign", "access", "hex")
 KINDS = (*BASE_KINDS, "random")
@@ -77,7 +77,7 @@ def secret_spans(
     @F.arrow_udf(SPAN_DDL)
     def scan(texts: pa.Array) -> pa.Array:
         own = codec(ranks_path, pattern)
-        return spans_array([find_secrets(t, own, max_ratio) for t in texts_of(texts)])
+        return in_slices(lambda part: spans_array([find_secrets(t, own, max_ratio) for t in texts_of(part)]), texts)
 
     return scan(text)
 

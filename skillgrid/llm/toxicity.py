@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import split_remainder, table, texts_of
+from .common import in_slices, split_remainder, table, texts_of
 
 #: Labelled rows to learn from, as expected numbers; whole texts of rows drawn by a hash of their key.
 TOXIC_ROWS, CLEAN_ROWS = 1000, 2000
@@ -359,12 +359,10 @@ def score_column(text: Column, model: Model | None, spark: SparkSession) -> Colu
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(shared.value) if shared.value else None
         for texts in batches:
-            rows = texts_of(texts)
             if scorer is None:
-                yield pa.array(np.zeros(len(rows)))
+                yield pa.array(np.zeros(len(texts)))
             else:
-                parts = [scorer.margins(rows[k : k + 256]) for k in range(0, len(rows), 256)]
-                yield pa.array(shared.value.probability(np.concatenate(parts or [np.zeros(0)])))
+                yield in_slices(lambda part: pa.array(shared.value.probability(scorer.margins(texts_of(part)))), texts)
 
     return score(text)
 
