@@ -17,7 +17,7 @@ def init_dates(spark: SparkSession, start: str, end: str, spacing_days: int = 1,
 
 def leads(spark: SparkSession, days: int, step_hours: int) -> DataFrame:
     """``lead`` in hours from 0 to 24 * days."""
-    return spark.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(24 * days), F.lit(step_hours))).cast("int").alias("lead"))
+    return spark.range(1).select(F.explode(F.sequence(F.lit(0), F.lit(24 * days), F.lit(step_hours)).cast("array<int>")).alias("lead"))
 
 
 def valid_time(init_date: Column, lead: Column) -> Column:

@@ -48,8 +48,10 @@ def normal_name(name: Column) -> Column:
 
 def scaled(value: Column, var: Column) -> Column:
     """A value in display units."""
-    table = F.create_map(*(F.lit(x) for name, (_, _, factor) in VARIABLES.items() for x in (name, factor)))
-    return value * F.coalesce(F.try_element_at(table, F.upper(var)), F.lit(1.0))
+    factor = F.lit(1.0)
+    for f in sorted({f for _, _, f in VARIABLES.values()} - {1.0}):
+        factor = F.when(F.upper(var).isin(*(n for n, v in VARIABLES.items() if v[2] == f)), f).otherwise(factor)
+    return value * factor
 
 
 def unscaled_for_scorecard(value: Column, var: Column, stat: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 #: Significance levels of regional comparisons, and of maps.
 LEVELS, MAP_LEVELS = (0.68, 0.90, 0.95, 0.99, 0.9999), (0.90,)
 CLIP = 1 - 5e-6
+#: Variances up to this are rounding of equal differences.
+NO_VARIANCE = 1e-12
 
 
 def _t_cdf(t: float, df: int) -> float:
@@ -138,7 +140,7 @@ def significance(pairs: DataFrame, keys: list[str], level: float) -> DataFrame:
     got = pairs.groupBy("experiment", *keys).agg(F.avg(d).alias("mean"), F.var_samp(d).alias("var"), F.count("*").alias("n"))
     counts = [r["n"] for r in got.select("n").distinct().collect()]
     got = got.join(F.broadcast(t_table(pairs.sparkSession, (level,), counts)), "n", "left")
-    t = F.try_divide(F.col("mean") * F.sqrt(F.col("n") - F.lit(1)), F.when(F.col("var") > 0, F.sqrt("var")))
+    t = F.try_divide(F.col("mean") * F.sqrt(F.col("n") - F.lit(1)), F.when(F.col("var") > NO_VARIANCE, F.sqrt("var")))
     return got.withColumn("t_stat", t).select("experiment", *keys, "t_stat", (F.abs("t_stat") >= F.col("t")).alias("significant"))
 
 
