@@ -90,9 +90,16 @@ def storage_folder(spark: SparkSession) -> str:
     return found
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` computed once and read from reliable storage from then on, its lineage cut."""
-    storage_folder(df.sparkSession)
+def kept(df: DataFrame, small: bool = False) -> DataFrame:
+    """``df`` computed once and read from reliable storage from then on, its lineage cut.
+
+    ``small`` says that rows are few against the input; they are then kept in an eighth as
+    many files as shuffles have partitions, which grows with the cluster's setting.
+    """
+    spark = df.sparkSession
+    storage_folder(spark)
+    if small:
+        df = df.coalesce(max(8, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
     return df.checkpoint()
 
 
@@ -102,14 +109,14 @@ def components(links: DataFrame) -> DataFrame:
     Each round takes the smallest label among a node and its neighbours, and then
     the label of that label, so that long chains need few rounds.
     """
-    both = kept(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct())
-    label = kept(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("component")))
+    both = kept(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct(), small=True)
+    label = kept(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("component")), small=True)
     while True:
         near = both.join(label.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id"))
         near = near.agg(F.min("component").alias("near"))
         once = label.join(near, "id").select("id", "component", F.least("component", "near").alias("next"))
         jump = label.select(F.col("id").alias("next"), F.col("component").alias("beyond"))
-        new = kept(once.join(jump, "next").select("id", F.col("component").alias("old"), F.least("next", "beyond").alias("component")))
+        new = kept(once.join(jump, "next").select("id", F.col("component").alias("old"), F.least("next", "beyond").alias("component")), small=True)
         label = new.select("id", "component")
         if new.where("old != component").isEmpty():
             return label

@@ -394,10 +394,10 @@ def _forest(left: list[dict], right: list[dict] | None, failed: list[dict] | Non
 class _Bloom:
     """Which ids may be wanted: a bit table of bounded size, made by Spark and sent to the tasks."""
 
-    MAX_BITS = 1 << 28
+    MAX_BITS = 1 << 29
 
     def __init__(self, ids: DataFrame, count: int):
-        bits = min(self.MAX_BITS, 1 << max(16, (16 * count).bit_length()))
+        bits = min(self.MAX_BITS, 1 << max(16, (64 * count).bit_length()))
         place = F.pmod(F.xxhash64("id"), F.lit(bits))
         words = ids.select((F.shiftright(place, 6)).alias("word"), F.pmod(place, F.lit(64)).cast("int").alias("bit"))
         got = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("value")).toArrow()
@@ -447,16 +447,16 @@ def _verify(percent: int):
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(a, b, linked) of distinct pairs (a, b), by the whole sets of docs (id, text).
 
-    Only the sets of ids in pairs are made: others are filtered out in the scan
-    by a bit table of bounded size, and texts are never shuffled.
+    Only the sets of ids in pairs, and few others, are made: the rest is filtered out in
+    the scan by a bit table of bounded size, and texts are never shuffled.
     """
-    ids = kept(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
+    ids = kept(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), small=True)
     bloom = _Bloom(ids, ids.count())
     sets = docs.select("id", bloom.place().alias("place"), "text").mapInArrow(_sets(words, bloom), "id long, shingles array<long>")
-    sets = kept(sets.join(ids, "id", "left_semi"))
+    sets = kept(sets)
     joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
     joined = joined.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
-    return kept(joined.select("a", "b", "left", "right").mapInArrow(_verify(percent), "a long, b long, linked boolean"))
+    return kept(joined.select("a", "b", "left", "right").mapInArrow(_verify(percent), "a long, b long, linked boolean"), small=True)
 
 
 def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
@@ -477,18 +477,18 @@ def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     lists = kept(index_lists(reps, percent))
     classes, links = None, None
     long_lists = lists.where("not single")
-    phases = [_diagonal(lists)] + ([] if long_lists.isEmpty() else [_block_pairs(long_lists)])
+    phases = [None] + ([] if long_lists.isEmpty() else [_block_pairs(long_lists)])
     for rows in phases:
         failed, turn = None, 1
         while True:
-            proposed = kept(_with_members(rows, lists, reps, classes, failed).mapInArrow(_propose(percent, turn), "list string, i int, j int, a long, b long"))
+            proposed = kept(_with_members(rows, lists, reps, classes, failed).mapInArrow(_propose(percent, turn), "list string, i int, j int, a long, b long"), small=True)
             if proposed.isEmpty():
                 break
-            checked = verified(kept(proposed.select("a", "b").distinct()), docs, words, percent)
+            checked = verified(kept(proposed.select("a", "b").distinct(), small=True), docs, words, percent)
             new = checked.where("linked").select("a", "b")
             links = new if links is None else links.union(new)
             classes = components(links)
-            wrong = kept(proposed.join(checked.where("not linked").select("a", "b"), ["a", "b"]).select("list", "i", "j", "a", "b"))
+            wrong = kept(proposed.join(checked.where("not linked").select("a", "b"), ["a", "b"]).select("list", "i", "j", "a", "b"), small=True)
             if wrong.isEmpty():
                 break
             failed = wrong if failed is None else failed.union(wrong)
@@ -502,25 +502,30 @@ def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     return whole.select(F.col("id").alias(key), F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
-def _diagonal(lists: DataFrame) -> DataFrame:
-    """Every block with itself."""
-    return lists.select("list", F.col("block").alias("i"), F.col("block").alias("j"))
-
-
 def _block_pairs(lists: DataFrame) -> DataFrame:
     """Every two blocks of a long list."""
     blocks = lists.select("list", F.col("block").alias("i"))
     return blocks.join(blocks.withColumnRenamed("i", "j"), "list").where("i < j")
 
 
-def _with_members(rows: DataFrame, lists: DataFrame, reps: DataFrame, classes: DataFrame | None, failed: DataFrame | None) -> DataFrame:
-    """Rows (list, i, j) with the members of their blocks, each with class, size and sketch, and with failed pairs."""
-    blocks = rows.select("list", F.col("i").alias("block")).union(rows.select("list", F.col("j"))).distinct()
-    one = lists.join(blocks, ["list", "block"], "left_semi").select("list", "block", F.explode("members").alias("id"))
+def _with_members(rows: DataFrame | None, lists: DataFrame, reps: DataFrame, classes: DataFrame | None, failed: DataFrame | None) -> DataFrame:
+    """Rows (list, i, j) with the members of their blocks, each with class, size and sketch, and with failed pairs.
+
+    Without ``rows`` every block meets itself.
+    """
+    some = lists
+    if rows is not None:
+        blocks = rows.select("list", F.col("i").alias("block")).union(rows.select("list", F.col("j"))).distinct()
+        some = lists.join(blocks, ["list", "block"], "left_semi")
+    one = some.select("list", "block", F.explode("members").alias("id"))
     one = one.join(reps.select("id", "n", "sketch"), "id")
     one = one.withColumn("class", F.col("id")) if classes is None else one.join(classes.withColumnRenamed("component", "class"), "id", "left").withColumn("class", F.coalesce("class", "id"))
     # a block has at most BLOCK members
     full = one.groupBy("list", "block").agg(F.collect_list(F.struct("id", "class", "n", "sketch")).alias("members"), F.min("class").alias("low"), F.max("class").alias("high"))
+    none = F.lit(None).cast("array<struct<a:long,b:long>>").alias("failed")
+    if rows is None:
+        one_block = full.where("low < high")
+        return one_block.select("list", F.col("block").alias("i"), F.col("block").alias("j"), F.col("members").alias("left"), F.lit(None).cast(_MEMBER).alias("right"), none)
     left = full.select("list", F.col("block").alias("i"), F.col("members").alias("left"), F.col("low").alias("low_i"), F.col("high").alias("high_i"))
     out = rows.join(left, ["list", "i"])
     same = rows.where("i != j").isEmpty()
@@ -530,7 +535,7 @@ def _with_members(rows: DataFrame, lists: DataFrame, reps: DataFrame, classes: D
         right = full.select("list", F.col("block").alias("j"), F.col("members").alias("right"), F.col("low").alias("low_j"), F.col("high").alias("high_j"))
         out = out.join(right, ["list", "j"]).where("least(low_i, low_j) < greatest(high_i, high_j)")
     if failed is None:
-        out = out.withColumn("failed", F.lit(None).cast("array<struct<a:long,b:long>>"))
+        out = out.withColumn("failed", none)
     else:
         out = out.join(failed.groupBy("list", "i", "j").agg(F.collect_list(F.struct("a", "b")).alias("failed")), ["list", "i", "j"], "left")
     return out.select("list", "i", "j", "left", "right", "failed")
