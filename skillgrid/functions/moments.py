@@ -54,7 +54,8 @@ def means(terms: tuple[str, ...]) -> dict[str, Column]:
 
 
 def _root(x: Column) -> Column:
-    return F.sqrt(F.greatest(x, F.lit(0.0)))
+    # greatest() would make a missing value 0
+    return F.sqrt(F.when(x < 0, 0.0).otherwise(x))
 
 
 def anomaly_correlation() -> Column:

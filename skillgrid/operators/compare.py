@@ -90,7 +90,12 @@ def paired(stats: DataFrame, control: int, keys: list[str], value: str, date: st
 
 def fisher(x: Column) -> Column:
     """Fisher's z of a clipped correlation."""
-    return F.atanh(F.greatest(F.least(x, F.lit(CLIP)), F.lit(-CLIP)))
+    return F.atanh(F.when(x > CLIP, CLIP).when(x < -CLIP, -CLIP).otherwise(x))
+
+
+def root(x: Column) -> Column:
+    """Square root, 0 for what is negative; a missing value stays missing."""
+    return F.sqrt(F.when(x < 0, 0.0).otherwise(x))
 
 
 def paired_interval(pairs: DataFrame, keys: list[str], levels: tuple[float, ...], correlation: bool) -> DataFrame:
@@ -105,7 +110,7 @@ def paired_interval(pairs: DataFrame, keys: list[str], levels: tuple[float, ...]
     counts = [r["n"] for r in got.select("n").distinct().collect()]
     got = got.join(F.broadcast(t_table(pairs.sparkSession, levels, counts)), "n", "left")
     dx = F.col("t") * F.sqrt(F.col("var") / F.col("n"))
-    back = F.tanh if correlation else (lambda x: F.sqrt(F.greatest(x, F.lit(0.0))))
+    back = F.tanh if correlation else root
     mean = F.col("mean")
     return got.select("experiment", *keys, "level", "n", "diff", (back(mean - dx) - back(mean)).alias("lower"), (back(mean + dx) - back(mean)).alias("upper"))
 
@@ -129,7 +134,7 @@ def synoptic_interval(stats: DataFrame, control: int, keys: list[str], value: st
     counts = [r["n"] for r in got.where("n is not null").select("n").distinct().collect()]
     got = got.join(F.broadcast(t_table(stats.sparkSession, levels, counts)), "n", "left")
     dx = F.col("t") * F.sqrt((F.col("var_ctl") + F.col("var_other")) / 2 / F.col("n"))
-    back = F.tanh if correlation else (lambda v: F.sqrt(F.greatest(v, F.lit(0.0))))
+    back = F.tanh if correlation else root
     mean = F.col("mean")
     return got.select(*keys, "level", (back(mean - dx) - back(mean) + F.col("plain")).alias("lower"), (back(mean + dx) - back(mean) + F.col("plain")).alias("upper"))
 

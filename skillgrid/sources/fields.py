@@ -35,7 +35,7 @@ def matched_files(keys: DataFrame, templates: list[str], files: DataFrame, base:
     have = files.select(path.alias("path"))
     if any(c in t for t in templates for c in "*?"):
         pattern = F.regexp_replace(F.regexp_replace(F.regexp_replace("wanted", r"[.]", r"\\."), r"[*]", "[^/]*"), r"[?]", "[^/]")
-        hits = wide.join(have, have["path"].rlike(F.concat(F.lit("^"), pattern, F.lit("$"))))
+        hits = wide.join(have, F.regexp_like(have["path"], F.concat(F.lit("^"), pattern, F.lit("$"))))
     else:
         hits = wide.join(have, wide["wanted"] == have["path"])
     best = hits.groupBy(*keys.columns).agg(F.min_by("path", F.struct("priority", "path")).alias("path"), F.count("*").alias("n_matches"))
