@@ -66,8 +66,7 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, their number, and whether they decode to its text."""
     ship(spark)
-    encoded = bpe.encode_documents(docs.select("doc_id", "lang", "source", "text"), *_tokenizer())
-    decoded = bpe.decode_documents(encoded, *_tokenizer())
+    decoded = bpe.round_trip_documents(docs.select("doc_id", "lang", "source", "text"), *_tokenizer())
     return decoded.select(
         "doc_id", "lang", "source", F.size("token_ids").cast("long").alias("n_tokens"),
         (F.col("decoded") == F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("round_trip"), "token_ids",

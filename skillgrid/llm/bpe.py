@@ -152,6 +152,29 @@ def decode_column(ids: Column, ranks_path: str, pattern: str) -> Column:
     return decode(ids)
 
 
+def round_trip_column(text: Column, ranks_path: str, pattern: str, leaf_chars: int = LEAF_CHARS) -> Column:
+    """Struct (token_ids, decoded) of a text column: its ids, and the bytes that these ids decode to.
+
+    The same as encoding and then decoding, in one worker process.
+    """
+
+    @F.arrow_udf("struct<token_ids:array<int>,decoded:binary>")
+    def both(texts: pa.Array) -> pa.Array:
+        own = codec(ranks_path, pattern, leaf_chars)
+
+        def some(part: pa.Array) -> pa.Array:
+            ids = [own.encode(t) for t in texts_of(part)]
+            offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
+            values = np.concatenate(ids).astype(np.int32) if ids else np.zeros(0, np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(values))
+            decoded = pa.array([own.decode(x) for x in ids], pa.binary())
+            return pa.StructArray.from_arrays([lists, decoded], names=["token_ids", "decoded"])
+
+        return in_slices(some, texts)
+
+    return both(text)
+
+
 def encode_documents(
     docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "token_ids"
 ) -> DataFrame:
@@ -166,13 +189,21 @@ def decode_documents(
     return docs.withColumn(out, decode_column(F.coalesce(F.col(ids), F.array().cast("array<int>")), ranks_path, pattern))
 
 
+def round_trip_documents(
+    docs: DataFrame, ranks_path: str, pattern: str, text: str = "text", ids: str = "token_ids", out: str = "decoded"
+) -> DataFrame:
+    """``docs`` with token ids and with the bytes they decode to; columns of those names are replaced."""
+    done = docs.withColumn("__bpe", round_trip_column(F.col(text), ranks_path, pattern))
+    return done.withColumns({ids: F.col("__bpe.token_ids"), out: F.col("__bpe.decoded")}).drop("__bpe")
+
+
 def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again, with digests of both."""
     import public_tokenizers
 
     path, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    done = decode_documents(encode_documents(docs, path, pattern), path, pattern)
+    done = round_trip_documents(docs, path, pattern)
     return done.select(
         "doc_id",
         F.size("token_ids").cast("long").alias("n_tokens"),

@@ -53,7 +53,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes of text that are hashed at once.
-_GROUP_BYTES = 1 << 21
+_GROUP_BYTES = 1 << 20
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
