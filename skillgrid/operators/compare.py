@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import math
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -18,21 +19,22 @@ def _t_cdf(t: float, df: int) -> float:
     """Student's distribution function by Simpson's rule on its density, for t of at least 0."""
     scale = math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(df * math.pi)
     # t = sqrt(df) tan u makes the density cos(u) ** (df - 1) on a finite range
-    top, n = math.atan(t / math.sqrt(df)), 2000
+    top, n = math.atan(t / math.sqrt(df)), 400
     h = top / n
     area = sum((1 if k in (0, n) else 4 if k % 2 else 2) * math.cos(k * h) ** (df - 1) for k in range(n + 1))
     return 0.5 + scale * math.sqrt(df) * area * h / 3
 
 
+@functools.lru_cache(maxsize=4096)
 def t_critical(level: float, n: int) -> float | None:
     """Two-sided critical value for n values, n - 1 degrees of freedom (I7); None under two values."""
     if n < 2:
         return None
-    goal, lo, hi = (1 + level) / 2, 0.0, 1e7
-    for _ in range(200):
+    goal, lo, hi = (1 + level) / 2, 0.0, 1e6
+    for _ in range(70):
         mid = (lo + hi) / 2
         lo, hi = (mid, hi) if _t_cdf(mid, n - 1) < goal else (lo, mid)
-    return round((lo + hi) / 2, 10)
+    return round((lo + hi) / 2, 8)
 
 
 def t_table(spark: SparkSession, levels: tuple[float, ...], counts: list[int]) -> DataFrame:
