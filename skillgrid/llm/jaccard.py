@@ -7,7 +7,7 @@
    ``n - ceil(threshold * n) + 1`` of each, so only those are indexed.
 3. An index list holds the sets with one such shingle, sorted by size. It is cut
    wherever neighbours differ too much in size, and an entry is skipped when its
-   position leaves too few shingles to reach the threshold with its neighbours.
+   position leaves too few shingles to reach the threshold with any other in the list.
    Lists with the same members are kept once.
 4. Within a list, sets are compared by small count sketches, whose bound on the
    overlap never falls short of it. Answers are derived along set relations: a
@@ -43,6 +43,8 @@ BLOCK = 1024
 COUNTERS = ((1000, 128), (4000, 512), (1 << 62, 2048))
 #: Shared shingles: summaries hold so many a task, and the order so many in all.
 SUMMARY, SHARED = 1 << 16, 1 << 17
+#: Ids up to this number are broadcast (8 bytes each); more are joined by a shuffle.
+BROADCAST_IDS = 1_000_000
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, hence invertible modulo 2**64
@@ -234,6 +236,18 @@ def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _partnered(n: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
+    """Which members of a list have a partner there that may link, by sizes and positions.
+
+    The first shingle that a linking pair shares leaves both sets enough shingles from it on
+    for the overlap that their sizes ask for, so the pair passes in the list of that shingle.
+    """
+    left = n - pos
+    may = np.minimum(left[:, None], left) >= least_overlap(n[:, None], n, percent)
+    np.fill_diagonal(may, False)
+    return may.any(1)
+
+
 def _lists(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Cuts entries (key, id, n, pos), sorted by key, size and id, into the lists that can hold links.
@@ -276,7 +290,10 @@ def _lists(percent: int):
                 own, at = (first, first_block) if goes_on else (f"{key[a]}:{n[a]}", 0)
                 for k, lo in enumerate(range(a, b, BLOCK)):
                     hi = min(b, lo + BLOCK)
-                    members = ids[lo:hi][able[lo:hi]]
+                    at_hand = lo + np.flatnonzero(able[lo:hi])
+                    if single:
+                        at_hand = at_hand[_partnered(size[at_hand], pos[at_hand], percent)]
+                    members = ids[at_hand]
                     if len(members) > single:
                         rows.append((own, at + k, single, np.sort(members)))
             held, name, block = [h[rest:] for h in held], rest_name, rest_block
@@ -315,9 +332,10 @@ def _propose(percent: int, turn: int):
         """Pairs to verify of rows (list, i, j, left, right, failed); right is null for a block with itself."""
         for batch in batches:
             out: list[tuple] = []
-            for row in batch.to_pylist():
-                for a, b in _forest(row["left"], row["right"], row["failed"], percent, turn):
-                    out.append((row["list"], row["i"], row["j"], min(a, b), max(a, b)))
+            for lo in range(0, batch.num_rows, 64):
+                for row in batch.slice(lo, 64).to_pylist():
+                    for a, b in _forest(row["left"], row["right"], row["failed"], percent, turn):
+                        out.append((row["list"], row["i"], row["j"], min(a, b), max(a, b)))
             cols = list(zip(*out, strict=True)) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(
                 [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64())],
@@ -459,6 +477,17 @@ def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> Dat
     return kept(joined.select("a", "b", "left", "right").mapInArrow(_verify(percent), "a long, b long, linked boolean"), small=True)
 
 
+def copies_of(signed: DataFrame) -> DataFrame:
+    """(id, rep) of sets that equal one with a smaller id; rep is the smallest. Only ids and digests are shuffled."""
+    groups = signed.groupBy("digest").agg(F.min("id").alias("rep"), F.count("*").alias("copies")).where("copies > 1")
+    return kept(signed.select("id", "digest").join(groups.select("digest", "rep"), "digest").where("id <> rep").select("id", "rep"), small=True)
+
+
+def matched(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
+    """Semi or anti join of rows with kept, distinct ids: these are broadcast up to ``BROADCAST_IDS``, and shuffled beyond."""
+    return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", how)
+
+
 def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row a document: (key, n_shingles, component_id).
 
@@ -472,16 +501,18 @@ def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     order = spark.sparkContext.broadcast(shared_shingles(docs, "text", words))
     schema = "id long, n int, digest binary, prefix array<long>, sketch binary"
     signed = kept(docs.mapInArrow(_signatures(words, percent, order), schema))
-    reps = signed.where("n > 0").groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("prefix").alias("prefix"), F.first("sketch").alias("sketch"))
-    reps = kept(reps)
+    copies = copies_of(signed.where("n > 0"))
+    reps = matched(signed.where("n > 0"), copies.select("id"), "left_anti")
     lists = kept(index_lists(reps, percent))
+    members = kept(lists.select(F.explode("members").alias("id")).distinct(), small=True)
+    sketches = kept(matched(reps.select("id", "n", "sketch"), members, "left_semi"))
     classes, links = None, None
     long_lists = lists.where("not single")
     phases = [None] + ([] if long_lists.isEmpty() else [_block_pairs(long_lists)])
     for rows in phases:
         failed, turn = None, 1
         while True:
-            proposed = kept(_with_members(rows, lists, reps, classes, failed).mapInArrow(_propose(percent, turn), "list string, i int, j int, a long, b long"), small=True)
+            proposed = kept(_with_members(rows, lists, sketches, classes, failed).mapInArrow(_propose(percent, turn), "list string, i int, j int, a long, b long"), small=True)
             if proposed.isEmpty():
                 break
             checked = verified(kept(proposed.select("a", "b").distinct(), small=True), docs, words, percent)
@@ -493,12 +524,11 @@ def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
                 break
             failed = wrong if failed is None else failed.union(wrong)
             rows, turn = wrong.select("list", "i", "j").distinct(), turn + 1
-    whole = signed.select("id", "n", "digest").where("n > 0").join(reps.select("digest", F.col("id").alias("rep")), "digest")
+    whole = signed.select("id", "n").join(copies, "id", "left").withColumn("rep", F.coalesce("rep", "id"))
     if classes is not None:
         whole = whole.join(classes.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     else:
         whole = whole.withColumn("component", F.col("rep"))
-    whole = whole.select("id", "n", "component").union(signed.where("n = 0").select("id", "n", F.col("id").alias("component")))
     return whole.select(F.col("id").alias(key), F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
@@ -508,7 +538,7 @@ def _block_pairs(lists: DataFrame) -> DataFrame:
     return blocks.join(blocks.withColumnRenamed("i", "j"), "list").where("i < j")
 
 
-def _with_members(rows: DataFrame | None, lists: DataFrame, reps: DataFrame, classes: DataFrame | None, failed: DataFrame | None) -> DataFrame:
+def _with_members(rows: DataFrame | None, lists: DataFrame, sketches: DataFrame, classes: DataFrame | None, failed: DataFrame | None) -> DataFrame:
     """Rows (list, i, j) with the members of their blocks, each with class, size and sketch, and with failed pairs.
 
     Without ``rows`` every block meets itself.
@@ -518,7 +548,7 @@ def _with_members(rows: DataFrame | None, lists: DataFrame, reps: DataFrame, cla
         blocks = rows.select("list", F.col("i").alias("block")).union(rows.select("list", F.col("j"))).distinct()
         some = lists.join(blocks, ["list", "block"], "left_semi")
     one = some.select("list", "block", F.explode("members").alias("id"))
-    one = one.join(reps.select("id", "n", "sketch"), "id")
+    one = one.join(sketches, "id")
     one = one.withColumn("class", F.col("id")) if classes is None else one.join(classes.withColumnRenamed("component", "class"), "id", "left").withColumn("class", F.coalesce("class", "id"))
     # a block has at most BLOCK members
     full = one.groupBy("list", "block").agg(F.collect_list(F.struct("id", "class", "n", "sketch")).alias("members"), F.min("class").alias("low"), F.max("class").alias("high"))
