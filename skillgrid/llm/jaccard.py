@@ -42,9 +42,11 @@ BLOCK = 1024
 #: Counters of a set's sketch, by size: up to so many shingles, so many counters. Powers of two, so that they fold.
 COUNTERS = ((1000, 128), (4000, 512), (1 << 62, 2048))
 #: Shared shingles: summaries hold so many a task, and the order so many in all.
-SUMMARY, SHARED = 1 << 16, 1 << 17
+SUMMARY, SHARED = 1 << 16, 1 << 18
 #: Ids up to this number are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Entries of lists up to this number are broadcast (about 100 bytes each); more are joined by a shuffle.
+BROADCAST_ROWS = 200_000
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, hence invertible modulo 2**64
@@ -177,8 +179,8 @@ def _shared_summaries(words: int):
                 if len(keys) > SUMMARY:
                     counts = counts - np.partition(counts, len(keys) - SUMMARY)[len(keys) - SUMMARY]
                     keys, counts = keys[counts > 0], counts[counts > 0]
-        top = np.argsort(-counts, kind="stable")[: SUMMARY // 8]
-        top = top[counts[top] >= 8]
+        top = np.argsort(-counts, kind="stable")[: SUMMARY // 2]
+        top = top[counts[top] >= 3]
         yield pa.RecordBatch.from_arrays([pa.array(keys[top].astype(np.int64)), pa.array(counts[top])], names=["shingle", "n"])
 
     return run
@@ -548,8 +550,9 @@ def _with_members(rows: DataFrame | None, lists: DataFrame, sketches: DataFrame,
         blocks = rows.select("list", F.col("i").alias("block")).union(rows.select("list", F.col("j"))).distinct()
         some = lists.join(blocks, ["list", "block"], "left_semi")
     one = some.select("list", "block", F.explode("members").alias("id"))
-    one = one.join(sketches, "id")
     one = one.withColumn("class", F.col("id")) if classes is None else one.join(classes.withColumnRenamed("component", "class"), "id", "left").withColumn("class", F.coalesce("class", "id"))
+    one = kept(one, small=True)
+    one = sketches.join(F.broadcast(one) if one.count() <= BROADCAST_ROWS else one, "id")
     # a block has at most BLOCK members
     full = one.groupBy("list", "block").agg(F.collect_list(F.struct("id", "class", "n", "sketch")).alias("members"), F.min("class").alias("low"), F.max("class").alias("high"))
     none = F.lit(None).cast("array<struct<a:long,b:long>>").alias("failed")
