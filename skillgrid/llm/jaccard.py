@@ -258,7 +258,7 @@ def _lists(percent: int):
         single. Of a list that reaches over batches at most two blocks are held.
         """
         held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)]
-        name, block = "", 0  # of the held entries, if blocks of their list are out already
+        name, block, low = "", 0, 0  # of the held entries, if blocks of their list are out already; low: the list's smallest size
         source = iter(batches)
         while True:
             batch = next(source, None)
@@ -272,8 +272,11 @@ def _lists(percent: int):
             size = n.astype(np.int64)
             cut = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (100 * size[:-1] < percent * size[1:])]))
             stop = np.append(cut[1:], len(key))
-            able = n - pos >= least_overlap(size, np.repeat(size[cut], stop - cut), percent)
-            first, first_block, rest, rest_name, rest_block = name, block, len(key), "", 0
+            least = size[cut]
+            if name:  # the smallest members are out, and may be the only partners
+                least[0] = low
+            able = n - pos >= least_overlap(size, np.repeat(least, stop - cut), percent)
+            first, first_block, rest, rest_name, rest_block, rest_low = name, block, len(key), "", 0, int(least[-1])
             if batch is not None:  # the last list may go on
                 rest = cut[-1]
                 if len(cut) == 1:
@@ -298,7 +301,7 @@ def _lists(percent: int):
                     members = ids[at_hand]
                     if len(members) > single:
                         rows.append((own, at + k, single, np.sort(members)))
-            held, name, block = [h[rest:] for h in held], rest_name, rest_block
+            held, name, block, low = [h[rest:] for h in held], rest_name, rest_block, rest_low
             if rows:
                 offsets = np.cumsum([0] + [len(r[3]) for r in rows]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(

@@ -160,6 +160,28 @@ def test_index_lists_in_small_blocks():
         assert sorted(r["block"] for r in mine) == list(range(len(mine)))
 
 
+def test_index_lists_keep_links_over_batches(monkeypatch):
+    """Real positions of a template family with growing sizes: a list that goes on asks for its own smallest size."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(jaccard, "BLOCK", 8)
+    rnd = random.Random(5)
+    own = [k for k in range(16) for _ in range(6)]
+    rnd.shuffle(own)
+    size = [87 + k for k in own]  # a template of 87 shingles, which sort last, and own ones
+    rows = []
+    for i, k in enumerate(own):
+        keys = [1000 + 100 * i + o for o in range(k)] + [10**6 + t for t in range(87)]
+        rows += [(key, size[i], i, pos) for pos, key in enumerate(keys[: jaccard.prefix_length(size[i])])]
+    rows.sort()
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in p], pa.int64()), pa.array([r[2] for r in p], pa.int64()), pa.array([r[1] for r in p], pa.int32()), pa.array([r[3] for r in p], pa.int32())], names=["key", "id", "n", "pos"]) for p in (rows[k : k + 13] for k in range(0, len(rows), 13))]
+    together = {}
+    for r in (r for b in jaccard._lists(85)(iter(batches)) for r in b.to_pylist()):
+        together.setdefault(r["list"], set()).update(r["members"])
+    links = {(a, b) for a in range(len(own)) for b in range(a) if 100 * 87 >= 85 * (size[a] + size[b] - 87)}
+    assert links and not {(a, b) for a, b in links if not any(a in m and b in m for m in together.values())}
+
+
 def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 102), (101, 102)], "a long, b long")
     got = {r[0]: r[1] for r in common.components(links).collect()}
