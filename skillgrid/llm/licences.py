@@ -2,13 +2,16 @@
 
 A text is cut into sentences, each sentence is normalised (lower case, runs of
 anything but letters and digits become one space), and known licence sentences
-are mapped to identifiers. The identifiers of a text, in order, are then matched
+are mapped to identifiers. A known sentence may be one piece or several that follow each
+other, as in wrapped lines, comment headers and after "v." or a semicolon. The identifiers of a text, in order, are then matched
 against ordered rules: a licence is found where the identifiers of its rule
 follow each other. Everything is one projection: no shuffle, no Python.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,14 +75,21 @@ _END, _LINE = r"([.;:!?])[ \t\r\n]+", r"[ \t\r]*\n[ \t\r\n]*([^a-z \t\r\n])"
 _MARK = "\u0001"
 
 
+def _known_pattern() -> str:
+    """Any known sentence from the start of a piece to the end of one; the shorter first, as before longer runs of pieces."""
+    some = "|".join(re.sub(" ", f"[ {_MARK}]", s) for s in sorted(SENTENCES.values(), key=len))
+    return f"(?<={_MARK})(?:{some})(?={_MARK})"
+
+
 def sentence_ids(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order (array<string>); null and texts without any: empty."""
     cut = F.regexp_replace(F.regexp_replace(text, _END, "$1" + _MARK), _LINE, _MARK + "$1")
     known = F.create_map(*(F.lit(x) for name, sentence in SENTENCES.items() for x in (sentence, name)))
-    plain = F.transform(F.split(cut, _MARK), lambda s: F.trim(F.regexp_replace(F.lower(s), "[^a-z0-9]+", " ")))
-    found = F.filter(F.transform(plain, lambda s: F.try_element_at(known, s)), lambda i: i.isNotNull())
+    plain = F.regexp_replace(F.lower(F.concat(F.lit(_MARK), cut, F.lit(_MARK))), f"[^a-z0-9{_MARK}]+", " ")
+    pieces = F.regexp_replace(plain, f" ?{_MARK}[ {_MARK}]*", _MARK)
+    found = F.transform(F.regexp_extract_all(pieces, F.lit(_known_pattern()), F.lit(0)), lambda s: F.try_element_at(known, F.translate(s, _MARK, " ")))
     none = F.array().cast("array<string>")
-    return F.when(F.lower(text).rlike(CUES), found).otherwise(none)
+    return F.when(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " ").rlike(CUES), found).otherwise(none)
 
 
 def licences(ids: Column) -> Column:

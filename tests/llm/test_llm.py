@@ -293,6 +293,24 @@ def test_licences(spark, edge, empty):
     assert licences.scan_licences(edge).where("size(licences) > 0").count() == 0 and licences.scan_licences(empty).count() == 0
 
 
+def test_licences_of_wrapped_notices(spark):
+    gpl = "This program is free software%s you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version %s of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.\n"
+    apache = 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an "AS IS" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\nSee the License for the specific language governing permissions and\nlimitations under the License.\n'
+    mit = 'Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\nto use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software, and to permit persons to whom the Software is\nfurnished to do so, subject to the following conditions:\n\nThe above copyright notice and this permission notice shall be included in all\ncopies or substantial portions of the Software.\n\nTHE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR\nIMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,\nFITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE\nAUTHORS BE LIABLE.\n'
+    bsd = 'Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Keep this.\n\nTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"\nAND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE\nIMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE\nDISCLAIMED.\n'
+    mpl = "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy was not distributed, get one.\n"
+    notices = [(gpl % (":", 3), "GPL-3.0"), (gpl % (";", 2), "GPL-2.0"), (apache, "Apache-2.0"), (mit, "MIT"), (bsd, "BSD"), (mpl, "MPL-2.0"), ("All Rights\nReserved.\n", "proprietary")]
+    texts = [(sign + t.replace("\n", "\n" + sign), name) for t, name in notices for sign in ("", "# ", " * ", "// ")]
+    # every one-sentence rule, wrapped before each word and in capitals
+    lines = {r[0]: name for name, r in licences.RULES if len(r) == 1}
+    texts += [("Code.\n" + "\n".join(licences.SENTENCES[i].upper().split()) + ".", name) for i, name in lines.items()]
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)], "k int, text string")
+    got = [r["licences"] for r in licences.scan_licences(df).orderBy("k").collect()]
+    assert got == [[name] for _, name in texts]
+    apart = spark.createDataFrame([("Not all rights reserved.",), ("Released under the MIT License\nand more.",)], "text string")
+    assert licences.scan_licences(apart).where("size(licences) > 0").count() == 0
+
+
 def test_mixing_reaches_its_targets(spark, edge, empty):
     rnd = random.Random(6)
     rows = [(i, " ".join(["w"] * rnd.randint(1, 30)), rnd.choice(["en"] * 8 + ["de", None]), rnd.choice(["a"] * 9 + ["b"])) for i in range(800)]
