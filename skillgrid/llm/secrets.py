@@ -4,7 +4,7 @@ Three patterns give the base spans. Beside them, every run of characters that
 a key or token may consist of is encoded by a public BPE vocabulary: ordinary
 words need few tokens, random strings many, so a low number of characters a
 token exposes them. Digests of known lengths, UUIDs, dates, addresses and other
-identifiers are excluded first.
+identifiers are excluded first, as are the words and numbers of a path.
 """
 
 from __future__ import annotations
@@ -33,8 +33,6 @@ _ASSIGN_CUE = re.compile(r"passw|secret|token|api_?key", re.IGNORECASE | re.ASCI
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"(?<![0-9a-f])[0-9a-f]{32,}")
 _RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RANDOM_CHARS)
-#: A letter and two digits at least; words of prose have none.
-_MIXED = re.compile(r"(?=.*[A-Za-z])(?=.*[0-9].*[0-9])")
 #: Hexadecimal digests by length: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 _DIGEST = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)\Z")
 _DIGEST_CHARS = {32, 40, 56, 64, 96, 128}
@@ -44,7 +42,34 @@ _IDENTIFIER = re.compile(
     r"|(?:[A-Za-z]+[-_/])+[A-Za-z]*[0-9]{0,4}\Z"  # words joined to a name or path
     r"|[+-]?[0-9+/_=-]+\Z"  # number
 )
-_ADDRESS_BEFORE = re.compile(r"[@:/.%]\Z")
+#: Parts of a run: between separators that paths, names and keys have.
+_STEP, _PART = re.compile(r"[^/]+"), re.compile(r"[^/_=+-]+")
+
+
+def _random(run: str, own, max_ratio: float) -> bool:
+    """Whether a run is long, no known identifier, and has few characters a token."""
+    if len(run) < MIN_RANDOM_CHARS or len(run) in _DIGEST_CHARS and _DIGEST.match(run) or _IDENTIFIER.match(run):
+        return False
+    return len(run) <= max_ratio * len(own.encode(run))
+
+
+def _random_parts(run: str, own, max_ratio: float) -> list[tuple[int, int]]:
+    """Random strings of a run: what is left between words and numbers of a path, whole or else its long parts."""
+    found, at, end = [], None, 0
+    for a, b in [*(m.span() for m in _STEP.finditer(run)), (len(run), len(run))]:
+        part = run[a:b]
+        word = not part or part.isdigit() or len(part) >= 3 and part.isalpha() and len(part) > max_ratio * len(own.encode(part))
+        if word and at is not None:
+            found, at = [*found, (at, end)], None
+        elif not word:
+            at, end = a if at is None else at, b
+    out = []
+    for a, b in found:
+        if _random(run[a:b], own, max_ratio):
+            out.append((a, b))
+        else:
+            out += [(a + m.start(), a + m.end()) for m in _PART.finditer(run[a:b]) if _random(m[0], own, max_ratio)]
+    return out
 
 
 def find_secrets(text: str, own, max_ratio: float = MAX_CHARS_PER_TOKEN) -> list[tuple[str, int, int]]:
@@ -55,14 +80,14 @@ def find_secrets(text: str, own, max_ratio: float = MAX_CHARS_PER_TOKEN) -> list
     if "AKIA" in text:
         spans += [("access", *m.span()) for m in _ACCESS.finditer(text) if m.end() - m.start() >= 16]
     spans += [("hex", *m.span()) for m in _HEX.finditer(text)]
+    base = list(spans)
     for m in _RUN.finditer(text):
-        run = m[0]
-        if not _MIXED.match(run) or len(run) in _DIGEST_CHARS and _DIGEST.match(run) or _IDENTIFIER.match(run):
-            continue
-        if _ADDRESS_BEFORE.search(text, max(0, m.start() - 1), m.start()) or text[m.end() : m.end() + 1] == "@":
-            continue
-        if len(run) <= max_ratio * len(own.encode(run)):
-            spans.append(("random", *m.span()))
+        if text[m.end() : m.end() + 1] == "@" and text[max(0, m.start() - 1) : m.start()] not in (":", "/"):
+            continue  # the name of an e-mail address
+        for a, b in _random_parts(m[0], own, max_ratio):
+            # letters that a pattern has found already need no second span
+            if not (m[0][a:b].isalpha() and any(x <= m.start() + a and m.start() + b <= y for _, x, y in base)):
+                spans.append(("random", m.start() + a, m.start() + b))
     return sorted(spans, key=lambda s: (s[1], KINDS.index(s[0])))
 
 

@@ -72,6 +72,19 @@ def test_secrets(edge, empty):
     assert secrets.scan_secrets(empty, RANKS, PATTERN).count() == 0
 
 
+def test_secrets_in_addresses_and_of_letters_only():
+    own, rnd = bpe.codec(RANKS, PATTERN), random.Random(1)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    for form in ("{}", "auth:{}", "postgres://user:{}@db", "https://host/services/{}", "https://host.com/{}"):
+        for signs in (letters, letters + "0123456789"):
+            keys = ["".join(rnd.choices(signs, k=24)) for _ in range(100)]
+            texts = [f"x {form.format(k)} y" for k in keys]
+            found = [any(t[a:b] == k for _, a, b in secrets.find_secrets(t, own)) for t, k in zip(texts, keys, strict=True)]
+            assert sum(found) >= 95, (form, len(signs))
+    for clean in ("https://host.com/services/2024/11/28/released-notes/overview", "internationalisation_of_documentation", "first.lastname0123456789012345@host.com", "path/to/some/longer/module/name.py", "commit/da39a3ee5e6b4b0d3255bfef95601890afd80709"):
+        assert not [s for s in secrets.find_secrets(clean, own) if s[0] == "random"], clean
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([("é token=abcdefgh12 and password=hunter2hunter2 end",), (None,), ("",)], "text string")
     common.ship(spark)
