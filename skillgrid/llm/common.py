@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -103,23 +103,45 @@ def kept(df: DataFrame, small: bool = False) -> DataFrame:
     return df.checkpoint()
 
 
+def _local_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, root) of every end of a task's links (a, b): the smallest id that the task's own links reach."""
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        at = root.setdefault(x, x)
+        while root[at] != at:
+            root[at] = root[root[at]]
+            at = root[at]
+        return at
+
+    for batch in batches:
+        for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            a, b = sorted((find(a), find(b)))
+            root[b] = a
+    ids = list(root)
+    for lo in range(0, len(ids), 1 << 16):
+        some = ids[lo : lo + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array([find(x) for x in some], pa.int64())], names=["id", "root"])
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b): (id, component), component the smallest id that links reach.
 
-    Each round takes the smallest label among a node and its neighbours, and then
-    the label of that label, so that long chains need few rounds.
+    Every task first replaces its own links by stars. Then each round takes the smallest
+    label among a node and its neighbours, and the label of that label, so that long chains need
+    few rounds. Labels only fall, so their sum tells whether a round changed any.
     """
-    both = kept(links.select("a", "b").union(links.select(F.col("b"), F.col("a"))).distinct(), small=True)
-    label = kept(both.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("component")), small=True)
+    stars = kept(links.select("a", "b").mapInArrow(_local_roots, "id long, root long"), small=True)
+    both = stars.select(F.col("id").alias("a"), F.col("root").alias("b")).union(stars.select("root", "id")).union(stars.select("id", "id"))
+    label = kept(stars.groupBy("id").agg(F.min("root").alias("component")), small=True)
+    total = None
     while True:
-        near = both.join(label.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id"))
-        near = near.agg(F.min("component").alias("near"))
-        once = label.join(near, "id").select("id", "component", F.least("component", "near").alias("next"))
-        jump = label.select(F.col("id").alias("next"), F.col("component").alias("beyond"))
-        new = kept(once.join(jump, "next").select("id", F.col("component").alias("old"), F.least("next", "beyond").alias("component")), small=True)
-        label = new.select("id", "component")
-        if new.where("old != component").isEmpty():
+        was, total = total, label.agg(F.sum(F.col("component").cast("decimal(38,0)")).alias("t")).first()["t"]
+        if total == was:
             return label
+        near = both.join(label.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))
+        beyond = near.select(F.col("id").alias("near"), F.col("near").alias("component"))
+        label = kept(near.join(beyond, "near").select("id", "component"), small=True)
 
 
 def in_slices(f: Callable[..., pa.Array], *arrays: pa.Array, rows: int = 256) -> pa.Array:

@@ -1,25 +1,27 @@
-"""Exact Jaccard self-join on word shingles, by prefixes, skipping and set relations.
+"""Exact Jaccard self-join on word shingles, by prefixes, block skips and set relations.
 
 1. Every text becomes the set of its hashed shingles. Documents with equal sets
    fall into one class by a digest of the set; one of each class goes on.
 2. Shingles have one global order: those that many documents share come last.
    Two sets that reach the threshold share a shingle among the first
    ``n - ceil(threshold * n) + 1`` of each, so only those are indexed.
-3. An index list holds the sets with one such shingle, sorted by size. It is cut
-   wherever neighbours differ too much in size, and an entry is skipped when its
-   position leaves too few shingles to reach the threshold with any other in the list.
-   Lists with the same members are kept once.
+3. An index list holds the sets with one such shingle by size band and position, so that
+   its blocks are alike in both. Members and blocks are skipped whose positions leave too few
+   shingles to reach the threshold, or whose sizes differ too much. The index is dealt
+   by range of its whole order, so a long list is spread over tasks. Short lists
+   with the same members are kept once.
 4. Within a list, sets are compared by small count sketches, whose bound on the
-   overlap never falls short of it. Answers are derived along set relations: a
-   set that is already in the class of a similar set needs no comparison
-   of its own, so a list proposes a forest of pairs between its classes,
-   at most one fewer than its members, and never all pairs of a group.
-5. Proposed pairs are verified on whole sets and joined to classes. Lists in which
-   pairs between different classes are left propose again, without those that
-   failed, until none is left. Long lists are compared in blocks, and a pair of
-   blocks that is all one class is skipped. So no link is lost, and the largest
-   thing a task holds is two blocks.
-
+   overlap never falls short of it. What passes is proposed as stars between classes,
+   at most one pair fewer than there are members, and never all pairs of a group.
+5. Proposed pairs are verified on whole sets. Their overlaps answer for similar sets: what u
+   shares with w is at most what x shares with w, and the shingles of u that x has not. So the
+   verified answers of one set rule out those of all sets near it. Lists
+   with pairs left open propose again, until none is left.
+6. A long list is compared in windows of two neighbouring blocks; after that only those pairs of its
+   blocks meet that are not all of one component and that sizes and positions leave possible.
+
+So no link is lost, no task holds more of a list than two blocks, and components of
+all links are made once (twice if a long list has blocks in several components).
 The result is one row a document with the smallest id that links reach.
 """
 
@@ -30,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +48,7 @@ COUNTERS = ((1000, 128), (4000, 512), (1 << 62, 2048))
 SUMMARY, SHARED = 1 << 16, 1 << 18
 #: Ids up to this number are broadcast (8 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-#: Entries of lists up to this number are broadcast (about 100 bytes each); more are joined by a shuffle.
+#: Rows of pairs and lists up to this number are broadcast (about 100 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
@@ -58,6 +61,8 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes of text that are hashed at once.
 _GROUP_BYTES = 1 << 20
+#: Words of more bytes are hashed one by one.
+_LONG_WORD = 256
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -117,6 +122,8 @@ def _hash_group(raw: list[bytes], words: int) -> Iterator[np.ndarray]:
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
     total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _Powers.up[: len(data)], dtype=np.uint64)])
     word = _mix((total[end] - total[start]) * _Powers.down[start] + (end - start).astype(np.uint64))
+    for k in np.flatnonzero(end - start > _LONG_WORD):  # sums of powers may collide on built words of about 1,000 characters
+        word[k] = xxhash.xxh3_64_intdigest(data[start[k] : end[k]].tobytes())
     bounds = np.searchsorted(start, np.cumsum([0] + [len(r) for r in raw]))
     turn = [_BYTE[k] for k in range(words)]
     if len(word) >= words:
@@ -224,18 +231,25 @@ def _signatures(words: int, percent: int, order):
     return run
 
 
-def _entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Index entries (key, id, n, pos), one for each shingle of a prefix."""
-    for batch in batches:
-        lists = batch.column(2)
-        offsets, keys = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
-        length = np.diff(offsets)
-        row = np.repeat(np.arange(batch.num_rows), length)
-        pos = np.arange(len(row)) - np.repeat(offsets[:-1] - offsets[0], length)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(keys[offsets[0] : offsets[-1]]), pa.array(batch.column(0).to_numpy()[row]), pa.array(batch.column(1).to_numpy()[row]), pa.array(pos.astype(np.int32))],
-            names=["key", "id", "n", "pos"],
-        )
+def _entries(percent: int):
+    width = np.log(100 / percent) * (1 + 1e-9) if percent < 100 else 1e-9  # sets that link lie in one band or in neighbouring ones
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Index entries (key, band, pos, n, id), one for each shingle of a prefix."""
+        for batch in batches:
+            lists = batch.column(2)
+            offsets, keys = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            length = np.diff(offsets)
+            row = np.repeat(np.arange(batch.num_rows), length)
+            pos = np.arange(len(row)) - np.repeat(offsets[:-1] - offsets[0], length)
+            n = batch.column(1).to_numpy()
+            band = (np.log(np.maximum(n, 1)) / width).astype(np.int32)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(keys[offsets[0] : offsets[-1]]), pa.array(band[row]), pa.array(pos.astype(np.int32)), pa.array(n[row]), pa.array(batch.column(0).to_numpy()[row])],
+                names=["key", "band", "pos", "n", "id"],
+            )
+
+    return run
 
 
 def _partnered(n: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
@@ -244,145 +258,213 @@ def _partnered(n: np.ndarray, pos: np.ndarray, percent: int) -> np.ndarray:
     The first shingle that a linking pair shares leaves both sets enough shingles from it on
     for the overlap that their sizes ask for, so the pair passes in the list of that shingle.
     """
-    left = n - pos
-    may = np.minimum(left[:, None], left) >= least_overlap(n[:, None], n, percent)
-    np.fill_diagonal(may, False)
-    return may.any(1)
+    left, out = n - pos, np.zeros(len(n), bool)
+    for lo in range(0, len(n), 256):
+        at = np.arange(lo, min(len(n), lo + 256))
+        may = np.minimum(left[at, None], left) >= least_overlap(n[at, None], n, percent)
+        may[at - lo, at] = False
+        out[at] = may.any(1)
+    return out
 
 
-def _lists(percent: int):
+_LIST = "list string, block long, kind string, lo int, hi int, left int, members array<long>"
+
+
+def _lists(percent: int, block: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Cuts entries (key, id, n, pos), sorted by key, size and id, into the lists that can hold links.
+        """Cuts entries (key, band, pos, n, id), sorted in this order, into the lists that can hold links.
 
-        Emits (list, block, single, members); a list of at most ``BLOCK`` members is
-        single. Of a list that reaches over batches at most two blocks are held.
+        A list of at most two blocks that lies within the task is one row of kind ``single``.
+        Of any other each two neighbouring blocks are a row of kind ``window``, and each block is one of kind
+        ``block``, with its sizes and the most that a position leaves. Of a list that goes on
+        over batches at most three blocks are held.
         """
-        held = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)]
-        name, block, low = "", 0, 0  # of the held entries, if blocks of their list are out already; low: the list's smallest size
+        context = TaskContext.get()
+        part = (context.partitionId() if context else 0) << 32
+        held = [np.zeros(0, np.int64), *(np.zeros(0, np.int32) for _ in range(3)), np.zeros(0, np.int64)]
+        done, first = 0, True  # blocks of the held list that are out; whether the task's first list is not complete yet
+        rows: list[tuple] = []
+
+        def single(a: int, b: int) -> None:
+            size = held[3][a:b].astype(np.int64)
+            members = held[4][a:b][_partnered(size, held[2][a:b], percent)]
+            if len(members) > 1:
+                rows.append(("", 0, "single", 0, 0, 0, np.sort(members)))
+
+        def long_list(name: str, a: int, b: int, serial: int, last: bool) -> None:
+            """Windows and blocks of entries a to b; if not last, of the first block only."""
+            n, ids = held[3], held[4]
+            for k, lo in enumerate(range(a, b, block)):
+                hi = min(b, lo + block)
+                if hi < b or lo == a and b - a > 1 and not serial:
+                    rows.append((name, part + serial + k, "window", 0, 0, 0, ids[lo : min(b, lo + 2 * block)]))
+                rows.append((name, part + serial + k, "block", int(n[lo:hi].min()), int(n[lo:hi].max()), int((n[lo:hi] - held[2][lo:hi]).max()), ids[lo:hi]))
+                if not last:
+                    return
+
         source = iter(batches)
         while True:
             batch = next(source, None)
             if batch is not None:
                 held = [np.concatenate([h, batch.column(k).to_numpy()]) for k, h in enumerate(held)]
-            key, ids, n, pos = held
-            if not len(key):
-                if batch is None:
-                    return
-                continue
-            size = n.astype(np.int64)
-            cut = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (100 * size[:-1] < percent * size[1:])]))
-            stop = np.append(cut[1:], len(key))
-            least = size[cut]
-            if name:  # the smallest members are out, and may be the only partners
-                least[0] = low
-            able = n - pos >= least_overlap(size, np.repeat(least, stop - cut), percent)
-            first, first_block, rest, rest_name, rest_block, rest_low = name, block, len(key), "", 0, int(least[-1])
-            if batch is not None:  # the last list may go on
-                rest = cut[-1]
-                if len(cut) == 1:
-                    rest_name, rest_block = first, first_block
-                if (full := (len(key) - rest) // BLOCK - 1) > 0:
-                    stop[-1] = rest + full * BLOCK
-                    rest_name = rest_name or f"{key[rest]}:{n[rest]}"
-                    rest, rest_block = stop[-1], rest_block + full
-                else:
-                    cut, stop = cut[:-1], stop[:-1]
-            rows = []
-            for r in np.flatnonzero((stop - cut >= 2) | ((np.arange(len(cut)) == 0) & bool(first))):
-                a, b = cut[r], stop[r]
-                goes_on = r == 0 and first
-                single = b - a <= BLOCK and not goes_on and not (rest_name and b == rest)
-                own, at = (first, first_block) if goes_on else (f"{key[a]}:{n[a]}", 0)
-                for k, lo in enumerate(range(a, b, BLOCK)):
-                    hi = min(b, lo + BLOCK)
-                    at_hand = lo + np.flatnonzero(able[lo:hi])
-                    if single:
-                        at_hand = at_hand[_partnered(size[at_hand], pos[at_hand], percent)]
-                    members = ids[at_hand]
-                    if len(members) > single:
-                        rows.append((own, at + k, single, np.sort(members)))
-            held, name, block, low = [h[rest:] for h in held], rest_name, rest_block, rest_low
+            key, band = held[0], held[1]
+            if len(key):
+                start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+                stop = np.append(start[1:], len(key))
+                whole = len(start) - (batch is not None)  # the last list may go on
+                edge = np.zeros(len(start), bool)  # may go on in another task
+                edge[0], edge[-1] = first, edge[-1] or batch is None
+                for r in np.flatnonzero((stop - start >= 2) | edge | ((np.arange(len(start)) == 0) & (done > 0)))[: len(start)]:
+                    if r >= whole:
+                        break
+                    a, b = start[r], stop[r]
+                    if edge[r] or (r == 0 and done):
+                        long_list(f"{key[a]:x}", a, b, done if r == 0 else 0, True)
+                        continue
+                    cut = [a, *(a + 1 + np.flatnonzero(np.diff(band[a:b]) > 1)), b]
+                    for lo, hi in zip(cut[:-1], cut[1:], strict=True):
+                        if hi - lo > 2 * block:
+                            long_list(f"{key[a]:x}:{band[lo]}", lo, hi, 0, True)
+                        elif hi - lo > 1:
+                            single(lo, hi)
+                if whole:
+                    first, done = False, 0
+                rest = start[whole] if whole < len(start) else len(key)
+                while len(key) - rest >= 3 * block:
+                    long_list(f"{key[rest]:x}", rest, len(key), done, False)
+                    rest, done = rest + block, done + 1
+                held = [h[rest:] for h in held]
             if rows:
-                offsets = np.cumsum([0] + [len(r[3]) for r in rows]).astype(np.int32)
+                offsets = np.cumsum([0] + [len(r[6]) for r in rows]).astype(np.int32)
+                cols = list(zip(*rows, strict=True))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0] for r in rows]), pa.array([r[1] for r in rows], pa.int32()), pa.array([bool(r[2]) for r in rows]),
-                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([r[3] for r in rows])))],
-                    names=["list", "block", "single", "members"],
+                    [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.string()), *(pa.array(cols[k], pa.int32()) for k in (3, 4, 5)),
+                     pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(cols[6])))],
+                    names=["list", "block", "kind", "lo", "hi", "left", "members"],
                 )
+                rows = []
             if batch is None:
                 return
 
     return run
 
 
-def index_lists(reps: DataFrame, percent: int) -> DataFrame:
-    """Index lists (list, block, single, members) of class representatives (id, n, prefix).
+def index_lists(reps: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
+    """Index lists (list, block, kind, lo, hi, left, members) of class representatives (id, n, prefix).
 
-    Entries are dealt by key and streamed in order, so that no list is held whole.
-    Single lists with the same members are kept once.
+    Entries are dealt by range of their whole order and streamed, so that no list is held whole or
+    needs one task. Single lists with the same members are kept once.
     """
-    entries = reps.select("id", "n", "prefix").mapInArrow(_entries, "key long, id long, n int, pos int")
-    entries = entries.repartition("key").sortWithinPartitions("key", "n", "id")
-    lists = entries.mapInArrow(_lists(percent), "list string, block int, single boolean, members array<long>")
+    order = ["key", "band", "pos", "n", "id"]
+    entries = reps.select("id", "n", "prefix").mapInArrow(_entries(percent), "key long, band int, pos int, n int, id long")
+    lists = entries.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_lists(percent, block), _LIST)
     # equal single lists have one name, by their members
-    name = F.when(F.col("single"), F.concat(F.lit("="), F.sha1(F.array_join(F.col("members").cast("array<string>"), ",")))).otherwise(F.col("list"))
-    return lists.withColumn("list", name).dropDuplicates(["list", "block"])
-
-
-_MEMBER = "array<struct<id:long,class:long,n:int,sketch:binary>>"
+    name = F.when(F.col("kind") == "single", F.concat(F.lit("="), F.sha1(F.array_join(F.col("members").cast("array<string>"), ",")))).otherwise(F.col("list"))
+    return lists.withColumn("list", name).dropDuplicates(["list", "block", "kind"])
 
 
 def _propose(percent: int, turn: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Pairs to verify of rows (list, i, j, left, right, failed); right is null for a block with itself."""
+        """Pairs to verify of rows (list, i, j, members, cut, known), one row at a time."""
         for batch in batches:
-            out: list[tuple] = []
-            for lo in range(0, batch.num_rows, 64):
-                for row in batch.slice(lo, 64).to_pylist():
-                    for a, b in _forest(row["left"], row["right"], row["failed"], percent, turn):
-                        out.append((row["list"], row["i"], row["j"], min(a, b), max(a, b)))
-            cols = list(zip(*out, strict=True)) if out else [()] * 5
+            at: list[int] = []
+            pairs: list[tuple[int, int]] = []
+            members, known = batch.column(3), batch.column(5)
+            for r in range(batch.num_rows):
+                ids, of, n, sketch = members.values.slice(members.offsets[r].as_py(), len(members[r])).flatten()
+                before = [x.to_numpy() for x in known.values.slice(known.offsets[r].as_py(), len(known[r])).flatten()] if known[r].is_valid else None
+                found = _open_pairs(ids.to_numpy(), of.to_numpy(), n.to_numpy().astype(np.int64), sketch.to_pylist(), batch.column(4)[r].as_py(), before, percent, turn)
+                at += [r] * len(found)
+                pairs += found
+            rows = pa.array(at, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.int32()), pa.array(cols[3], pa.int64()), pa.array(cols[4], pa.int64())],
+                [*(batch.column(k).take(rows) for k in range(3)), pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())],
                 names=["list", "i", "j", "a", "b"],
             )
 
     return run
 
 
-def _forest(left: list[dict], right: list[dict] | None, failed: list[dict] | None, percent: int, turn: int) -> list[tuple[int, int]]:
-    """Pairs between classes that may link and did not fail: a forest over the classes.
+def _roots(of: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Classes 0.. of members with classes ``of`` after links between the places a and b."""
+    root = np.unique(of, return_inverse=True)[1]
+    parent = list(range(root.max() + 1))
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
 
-    From the second turn on each set outside the largest class also proposes its best
-    pairs, sixteen times as many each turn, so that few turns are needed.
+    for x, y in zip(root[a].tolist(), root[b].tolist(), strict=True):
+        parent[find(x)] = find(y)
+    return np.unique(np.array([find(x) for x in range(len(parent))])[root], return_inverse=True)[1]
+
+
+def _open_pairs(ids: np.ndarray, of: np.ndarray, n: np.ndarray, sketches: list[bytes], cut: int, before: list[np.ndarray] | None, percent: int, turn: int) -> list[tuple[int, int]]:
+    """Pairs between classes that may link: a forest of stars over the classes.
+
+    Bounds on overlaps are those of the sketches and, once pairs were verified, those that follow
+    from the answers of similar sets. From the second turn on each set outside the largest class also proposes its
+    best pairs, sixteen times as many each turn, so that few turns are needed. With ``cut`` only members
+    on either side of that place are compared.
     """
-    members = left + (right or [])
-    ids = np.array([m["id"] for m in members])
-    of = np.unique(np.array([m["class"] for m in members]), return_inverse=True)[1]
-    if of.max() == 0:
+    m = len(ids)
+    of = np.unique(of, return_inverse=True)[1]
+    if of.max(initial=0) == 0:
         return []
-    n = np.array([m["n"] for m in members], np.int64)
-    sketch, plain = _folded([m["sketch"] for m in members])
-    side = np.arange(len(members)) >= len(left)
-    lost: dict[int, list[int]] = {}
-    if failed:
-        at = {v: k for k, v in enumerate(ids.tolist())}
-        for p in failed:
-            for a, b in ((p["a"], p["b"]), (p["b"], p["a"])):
-                lost.setdefault(at[a], []).append(at[b])
+    sketch, plain = _folded(sketches)
+    side = np.arange(m) >= cut
+    left = ids.argsort(kind="stable")
+
+    def bound(rows: np.ndarray) -> np.ndarray:
+        """By how much the overlaps of some members with all may exceed what a link needs."""
+        out = np.empty((len(rows), m), np.int32)
+        for k, u in enumerate(rows):
+            most = np.minimum(n[u], n)
+            if not plain[u]:
+                seen = np.minimum(sketch[u], sketch).sum(1, dtype=np.int64)
+                most = np.where(plain, most, np.minimum(most, seen))
+            out[k] = most
+        return out
+
+    whole = None
+    if before is not None:
+        a, b = (left[np.searchsorted(ids[left], x)] for x in before[:2])
+        overlap = before[2].astype(np.int64)
+        linked = 100 * overlap >= percent * (n[a] + n[b] - overlap)
+        of = _roots(of, a[linked], b[linked])
+        if of.max() == 0:
+            return []
+        whole = bound(np.arange(m))
+        whole[a, b] = whole[b, a] = overlap
+        # what u shares with w is at most what x shares with w, and what u has beside x
+        for _ in range(2):
+            for x in np.unique(np.concatenate([a, b])):
+                near = np.concatenate([b[a == x], a[b == x]])
+                beside = n[near].astype(np.int32) - whole[near, x]
+                whole[near] = np.minimum(whole[near], whole[x] + beside[:, None])
+                whole[:, near] = whole[near].T
+        for u in range(m):
+            whole[u] -= least_overlap(n[u], n, percent).astype(np.int32)
+        whole[a, b] = whole[b, a] = -1
+        whole[of[:, None] == of] = -1
+        if cut:
+            whole[side[:, None] == side] = -1
+        if whole.max() < 0:
+            return []
 
     def spare(u: int, among: np.ndarray) -> np.ndarray:
-        """By how much the bound on the overlap with u exceeds what a link needs; negative: no link."""
+        if whole is not None:
+            return whole[u, among]
         most = np.minimum(n[u], n[among])
         if not plain[u]:
-            bound = np.minimum(sketch[u], sketch[among]).sum(1, dtype=np.int64)
-            most = np.where(plain[among], most, np.minimum(most, bound))
+            seen = np.minimum(sketch[u], sketch[among]).sum(1, dtype=np.int64)
+            most = np.where(plain[among], most, np.minimum(most, seen))
         got = most - least_overlap(n[u], n[among], percent)
         got[of[among] == of[u]] = -1
-        if right is not None:
+        if cut:
             got[side[among] == side[u]] = -1
-        if u in lost:
-            got[np.isin(among, lost[u])] = -1
         return got
 
     pairs: set[tuple[int, int]] = set()
@@ -399,51 +481,29 @@ def _forest(left: list[dict], right: list[dict] | None, failed: list[dict] | Non
             among = np.flatnonzero(~reached[of])
             if not len(among):
                 break
-            ok = among[spare(u, among) >= 0]
-            for v in ok[np.unique(of[ok], return_index=True)[1]]:
+            got = spare(u, among)
+            best = np.lexsort((among, -got))  # of each class the pair with most to spare
+            best = best[got[best] >= 0]
+            for v in among[best[np.unique(of[among[best]], return_index=True)[1]]]:
                 reached[of[v]] = True
                 pairs.add((int(ids[u]), int(ids[v])))
                 todo += list(by_class[first[of[v]] : first[of[v] + 1]])
-    if turn > 1 and pairs:
+    if turn > 1:
         largest = np.bincount(of).argmax()
         for u in np.flatnonzero(of != largest):
-            among = np.arange(len(ids))
-            got = spare(u, among)
-            best = np.argsort(-got, kind="stable")[: 16 ** (turn - 1)]
-            pairs |= {(int(ids[min(u, v)]), int(ids[max(u, v)])) for v in best[got[best] >= 0]}
-    return list(pairs)
+            best = np.argsort(-whole[u], kind="stable")[: 16 ** (turn - 1)]
+            pairs |= {(int(ids[u]), int(ids[v])) for v in best[whole[u, best] >= 0]}
+    asked = set() if before is None else set(zip(before[0].tolist(), before[1].tolist(), strict=True))
+    return sorted({(min(p), max(p)) for p in pairs if p[0] != p[1]} - asked)
 
 
-class _Bloom:
-    """Which ids may be wanted: a bit table of bounded size, made by Spark and sent to the tasks."""
-
-    MAX_BITS = 1 << 29
-
-    def __init__(self, ids: DataFrame, count: int):
-        bits = min(self.MAX_BITS, 1 << max(16, (64 * count).bit_length()))
-        place = F.pmod(F.xxhash64("id"), F.lit(bits))
-        words = ids.select((F.shiftright(place, 6)).alias("word"), F.pmod(place, F.lit(64)).cast("int").alias("bit"))
-        got = words.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("value")).toArrow()
-        table_ = np.zeros(bits >> 6, np.uint64)
-        table_[got.column("word").to_numpy()] = got.column("value").to_numpy().astype(np.uint64)
-        self.bits, self.shared = bits, ids.sparkSession.sparkContext.broadcast(table_)
-
-    def place(self):
-        return F.pmod(F.xxhash64("id"), F.lit(self.bits))
-
-
-def _sets(words: int, bloom: _Bloom):
-    shared = bloom.shared
-
+def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(id, shingles) of the rows (id, place, text) that the table may hold."""
-        bits = shared.value
+        """(id, shingles) of rows (id, text)."""
         for batch in batches:
-            place = batch.column(1).to_numpy()
-            hit = np.flatnonzero((bits[place >> 6] >> (place & 63).astype(np.uint64)) & np.uint64(1))
-            for lo in range(0, len(hit), 512):
-                part = batch.take(pa.array(hit[lo : lo + 512]))
-                sets = [s.astype(np.int64) for s in shingle_sets(part.column(2).to_pylist(), words)]
+            for lo in range(0, batch.num_rows, 512):
+                part = batch.slice(lo, 512)
+                sets = [s.astype(np.int64) for s in shingle_sets(part.column(1).to_pylist(), words)]
                 offsets = np.cumsum([0] + [len(s) for s in sets]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(sets)))], names=["id", "shingles"]
@@ -454,32 +514,37 @@ def _sets(words: int, bloom: _Bloom):
 
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(a, b, linked) of rows (a, b, left, right) with sorted sets."""
+        """(a, b, overlap, linked) of rows (a, b, shingles) that come two by two, the sets of a pair beside each other."""
+        key, other = None, None
         for batch in batches:
-            linked = []
-            left, right = batch.column(2), batch.column(3)
+            a, b, sets = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+            out = []
             for k in range(batch.num_rows):
-                x, y = left[k].values.to_numpy(), right[k].values.to_numpy()
-                both = np.intersect1d(x, y, assume_unique=True).size
-                linked.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], names=["a", "b", "linked"])
+                x = sets[k].values.to_numpy()
+                if key == (a[k], b[k]):
+                    both = int(np.intersect1d(x, other, assume_unique=True).size)
+                    out.append((*key, both, 100 * both >= percent * (len(x) + len(other) - both)))
+                    key = None
+                else:
+                    key, other = (a[k], b[k]), x.copy()
+            cols = list(zip(*out, strict=True)) if out else [()] * 4
+            types = pa.int64(), pa.int64(), pa.int32(), pa.bool_()
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["a", "b", "overlap", "linked"])
 
     return run
 
 
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b, linked) of distinct pairs (a, b), by the whole sets of docs (id, text).
+    """(a, b, overlap, linked) of distinct pairs (a, b), by the whole sets of docs (id, text).
 
-    Only the sets of ids in pairs, and few others, are made: the rest is filtered out in
-    the scan by a bit table of bounded size, and texts are never shuffled.
+    Only the sets of ids in pairs are made. A pair's two sets meet by the pair, so
+    that a set with many pairs is spread over tasks.
     """
-    ids = kept(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), small=True)
-    bloom = _Bloom(ids, ids.count())
-    sets = docs.select("id", bloom.place().alias("place"), "text").mapInArrow(_sets(words, bloom), "id long, shingles array<long>")
-    sets = kept(sets)
-    joined = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("left")), "a")
-    joined = joined.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("right")), "b")
-    return kept(joined.select("a", "b", "left", "right").mapInArrow(_verify(percent), "a long, b long, linked boolean"), small=True)
+    pairs = kept(pairs, small=True)
+    ends = pairs.select(F.col("a").alias("id"), "a", "b").union(pairs.select("b", "a", "b"))
+    sets = matched(docs.select("id", "text"), kept(ends.select("id").distinct(), small=True), "left_semi").mapInArrow(_sets(words), "id long, shingles array<long>")
+    met = sets.join(bounded(ends), "id").select("a", "b", "shingles").repartition("a", "b").sortWithinPartitions("a", "b")
+    return kept(met.mapInArrow(_verify(percent), "a long, b long, overlap int, linked boolean"), small=True)
 
 
 def copies_of(signed: DataFrame) -> DataFrame:
@@ -493,13 +558,71 @@ def matched(rows: DataFrame, ids: DataFrame, how: str) -> DataFrame:
     return rows.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "id", how)
 
 
-def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT) -> DataFrame:
+def bounded(rows: DataFrame) -> DataFrame:
+    """Kept rows of a few numbers, to be broadcast up to ``BROADCAST_ROWS``, and joined by a shuffle beyond."""
+    return F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+
+
+_KNOWN = "array<struct<a:long,b:long,overlap:int>>"
+
+
+def links_of(filled: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame | None:
+    """Links (a, b) that join what links within rows (list, i, j, members, cut); None without any."""
+    links, known, turn = None, None, 1
+    rows = filled.withColumn("known", F.lit(None).cast(_KNOWN))
+    while True:
+        columns = rows.select("list", "i", "j", "members", "cut", "known")
+        proposed = kept(columns.mapInArrow(_propose(percent, turn), "list string, i long, j long, a long, b long"), small=True)
+        if proposed.isEmpty():
+            return links
+        checked = verified(proposed.select("a", "b").distinct(), docs, words, percent)
+        new = checked.where("linked").select("a", "b")
+        links = new if links is None else links.union(new)
+        found = kept(proposed.join(bounded(checked), ["a", "b"]).select("list", "i", "j", "a", "b", "overlap", (~F.col("linked")).alias("open"), F.lit(turn).alias("turn")), small=True)
+        known = found if known is None else known.union(found)
+        answers = F.collect_list(F.struct("a", "b", "overlap")).alias("known")
+        unsure = known.groupBy("list", "i", "j").agg(answers, F.max(F.col("open") & (F.col("turn") == turn)).alias("open")).where("open").drop("open")
+        unsure, turn = kept(unsure, small=True), turn + 1
+        if unsure.isEmpty():
+            return links
+        rows = filled.join(F.broadcast(unsure) if found.count() <= BROADCAST_ROWS else unsure, ["list", "i", "j"])
+
+
+def _filled(lists: DataFrame, sketches: DataFrame, classes: DataFrame | None = None) -> DataFrame:
+    """Rows (list, block, members) of id lists, each member with class, size and sketch; a row holds at most two blocks."""
+    one = lists.select("list", "block", F.explode("members").alias("id"))
+    if classes is None:
+        one = one.withColumn("class", F.col("id"))
+    else:
+        one = one.join(classes.withColumnRenamed("component", "class"), "id", "left").withColumn("class", F.coalesce("class", "id"))
+    member = F.struct("id", "class", "n", "sketch")
+    return one.join(sketches, "id").groupBy("list", "block").agg(F.collect_list(member).alias("members"))
+
+
+def far_blocks(blocks: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Pairs (list, i, j) of blocks of long lists that were not neighbours, are not all of one class, and may hold links.
+
+    Lists of one class take no part, so the pairs are those of lists with several classes.
+    """
+    of = blocks.select("list", "block", "lo", "hi", "left", F.explode("members").alias("id")).join(classes, "id", "left")
+    of = of.withColumn("class", F.coalesce("component", "id")).groupBy("list", "block", "lo", "hi", "left")
+    about = kept(of.agg(F.min("class").alias("low"), F.max("class").alias("high")), small=True)
+    mixed = about.groupBy("list").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most").select("list")
+    about = about.join(mixed, "list")
+    i, j = (about.select("list", *(F.col(c).alias(f"{c}_{k}") for c in about.columns if c != "list")) for k in "ij")
+    least = F.ceil(percent * (F.col("lo_i") + F.col("lo_j")) / F.lit(100.0 + percent) - 1e-6)
+    may = (F.least("left_i", "left_j") >= least) & (100 * F.col("hi_i") >= percent * F.col("lo_j")) & (100 * F.col("hi_j") >= percent * F.col("lo_i"))
+    apart = (F.col("block_i") + 1 < F.col("block_j")) & (F.least("low_i", "low_j") < F.greatest("high_i", "high_j"))
+    return i.join(j, "list").where(apart & may).select("list", F.col("block_i").alias("i"), F.col("block_j").alias("j"))
+
+
+def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """One row a document: (key, n_shingles, component_id).
 
     Two documents link when 100 * intersection >= percent * union of their shingle
     sets; component_id is the smallest key that links reach. Keys are distinct
-    integers. Documents without words, and null texts, have empty sets and are alone. An
-    empty table gives an empty result; other columns are not looked at.
+    integers (a row that is repeated whole is returned as often). Documents without words, and null texts, have
+    empty sets and are alone. An empty table gives an empty result; other columns are not looked at.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
@@ -508,27 +631,29 @@ def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     signed = kept(docs.mapInArrow(_signatures(words, percent, order), schema))
     copies = copies_of(signed.where("n > 0"))
     reps = matched(signed.where("n > 0"), copies.select("id"), "left_anti")
-    lists = kept(index_lists(reps, percent))
-    members = kept(lists.select(F.explode("members").alias("id")).distinct(), small=True)
+    lists = kept(index_lists(reps, percent, block))
+    members = kept(lists.where("kind <> 'block'").select(F.explode("members").alias("id")).distinct(), small=True)
     sketches = kept(matched(reps.select("id", "n", "sketch"), members, "left_semi"))
-    classes, links = None, None
-    long_lists = lists.where("not single")
-    phases = [None] + ([] if long_lists.isEmpty() else [_block_pairs(long_lists)])
-    for rows in phases:
-        failed, turn = None, 1
-        while True:
-            proposed = kept(_with_members(rows, lists, sketches, classes, failed).mapInArrow(_propose(percent, turn), "list string, i int, j int, a long, b long"), small=True)
-            if proposed.isEmpty():
-                break
-            checked = verified(kept(proposed.select("a", "b").distinct(), small=True), docs, words, percent)
-            new = checked.where("linked").select("a", "b")
-            links = new if links is None else links.union(new)
-            classes = components(links)
-            wrong = kept(proposed.join(checked.where("not linked").select("a", "b"), ["a", "b"]).select("list", "i", "j", "a", "b"), small=True)
-            if wrong.isEmpty():
-                break
-            failed = wrong if failed is None else failed.union(wrong)
-            rows, turn = wrong.select("list", "i", "j").distinct(), turn + 1
+    near = _filled(lists.where("kind <> 'block'"), sketches).withColumns({"i": F.col("block"), "j": F.col("block"), "cut": F.lit(0)})
+    links = links_of(kept(near), docs, words, percent)
+    blocks = lists.where("kind = 'block'")
+    blocks = kept(blocks.join(blocks.groupBy("list").agg(F.count("*").alias("blocks")).where("blocks > 1").select("list"), "list"), small=True)
+    classes = None if links is None else components(links)
+    if not blocks.isEmpty():
+        none = copies.select("id", F.col("rep").alias("component")).where("false")
+        apart = kept(far_blocks(blocks, none if classes is None else classes, percent), small=True)
+        if not apart.isEmpty():
+            wanted = apart.select("list", F.col("i").alias("block")).union(apart.select("list", "j")).distinct()
+            ids = blocks.join(wanted, ["list", "block"], "left_semi")
+            some = kept(ids.select(F.explode("members").alias("id")).distinct(), small=True)
+            filled = kept(_filled(ids, matched(reps.select("id", "n", "sketch"), some, "left_semi"), classes))
+            i, j = (filled.select("list", F.col("block").alias(k), F.col("members").alias(f"of_{k}")) for k in "ij")
+            far = apart.join(i, ["list", "i"]).join(j, ["list", "j"])
+            far = far.select("list", "i", "j", F.concat("of_i", "of_j").alias("members"), F.size("of_i").alias("cut"))
+            more = links_of(kept(far), docs, words, percent)
+            if more is not None:
+                links = more if links is None else links.union(more)
+                classes = components(links)
     whole = signed.select("id", "n").join(copies, "id", "left").withColumn("rep", F.coalesce("rep", "id"))
     if classes is not None:
         whole = whole.join(classes.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
@@ -537,46 +662,6 @@ def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     return whole.select(F.col("id").alias(key), F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
-def _block_pairs(lists: DataFrame) -> DataFrame:
-    """Every two blocks of a long list."""
-    blocks = lists.select("list", F.col("block").alias("i"))
-    return blocks.join(blocks.withColumnRenamed("i", "j"), "list").where("i < j")
-
-
-def _with_members(rows: DataFrame | None, lists: DataFrame, sketches: DataFrame, classes: DataFrame | None, failed: DataFrame | None) -> DataFrame:
-    """Rows (list, i, j) with the members of their blocks, each with class, size and sketch, and with failed pairs.
-
-    Without ``rows`` every block meets itself.
-    """
-    some = lists
-    if rows is not None:
-        blocks = rows.select("list", F.col("i").alias("block")).union(rows.select("list", F.col("j"))).distinct()
-        some = lists.join(blocks, ["list", "block"], "left_semi")
-    one = some.select("list", "block", F.explode("members").alias("id"))
-    one = one.withColumn("class", F.col("id")) if classes is None else one.join(classes.withColumnRenamed("component", "class"), "id", "left").withColumn("class", F.coalesce("class", "id"))
-    one = kept(one, small=True)
-    one = sketches.join(F.broadcast(one) if one.count() <= BROADCAST_ROWS else one, "id")
-    # a block has at most BLOCK members
-    full = one.groupBy("list", "block").agg(F.collect_list(F.struct("id", "class", "n", "sketch")).alias("members"), F.min("class").alias("low"), F.max("class").alias("high"))
-    none = F.lit(None).cast("array<struct<a:long,b:long>>").alias("failed")
-    if rows is None:
-        one_block = full.where("low < high")
-        return one_block.select("list", F.col("block").alias("i"), F.col("block").alias("j"), F.col("members").alias("left"), F.lit(None).cast(_MEMBER).alias("right"), none)
-    left = full.select("list", F.col("block").alias("i"), F.col("members").alias("left"), F.col("low").alias("low_i"), F.col("high").alias("high_i"))
-    out = rows.join(left, ["list", "i"])
-    same = rows.where("i != j").isEmpty()
-    if same:
-        out = out.withColumn("right", F.lit(None).cast(_MEMBER)).where("low_i < high_i")
-    else:
-        right = full.select("list", F.col("block").alias("j"), F.col("members").alias("right"), F.col("low").alias("low_j"), F.col("high").alias("high_j"))
-        out = out.join(right, ["list", "j"]).where("least(low_i, low_j) < greatest(high_i, high_j)")
-    if failed is None:
-        out = out.withColumn("failed", none)
-    else:
-        out = out.join(failed.groupBy("list", "i", "j").agg(F.collect_list(F.struct("a", "b")).alias("failed")), ["list", "i", "j"], "left")
-    return out.select("list", "i", "j", "left", "right", "failed")
-
-
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the size of its shingle set and the id of its component."""
     return jaccard_classes(table(spark, sf_dir, "documents"))

@@ -134,9 +134,9 @@ def brute_classes(docs, n_words, percent):
     return {i: (len(sets[i]), find(i)) for i in sets}
 
 
-@pytest.mark.parametrize(("n_words", "percent", "block"), [(4, 85, 1024), (5, 80, 8)])
-def test_jaccard_equals_brute_force(spark, monkeypatch, n_words, percent, block):
-    monkeypatch.setattr(jaccard, "BLOCK", block)  # small blocks on the driver's side: plans only
+@pytest.mark.parametrize(("n_words", "percent", "block"), [(4, 85, 1024), (5, 80, 4), (4, 85, 3)])
+def test_jaccard_equals_brute_force(spark, n_words, percent, block):
+    """Also with lists of many blocks, and sets just under and over the threshold."""
     rnd, docs = random.Random(percent), {}
     bases = [words(s, rnd.randint(3, 160)) for s in range(12)]
     for i in range(150):
@@ -144,10 +144,13 @@ def test_jaccard_equals_brute_force(spark, monkeypatch, n_words, percent, block)
         for _ in range(rnd.choice([0, 0, 1, 2, 5])):
             w[rnd.randrange(len(w))] = f"n{rnd.randrange(10**6)}"
         docs[i * 7] = " ".join(w).upper() if i % 9 == 0 else "\n".join(w)
+    common_words = words(99, 200)
+    for i in range(60):  # one template with tails of growing length: long lists, several classes
+        docs[5000 + i] = " ".join(common_words + [f"t{i}x{k}" for k in range(i)] if i % 3 else common_words[i % 7 :])
     docs |= {-1: None, -2: "", -3: "one", -4: "One", -5: "two  words"}
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string").withColumn("n_shingles", F.lit("clash"))
     common.ship(spark)
-    got = {r[0]: (r[1], r[2]) for r in jaccard.jaccard_classes(df, words=n_words, percent=percent).collect()}
+    got = {r[0]: (r[1], r[2]) for r in jaccard.jaccard_classes(df, words=n_words, percent=percent, block=block).collect()}
     assert got == brute_classes(docs, n_words, percent)
 
 
@@ -155,29 +158,31 @@ def test_jaccard_of_nothing(empty):
     assert jaccard.jaccard_classes(empty).count() == 0
 
 
-def test_index_lists_in_small_blocks():
+def list_batches(rows, size):
     import pyarrow as pa
 
+    types = pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()
+    for k in range(0, len(rows), size):
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k : k + size], strict=True), types, strict=True)], names=["key", "band", "pos", "n", "id"])
+
+
+def test_index_lists_in_small_blocks():
+    """Every member of a list is in one of its rows, and any two in one row or in two blocks."""
     rnd = random.Random(3)
-    rows = sorted((rnd.randrange(40), rnd.randrange(90, 130), i, 0) for i in range(3000))
-    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in p], pa.int64()), pa.array([r[2] for r in p], pa.int64()), pa.array([r[1] for r in p], pa.int32()), pa.array([r[3] for r in p], pa.int32())], names=["key", "id", "n", "pos"]) for p in (rows[k : k + 37] for k in range(0, len(rows), 37))]
-    old, jaccard.BLOCK = jaccard.BLOCK, 8
-    try:
-        out = [r for b in jaccard._lists(85)(iter(batches)) for r in b.to_pylist()]
-    finally:
-        jaccard.BLOCK = old
+    rows = sorted((rnd.randrange(40), 5, 0, rnd.randrange(90, 100), i) for i in range(3000))
+    out = [r for b in jaccard._lists(85, 8)(list_batches(rows, 37)) for r in b.to_pylist()]
     for key in range(40):
-        ids = sorted(r[2] for r in rows if r[0] == key)
-        mine = [r for r in out if r["list"].startswith(f"{key}:")]
-        assert sorted(i for r in mine for i in r["members"]) == ids
-        assert sorted(r["block"] for r in mine) == list(range(len(mine)))
-
+        ids = [r[4] for r in rows if r[0] == key]
+        mine = [r for r in out if r["list"].split(":")[0] == f"{key:x}"]
+        assert sorted(i for r in mine if r["kind"] == "block" for i in r["members"]) == sorted(ids)
+        assert sorted(r["block"] for r in mine if r["kind"] == "block") == list(range(-(-len(ids) // 8)))
+        at = {i: r["block"] for r in mine if r["kind"] == "block" for i in r["members"]}
+        near = {frozenset((at[i], at[j])) for r in mine if r["kind"] == "window" for i in r["members"] for j in r["members"]}
+        assert near >= {frozenset((k, k + 1)) for k in range(max(at.values()))}
 
-def test_index_lists_keep_links_over_batches(monkeypatch):
-    """Real positions of a template family with growing sizes: a list that goes on asks for its own smallest size."""
-    import pyarrow as pa
 
-    monkeypatch.setattr(jaccard, "BLOCK", 8)
+def test_index_lists_keep_links_over_batches():
+    """Real positions of a template family with growing sizes, in small blocks and batches."""
     rnd = random.Random(5)
     own = [k for k in range(16) for _ in range(6)]
     rnd.shuffle(own)
@@ -185,14 +190,29 @@ def test_index_lists_keep_links_over_batches(monkeypatch):
     rows = []
     for i, k in enumerate(own):
         keys = [1000 + 100 * i + o for o in range(k)] + [10**6 + t for t in range(87)]
-        rows += [(key, size[i], i, pos) for pos, key in enumerate(keys[: jaccard.prefix_length(size[i])])]
+        rows += [(key, int(np.log(size[i]) / np.log(100 / 85)), pos, size[i], i) for pos, key in enumerate(keys[: jaccard.prefix_length(size[i])])]
     rows.sort()
-    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in p], pa.int64()), pa.array([r[2] for r in p], pa.int64()), pa.array([r[1] for r in p], pa.int32()), pa.array([r[3] for r in p], pa.int32())], names=["key", "id", "n", "pos"]) for p in (rows[k : k + 13] for k in range(0, len(rows), 13))]
-    together = {}
-    for r in (r for b in jaccard._lists(85)(iter(batches)) for r in b.to_pylist()):
-        together.setdefault(r["list"], set()).update(r["members"])
+    together, at = {}, {}
+    for r in (r for b in jaccard._lists(85, 8)(list_batches(rows, 13)) for r in b.to_pylist()):
+        together.setdefault((r["list"], r["block"], r["kind"], id(r)), set()).update(r["members"])
+        if r["kind"] == "block":
+            at.setdefault(r["list"], set()).update(r["members"])
     links = {(a, b) for a in range(len(own)) for b in range(a) if 100 * 87 >= 85 * (size[a] + size[b] - 87)}
-    assert links and not {(a, b) for a, b in links if not any(a in m and b in m for m in together.values())}
+    groups = [*together.values(), *at.values()]
+    assert links and not {(a, b) for a, b in links if not any(a in m and b in m for m in groups)}
+
+
+def test_answers_of_similar_sets_rule_out_pairs():
+    """Two groups of near copies whose centres were compared: no other pair between them is proposed."""
+    rnd = random.Random(7)
+    a, b = set(range(1000)), set(range(300, 1300))
+    sets = [a - {rnd.randrange(300, 900)} for _ in range(20)] + [b - {rnd.randrange(400, 900)} for _ in range(20)]
+    ids, n = np.arange(40), np.array([len(s) for s in sets])
+    plain = [b"\xff" * 128] * 40  # sketches that bound nothing
+    pairs = [(0, k) for k in range(1, 20)] + [(20, k) for k in range(21, 40)] + [(0, 20)]
+    known = [np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs]), np.array([len(sets[x] & sets[y]) for x, y in pairs])]
+    assert jaccard._open_pairs(ids, ids, n, plain, 0, known, 85, 2) == []
+    assert jaccard._open_pairs(ids, ids, n, plain, 0, [k[:-1] for k in known], 85, 2)
 
 
 def test_components(spark):
