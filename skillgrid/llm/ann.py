@@ -6,34 +6,35 @@ squared projected distance of a pair is its squared distance times a chi-square
 kd-tree fitted on a bounded sample of projections cuts space into cells, every
 row is indexed in its cell's blocks, and each block has a kd-tree of its own.
 
-A query first verifies a block of its own cell and so gets a bound on the distance
-of its k-th neighbour. Then it takes leaves in order of projected distance and
-verifies their original vectors, until the chi-square test holds: anything
-nearer than the k-th neighbour found would, with probability ``CONFIDENCE``, have
-been projected nearer than the next leaf. Blocks for which the test holds at once are never joined.
+A query first searches a block of its own cell and so gets a bound on the distance
+of its k-th neighbour. Then it travels to the cells, and in them to the blocks, that lie within the
+test for its own bound; blocks stay where they are dealt. In a block it verifies rows in order of projected
+distance, until the chi-square test holds: anything nearer than the k-th neighbour found would,
+with probability ``CONFIDENCE``, have been projected nearer than the next row.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import kept, table
-from .topk import usable
+from .topk import in_blocks, met, narrow, one_by_one, ranked, unpacked, usable, with_block_names
 
 K, QUERY_STEP = 5, 50
 #: Projected dimensions (even, for the closed form of the chi-square distribution).
-PROJECTED = 8
+PROJECTED = 16
 #: Probability of the stopping test; the expected recall is at least this.
-CONFIDENCE = 0.97
+CONFIDENCE = 0.95
 #: Rows the cells are fitted on, at most; the index itself holds every row.
 SAMPLE_ROWS = 20_000
-BLOCK_ROWS, QUERY_ROWS, LEAF_ROWS = 4096, 256, 64
+BLOCK_ROWS, LEAF_ROWS = 4096, 64
 MAX_CELLS = 1 << 14
 _EPS = 1e-9
 
@@ -107,69 +108,79 @@ def _cells_of(points: np.ndarray, splits: list[tuple[int, float]]) -> np.ndarray
     return node - len(splits)
 
 
-def with_cells(vectors: DataFrame) -> DataFrame:
-    """(id, v, dim, cell) of every row (id, v) with a length; the cells of a dimension are fitted on a bounded sample."""
-    spark = vectors.sparkSession
-    sized = vectors.withColumn("dim", F.size("v")).where(F.exists("v", lambda x: x != 0))
-    counts = {r["dim"]: r["n"] for r in sized.groupBy("dim").agg(F.count("*").alias("n")).collect()}
-    trees = {}
-    for dim, n in counts.items():
-        drawn = F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) < int(min(1.0, SAMPLE_ROWS / n) * (1 << 30))
-        rows = sized.where((F.col("dim") == dim) & drawn).select("v").toArrow().column("v")
-        sample = np.array(rows.combine_chunks().flatten().to_numpy()).reshape(-1, dim) if len(rows) else np.zeros((0, dim))
-        trees[dim] = _cell_tree(project(sample), min(MAX_CELLS, -(-n // BLOCK_ROWS)))
-    shared = spark.sparkContext.broadcast(trees)
+def _sample_trees(vectors: DataFrame, block_rows: int) -> dict[int, list[tuple[int, float]]]:
+    """Cell trees by dimension, fitted on the projections of at most about ``SAMPLE_ROWS`` rows of all dimensions."""
+    total = vectors.count()
+    share = min(1.0, SAMPLE_ROWS / max(1, total))
 
-    @F.arrow_udf("int")
-    def cell(v: pa.Array, dim: pa.Array) -> pa.Array:
-        flat, offsets, dims = v.values.to_numpy(zero_copy_only=False), v.offsets.to_numpy(), dim.to_numpy()
-        out = np.zeros(len(dims), np.int32)
-        for d in np.unique(dims):
-            at = np.flatnonzero(dims == d)
-            rows = flat[(offsets[at][:, None] + np.arange(d)[None, :])]
-            out[at] = _cells_of(project(rows), shared.value[d])
-        return pa.array(out)
+    @F.arrow_udf("array<double>")
+    def projected(v: pa.Array) -> pa.Array:
+        return _by_dim(v, lambda rows, _: project(rows).tolist(), _POINT)
 
-    return sized.withColumn("cell", cell("v", "dim"))
+    drawn = vectors.where(F.pmod(F.xxhash64("id", F.lit(3)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    got = drawn.select(F.size("v").alias("dim"), projected("v").alias("p")).toArrow()
+    points: dict[int, list] = {}
+    for dim, p in zip(got.column("dim").to_pylist(), got.column("p").to_pylist(), strict=True):
+        points.setdefault(dim, []).append(p)
+    return {d: _cell_tree(np.array(p), min(MAX_CELLS, -(-int(len(p) / share) // block_rows))) for d, p in points.items()}
 
 
-def _pack(rows: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Packs rows (dim, cell, id, v) that come sorted by dim and cell into blocks of one cell."""
-        key, ids, vectors, part = None, [], [], 0
-
-        def block() -> pa.RecordBatch:
-            nonlocal part
-            v = np.concatenate(vectors).reshape(len(ids), key[0])
-            p = project(v)
-            part += 1
-            return pa.RecordBatch.from_arrays(
-                [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([part], pa.int32()), pa.array([np.array(ids, np.int64).tobytes()], pa.binary()),
-                 pa.array([v.tobytes()], pa.binary()), pa.array([p.min(0).tolist()]), pa.array([p.max(0).tolist()])],
-                names=["dim", "cell", "part", "ids", "vectors", "lo", "hi"],
-            )
-
-        for batch in batches:
-            flat, offsets = batch.column(3).values.to_numpy(zero_copy_only=False), batch.column(3).offsets.to_numpy()
-            for k, (d, c, i) in enumerate(zip(*(batch.column(x).to_pylist() for x in range(3)), strict=True)):
-                if ids and (key != (d, c) or len(ids) >= rows):
-                    yield block()
-                    ids, vectors = [], []
-                key = (d, c)
-                ids.append(i)
-                vectors.append(flat[offsets[k] : offsets[k + 1]])
-        if ids:
-            yield block()
+_POINT = pa.list_(pa.float64())
 
-    return run
+
+def _by_dim(v: pa.Array, f: Callable[[np.ndarray, int], list], kind: pa.DataType) -> pa.Array:
+    """``f`` of the rows of each dimension and its number, put back in order."""
+    sizes, flat = np.diff(v.offsets.to_numpy()), v.flatten().to_numpy(zero_copy_only=False)
+    ends, out = np.cumsum(sizes), [None] * len(sizes)
+    for d in np.unique(sizes):
+        at = np.flatnonzero(sizes == d)
+        for k, value in zip(at, f(flat[(ends[at] - d)[:, None] + np.arange(d)], int(d)), strict=True):
+            out[k] = value
+    return pa.array(out, kind)
+
+
+def _regions(splits: list[tuple[int, float]]) -> tuple[np.ndarray, np.ndarray]:
+    """Lowest and highest coordinates of each cell of a tree (cells x projected dimensions)."""
+    lo, hi = np.full((1, PROJECTED), -np.inf), np.full((1, PROJECTED), np.inf)
+    at = 0
+    while at < len(splits):
+        n = len(lo)
+        axis, value = np.array([s[0] for s in splits[at : at + n]]), np.array([s[1] for s in splits[at : at + n]])
+        lo, hi = np.repeat(lo, 2, 0), np.repeat(hi, 2, 0)
+        left, right = np.arange(0, 2 * n, 2), np.arange(1, 2 * n, 2)
+        hi[left, axis], lo[right, axis] = np.minimum(hi[left, axis], value), np.maximum(lo[right, axis], value)
+        at += n
+    return lo, hi
+
+
+def _gap(p: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+    """Squared distance of a point from boxes."""
+    return (np.maximum(np.maximum(lo - p, p - hi), 0) ** 2).sum(1)
+
+
+def with_cells(vectors: DataFrame, trees: Broadcast) -> DataFrame:
+    """(id, v, dim, cell) of every row (id, v)."""
+
+    @F.arrow_udf("int")
+    def cell(v: pa.Array) -> pa.Array:
+        return _by_dim(v, lambda rows, d: _cells_of(project(rows), trees.value.get(d, [])).tolist(), pa.int32())
+
+    return vectors.select("id", "v", F.size("v").alias("dim"), cell("v").alias("cell"))
+
+
+def _block(keys: list, ids: np.ndarray, v: np.ndarray, _: list[np.ndarray], made: int) -> pa.RecordBatch:
+    p = project(v)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([keys[0]], pa.int32()), pa.array([keys[1]], pa.int32()), pa.array([made], pa.int32()), pa.array([len(ids)], pa.int32()), pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
+         pa.array([narrow(v)], pa.binary()), pa.array([p.min(0).tolist()]), pa.array([p.max(0).tolist()])],
+        names=["dim", "cell", "part", "size", "ids", "vectors", "lo", "hi"],
+    )
 
 
 def blocks_of(cells: DataFrame, rows: int) -> DataFrame:
-    """Packed blocks (block, dim, cell, ids, vectors, lo, hi); rows are dealt by cell and id, so that a crowded cell is split."""
+    """Packed blocks (block, dim, cell, size, ids, vectors, lo, hi); rows are dealt by cell and id, so that a crowded cell is split."""
     dealt = cells.repartitionByRange("dim", "cell", "id").sortWithinPartitions("dim", "cell", "id").select("dim", "cell", "id", "v")
-    schema = "dim int, cell int, part int, ids binary, vectors binary, lo array<double>, hi array<double>"
-    packed = dealt.mapInArrow(_pack(rows), schema)
-    return kept(packed.withColumn("block", F.concat_ws(":", F.spark_partition_id(), "part")).drop("part"))
+    return with_block_names(dealt.mapInArrow(in_blocks(rows, 2, _block), "dim int, cell int, part int, size int, ids binary, vectors binary, lo array<double>, hi array<double>"))
 
 
 def cosines(q: np.ndarray, c: np.ndarray) -> np.ndarray:
@@ -177,92 +188,88 @@ def cosines(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return (c * q).sum(1) / (np.sqrt((c * c).sum(1)) * np.sqrt((q * q).sum()))
 
 
-def _unpack(row: dict) -> tuple[np.ndarray, ...]:
-    d = row["dim"]
-    return (np.frombuffer(row["q_ids"], np.int64), np.frombuffer(row["q_vectors"], np.float64).reshape(-1, d),
-            np.frombuffer(row["ids"], np.int64), np.frombuffer(row["vectors"], np.float64).reshape(-1, d))
-
-
 def _top(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
     return np.lexsort((ids, -score))[:k]
 
 
-def _bounds(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of each query block the squared distance of each query's k-th neighbour in one block (infinite with fewer)."""
-        for batch in batches:
-            for row in batch.to_pylist():
-                qi, q, ci, c = _unpack(row)
-                far = np.full(len(qi), np.inf)
-                for n in range(len(qi)):
-                    score = cosines(q[n], c)[ci != qi[n]]
-                    if len(score) >= k:
-                        far[n] = max(0.0, 2 - 2 * np.partition(score, len(score) - k)[len(score) - k])
-                yield pa.RecordBatch.from_arrays([pa.array([row["q_block"]]), pa.array([far.tobytes()], pa.binary()), pa.array([float(far.max())])], names=["q_block", "far", "farthest"])
-
-    return run
+def search_block(qi: np.ndarray, q: np.ndarray, far: np.ndarray, ci: np.ndarray, c: np.ndarray, k: int, ratio: float) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Of each query the k nearest rows of a block (ids, cosines) that it verifies before its test holds, and how many it verified."""
+    pq, pc = project(q), project(c)
+    leaves = kd_leaves(pc, LEAF_ROWS)
+    lo, hi = np.array([pc[x].min(0) for x in leaves]), np.array([pc[x].max(0) for x in leaves])
+    for n in range(len(qi)):
+        best_s, best_i, limit, seen = np.zeros(0), np.zeros(0, np.int64), far[n], 0
+        near = np.flatnonzero(_gap(pq[n], lo, hi) <= ratio * limit + _EPS)
+        if len(near):
+            rows = np.concatenate([leaves[x] for x in near])
+            rows = rows[ci[rows] != qi[n]]
+            away = ((pc[rows] - pq[n]) ** 2).sum(1)
+            order = np.argsort(away, kind="stable")
+            rows, away = rows[order], away[order]
+            at, step = 0, 4 * k
+            while at < len(rows) and away[at] <= ratio * limit + _EPS:
+                some = rows[at : at + step][away[at : at + step] <= ratio * limit + _EPS]
+                s, i = np.concatenate([best_s, cosines(q[n], c[some])]), np.concatenate([best_i, ci[some]])
+                top = _top(s, i, k)
+                best_s, best_i = s[top], i[top]
+                if len(best_s) == k:
+                    limit = min(limit, max(0.0, 2 - 2 * best_s[-1]))
+                seen, at, step = seen + len(some), at + step, 2 * step
+        yield best_i, best_s, seen
 
 
 def _search(k: int, ratio: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Of each pair of blocks the k nearest candidates that each query verifies before its test holds."""
-        for batch in batches:
-            for row in batch.to_pylist():
-                qi, q, ci, c = _unpack(row)
-                far = np.frombuffer(row["far"], np.float64)
-                pq, pc = project(q), project(c)
-                leaves = kd_leaves(pc, LEAF_ROWS)
-                lo, hi = np.array([pc[x].min(0) for x in leaves]), np.array([pc[x].max(0) for x in leaves])
-                out = []
-                for n in range(len(qi)):
-                    gap = (np.maximum(np.maximum(lo - pq[n], pq[n] - hi), 0) ** 2).sum(1)
-                    order = np.argsort(gap, kind="stable")
-                    best_s, best_i, limit = np.zeros(0), np.zeros(0, np.int64), far[n]
-                    step, at = 2, 0
-                    while at < len(order) and gap[order[at]] <= ratio * limit + _EPS:
-                        some = order[at : at + step]
-                        some = some[gap[some] <= ratio * limit + _EPS]
-                        rows = np.concatenate([leaves[x] for x in some])
-                        rows = rows[ci[rows] != qi[n]]
-                        s, i = np.concatenate([best_s, cosines(q[n], c[rows])]), np.concatenate([best_i, ci[rows]])
-                        top = _top(s, i, k)
-                        best_s, best_i = s[top], i[top]
-                        if len(best_s) == k:
-                            limit = min(limit, max(0.0, 2 - 2 * best_s[-1]))
-                        at, step = at + step, 2 * step
-                    out.append((np.full(len(best_i), qi[n]), best_i, best_s))
-                cols = [np.concatenate(x) for x in zip(*out, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2])], names=["query_id", "vec_id", "score"])
+        for row in one_by_one(batches):
+            qi, q, far, ci, c = unpacked(row)
+            out = [(np.full(len(i), qi[n]), i, s) for n, (i, s, _) in enumerate(search_block(qi, q, far, ci, c, k, ratio))]
+            cols = [np.concatenate(x) for x in zip(*out, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0]), pa.array(cols[1]), pa.array(cols[2])], names=["query_id", "vec_id", "score"])
 
     return run
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, confidence: float = CONFIDENCE) -> DataFrame:
+def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, confidence: float = CONFIDENCE, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): the k vectors (id, v) found nearest to each query (id, v) by cosine.
 
     A query is not its own candidate; ties go to the smaller id; only vectors of
     one dimension compare, and vectors of length zero take no part. Of at most k candidates all are
-    found. ``queries`` are rows of ``vectors``. Empty tables give an empty result.
+    found. Ids are distinct. Empty tables give an empty result.
     """
     ratio = stop_ratio(confidence)
-    cells = kept(with_cells(vectors))
-    blocks = blocks_of(cells, BLOCK_ROWS)
-    asked = blocks_of(cells.join(queries.select("id"), "id", "left_semi"), QUERY_ROWS)
-    asked = asked.select(F.col("block").alias("q_block"), "dim", F.col("cell").alias("q_cell"), F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.col("lo").alias("q_lo"), F.col("hi").alias("q_hi"))
-    home = blocks.groupBy("dim", "cell").agg(F.max_by("block", F.length("ids")).alias("block"))
-    seed = asked.join(home.withColumnRenamed("cell", "q_cell"), ["dim", "q_cell"]).join(blocks.select("block", "ids", "vectors"), "block")
-    bounds = kept(seed.select("q_block", "dim", "q_ids", "q_vectors", "ids", "vectors").mapInArrow(_bounds(k), "q_block string, far binary, farthest double"))
-    # which blocks a query block meets is decided on their boxes, one row a block
-    side = F.transform(F.arrays_zip("lo", "hi", "q_lo", "q_hi"), lambda z: F.pow(F.greatest(z["lo"] - z["q_hi"], z["q_lo"] - z["hi"], F.lit(0.0)), 2))
+    context = vectors.sparkSession.sparkContext
+    vectors, queries = (df.where(F.exists("v", lambda x: x != 0)) for df in (vectors, queries))
+    trees = context.broadcast(_sample_trees(vectors, block_rows))
+    blocks = blocks_of(with_cells(vectors, trees), block_rows)
+    asked = kept(with_cells(queries, trees))
+    home = blocks.groupBy("dim", "cell").agg(F.max_by("block", "size").alias("block"))
+    first = asked.join(home, ["dim", "cell"]).withColumn("bound", F.lit(float("inf")))
+    schema = "query_id long, vec_id long, score double"
+    seed = kept(met(first, blocks).mapInArrow(_search(k, ratio), schema))
+    # the squared distance of the k-th found at home bounds where else a query goes
+    far = seed.groupBy(F.col("query_id").alias("id")).agg(F.min("score").alias("least"), F.count("*").alias("n")).where(F.col("n") >= k)
+    far = far.select("id", F.greatest(F.lit(0.0), 2 - 2 * F.col("least")).alias("far"))
+    bounds = asked.join(far, "id", "left").withColumn("bound", F.coalesce("far", F.lit(float("inf"))))
+    regions = context.broadcast({d: _regions(t) for d, t in trees.value.items()})
+
+    @F.arrow_udf("struct<cells:array<int>,p:array<double>>")
+    def route(v: pa.Array, bound: pa.Array) -> pa.Array:
+        """The cells that lie within each query's test, and its projection."""
+        limit = bound.to_numpy()
+        p = _by_dim(v, lambda rows, _: project(rows).tolist(), _POINT)
+        sizes, cells = np.diff(v.offsets.to_numpy()).tolist(), []
+        for n, (d, x) in enumerate(zip(sizes, p.to_pylist(), strict=True)):
+            lo, hi = regions.value.get(d, _regions([]))
+            cells.append(np.flatnonzero(_gap(np.array(x), lo, hi) <= ratio * limit[n] + _EPS).tolist())
+        return pa.StructArray.from_arrays([pa.array(cells, pa.list_(pa.int32())), p], names=["cells", "p"])
+
+    routed = bounds.withColumn("to", route("v", "bound")).select("id", "v", "dim", "bound", F.col("cell").alias("home"), F.col("to.p").alias("p"), F.explode("to.cells").alias("cell"))
+    side = F.transform(F.arrays_zip("lo", "hi", "p"), lambda z: F.pow(F.greatest(z["lo"] - z["p"], z["p"] - z["hi"], F.lit(0.0)), 2))
     gap = F.aggregate(side, F.lit(0.0), lambda s, x: s + x)
-    about = blocks.select("block", "dim", "lo", "hi")
-    wanted = asked.select("q_block", "dim", "q_lo", "q_hi").join(bounds.select("q_block", "farthest"), "q_block").join(about, "dim")
-    wanted = wanted.where(gap <= F.lit(ratio) * F.col("farthest") + _EPS).select("q_block", "block")
-    pairs = wanted.join(asked.join(bounds.select("q_block", "far"), "q_block"), "q_block").join(blocks.select("block", "ids", "vectors"), "block")
-    pairs = pairs.select("dim", "q_ids", "q_vectors", "far", "ids", "vectors").repartition(F.xxhash64("ids", "q_ids"))
-    found = pairs.mapInArrow(_search(k, ratio), "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    about = blocks.select("block", "dim", "cell", "lo", "hi").join(home.select("block", F.lit(True).alias("is_home")), "block", "left")
+    new = F.col("is_home").isNull() | (F.col("home") != F.col("cell"))
+    routed = routed.join(about, ["dim", "cell"]).where(new & (gap <= F.lit(ratio) * F.col("bound") + _EPS))
+    return ranked(seed.union(met(routed, blocks).mapInArrow(_search(k, ratio), schema)), k)
 
 
 def op3_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
