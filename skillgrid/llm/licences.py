@@ -1,11 +1,12 @@
 """Licence scan by sentence rules, in DataFrame functions only.
 
-A text is cut into sentences, each sentence is normalised (lower case, runs of
-anything but letters and digits become one space), and known licence sentences
-are mapped to identifiers. A known sentence may be one piece or several that follow each
-other, as in wrapped lines, comment headers and after "v." or a semicolon. The identifiers of a text, in order, are then matched
-against ordered rules: a licence is found where the identifiers of its rule
-follow each other. Everything is one projection: no shuffle, no Python.
+A text is cut into sentences: after signs that end one, and at lines that do not go on in lower case. Each
+is normalised (lower case; anything but letters and digits, comment signs included, becomes one space), and
+known licence sentences are mapped to identifiers. As a cut may fall within a sentence (wrapped lines in
+capitals, "v. 2.0", "software: you can"), a known sentence is one piece or several that follow each
+other. The identifiers of a text, in order, are then matched against ordered rules: a licence
+is found where the identifiers of its rule follow each other. Everything is one
+projection: no shuffle, no Python.
 """
 
 from __future__ import annotations
@@ -25,50 +26,106 @@ SENTENCES = {
     "apache-copy": "you may obtain a copy of the license at http www apache org licenses license 2 0",
     "apache-basis": "unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis without warranties or conditions of any kind either express or implied",
     "apache-see": "see the license for the specific language governing permissions and limitations under the license",
+    "apache-title": "apache license version 2 0 january 2004 http www apache org licenses",
     "mit-line": "released under the mit license",
     "mit-licensed": "licensed under the mit license",
+    "mit-title": "the mit license mit",
     "mit-grant": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions",
     "mit-notice": "the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software",
     "mit-asis": "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement",
+    "isc-grant": "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies",
+    "isc-asis": "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness",
     "gpl3-work": "this work is licensed under the gnu general public license version 3",
     "gpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 3 of the license or at your option any later version",
     "gpl2-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation either version 2 of the license or at your option any later version",
     "gpl-hope": "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
     "gpl-see": "see the gnu general public license for more details",
+    "gpl3-title": "gnu general public license version 3 29 june 2007",
+    "gpl2-title": "gnu general public license version 2 june 1991",
+    "gpl-classpath": "as a special exception the copyright holders of this library give you permission to link this library with independent modules to produce an executable regardless of the license terms of these independent modules and to copy and distribute the resulting executable under terms of your choice provided that you also meet for each linked independent module the terms and conditions of the license of that module",
+    "lgpl21-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version",
+    "lgpl3-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "lgpl-hope": "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose",
+    "lgpl-see": "see the gnu lesser general public license for more details",
+    "lgpl3-title": "gnu lesser general public license version 3 29 june 2007",
+    "lgpl21-title": "gnu lesser general public license version 2 1 february 1999",
+    "agpl-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version",
+    "agpl-see": "see the gnu affero general public license for more details",
+    "agpl-title": "gnu affero general public license version 3 19 november 2007",
     "bsd-grant": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",
+    "bsd-source": "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer",
+    "bsd-binary": "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution",
+    "bsd-name": "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "bsd-asis": "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed",
     "bsd-line": "licensed under the bsd license",
     "mpl2-terms": "this source code form is subject to the terms of the mozilla public license v 2 0",
+    "mpl2-title": "mozilla public license version 2 0",
+    "zlib-asis": "this software is provided as is without any express or implied warranty",
+    "zlib-liable": "in no event will the authors be held liable for any damages arising from the use of this software",
+    "unlicense": "this is free and unencumbered software released into the public domain",
+    "bsl-line": "distributed under the boost software license version 1 0",
+    "bsl-title": "boost software license version 1 0 august 17th 2003",
+    "epl2-terms": "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0",
     "ccby-line": "licensed under cc by 4 0",
     "ccbysa-line": "licensed under cc by sa 4 0",
     "ccbync-line": "licensed under cc by nc 4 0",
     "ccby-work": "this work is licensed under a creative commons attribution 4 0 international license",
+    "ccbysa-work": "this work is licensed under a creative commons attribution sharealike 4 0 international license",
     "cc0-work": "this work is dedicated to the public domain under the cc0 1 0 universal licence",
     "rights": "all rights reserved",
 }
 # Licences by the identifiers that follow each other; several rules may give one licence.
 RULES = (
     ("Apache-2.0", ("apache-line",)),
-    ("Apache-2.0", ("apache-header", "apache-use")),
+    ("Apache-2.0", ("apache-header",)),
     ("Apache-2.0", ("apache-use", "apache-copy", "apache-basis", "apache-see")),
+    ("Apache-2.0", ("apache-title",)),
     ("MIT", ("mit-line",)),
     ("MIT", ("mit-licensed",)),
+    ("MIT", ("mit-title",)),
     ("MIT", ("mit-grant", "mit-notice", "mit-asis")),
+    ("ISC", ("isc-grant", "isc-asis")),
     ("GPL-3.0", ("gpl3-work",)),
     ("GPL-3.0", ("gpl-free", "gpl-hope", "gpl-see")),
+    ("GPL-3.0", ("gpl3-title",)),
     ("GPL-2.0", ("gpl2-free", "gpl-hope", "gpl-see")),
+    ("GPL-2.0", ("gpl2-title",)),
+    ("Classpath-exception-2.0", ("gpl-classpath",)),
+    ("LGPL-2.1", ("lgpl21-free", "lgpl-hope", "lgpl-see")),
+    ("LGPL-2.1", ("lgpl21-title",)),
+    ("LGPL-3.0", ("lgpl3-free", "lgpl-hope", "lgpl-see")),
+    ("LGPL-3.0", ("lgpl3-title",)),
+    ("AGPL-3.0", ("agpl-free", "gpl-hope", "agpl-see")),
+    ("AGPL-3.0", ("agpl-title",)),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-asis")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-name", "bsd-asis")),
     ("BSD", ("bsd-grant", "bsd-asis")),
     ("BSD", ("bsd-line",)),
     ("MPL-2.0", ("mpl2-terms",)),
+    ("MPL-2.0", ("mpl2-title",)),
+    ("Zlib", ("zlib-asis", "zlib-liable")),
+    ("Unlicense", ("unlicense",)),
+    ("BSL-1.0", ("bsl-line",)),
+    ("BSL-1.0", ("bsl-title",)),
+    ("EPL-2.0", ("epl2-terms",)),
     ("CC-BY-4.0", ("ccby-line",)),
     ("CC-BY-4.0", ("ccby-work",)),
     ("CC-BY-SA-4.0", ("ccbysa-line",)),
+    ("CC-BY-SA-4.0", ("ccbysa-work",)),
     ("CC-BY-NC-4.0", ("ccbync-line",)),
     ("CC0-1.0", ("cc0-work",)),
     ("proprietary", ("rights",)),
 )
+#: A reservation of all rights stands in the notices of many licences, so it counts only where no licence is found.
+WEAK = "proprietary"
+# every licence also by its identifier in a header
+for _name in dict.fromkeys(n for n, _ in RULES if n not in (WEAK, "BSD", "Classpath-exception-2.0")):
+    for _more in ("", "-only", "-or-later") if "GPL" in _name else ("",):
+        _id = f"{_name}{_more}".lower()
+        SENTENCES[f"spdx-{_id}"] = "spdx license identifier " + re.sub("[^a-z0-9]+", " ", _id)
+        RULES += ((_name, (f"spdx-{_id}",)),)
 #: Every known sentence has one of these words; texts without any need no cutting.
-CUES = "licen|permission|warrant|redistribution|copyright|public domain|rights reserved|compliance|cc by"
+CUES = "licen|permission|warrant|redistribution|copyright|public domain|rights reserved|compliance|cc by|held liable"
 #: Ends of sentences, and line ends before a line that does not go on in lower case.
 _END, _LINE = r"([.;:!?])[ \t\r\n]+", r"[ \t\r]*\n[ \t\r\n]*([^a-z \t\r\n])"
 #: What stands between sentences after cutting.
@@ -76,8 +133,8 @@ _MARK = "\u0001"
 
 
 def _known_pattern() -> str:
-    """Any known sentence from the start of a piece to the end of one; the shorter first, as before longer runs of pieces."""
-    some = "|".join(re.sub(" ", f"[ {_MARK}]", s) for s in sorted(SENTENCES.values(), key=len))
+    """Any known sentence from the start of a piece to the end of one, the longest that fits."""
+    some = "|".join(re.sub(" ", f"[ {_MARK}]", s) for s in sorted(SENTENCES.values(), key=len, reverse=True))
     return f"(?<={_MARK})(?:{some})(?={_MARK})"
 
 
@@ -93,14 +150,18 @@ def sentence_ids(text: Column) -> Column:
 
 
 def licences(ids: Column) -> Column:
-    """Licences whose rules the identifiers match, in alphabetical order, each once (array<string>)."""
+    """Licences whose rules the identifiers match, in alphabetical order, each once (array<string>); ``WEAK`` only alone."""
     chain = F.concat(F.lit(","), F.array_join(ids, ","), F.lit(","))
     hits = F.array(*(F.when(F.contains(chain, F.lit("," + ",".join(rule) + ",")), F.lit(name)) for name, rule in RULES))
-    return F.array_sort(F.array_distinct(F.filter(hits, lambda h: h.isNotNull())))
+    found = F.array_sort(F.array_distinct(F.filter(hits, lambda h: h.isNotNull())))
+    return F.when(F.size(found) > 1, F.array_remove(found, WEAK)).otherwise(found)
 
 
 def scan_licences(docs: DataFrame, text: str = "text", ids: str = "licence_sentences", out: str = "licences") -> DataFrame:
-    """``docs`` with the known sentences and the licences of each text; columns of those names are replaced."""
+    """``docs`` with the known sentences and the licences of each text; columns of those names are replaced.
+
+    Null and empty texts have none; texts are read whole, rows are independent, so repeated rows have equal results.
+    """
     return docs.withColumn(ids, sentence_ids(F.col(text))).withColumn(out, licences(F.col(ids)))
 
 
@@ -116,17 +177,21 @@ def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
+    """The same cut; marks are doubled, so that pieces can be taken with the marks on either side."""
     sentences = ", ".join(f"('{s}', '{n}')" for n, s in SENTENCES.items())
     rules = ", ".join(f"('{n}', ',{','.join(r)},')" for n, r in RULES)
+    some = "|".join(s.replace(" ", r"[ \x01]+") for s in sorted(SENTENCES.values(), key=len, reverse=True))
     return rf"""
 WITH known(sentence, id) AS (VALUES {sentences}), rules(licence, chain) AS (VALUES {rules}),
-cut AS (SELECT doc_id, string_split(regexp_replace(regexp_replace(text, '([.;:!?])[ \t\r\n]+', '\1' || chr(1), 'g'), '[ \t\r]*\n[ \t\r\n]*([^a-z \t\r\n])', chr(1) || '\1', 'g'), chr(1)) AS s
-        FROM documents WHERE text IS NOT NULL),
-one AS (SELECT doc_id, unnest(s) AS s, unnest(range(len(s))) AS pos FROM cut),
-hit AS (SELECT doc_id, pos, id FROM one JOIN known ON trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')) = sentence),
-chained AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY pos) AS ids FROM hit GROUP BY doc_id),
-named AS (SELECT doc_id, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licenses
-          FROM chained JOIN rules ON contains(',' || ids || ',', chain) GROUP BY doc_id)
+cut AS (SELECT doc_id, lower(chr(1) || regexp_replace(regexp_replace(text, '([.;:!?])[ \t\r\n]+', '\1' || chr(1), 'g'), '[ \t\r]*\n[ \t\r\n]*([^a-z \t\r\n])', chr(1) || '\1', 'g') || chr(1)) AS s FROM documents WHERE text IS NOT NULL),
+plain AS (SELECT doc_id, regexp_replace(regexp_replace(s, '[^a-z0-9\x01]+', ' ', 'g'), ' ?\x01[ \x01]*', chr(1) || chr(1), 'g') AS s FROM cut),
+found AS (SELECT doc_id, regexp_extract_all(s, '\x01(?:{some})\x01') AS hits FROM plain),
+one AS (SELECT doc_id, unnest(hits) AS hit, unnest(range(len(hits))) AS pos FROM found),
+named_ids AS (SELECT doc_id, pos, id FROM one JOIN known ON trim(regexp_replace(hit, '[ \x01]+', ' ', 'g')) = sentence),
+chained AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY pos) AS ids FROM named_ids GROUP BY doc_id),
+hit AS (SELECT DISTINCT doc_id, licence FROM chained JOIN rules ON contains(',' || ids || ',', chain)),
+named AS (SELECT doc_id, string_agg(licence, ',' ORDER BY licence) AS licenses FROM hit h
+          WHERE licence <> '{WEAK}' OR NOT EXISTS (SELECT 1 FROM hit o WHERE o.doc_id = h.doc_id AND o.licence <> '{WEAK}') GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_sentences, coalesce(ids, '') AS sentence_ids, coalesce(licenses, '') AS licenses
 FROM documents d LEFT JOIN chained USING (doc_id) LEFT JOIN named USING (doc_id)
 """
