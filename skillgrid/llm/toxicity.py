@@ -8,12 +8,15 @@ normalised. So an insult still resembles itself with letters put in, left out or
 hidden behind signs. Two sentences compare by the sum over all pairs of
 their units of a power of the unit kernel.
 
-Landmarks are short strings that mark labelled documents, and frequent neutral
-words. With K the landmarks' own kernel matrix, the Nyström map of a sentence is
+Landmarks are short strings that mark labelled documents, chosen so that together they cover
+all toxic ones, and frequent neutral words. With K the landmarks' own kernel matrix, the Nyström map of a sentence is
 K^(-1/2) times its kernels with the landmarks; a linear SVM is trained there on
-sentences. Since the sentence kernel is a sum over units, its margin is a sum of
+sentences. A row's label does not say which sentence earned it, so each toxic row stands for its most
+toxic sentence, which is chosen anew after each training, and every sentence of clean rows is clean.
+Since the sentence kernel is a sum over units, its margin is a sum of
 one number a unit, which is computed once for each distinct unit of a task. A document
-scores as its worst sentence, made a probability by Platt's method.
+scores as its worst sentence, made a probability by Platt's method. Rows are sorted by key before
+anything is summed, so training on the same rows gives the same model however they are dealt.
 """
 
 from __future__ import annotations
@@ -29,14 +32,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_slices, split_remainder, table, texts_of
+from .common import in_slices, kept, split_remainder, table, texts_of
 
 #: Labelled rows to learn from, as expected numbers; whole texts of rows drawn by a hash of their key.
 TOXIC_ROWS, CLEAN_ROWS = 1000, 2000
-#: Of drawn rows that begin with the same characters one is learned from: copies are not further evidence.
-HEAD_CHARS = 48
-#: Landmarks that mark toxic rows, and neutral ones, at most.
+#: Landmarks that mark toxic rows, and neutral ones, at most: the rank of the Nyström map.
 MARKING, NEUTRAL = 48, 8
+#: Rows that a mark is found in at least; the same whatever the size of the sample.
+MARK_ROWS = 3
+#: How often the most toxic sentence of each toxic row is chosen anew, at most.
+ROUNDS = 5
 #: Letters of a unit; longer words are cut into windows that overlap by half.
 UNIT_CHARS = 7
 DECAY = 0.6
@@ -46,8 +51,10 @@ MIN_LIFT = 12.0
 SENTENCE_WORDS = 16
 #: Power of the unit kernels within the sentence kernel: likeness counts, chance letters do not.
 POWER = 6
-#: Unit kernels under this count as nothing.
+#: Units none of whose kernels reaches this are not computed when texts are scored: 0.4 ** POWER is 0.4 % of a full likeness.
 FLOOR = 0.4
+#: Windows of words that are held at once.
+_WINDOWS = 1 << 14
 #: Score from which a document counts as toxic.
 CUT = 0.3
 #: Distinct words whose margins a task remembers.
@@ -125,8 +132,11 @@ class Kernel:
                 out[code, m] = v / norm
         return cls(landmarks, out, out.max(1) if landmarks else out.sum(1))
 
-    def units(self, units: list[str]) -> np.ndarray:
-        """Powers of the normalised kernels of units with the landmarks (units x landmarks)."""
+    def units(self, units: list[str], floor: float = FLOOR) -> np.ndarray:
+        """Powers of the normalised kernels of units with the landmarks (units x landmarks).
+
+        Rows of units none of whose kernels can reach ``floor`` are zero.
+        """
         out = np.zeros((len(units), len(self.landmarks)), np.float32)
         by_length: dict[int, list[int]] = {}
         for k, u in enumerate(units):
@@ -140,7 +150,7 @@ class Kernel:
                 code, weight = np.stack([c for c, _ in found], 1), np.array([w for _, w in found], np.float32)
                 # no landmark is nearer than this: features that fall together only lengthen the unit
                 reach = self.highest[code] @ weight / np.sqrt(((code < _NONE) @ (weight * weight)) + 1e-9)
-                near = np.flatnonzero(reach >= FLOOR)
+                near = np.flatnonzero(reach >= floor)
                 if not len(near):
                     continue
                 code = code[near]
@@ -148,16 +158,29 @@ class Kernel:
                 for t, w in enumerate(weight):
                     dot += w * self.table[code[:, t]]
                 kernel = dot / np.sqrt(np.maximum(_self_kernel(code, weight), 1e-9))[:, None].astype(np.float32)
-                out[part[near]] = np.where(kernel >= FLOOR, kernel, 0) ** POWER
+                out[part[near]] = kernel**POWER
         return out
 
     def words(self, words: list[str]) -> np.ndarray:
         """Of every word the sum over its windows of the powers of kernels (words x landmarks)."""
-        parts = [windows_of(plain(w)) for w in words]
-        flat = [u for p in parts for u in p]
-        values = self.units(flat)
-        starts = np.cumsum([0] + [len(p) for p in parts])[:-1]
-        return np.add.reduceat(values, starts, axis=0) if flat else np.zeros((0, len(self.landmarks)), np.float32)
+        out = np.zeros((len(words), len(self.landmarks)), np.float32)
+        flat: list[str] = []
+        owner: list[int] = []
+
+        def add() -> None:
+            np.add.at(out, owner, self.units(flat))
+            flat.clear()
+            owner.clear()
+
+        for k, word in enumerate(words):
+            for unit in windows_of(plain(word)):
+                flat.append(unit)
+                owner.append(k)
+                if len(flat) >= _WINDOWS:
+                    add()
+        if flat:
+            add()
+        return out
 
 
 def _self_kernel(codes: np.ndarray, weights: np.ndarray) -> np.ndarray:
@@ -211,11 +234,12 @@ def labelled_sample(
     docs: DataFrame, labels: DataFrame, toxic_rows: int = TOXIC_ROWS, clean_rows: int = CLEAN_ROWS,
     text: str = "text", key: str = "doc_id", label: str = "toxic",
 ) -> DataFrame:
-    """(toxic, text) of a bounded sample of labelled rows, about so many of each class.
+    """(key, toxic, text) of a bounded sample of labelled rows, about so many of each class; computed once.
 
     Rows with a null key, label or text take no part; if a key has several labels, the
-    greatest counts. The keys drawn are few by the two bounds, so the join
-    broadcasts them and the texts are not shuffled.
+    greatest counts. Of rows of a class with the same whole text the one with the smallest key is learned from, as
+    copies are no further evidence. The keys drawn are few by the two bounds, so the join
+    broadcasts them and texts that were not drawn are not shuffled.
     """
     of = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).alias("key"))
     of = of.agg((F.max(F.col(label)) > 0).cast("int").alias("toxic"))
@@ -224,48 +248,66 @@ def labelled_sample(
     share = F.when(F.col("toxic") == 1, min(1.0, toxic_rows / max(1, n.get(1, 0)))).otherwise(min(1.0, clean_rows / max(1, n.get(0, 0))))
     texts = docs.where(F.col(text).isNotNull()).select(F.col(key).alias("key"), F.col(text).alias("text"))
     drawn = texts.join(F.broadcast(of.where(u < share)), "key")
-    return drawn.withColumn("head", F.substring("text", 1, HEAD_CHARS)).dropDuplicates(["toxic", "head"]).select("toxic", "text")
+    once = drawn.groupBy("toxic", F.sha2("text", 256).alias("digest")).agg(F.min("key").alias("key"), F.first("text").alias("text"))
+    return kept(once.select("key", "toxic", "text").orderBy("key"))
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of each row the strings that may become landmarks: units and their stems."""
+    """Of each row (toxic, text, row) the strings that may become landmarks: units and their stems."""
     for batch in batches:
-        toxic, strings = [], []
-        for y, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        toxic, strings, rows = [], [], []
+        for y, t, row in zip(*(batch.column(k).to_pylist() for k in range(3)), strict=True):
             words = {plain(w) for s in sentences_of(t) for w in s}
             units = {u for w in words for u in windows_of(w) if u.isascii() and u.strip(_START).isalpha()}
             found = {u[:k] for u in units for k in range(5, len(u) + 1)}
             toxic += [y] * len(found)
             strings += found
-        yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(strings, pa.string())], names=["toxic", "string"])
+            rows += [row] * len(found)
+        yield pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(strings, pa.string()), pa.array(rows, pa.int64())], names=["toxic", "string", "row"])
 
 
 def choose_landmarks(sample: DataFrame, marking: int = MARKING, neutral: int = NEUTRAL) -> tuple[list[str], list[str]]:
-    """Strings that are far more frequent in toxic rows, and the most frequent neutral ones."""
+    """Strings that are far more frequent in toxic rows, and the most frequent neutral ones.
+
+    Marks are taken one by one, each the one that covers most toxic rows that are not covered yet, by its lift; once all
+    are covered, they are covered again. So a mark of few rows is found as well as one of many.
+    """
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     n1, n0 = n.get(1, 0), n.get(0, 0)
     one, zero = F.col("one"), F.col("zero")
     lift = ((one + 0.5) / (n1 + 1)) / ((zero + 0.5) / (n0 + 1))
-    counts = sample.mapInArrow(_candidates, "toxic int, string string").groupBy("string").agg(
-        F.sum(F.col("toxic")).alias("one"), F.sum(1 - F.col("toxic")).alias("zero")
+    rows = sample.select("toxic", "text", F.xxhash64("key").alias("row"))
+    counts = rows.mapInArrow(_candidates, "toxic int, string string, row long").groupBy("string").agg(
+        F.sum(F.col("toxic")).alias("one"), F.sum(1 - F.col("toxic")).alias("zero"), F.sort_array(F.collect_list(F.when(F.col("toxic") == 1, F.col("row")))).alias("rows")
     )
-    counts = counts.where(one + zero >= 3).select("string", "one", "zero", F.log(lift).alias("lift"))
-    marks = counts.where((F.col("lift") > float(np.log(MIN_LIFT))) & (one >= max(6, n1 // 50))).orderBy(F.desc(one * F.col("lift")), F.length("string").desc(), "string").limit(600)
-    common = counts.where(F.abs("lift") < 1).orderBy(F.desc(one + zero), "string").limit(200)
-    out: list[str] = []
-    found = 0
-    for rows, most in ((marks, marking), (common, neutral)):
-        for r in rows.collect():
-            if len(out) < found + most and (not out or Kernel.of(out).units([r["string"]]).max() < 0.3):
-                out.append(r["string"])
-        found = found or len(out)
-        if not found:
+    counts = kept(counts.where(one + zero >= MARK_ROWS).withColumn("lift", F.log(lift)), small=True)
+    found = counts.where((F.col("lift") > float(np.log(MIN_LIFT))) & (one >= MARK_ROWS)).select("string", "lift", "rows").orderBy("string").collect()
+    left = [(r["string"], r["lift"], set(r["rows"])) for r in found]
+    marks: list[str] = []
+    covered: set[int] = set()
+    while left and len(marks) < marking:
+        best = max(left, key=lambda c: (len(c[2] - covered) * c[1], len(c[0]), c[0]))
+        if not best[2] - covered:
+            covered = set()
+            continue
+        marks.append(best[0])
+        # what resembles a mark is not taken beside it
+        like = Kernel.of(marks[-1:]).units([c[0] for c in left])[:, 0] >= 0.3
+        covered |= best[2].union(*(c[2] for c, near in zip(left, like, strict=True) if near))
+        left = [c for c, near in zip(left, like, strict=True) if not near and c[0] != best[0]]
+    if not marks:
+        return [], []
+    common: list[str] = []
+    for r in counts.where(F.abs("lift") < 1).orderBy(F.desc(one + zero), "string").select("string").toLocalIterator():
+        if len(common) == neutral:
             break
-    return out[:found], out[found:]
+        if Kernel.of(marks + common).units([r["string"]]).max() < 0.3:
+            common.append(r["string"])
+    return marks, common
 
 
 def train(sample: DataFrame) -> Model | None:
-    """A model from a bounded sample (toxic, text); None if one class has no rows or nothing marks the other."""
+    """A model from a bounded sample (key, toxic, text); None if one class has no rows or nothing marks the other."""
     marks, neutral = choose_landmarks(sample)
     if not marks:
         return None
@@ -274,19 +316,21 @@ def train(sample: DataFrame) -> Model | None:
 
     def sentence_kernels(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            doc, rows, toxic = [], [], []
-            labels, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            split = [sentences_of(t) for t in texts]
-            words = sorted(set().union(*(w for s in split for w in s))) if split else []
-            of = dict(zip(words, kernel.words(words), strict=True)) if words else {}
-            for y, t, ss in zip(labels, texts, split, strict=True):
-                for s in ss:
-                    doc.append(hash(t) & (2**62 - 1))
-                    toxic.append(y)
-                    rows.append(np.sum([of[w] for w in s], axis=0).astype(np.float16).tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(toxic, pa.int32()), pa.array(rows, pa.binary())], names=["doc", "toxic", "k"])
-
-    got = sample.mapInArrow(sentence_kernels, "doc long, toxic int, k binary").toArrow()
+            for lo in range(0, batch.num_rows, 64):
+                part = batch.slice(lo, 64)
+                doc, rows, toxic = [], [], []
+                split = [sentences_of(t) for t in part.column(2).to_pylist()]
+                words = sorted(set().union(*(w for s in split for w in s))) if split else []
+                of = dict(zip(words, kernel.words(words), strict=True)) if words else {}
+                for key, y, ss in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), split, strict=True):
+                    for s in ss:
+                        doc.append(key)
+                        toxic.append(y)
+                        rows.append(np.sum([of[w] for w in s], axis=0).astype(np.float16).tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(toxic, pa.int32()), pa.array(rows, pa.binary())], names=["doc", "toxic", "k"])
+
+    # sorted by key: sums do not depend on how the sample is dealt
+    got = sample.select(F.xxhash64("key").alias("row"), "toxic", "text").orderBy("row").mapInArrow(sentence_kernels, "doc long, toxic int, k binary").toArrow()
     if not len(got):
         return None
     k = np.frombuffer(b"".join(got.column("k").to_pylist()), np.float16).reshape(-1, len(marks)).astype(np.float32)
@@ -302,20 +346,26 @@ def train(sample: DataFrame) -> Model | None:
     for m in range(n_marks):
         fires = label[np.unique(at[k[:, m] >= 0.5])]
         keep[m] = ((fires > 0).sum() + 0.5) / (n1 + 1) >= MIN_LIFT * ((fires == 0).sum() + 0.5) / (n0 + 1)
-    n_marks, marks, k = int(keep[:n_marks].sum()), [u for u, kept in zip(marks, keep, strict=True) if kept], k[:, keep]
+    n_marks, marks, k = int(keep[:n_marks].sum()), [u for u, stays in zip(marks, keep, strict=True) if stays], k[:, keep]
     if not n_marks:
         return None
     kernel = Kernel.of(marks)
-    # only the sentences of a toxic row that resemble a mark are labelled toxic, the others are left out
-    use = (y == 0) | (k[:, :n_marks].max(1) >= 0.3)
-    if not (y[use] == 1).any():
-        return None
-    own = kernel.units(marks).astype(np.float64)
+    own = kernel.units(marks, 0.0).astype(np.float64)
     values, vectors = np.linalg.eigh((own + own.T) / 2 + 1e-6 * np.eye(len(marks)))
     root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-4))) @ vectors.T
-    w, bias = _svm(k[use] @ root, np.where(y[use] == 1, 1.0, -1.0))
-    beta = root @ w
-    margin = k @ beta + bias
+    clean, toxic = np.flatnonzero(y == 0), np.flatnonzero(y == 1)
+    margin, witness = k[:, :n_marks].sum(1), np.zeros(0, np.int64)
+    for _ in range(ROUNDS):
+        # of each toxic row the sentence of the greatest margin, of equals the first
+        order = toxic[np.lexsort((toxic, -margin[toxic], at[toxic]))]
+        chosen = order[np.unique(at[order], return_index=True)[1]]
+        if np.array_equal(chosen, witness):
+            break
+        witness = chosen
+        use = np.concatenate([clean, witness])
+        w, bias = _svm(k[use] @ root, np.where(y[use] == 1, 1.0, -1.0))
+        beta = root @ w
+        margin = k @ beta + bias
     top = np.full(len(ids), -np.inf)
     np.maximum.at(top, at, margin)
     slope, offset = _platt(top, label)
