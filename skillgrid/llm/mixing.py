@@ -2,10 +2,11 @@
 
 Documents fall into cells (source, language, topic); a cell's weight starts as
 its tokens. Each pass rakes the weights to the target shares of one dimension
-after another. A document's chance is the ratio of its cell's raked weight to
-the cell's tokens, times a rate that is calibrated so that the expected number of
-tokens drawn is the wanted one. Documents are drawn by a hash of their id, so
-the sample is repeatable and needs no state.
+after another. Then the weights are capped at a cell's own tokens, as no document can be drawn more
+than once, and what that takes away is raked back into the other cells: capping and raking take
+turns, so the calibrated chances themselves meet the margins, as nearly as the documents
+allow. A document's chance is the ratio of its cell's weight to the cell's tokens. Documents are
+drawn by a hash of their id, so the sample is repeatable and needs no state.
 
 Only cells are shuffled and raked. They are as many as there are combinations of
 values, and they are joined to the documents by broadcast only if a count shows
@@ -19,10 +20,10 @@ from pyspark.sql import functions as F
 
 from .common import kept, table
 
-#: Share of all tokens that is wanted, passes of raking, and corrections of the rate.
-TOKEN_SHARE, PASSES, CORRECTIONS = 0.5, 8, 4
-#: Target shares are in proportion to these powers of the tokens.
-POWERS = {"source": 0.5, "lang": 0.5, "topic": 0.7}
+#: Share of all tokens that is wanted, and passes of raking and capping.
+TOKEN_SHARE, PASSES = 0.5, 12
+#: Target weights of a dimension's values: fixed ones by value, or in proportion to a power of the tokens.
+TARGETS: dict[str, dict[str, float] | float] = {"source": 0.5, "lang": 0.5, "topic": 0.7}
 #: Cells up to this number are broadcast; more are joined by a shuffle.
 BROADCAST_CELLS = 100_000
 
@@ -51,60 +52,68 @@ def uniform(key: Column) -> Column:
     return F.conv(digits, 16, 10).cast("double") / F.lit(float(1 << 48))
 
 
-def rake(cells: DataFrame, powers: dict[str, float], passes: int = PASSES) -> DataFrame:
-    """``cells`` (dimensions, tokens) with the raked ``weight``; the sum of weights stays that of tokens.
+def goals(cells: DataFrame, name: str, target: dict[str, float] | float, share: float) -> DataFrame:
+    """(name, goal): the tokens wanted of each value of a dimension that has any, ``share`` of all in total.
 
-    Target shares of a dimension's values are in proportion to a power of their
-    tokens. Cells without tokens keep weight 0.
+    Fixed weights need not add up to one; values without a weight get none.
     """
-    total = cells.agg(F.sum("tokens").alias("t")).first()["t"] or 0.0
-    out = cells.withColumn("weight", F.col("tokens"))
-    for name, power in powers.items():
-        sums = cells.groupBy(name).agg(F.pow(F.sum("tokens"), F.lit(power)).alias("goal"))
-        whole = sums.agg(F.sum("goal").alias("g")).first()["g"] or 1.0
-        sums = sums.select(F.col(name).alias("value"), (F.col("goal") / F.lit(whole) * F.lit(total)).alias(f"goal_{name}"))
-        out = out.join(sums, out[name] == sums["value"]).drop("value")
+    sums = cells.groupBy(name).agg(F.sum("tokens").alias("tokens"))
+    if isinstance(target, dict):
+        known = F.create_map(*(F.lit(x) for value, w in target.items() for x in (value, float(w)))) if target else F.create_map(F.lit(""), F.lit(0.0))
+        weight = F.when(F.col("tokens") > 0, F.coalesce(F.try_element_at(known, F.col(name)), F.lit(0.0))).otherwise(0.0)
+    else:
+        weight = F.pow("tokens", F.lit(float(target)))
+    whole = sums.withColumn("w", weight).agg(F.sum("w").alias("all_w"), F.sum("tokens").alias("all_tokens"))
+    got = sums.withColumn("w", weight).crossJoin(F.broadcast(whole))  # one row of totals
+    return got.select(name, F.coalesce(F.try_divide(F.col("w") * F.col("all_tokens") * F.lit(float(share)), F.col("all_w")), F.lit(0.0)).alias(f"goal_{name}"))
+
+
+def rake(cells: DataFrame, targets: dict[str, dict[str, float] | float], share: float = TOKEN_SHARE, passes: int = PASSES) -> DataFrame:
+    """``cells`` (dimensions, tokens) with the raked ``weight``: the tokens to draw of each, at most what it has.
+
+    Cells without tokens keep weight 0. Each pass caps the weights after every dimension, and the next
+    raises what is not capped; a value whose cells are all capped falls short of its goal.
+    """
+    out = cells.withColumn("weight", F.col("tokens") * F.lit(float(share)))
+    for name, target in targets.items():
+        out = out.join(goals(cells, name, target, share), name)
     out = kept(out)
     for _ in range(passes):
-        for name in powers:
-            sum_ = F.sum("weight").over(Window.partitionBy(name))
-            out = out.withColumn("weight", F.coalesce(F.try_divide(F.col("weight") * F.col(f"goal_{name}"), sum_), F.lit(0.0)))
+        for name in targets:
+            by = Window.partitionBy(name)
+            full = F.col("weight") >= F.col("tokens")
+            taken, rest = F.sum(F.when(full, F.col("weight")).otherwise(0.0)).over(by), F.sum(F.when(full, 0.0).otherwise(F.col("weight"))).over(by)
+            goal, whole = F.col(f"goal_{name}"), F.sum("weight").over(by)
+            # a value over its goal shrinks as a whole, one under it grows in what is not capped
+            factor = F.when(whole > goal, F.try_divide(goal, whole)).otherwise(F.when(full, 1.0).otherwise(F.try_divide(goal - taken, rest)))
+            out = out.withColumn("factor", F.coalesce(factor, F.lit(1.0)))
+            out = out.withColumn("weight", F.least(F.col("tokens"), F.col("weight") * F.col("factor"))).drop("factor")
         out = kept(out)
-    return out.drop(*(f"goal_{n}" for n in powers))
-
-
-def calibrated_rate(cells: DataFrame, share: float, corrections: int = CORRECTIONS) -> float:
-    """The rate r with which min(1, r * weight / tokens) draws ``share`` of all tokens, by fixed-point corrections."""
-    total = cells.agg(F.sum("tokens").alias("t")).first()["t"] or 0.0
-    rate = share
-    for _ in range(corrections):
-        got = cells.agg(F.sum(F.least(F.col("tokens"), F.lit(rate) * F.col("weight"))).alias("g")).first()["g"] or 0.0
-        rate = rate * share * total / got if got else rate
-    return rate
+    return out.drop(*(f"goal_{n}" for n in targets))
 
 
 def mixed(
-    docs: DataFrame, dimensions: dict[str, Column], powers: dict[str, float] = POWERS, share: float = TOKEN_SHARE,
+    docs: DataFrame, dimensions: dict[str, Column], targets: dict[str, dict[str, float] | float] = TARGETS, share: float = TOKEN_SHARE,
     text: str = "text", key: str = "doc_id", out: str = "keep_probability",
 ) -> DataFrame:
     """The drawn rows of ``docs`` with the probability by which each was drawn.
 
-    ``dimensions`` gives the column of each dimension; a null value counts as a value
-    of its own (the empty string). Documents without tokens are never drawn. All
-    columns of ``docs`` stay; a column named ``out`` is replaced.
+    ``dimensions`` gives the column of each dimension, ``targets`` its target weights: by value, or as a power of the
+    tokens. A null value counts as a value of its own (the empty string). Documents without tokens are never
+    drawn. A repeated id is drawn or left out in all its rows. All columns of ``docs`` stay; a column named ``out`` is
+    replaced. An empty table gives an empty result.
     """
-    names = {n: f"__{n}" for n in dimensions}
+    names = {n: f"__mix_{n}" for n in dimensions}
     keyed = docs.withColumns({names[n]: F.coalesce(c.cast("string"), F.lit("")) for n, c in dimensions.items()})
     counted = keyed.select(*(F.col(names[n]).alias(n) for n in names), token_count(F.col(text)).alias("tokens"))
     cells = kept(counted.groupBy(*names).agg(F.sum("tokens").alias("tokens")))
-    raked = rake(cells, powers)
-    rate = calibrated_rate(raked, share)
-    chance = F.least(F.lit(1.0), F.coalesce(F.try_divide(F.lit(rate) * F.col("weight"), F.col("tokens")), F.lit(0.0)))
-    chances = raked.select(*(F.col(n).alias(names[n]) for n in names), chance.alias("__chance"))
+    raked = rake(cells, targets, share)
+    chance = F.coalesce(F.try_divide(F.col("weight"), F.col("tokens")), F.lit(0.0))
+    chances = raked.select(*(F.col(n).alias(names[n]) for n in names), chance.alias("__mix_chance"))
     if cells.count() <= BROADCAST_CELLS:
         chances = F.broadcast(chances)
-    drawn = keyed.join(chances, list(names.values())).where(uniform(F.col(key)) < F.col("__chance"))
-    return drawn.withColumn(out, F.col("__chance")).drop("__chance", *names.values())
+    drawn = keyed.join(chances, list(names.values())).where(uniform(F.col(key)) < F.col("__mix_chance"))
+    return drawn.withColumn(out, F.col("__mix_chance")).drop("__mix_chance", *names.values())
 
 
 def document_dimensions() -> dict[str, Column]:
@@ -119,27 +128,24 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _oracle() -> str:
-    parts = ["""
+    parts = [f"""
 WITH d AS (SELECT doc_id, source, lang, coalesce(source, '') AS s, coalesce(lang, '') AS l,
   CASE WHEN text IS NULL THEN 'none' WHEN contains(text, ' | ') THEN 'table' WHEN contains(text, '@') THEN 'contact'
        WHEN contains(text, 'icense') THEN 'notice' WHEN contains(text, '!!') THEN 'shout' ELSE 'prose' END AS t,
   CASE WHEN coalesce(length(text), 0) = 0 THEN 0.0::DOUBLE ELSE CAST(length(text) - length(replace(text, ' ', '')) + 1 AS DOUBLE) END AS tokens
   FROM documents),
-w0 AS MATERIALIZED (SELECT s, l, t, sum(tokens) AS tokens, sum(tokens) AS weight FROM d GROUP BY s, l, t),
-total AS MATERIALIZED (SELECT sum(tokens) AS n FROM w0)"""]
-    for name, power in (("s", POWERS["source"]), ("l", POWERS["lang"]), ("t", POWERS["topic"])):
+w0 AS MATERIALIZED (SELECT s, l, t, sum(tokens) AS tokens, sum(tokens) * {TOKEN_SHARE}::DOUBLE AS weight FROM d GROUP BY s, l, t),
+total AS MATERIALIZED (SELECT sum(tokens) * {TOKEN_SHARE}::DOUBLE AS n FROM w0)"""]
+    for name, power in (("s", TARGETS["source"]), ("l", TARGETS["lang"]), ("t", TARGETS["topic"])):
         parts.append(f"goal_{name} AS MATERIALIZED (SELECT {name}, pow(sum(tokens), {power}) / sum(pow(sum(tokens), {power})) OVER () * (SELECT n FROM total) AS goal FROM w0 GROUP BY {name})")
     last = "w0"
     for k in range(PASSES):
         for name in "slt":
             new = f"w{k}{name}"
-            parts.append(f"{new} AS MATERIALIZED (SELECT w.s, w.l, w.t, tokens, coalesce(weight * goal / nullif(sum(weight) OVER (PARTITION BY w.{name}), 0), 0) AS weight FROM {last} w JOIN goal_{name} g ON g.{name} = w.{name})")
+            parts.append(f"""{new}s AS MATERIALIZED (SELECT {name}, sum(weight) AS whole, coalesce(sum(weight) FILTER (weight >= tokens), 0) AS taken, coalesce(sum(weight) FILTER (weight < tokens), 0) AS rest FROM {last} GROUP BY {name}),
+{new} AS MATERIALIZED (SELECT w.s, w.l, w.t, tokens, least(tokens, weight * coalesce(CASE WHEN whole > goal THEN goal / whole WHEN weight >= tokens THEN 1.0 ELSE (goal - taken) / nullif(rest, 0) END, 1.0)) AS weight FROM {last} w JOIN goal_{name} g ON g.{name} = w.{name} JOIN {new}s x ON x.{name} = w.{name})""")
             last = new
-    rate = f"{TOKEN_SHARE}::DOUBLE"
-    for k in range(CORRECTIONS):
-        parts.append(f"r{k} AS MATERIALIZED (SELECT {rate} * {TOKEN_SHARE} * (SELECT n FROM total) / sum(least(tokens, {rate} * weight)) AS r FROM {last})")
-        rate = f"(SELECT r FROM r{k})"
-    parts.append(f"p AS MATERIALIZED (SELECT s, l, t, least(1.0, coalesce({rate} * weight / nullif(tokens, 0), 0)) AS p FROM {last})")
+    parts.append(f"p AS MATERIALIZED (SELECT s, l, t, coalesce(weight / nullif(tokens, 0), 0) AS p FROM {last})")
     return ",\n".join(parts) + """
 SELECT doc_id, source, lang, round(p, 6) AS keep_probability FROM d JOIN p USING (s, l, t)
 WHERE CAST('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 12) AS BIGINT) / 281474976710656.0 < p
