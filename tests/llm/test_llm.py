@@ -72,6 +72,21 @@ def test_secrets(edge, empty):
     assert secrets.scan_secrets(empty, RANKS, PATTERN).count() == 0
 
 
+def test_secrets_equal_the_patterns():
+    """Base spans against the plain patterns on random texts."""
+    own, rnd = bpe.codec(RANKS, PATTERN), random.Random(3)
+    plain = {
+        "assign": (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", lambda m: len(m[1]) >= 8),
+        "access": (r"AKIA[A-Z0-9]+", lambda m: len(m[0]) >= 16),
+        "hex": (r"[0-9a-f]+", lambda m: len(m[0]) >= 32),
+    }
+    parts = ["password", "Token", "api_key", "APIKEY", "secret", "passwd", "=", ":", " ", '"', "'", "AKIA", "ABC123", "deadbeef01", "0a", "é", "ſecret", "\u212aey", "_", ".", "zz", "hunter22"]
+    for _ in range(4000):
+        text = "".join(rnd.choice(parts) for _ in range(rnd.randint(0, 24)))
+        want = sorted(((k, *m.span()) for k, (p, ok) in plain.items() for m in re.finditer(p, text, re.ASCII) if ok(m)), key=lambda s: (s[1], secrets.KINDS.index(s[0])))
+        assert [s for s in secrets.find_secrets(text, own) if s[0] != "random"] == want, text
+
+
 def test_secrets_in_addresses_and_of_letters_only():
     own, rnd = bpe.codec(RANKS, PATTERN), random.Random(1)
     letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -229,14 +244,13 @@ def vectors(spark, seed=0, n=300, dim=8):
     return spark.createDataFrame(rows, "vec_id long, embedding array<double>"), [(i, v) for i, v in rows if v and None not in v and v[0] == v[0]]
 
 
-def test_topk_equals_brute_force(spark, monkeypatch):
-    monkeypatch.setattr(topk, "BUCKET_ROWS", 64)
+def test_topk_equals_brute_force(spark):
     df, rows = vectors(spark)
     common.ship(spark)
     use = topk.usable(df)
     whole = common.kept(use.select("id", F.transform("v", lambda x: F.floor(x * 64).cast("double")).alias("v")))
     got = {}
-    for r in topk.top_products(whole, whole.where("id % 20 = 0"), 7).collect():
+    for r in topk.top_products(whole, whole.where("id % 20 = 0"), 7, bucket_rows=32, seed_rows=40).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
     m = {i: np.floor(np.array(v) * 64).astype(int) for i, v in rows}
     assert set(got) == {i for i in m if i % 20 == 0}
@@ -252,7 +266,7 @@ def test_nearest_recall_and_ties(spark):
     common.ship(spark)
     use = topk.usable(df)
     got = {}
-    for r in ann.nearest(use, use.where("id % 10 = 0")).collect():
+    for r in ann.nearest(use, use.where("id % 10 = 0"), block_rows=32).collect():
         got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"]))
     m = {i: np.array(v) for i, v in rows if any(v)}
     hits = total = 0
@@ -266,6 +280,42 @@ def test_nearest_recall_and_ties(spark):
     assert ann.nearest(use.where("false"), use.where("false")).count() == 0
 
 
+def test_vectors_of_several_dimensions(spark):
+    """Only vectors of one dimension compare; integers too long for doubles are exact."""
+    rows = [(i, [float(i % 7)] * (2 + i % 3)) for i in range(1, 60)] + [(100, [2.0**30 + 1, 1.0]), (120, [2.0**30, 3.0]), (140, [])]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    got = {}
+    for r in topk.top_products(df, df.where("id % 20 = 0"), 3, bucket_rows=4, seed_rows=8).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    m = dict(rows)
+    for q in (20, 40, 100, 120):
+        want = sorted((-sum(int(x) * int(y) for x, y in zip(m[q], m[i], strict=True)), i) for i in m if i != q and len(m[i]) == len(m[q]))[:3]
+        assert sorted(got[q]) == [(k + 1, i, -s) for k, (s, i) in enumerate(want)]
+    near = ann.nearest(df, df.where("id % 20 = 0"), block_rows=4).collect()
+    assert {r["query_id"] for r in near} == {20, 40, 100, 120} and all(len(m[r["query_id"]]) == len(m[r["vec_id"]]) for r in near)
+
+
+def test_nearest_verifies_few_rows_of_clusters(spark):
+    """Recall and verified share on many cells of clustered vectors."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(60, 32))
+    v = centres[rng.integers(0, 60, 6000)] + 0.2 * rng.normal(size=(6000, 32))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "id long, v array<double>")
+    got = {}
+    for r in ann.nearest(df, df.where("id % 100 = 0"), block_rows=256).collect():
+        got.setdefault(r["query_id"], set()).add(r["vec_id"])
+    unit = v / np.sqrt((v * v).sum(1))[:, None]
+    hits = 0
+    for q, found in got.items():
+        cos = unit @ unit[q]
+        cos[q] = -2
+        hits += len(found & set(np.argsort(-cos)[:5].tolist()))
+    assert len(got) == 60 and hits >= 0.9 * 300
+    q = np.arange(0, 6000, 100)
+    seen = [x[2] for x in ann.search_block(q, v[q], np.full(60, np.inf), np.arange(6000), v, 5, ann.stop_ratio())]
+    assert sum(seen) < 0.2 * 60 * 6000
+
+
 def test_chi_square():
     assert abs(ann.chi_square(7.344, 8) - 0.5) < 1e-3 and abs(ann.stop_ratio(0.95, 8) - 15.507) < 1e-2
 
@@ -315,6 +365,58 @@ def test_toxicity_finds_hidden_words(spark, edge, empty):
     assert toxicity.score_toxicity(edge, None).agg(F.max("toxicity")).first()[0] == 0
 
 
+def brute_kernel(x, y):
+    """Normalised gap-weighted kernel of subsequences of three letters, by all index triples."""
+    from itertools import combinations
+
+    def features(s):
+        out = {}
+        for i, j, k in combinations(range(len(s)), 3):
+            if all(c in "^abcdefghijklmnopqrstuvwxyz" for c in (s[i], s[j], s[k])):
+                out[s[i] + s[j] + s[k]] = out.get(s[i] + s[j] + s[k], 0) + toxicity.DECAY ** (k - i + 1)
+        return out
+
+    a, b = features(x), features(y)
+    norm = lambda f: sum(v * v for v in f.values()) ** 0.5
+    return sum(v * b.get(f, 0) for f, v in a.items()) / (norm(a) * norm(b)) if a and b else 0.0
+
+
+def test_subsequence_kernel_equals_brute_force():
+    rnd = random.Random(4)
+    marks = ["^idiot", "^snork", "stupid", "^aab"]
+    kernel = toxicity.Kernel.of(marks)
+    units = ["^idiot", "^idiiot", "^i1diot", "dumbo", "^aabaab", "xyz"] + ["".join(rnd.choice("^abcdiotx9") for _ in range(rnd.randint(3, 7))) for _ in range(200)]
+    got = kernel.units(units, 0.0)
+    for u, row in zip(units, got, strict=True):
+        for m, v in zip(marks, row, strict=True):
+            assert abs(brute_kernel(u, m) ** toxicity.POWER - v) < 1e-4, (u, m)
+    fast = kernel.units(units)
+    assert np.abs(fast - got).max() <= toxicity.FLOOR**toxicity.POWER + 1e-6
+    own = kernel.units(marks, 0.0).astype(float)
+    assert np.linalg.eigvalsh((own + own.T) / 2).min() > -1e-6
+    long_word = "snork" * 40_000
+    assert kernel.words([long_word]).shape == (1, 4)
+
+
+def test_toxicity_model_does_not_depend_on_dealing(spark):
+    rnd = random.Random(9)
+    rows = []
+    for i in range(240):
+        w = [rnd.choice(["river", "cloud", "table", "stone", "green", "walk", "light"]) for _ in range(30)]
+        if i % 3 == 0:
+            w[rnd.randrange(30)] = ["snorkwit", "blathead", "mumpfish", "grobnitz"][i // 3 % 4]
+        rows.append((i, "one and the same beginning of more than fifty characters for all. " + " ".join(w) + f" {i}.", int(i % 3 == 0)))
+    rows += [(1000 + k, *rows[0][1:]) for k in range(20)]  # copies
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    common.ship(spark)
+    labels = docs.select("doc_id", "toxic")
+    models = [toxicity.train(toxicity.labelled_sample(docs.select("doc_id", "text").repartition(n), labels)) for n in (1, 7)]
+    assert models[0].kernel.landmarks == models[1].kernel.landmarks and models[0].slope == models[1].slope and (models[0].beta == models[1].beta).all()
+    assert toxicity.labelled_sample(docs.select("doc_id", "text"), labels).count() == 240
+    probe = spark.createDataFrame([("a grobnitz here",), ("a mump.fish here",), ("a river here",)], "text string")
+    assert [r["toxicity"] >= toxicity.CUT for r in toxicity.score_toxicity(probe, models[0]).collect()] == [True, True, False]
+
+
 def test_licences(spark, edge, empty):
     texts = [
         "Code.\nLicensed under the Apache License, Version 2.0.\nEnd.",
@@ -344,13 +446,28 @@ def test_licences_of_wrapped_notices(spark):
     assert licences.scan_licences(apart).where("size(licences) > 0").count() == 0
 
 
+def test_licences_of_whole_notices(spark):
+    bsd = 'Copyright (c) 2020, A. Author\nAll rights reserved.\n\nRedistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions are met:\n\n1. Redistributions of source code must retain the above copyright notice, this\n   list of conditions and the following disclaimer.\n\n2. Redistributions in binary form must reproduce the above copyright notice,\n   this list of conditions and the following disclaimer in the documentation\n   and/or other materials provided with the distribution.\n\n%sTHIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"\nAND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE\nIMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE\nDISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER BE LIABLE.\n'
+    name = "3. Neither the name of the copyright holder nor the names of its\n   contributors may be used to endorse or promote products derived from\n   this software without specific prior written permission.\n\n"
+    lgpl = "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Lesser General Public\nLicense as published by the Free Software Foundation; either\nversion 2.1 of the License, or (at your option) any later version.\n\nThis library is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU\nLesser General Public License for more details.\n"
+    isc = 'Permission to use, copy, modify, and/or distribute this software for any\npurpose with or without fee is hereby granted, provided that the above\ncopyright notice and this permission notice appear in all copies.\n\nTHE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH\nREGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY\nAND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE.\n'
+    apache = "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS\n"
+    notices = [(bsd % "", "BSD-2-Clause"), (bsd % name, "BSD-3-Clause"), (lgpl, "LGPL-2.1"), (isc, "ISC"), (apache, "Apache-2.0"), ("SPDX-License-Identifier: GPL-2.0-or-later\n", "GPL-2.0"), ("SPDX-License-Identifier: MIT\nint x;\n", None)]
+    texts = [(sign + t.replace("\n", "\n" + sign), n) for t, n in notices for sign in ("", "# ", " * ", "// ")]
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)], "k int, text string")
+    got = [r["licences"] for r in licences.scan_licences(df).orderBy("k").collect()]
+    assert [g for g, (_, n) in zip(got, texts, strict=True) if n] == [[n] for _, n in texts if n]
+    assert got[-3:] == [["MIT"]] * 3  # a comment sign ends the line before it; plain code that goes on in lower case does not
+
+
 def test_mixing_reaches_its_targets(spark, edge, empty):
     rnd = random.Random(6)
     rows = [(i, " ".join(["w"] * rnd.randint(1, 30)), rnd.choice(["en"] * 8 + ["de", None]), rnd.choice(["a"] * 9 + ["b"])) for i in range(800)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     cells = df.groupBy(F.coalesce("source", F.lit("")).alias("source"), F.coalesce("lang", F.lit("")).alias("lang")).agg(F.sum(mixing.token_count(F.col("text"))).alias("tokens"))
     powers = {"source": 0.5, "lang": 0.5}
-    raked = mixing.rake(cells, powers, passes=20).collect()
+    raked = mixing.rake(cells, powers, 0.2, passes=20).collect()
+    assert all(0 <= r["weight"] <= r["tokens"] for r in raked)
     for dim in powers:
         tokens, weight = {}, {}
         for r in raked:
@@ -360,8 +477,23 @@ def test_mixing_reaches_its_targets(spark, edge, empty):
         for v in goal:
             assert abs(weight[v] / sum(weight.values()) - goal[v]) < 1e-3
     dims = {"source": F.col("source"), "lang": F.col("lang")}
-    drawn = mixing.mixed(df, dims, powers).collect()
+    drawn = mixing.mixed(df, dims, powers, 0.2).collect()
     assert 0 < len(drawn) < 800 and all(0 < r["keep_probability"] <= 1 for r in drawn)
+
+
+def test_mixing_to_given_weights_with_capped_cells(spark, edge, empty):
+    """Weights by value; cells that are drawn whole leave their share to others, so that margins hold."""
+    rows = [(i, "w " * 9 + "w", "en" if i % 10 else "de", "a" if i % 3 else "b") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").withColumns({"keep_probability": F.lit("x"), "__mix_lang": F.lit(1)}).drop("__mix_lang")
+    cells = df.groupBy("source", "lang").agg(F.sum(mixing.token_count(F.col("text"))).alias("tokens"))
+    raked = mixing.rake(cells, {"source": {"a": 3, "b": 1}, "lang": {"en": 0.8, "de": 0.2}}, 0.3, 40).collect()
+    weight = lambda k, v: sum(r["weight"] for r in raked if r[k] == v)
+    assert abs(weight("source", "a") / 9000 - 0.75) < 0.01 and abs(weight("lang", "de") / 9000 - 0.2) < 0.01
+    assert max(r["weight"] / r["tokens"] for r in raked) <= 1 + 1e-12
+    none = mixing.mixed(df, {"lang": F.col("lang")}, {"lang": {"fr": 1.0}}, 0.5)
+    assert none.count() == 0
+    some = mixing.mixed(df, {"lang": F.col("lang")}, {"lang": {"de": 1.0}}, 0.05).collect()
+    assert some and {r["lang"] for r in some} == {"de"} and all(abs(r["keep_probability"] - 0.5) < 1e-9 for r in some)
     mixing.mixed(edge, mixing.document_dimensions()).count()
     assert mixing.mixed(empty, mixing.document_dimensions()).count() == 0
 
