@@ -82,9 +82,11 @@ def span_digest(spans: Column, kinds: tuple[str, ...]) -> Column:
 
 
 def storage_folder(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a session that names none, as in tests, gets one of its own."""
+    """The shared folder of spark.checkpoint.dir; a local session that names none, as in tests, gets one of its own."""
     found = spark.conf.get("spark.checkpoint.dir", "") or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
         found = spark.sparkContext.getCheckpointDir()
     return found

@@ -1,7 +1,7 @@
 """Language identification by prediction by partial matching on bytes.
 
 For each language a context tree of variable order holds, for every context of
-up to ``ORDER`` bytes seen often enough in training, how often each byte
+up to ``ORDER`` bytes seen in training, how often each byte
 followed. The statistics are frozen: scoring never updates them. The
 probability of a byte is that of the longest context that knows it, times the
 probabilities of the escapes from longer contexts (escape method C: an escape
@@ -10,9 +10,11 @@ counts as often as there are distinct followers); below the empty context all
 its bytes, and the language with the shortest code wins.
 
 As the statistics are frozen, the cost of a byte depends only on the deepest
-known context before it. Those contexts are numbered once, and the costs of
+known context before it. Contexts of up to two bytes and the frequent ones of three are numbered once, and the costs of
 every (context, byte class) pair are laid out as one table for each language;
-scoring then is two array look-ups a byte. Bytes unseen in training share a class.
+scoring then is two array look-ups a byte. The rare contexts of three bytes are kept as sorted lists of what followed them
+and of their escapes, and are looked up where a text has one: which contexts are laid out changes speed and never a
+result. Bytes unseen in training share a class. The model is a few MB a language.
 """
 
 from __future__ import annotations
@@ -31,10 +33,9 @@ from .common import in_slices, split_remainder, table, texts_of
 ORDER = 3
 #: Training rows a language, as an expected number; whole texts of rows drawn by a hash of their key.
 TRAIN_ROWS = 1500
-#: A context of two or three bytes is kept if it was seen so often in all languages together.
-MIN_CONTEXT = 24
-#: Contexts of the longest order that are kept at most, the most frequent first.
-MAX_CONTEXTS = 40_000
+#: Contexts of three bytes that are laid out as tables: seen so often in all languages together, and the most frequent
+#: so many of these. The others are looked up in lists.
+TABLE_COUNT, TABLE_CONTEXTS = 24, 40_000
 #: A document with less posterior probability than this is not accepted as any language.
 MIN_SCORE = 0.5
 
@@ -51,6 +52,11 @@ class Model:
     classes: np.ndarray  # byte -> class; the last class is for unseen bytes
     context: np.ndarray  # three classes -> number of the deepest known context
     cost: np.ndarray  # language, context * n_classes + class -> bits
+    rare: np.ndarray  # three classes -> whether they are a rare context
+    rare_contexts: np.ndarray  # sorted
+    rare_escape: np.ndarray  # rare context, language -> bits of its escape, 0 where the language does not know it
+    rare_grams: np.ndarray  # rare context * n_classes + class, sorted
+    rare_cost: np.ndarray  # rare gram, language -> bits
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +102,7 @@ def training_counts(
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(counts: DataFrame, min_context: int = MIN_CONTEXT, max_contexts: int = MAX_CONTEXTS) -> Model | None:
+def fit(counts: DataFrame, table_count: int = TABLE_COUNT, table_contexts: int = TABLE_CONTEXTS) -> Model | None:
     """Context trees from gram counts; None without any. The counts of the bounded sample fit the driver."""
     got = counts.toArrow()
     if not len(got):
@@ -114,15 +120,17 @@ def fit(counts: DataFrame, min_context: int = MIN_CONTEXT, max_contexts: int = M
     size = int(seen.sum()) + 1
     cls = classes[bytes_]
 
-    # longest contexts that are frequent enough, in all languages together; their suffixes follow
+    # longest contexts that are frequent, in all languages together; all shorter ones
     code3 = (cls[:, 0] * size + cls[:, 1]) * size + cls[:, 2]
     ctx3, inv = np.unique(code3, return_inverse=True)
     total = np.bincount(inv, n)
-    keep = ctx3[np.argsort(-total, kind="stable")[:max_contexts]]
-    keep3 = np.sort(keep[np.isin(keep, ctx3[total >= min_context])])
-    code2 = cls[:, 1] * size + cls[:, 2]
-    ctx2, inv2 = np.unique(code2, return_inverse=True)
-    keep2 = ctx2[np.bincount(inv2, n) >= min_context]
+    keep = ctx3[np.argsort(-total, kind="stable")[:table_contexts]]
+    keep3 = np.sort(keep[np.isin(keep, ctx3[total >= table_count])])
+    keep2 = np.unique(cls[:, 1] * size + cls[:, 2])
+    is_rare = ~np.isin(code3, keep3)
+    grams = code3 * size + cls[:, 3]
+    rare_contexts, rare_grams = np.unique(code3[is_rare]), np.unique(grams[is_rare])
+    rare_escape, rare_cost = np.zeros((len(rare_contexts), len(langs))), np.zeros((len(rare_grams), len(langs)))
 
     # numbers: 0 the empty context, then one byte, two bytes, three bytes
     first2, first3 = 1 + size, 1 + size + len(keep2)
@@ -153,7 +161,19 @@ def fit(counts: DataFrame, min_context: int = MIN_CONTEXT, max_contexts: int = M
         lower = np.concatenate([p0, p1, p2])
         p3 = _escape(table_of((at[:, 0] * size + at[:, 1]) * size + at[:, 2], keep3), lower[suffix])
         cost[li] = -np.log2(np.maximum(np.concatenate([lower, p3]), 1e-12)).ravel()
-    return Model(langs, classes.astype(np.int32), three.astype(np.int32), cost)
+        # the same for rare contexts, without laying them out
+        of = np.flatnonzero(own & is_rare)
+        ctx, below2 = np.searchsorted(rare_contexts, code3[of]), two[code3[of] % (size * size)]
+        seen_n, kinds = np.bincount(ctx, n[of], len(rare_contexts)), np.bincount(ctx, minlength=len(rare_contexts))
+        rest = lower.sum(1)[two[rare_contexts % (size * size)]] - np.bincount(ctx, lower[below2, cls[of, 3]], len(rare_contexts))
+        share = kinds / np.maximum(seen_n + kinds, 1) / np.maximum(rest, 1e-12)
+        rare_escape[:, li] = np.where(kinds > 0, -np.log2(np.maximum(share, 1e-12)), 0)
+        at_ctx = rare_grams // size
+        rare_cost[:, li] = rare_escape[np.searchsorted(rare_contexts, at_ctx), li] - np.log2(np.maximum(lower[two[at_ctx % (size * size)], rare_grams % size], 1e-12))
+        rare_cost[np.searchsorted(rare_grams, grams[of]), li] = -np.log2(n[of] / (seen_n + kinds)[ctx])
+    rare = np.zeros(size**3, bool)
+    rare[rare_contexts] = True
+    return Model(langs, classes.astype(np.int32), three.astype(np.int32), cost, rare, rare_contexts, rare_escape, rare_grams, rare_cost)
 
 
 def _escape(count: np.ndarray, lower: np.ndarray) -> np.ndarray:
@@ -183,13 +203,21 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
                 continue
             code = (c[:-3] * size + c[1:-2]) * size + c[2:-1]
             idx = model.context[code] * np.int32(size) + c[3:]
+            odd = np.flatnonzero(model.rare[code])
+            gram = code[odd].astype(np.int64) * size + c[3:][odd]
+            place = np.minimum(np.searchsorted(model.rare_grams, gram), max(0, len(model.rare_grams) - 1))
+            known = model.rare_grams[place] == gram if len(model.rare_grams) else np.zeros(0, bool)
+            escape = model.rare_escape[np.searchsorted(model.rare_contexts, code[odd])]
             first = a + ORDER  # place of the first scored byte
             lo_doc = np.searchsorted(starts, first, "right") - 1
             hi_doc = np.searchsorted(starts, hi - 1, "right") - 1
             cuts = np.maximum(starts[lo_doc : hi_doc + 1] + ORDER - first, 0)
             ends = np.append(np.maximum(starts[lo_doc + 1 : hi_doc + 1] - first, 0), hi - first)
             for li in range(len(model.languages)):
-                bits = np.concatenate([[0.0], np.cumsum(model.cost[li][idx], dtype=np.float64)])
+                each = model.cost[li][idx].astype(np.float64)
+                if len(odd):
+                    each[odd] = np.where(known, model.rare_cost[place, li], escape[:, li] + each[odd])
+                bits = np.concatenate([[0.0], np.cumsum(each)])
                 lo_i, hi_i = np.minimum(cuts, len(idx)), np.minimum(ends, len(idx))
                 out[[group[k] for k in range(lo_doc, hi_doc + 1)], li] += np.where(hi_i > lo_i, bits[hi_i] - bits[lo_i], 0)
 

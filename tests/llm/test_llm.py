@@ -320,11 +320,46 @@ def test_chi_square():
     assert abs(ann.chi_square(7.344, 8) - 0.5) < 1e-3 and abs(ann.stop_ratio(0.95, 8) - 15.507) < 1e-2
 
 
+def test_language_model_equals_brute_force(spark):
+    """Code lengths against a dictionary of contexts with escapes C and exclusion, for any choice of laid out contexts."""
+    rnd = random.Random(8)
+    rows = [(i, " ".join(rnd.choice(["haus", "garten", "und", "der"] if i % 2 else ["house", "garden", "and", "the", "é"]) for _ in range(6)), "de" if i % 2 else "en") for i in range(30)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    common.ship(spark)
+    counts = langid.training_counts(df)
+    trees = {"de": {}, "en": {}}
+    for _, t, lang in rows:
+        b = bytes(langid.ORDER) + t.encode()
+        for k in range(langid.ORDER, len(b)):
+            for order in range(langid.ORDER + 1):
+                followers = trees[lang].setdefault(b[k - order : k], {})
+                followers[b[k]] = followers.get(b[k], 0) + 1
+    seen = sorted({c for t in trees.values() for c in t[b""]} | {0})
+    symbols = [*seen, 256]  # the last stands for any byte unseen in training
+
+    def spread(tree, context):
+        below = {s: 1 / 256 for s in symbols} if not context else spread(tree, context[1:])
+        got = tree.get(context, {}) if context else tree[b""]
+        total, kinds = sum(got.values()), len(got)
+        left = sum(p for s, p in below.items() if s not in got)
+        return {s: got[s] / (total + kinds) if s in got else (kinds / (total + kinds) if total else 1.0) * p / left for s, p in below.items()}
+
+    texts = ["der garten", "the gardens", "zzz é haus", "unde", "q"]
+    for args in ({}, {"table_count": 2}, {"table_contexts": 3, "table_count": 1}, {"table_count": 10**9}):
+        model = langid.fit(counts, **args)
+        got = langid.code_lengths(model, [t.encode() for t in texts])
+        for t, row in zip(texts, got, strict=True):
+            b = bytes(langid.ORDER) + t.encode()
+            for lang, bits in zip(model.languages, row, strict=True):
+                want = -sum(np.log2(spread(trees[lang], b[k - langid.ORDER : k])[b[k] if b[k] in seen else 256]) for k in range(langid.ORDER, len(b)))
+                assert abs(bits - want) < 1e-3 * len(b), (args, t, lang)
+
+
 def test_language_model(spark, edge, empty):
     rows = [(i, ("the house and the garden " if i % 2 else "das haus und der garten ") * 5, "en" if i % 2 else "de") for i in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     common.ship(spark)
-    model = langid.fit(langid.training_counts(df), min_context=2)
+    model = langid.fit(langid.training_counts(df), table_count=2)
     size = int(model.classes.max()) + 1
     total = np.exp2(-model.cost[0].reshape(-1, size).astype(float)).sum(1)
     assert np.allclose(total, 1, atol=1e-4)
