@@ -40,6 +40,22 @@ def with_derived(df: DataFrame, names: list[str]) -> DataFrame:
     return df
 
 
+def across_collections(collections: list[DataFrame], keys: list[str], names: list[str]) -> DataFrame:
+    """The first collection with derived variables whose dependencies may lie in others.
+
+    Only the lacking dependencies are taken from the first other collection that has them, joined on the
+    coordinates; a dependency that none has is an error.
+    """
+    out = collections[0]
+    needed = [d for n in names if n.lower() not in {c.lower() for c in out.columns} for d in DEPENDENCIES[n]]
+    for other in collections[1:]:
+        have = {c.lower() for c in out.columns}
+        more = [c for c in other.columns if c not in keys and c.lower() in {d.lower() for d in needed} - have]
+        if more:
+            out = out.join(other.select(*keys, *more), keys, "left")
+    return with_derived(out, names)
+
+
 def normal_name(name: Column) -> Column:
     """A variable's name: upper case before the first digit, lower case from there on."""
     head = F.regexp_extract(name, r"^([^0-9]*)", 1)

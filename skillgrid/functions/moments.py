@@ -53,6 +53,15 @@ def means(terms: tuple[str, ...]) -> dict[str, Column]:
     return {f"m_{t}": F.try_divide(F.col(f"s_{t}"), F.when(F.col(f"n_{t}") != 0, F.col(f"n_{t}"))) for t in terms}
 
 
+#: A variance is none if it is at most this share of the second moment it is the rest of: that much is rounding.
+NO_VARIANCE = 1e-13
+
+
+def _spread(variance: Column, raw: Column) -> Column:
+    """Standard deviation; exactly 0 where only rounding is left, whatever the unit. Missing stays missing."""
+    return F.when(variance <= NO_VARIANCE * raw, 0.0).otherwise(F.sqrt(F.when(variance < 0, 0.0).otherwise(variance)))
+
+
 def _root(x: Column) -> Column:
     # greatest() would make a missing value 0
     return F.sqrt(F.when(x < 0, 0.0).otherwise(x))
@@ -65,8 +74,8 @@ def anomaly_correlation() -> Column:
     f_var = m("dd") - 2 * big_d * m("d") + big_d * big_d
     a_var = m("ee") - 2 * big_e * m("e") + big_e * big_e
     cov = m("de") - big_e * m("d_de") - big_d * m("e_de") + big_d * big_e
-    scale = _root(f_var) * _root(a_var)
-    return F.try_divide(cov, F.when(scale > 1e-12, scale))
+    scale = _spread(f_var, m("dd")) * _spread(a_var, m("ee"))
+    return F.try_divide(cov, F.when(scale != 0, scale))
 
 
 def statistics(wanted: tuple[str, ...]) -> dict[str, Column]:
@@ -74,11 +83,11 @@ def statistics(wanted: tuple[str, ...]) -> dict[str, Column]:
     m = lambda t: F.col(f"m_{t}")
     mse = m("xx")
     bar = F.abs(m("f") - m("a"))
-    s_f, s_a = _root(m("ff") - m("f") * m("f")), _root(m("aa") - m("a") * m("a"))
+    s_f, s_a = _spread(m("ff") - m("f") * m("f"), m("ff")), _spread(m("aa") - m("a") * m("a"), m("aa"))
     amp = F.abs(s_f - s_a)
     scale = s_f * s_a
     cross = m("fa") - m("a") * m("f_fa") - m("f") * m("a_fa") + m("f") * m("a")
-    rho = F.try_divide(cross, F.when(scale > 1e-12, scale))
+    rho = F.try_divide(cross, F.when(scale != 0, scale))
     dsp = 2 * (1 - rho) * scale
     phz = F.when(dsp >= 0, F.sqrt(F.greatest(dsp, F.lit(0.0)))).when((dsp > -1e-3) & (dsp < 0), 0.0)
     shift = m("f") - m("a")

@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 CELL = ("lat_idx", "lon_idx")
 
 
-def keys_of(df: DataFrame, keys: tuple[str, ...], broadcast_rows: int = 100_000) -> DataFrame:
-    """Distinct keys; marked for broadcast only if a count shows that they are few."""
-    found = df.select(*keys).distinct()
-    return F.broadcast(found) if found.count() <= broadcast_rows else found
+#: Rows of a few numbers up to this are broadcast (under 100 MB); more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
+
+
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Marked for broadcast if a count shows that it is small; the count stops beyond the bound."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def aligned(fcst: DataFrame, ana: DataFrame, clim: DataFrame, time: tuple[str, ...], clim_time: tuple[str, ...] | None = None) -> DataFrame:
@@ -24,7 +27,7 @@ def aligned(fcst: DataFrame, ana: DataFrame, clim: DataFrame, time: tuple[str, .
     """
     extra = tuple(k for k in ("lev",) if k in fcst.columns and k in ana.columns)
     joined = fcst.join(ana, [*time, *extra, *CELL], "left")
-    return joined.join(clim, [*(clim_time or time), *extra, *CELL], "left")
+    return joined.join(clim, [*(time if clim_time is None else clim_time), *extra, *CELL], "left")
 
 
 def missing_times(fcst: DataFrame, other: DataFrame, time: tuple[str, ...]) -> DataFrame:
@@ -33,17 +36,18 @@ def missing_times(fcst: DataFrame, other: DataFrame, time: tuple[str, ...]) -> D
 
 
 def by_region(cells: DataFrame, region_cells: DataFrame) -> DataFrame:
-    """Cells with every region that holds them (J2). Regions of one grid are few rows and small by construction."""
-    return cells.join(F.broadcast(region_cells), list(CELL))
+    """Cells with every region that holds them."""
+    return cells.join(small(region_cells), list(CELL))
 
 
 def with_weights(cells: DataFrame, weights: DataFrame) -> DataFrame:
     """Cells with their weight (J3); weights that know levels join null-safely on the level."""
     if "lev" not in weights.columns:
-        return cells.join(F.broadcast(weights), list(CELL))
-    w = weights.select(F.col("lev").alias("__lev"), *CELL, "weight")
-    on = [cells[k] == w[k] for k in CELL] + [cells["lev"].eqNullSafe(w["__lev"])]
-    return cells.join(w, on).drop(w["lat_idx"], w["lon_idx"], w["__lev"])
+        return cells.join(small(weights), list(CELL))
+    (value,) = (c for c in weights.columns if c not in (*CELL, "lev"))
+    w = weights.select(F.col("lev").alias("__lev"), *(F.col(k).alias(f"__{k}") for k in CELL), F.col(value).alias("grid_weight"))
+    on = [cells[k] == w[f"__{k}"] for k in CELL] + [cells["lev"].eqNullSafe(w["__lev"])]
+    return cells.join(small(w), on).drop("__lat_idx", "__lon_idx", "__lev")
 
 
 def interpolated_climatology(times: DataFrame, clim_raw: DataFrame, value: str = "c") -> DataFrame:
@@ -54,31 +58,35 @@ def interpolated_climatology(times: DataFrame, clim_raw: DataFrame, value: str =
     """
     two = F.explode(F.array(F.struct(F.col("m1").alias("month"), F.col("w1").alias("w")), F.struct(F.col("m2").alias("month"), F.col("w2").alias("w"))))
     wanted = times.select("valid_time", "cycle", two.alias("p")).select("valid_time", "cycle", "p.month", "p.w")
-    both = F.broadcast(wanted).join(clim_raw, ["cycle", "month"]).groupBy("valid_time", *CELL)
+    both = clim_raw.join(small(wanted), ["cycle", "month"]).groupBy("valid_time", *CELL)
     whole = F.count(F.col(value)) == 2
     return both.agg(F.when(whole, F.sum(F.col(value) * F.col("w"))).alias(value))
 
 
-def missing_cycles(times: DataFrame, clim_raw: DataFrame) -> DataFrame:
-    """Cycles that times need and the climatology lacks."""
-    return times.select("cycle").distinct().join(clim_raw.select("cycle").distinct(), "cycle", "left_anti")
+def climatology_gaps(times: DataFrame, clim_raw: DataFrame) -> DataFrame:
+    """(cycle, n_months): cycles that times need and for which the climatology has not all twelve months."""
+    have = clim_raw.groupBy("cycle").agg(F.count_distinct("month").alias("n"))
+    found = times.select("cycle").distinct().join(have, "cycle", "left").select("cycle", F.coalesce("n", F.lit(0)).cast("int").alias("n_months"))
+    return found.where("n_months < 12")
 
 
 def merged(frames: list[DataFrame], keys: list[str]) -> DataFrame:
-    """Collections on the same coordinates in one frame; of a variable in several the first wins."""
+    """Collections on the same coordinates in one frame; a variable in several is the first's, as a whole.
+
+    Where the first has such a variable missing or has no such cell it stays missing: values of
+    different files are never mixed within a variable.
+    """
 
     def two(left: DataFrame, right: DataFrame) -> DataFrame:
-        common = [c for c in right.columns if c in left.columns and c not in keys]
-        renamed = right.withColumnsRenamed({c: f"__{c}" for c in common})
-        out = left.join(renamed, keys, "full")
-        return out.withColumns({c: F.coalesce(c, f"__{c}") for c in common}).drop(*(f"__{c}" for c in common))
+        return left.join(right.drop(*(c for c in right.columns if c in left.columns and c not in keys)), keys, "full")
 
     return reduce(two, frames)
 
 
 def combined(single: DataFrame, multi: DataFrame, keys: list[str]) -> DataFrame:
-    """Files of one lead and of several together; what files of several leads hold wins."""
-    return merged([multi, single], keys)
+    """Files of one lead and of several together; variables that files of several leads hold replace the others whole."""
+    names = dict.fromkeys(c for c in (*single.columns, *multi.columns) if c not in keys)
+    return merged([multi, single], keys).select(*keys, *names)
 
 
 def lead_from_first_time(cells: DataFrame, init: str = "init_idx", time: str = "valid_time") -> DataFrame:

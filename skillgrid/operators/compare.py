@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import functools
 import math
+from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Significance levels of regional comparisons, and of maps.
 LEVELS, MAP_LEVELS = (0.68, 0.90, 0.95, 0.99, 0.9999), (0.90,)
 CLIP = 1 - 5e-6
-#: Variances up to this are rounding of equal differences.
-NO_VARIANCE = 1e-12
+#: A spread of differences up to this share of the greatest value is rounding of equal differences.
+NO_SPREAD = 1e-14
 
 
 def _t_cdf(t: float, df: int) -> float:
@@ -37,12 +38,27 @@ def t_critical(level: float, n: int) -> float | None:
     return round((lo + hi) / 2, 8)
 
 
-def t_table(spark: SparkSession, levels: tuple[float, ...], counts: list[int]) -> DataFrame:
-    """(level, n, t): critical values for the numbers of dates that occur."""
-    rows = [(lv, n, t) for lv in levels for n in counts if (t := t_critical(lv, n)) is not None]
+def t_table(spark: SparkSession, levels: tuple[float, ...], most: int) -> DataFrame:
+    """(level, n, t): critical values for 2 to ``most`` dates; a row a level and number, whatever the statistics' size."""
+    rows = [(lv, n, t_critical(lv, n)) for lv in levels for n in range(2, most + 1)]
     return spark.createDataFrame(rows, "level double, n long, t double")
 
 
+def with_critical(got: DataFrame, dated: DataFrame, levels: tuple[float, ...], date: str) -> DataFrame:
+    """Aggregates with their number of dates ``n`` joined to critical values.
+
+    No group has more values than there are distinct dates, so only these are counted, on
+    the date column alone; the aggregates run once.
+    """
+    most = dated.select(date).distinct().count()
+    return got.join(F.broadcast(t_table(dated.sparkSession, levels, most)), "n", "left")
+
+
+def whole(x: Column, f: Callable[[Column], Column]) -> Column:
+    """An aggregate that is missing if any value is."""
+    return F.when(F.count(x) == F.count(F.lit(1)), f(x))
+
+
 def common_dates(stats: DataFrame, excluded: DataFrame | None = None, date: str = "init_day") -> DataFrame:
     """Dates that every experiment has, less those that any excludes.
 
@@ -84,6 +100,29 @@ def incompatible(times: DataFrame, length_days: int, interval: int) -> DataFrame
     return times.where((F.col("length_days") < length_days) | (F.col("interval") > interval) | F.col("interval").isNull())
 
 
+def date_spacing(stats: DataFrame, date: str = "init_day") -> DataFrame:
+    """(experiment, spacing): the least step between an experiment's dates."""
+    dates = stats.select("experiment", date).distinct()
+    before = F.lag(date).over(Window.partitionBy("experiment").orderBy(date))
+    return dates.withColumn("step", F.col(date) - before).groupBy("experiment").agg(F.min("step").cast("int").alias("spacing"))
+
+
+def grid_mismatches(maps: DataFrame, control: int) -> DataFrame:
+    """(experiment, n_cells, n_control, n_common): experiments whose cells are not those of the control."""
+    cells = maps.select("experiment", "lat_idx", "lon_idx").distinct()
+    ctl = cells.where(F.col("experiment") == control).select("lat_idx", "lon_idx", F.lit(1).alias("__c"))
+    found = cells.join(ctl, ["lat_idx", "lon_idx"], "left").groupBy("experiment").agg(F.count("*").alias("n_cells"), F.count("__c").alias("n_common"))
+    found = found.crossJoin(F.broadcast(ctl.agg(F.count("*").alias("n_control"))))
+    return found.where("n_cells <> n_control OR n_common <> n_control").select("experiment", "n_cells", "n_control", "n_common")
+
+
+def exclusion_mismatches(excluded: DataFrame, date: str = "init_day") -> DataFrame:
+    """(date, n_experiments): excluded dates that not all experiments exclude."""
+    pairs = excluded.select("experiment", date).distinct()
+    n = pairs.select("experiment").distinct().agg(F.count("*").alias("n"))
+    return pairs.groupBy(date).agg(F.count("*").alias("n_experiments")).crossJoin(F.broadcast(n)).where("n_experiments < n").drop("n")
+
+
 def paired(stats: DataFrame, control: int, keys: list[str], value: str, date: str = "init_day") -> DataFrame:
     """(experiment, keys, date, x_ctl, x_model): every other experiment with the control's values."""
     ctl = stats.where(F.col("experiment") == control).select(*keys, date, F.col(value).alias("x_ctl"))
@@ -100,27 +139,28 @@ def root(x: Column) -> Column:
     return F.sqrt(F.when(x < 0, 0.0).otherwise(x))
 
 
-def paired_interval(pairs: DataFrame, keys: list[str], levels: tuple[float, ...], correlation: bool) -> DataFrame:
+def paired_interval(pairs: DataFrame, keys: list[str], levels: tuple[float, ...], correlation: bool, date: str = "init_day") -> DataFrame:
     """Interval of no difference for paired statistics, by level.
 
     Correlations are compared as Fisher's z, others as squares; bounds are carried back around the control's
-    mean and so are not symmetric. With a single date they are null.
+    mean and so are not symmetric. With a single date, and where any date's value is missing, they are null.
     """
     way = fisher if correlation else (lambda x: x * x)
     z = pairs.withColumns({"z_ctl": way(F.col("x_ctl")), "z_d": way(F.col("x_model")) - way(F.col("x_ctl"))})
-    got = z.groupBy("experiment", *keys).agg(F.avg("z_ctl").alias("mean"), F.var_samp("z_d").alias("var"), F.count("*").alias("n"), F.avg(F.col("x_model") - F.col("x_ctl")).alias("diff"))
-    counts = [r["n"] for r in got.select("n").distinct().collect()]
-    got = got.join(F.broadcast(t_table(pairs.sparkSession, levels, counts)), "n", "left")
+    got = z.groupBy("experiment", *keys).agg(
+        whole(F.col("z_ctl"), F.avg).alias("mean"), whole(F.col("z_d"), F.var_samp).alias("var"), F.count("*").alias("n"), whole(F.col("x_model") - F.col("x_ctl"), F.avg).alias("diff")
+    )
+    got = with_critical(got, pairs, levels, date)
     dx = F.col("t") * F.sqrt(F.col("var") / F.col("n"))
     back = F.tanh if correlation else root
     mean = F.col("mean")
     return got.select("experiment", *keys, "level", "n", "diff", (back(mean - dx) - back(mean)).alias("lower"), (back(mean + dx) - back(mean)).alias("upper"))
 
 
-def synoptic_interval(stats: DataFrame, control: int, keys: list[str], value: str, levels: tuple[float, ...], correlation: bool) -> DataFrame:
+def synoptic_interval(stats: DataFrame, control: int, keys: list[str], value: str, levels: tuple[float, ...], correlation: bool, date: str = "init_day") -> DataFrame:
     """Interval around the control from the spread of dates (I4): half its own variance, half the mean of the others'.
 
-    Correlations of other experiments are not clipped.
+    Correlations of other experiments are not clipped. Missing values make what rests on them missing.
     """
     x = F.col(value)
     is_ctl = F.col("experiment") == control
@@ -128,26 +168,27 @@ def synoptic_interval(stats: DataFrame, control: int, keys: list[str], value: st
         z = F.when(is_ctl, fisher(x)).when(F.abs(x) < 1, F.atanh(x))
     else:
         z = x * x
-    each = stats.withColumn("z", z).groupBy("experiment", *keys).agg(F.var_samp("z").alias("var"), F.avg("z").alias("mean"), F.avg(x).alias("plain"), F.count("*").alias("n"))
+    each = stats.withColumn("z", z).groupBy("experiment", *keys).agg(whole(F.col("z"), F.var_samp).alias("var"), whole(F.col("z"), F.avg).alias("mean"), whole(x, F.avg).alias("plain"), F.count("*").alias("n"))
     got = each.groupBy(*keys).agg(
-        F.max(F.when(is_ctl, F.col("var"))).alias("var_ctl"), F.avg(F.when(~is_ctl, F.col("var"))).alias("var_other"),
+        F.max(F.when(is_ctl, F.col("var"))).alias("var_ctl"), F.when(F.count("var") == F.count(F.lit(1)), F.avg(F.when(~is_ctl, F.col("var")))).alias("var_other"),
         F.max(F.when(is_ctl, F.col("mean"))).alias("mean"), F.max(F.when(is_ctl, F.col("plain"))).alias("plain"), F.max(F.when(is_ctl, F.col("n"))).alias("n"),
     )
-    counts = [r["n"] for r in got.where("n is not null").select("n").distinct().collect()]
-    got = got.join(F.broadcast(t_table(stats.sparkSession, levels, counts)), "n", "left")
+    got = with_critical(got, stats, levels, date)
     dx = F.col("t") * F.sqrt((F.col("var_ctl") + F.col("var_other")) / 2 / F.col("n"))
     back = F.tanh if correlation else root
     mean = F.col("mean")
     return got.select(*keys, "level", (back(mean - dx) - back(mean) + F.col("plain")).alias("lower"), (back(mean + dx) - back(mean) + F.col("plain")).alias("upper"))
 
 
-def significance(pairs: DataFrame, keys: list[str], level: float) -> DataFrame:
-    """t of the paired difference control minus model, and whether it is significant (I5); null without variance."""
+def significance(pairs: DataFrame, keys: list[str], level: float, date: str = "init_day") -> DataFrame:
+    """t of the paired difference control minus model, and whether it is significant (I5); null without variance or with missing values."""
     d = F.col("x_ctl") - F.col("x_model")
-    got = pairs.groupBy("experiment", *keys).agg(F.avg(d).alias("mean"), F.var_samp(d).alias("var"), F.count("*").alias("n"))
-    counts = [r["n"] for r in got.select("n").distinct().collect()]
-    got = got.join(F.broadcast(t_table(pairs.sparkSession, (level,), counts)), "n", "left")
-    t = F.try_divide(F.col("mean") * F.sqrt(F.col("n") - F.lit(1)), F.when(F.col("var") > NO_VARIANCE, F.sqrt("var")))
+    got = pairs.groupBy("experiment", *keys).agg(
+        whole(d, F.avg).alias("mean"), whole(d, F.var_samp).alias("var"), F.count("*").alias("n"), F.max(F.greatest(F.abs("x_ctl"), F.abs("x_model"))).alias("top")
+    )
+    got = with_critical(got, pairs, (level,), date)
+    spread = F.sqrt("var")
+    t = F.try_divide(F.col("mean") * F.sqrt(F.col("n") - F.lit(1)), F.when(spread > NO_SPREAD * F.col("top"), spread))
     return got.withColumn("t_stat", t).select("experiment", *keys, "t_stat", (F.abs("t_stat") >= F.col("t")).alias("significant"))
 
 

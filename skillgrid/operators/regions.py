@@ -16,6 +16,20 @@ def in_box(lat: Column, lon: Column, north: Column, south: Column, east: Column,
     return lat.between(south, north) & across
 
 
+def cells_of_regions(grid: DataFrame, masks: dict[str, DataFrame], names: tuple[str, ...]) -> DataFrame:
+    """Cells of the named regions, of any kind (M1-M4): components of intersections are made on demand and left out
+    again if they were not asked for; an unknown name is an error."""
+    known = {r[0] for r in BOX_REGIONS + MASK_REGIONS} | set(INTERSECTIONS)
+    if unknown := [n for n in names if n not in known]:
+        raise ValueError(f"unknown regions: {', '.join(unknown)}")
+    wanted = {n for name in names for n in INTERSECTIONS.get(name, (name,))}
+    out = box_cells(grid, tuple(b[0] for b in BOX_REGIONS if b[0] in wanted))
+    for name, mask in masks.items():
+        if name in wanted:
+            out = out.unionByName(mask_cells(mask, name))
+    return with_intersections(out, tuple(n for n in names if n in INTERSECTIONS)).where(F.col("region").isin(*names))
+
+
 def box_cells(grid: DataFrame, names: tuple[str, ...] | None = None) -> DataFrame:
     """(region, lat_idx, lon_idx) of the box regions (M1).
 
@@ -43,13 +57,6 @@ def with_intersections(region_cells: DataFrame, names: tuple[str, ...]) -> DataF
     return out
 
 
-def check_known(names: list[str]) -> None:
-    """Raises for regions that are not known (M4)."""
-    known = {r[0] for r in BOX_REGIONS + MASK_REGIONS}
-    if unknown := [n for n in names if n not in known]:
-        raise ValueError(f"unknown regions: {', '.join(unknown)}")
-
-
 def region_catalog(spark: SparkSession) -> DataFrame:
     """(region, domain_name, north, south, east, west) for scorecards (M5)."""
     return spark.createDataFrame(list(BOX_REGIONS + MASK_REGIONS), "region string, domain_name string, north double, south double, east double, west double")

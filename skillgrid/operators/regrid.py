@@ -67,6 +67,25 @@ def conservative_per_variable(cells: DataFrame, tables: tuple[DataFrame, DataFra
     return conservative(long, tables, [*keys, "var"], ["value"])
 
 
+def standard_time(cells: DataFrame, climatology: bool, month: str = "month") -> DataFrame:
+    """Cells with the standard time coordinate after a regrid: months 1 to 12 of a climatology, else 0."""
+    return cells.withColumn("time", F.col(month).cast("int") if climatology else F.lit(0))
+
+
+def regridded(cells: DataFrame, tables: tuple[DataFrame, DataFrame], keys: list[str], variables: list[str], required: tuple[str, ...] = ()) -> tuple[DataFrame, list[str]]:
+    """Regridded variables, and those that were dropped.
+
+    All variables that are numbers take one aggregation; any other is dropped, or is an error if it
+    is among ``required`` (the dependencies of derived variables).
+    """
+    kinds = dict(cells.dtypes)
+    fit = [v for v in variables if kinds.get(v) in ("tinyint", "smallint", "int", "bigint", "float", "double") or kinds.get(v, "").startswith("decimal")]
+    gone = [v for v in variables if v not in fit]
+    if lost := [v for v in gone if v in required]:
+        raise ValueError(f"cannot regrid {', '.join(lost)}")
+    return conservative(cells, tables, keys, fit), gone
+
+
 def nearest_mask(mask: DataFrame, source: tuple[int, int], target: tuple[int, int], value: str) -> DataFrame:
     """Mask (lat_idx, lon_idx, mask) on the target grid from the nearest source point.
 
@@ -81,7 +100,8 @@ def nearest_mask(mask: DataFrame, source: tuple[int, int], target: tuple[int, in
     near_lat = spark.createDataFrame(lat, "lat_idx int, lat_src int")
     near_lon = spark.createDataFrame(lon, "lon_idx int, lon_src int")
     # the target grid is small by construction, and so is each axis
-    cells = near_lat.withColumn("k", F.lit(1)).join(near_lon.withColumn("k", F.lit(1)), "k").drop("k")
+    every_lon = F.broadcast(near_lon.agg(F.collect_list(F.struct("lon_idx", "lon_src")).alias("__lon")))
+    cells = near_lat.crossJoin(every_lon).select("lat_idx", "lat_src", F.explode("__lon").alias("__l")).select("lat_idx", "lat_src", "__l.*")
     known = mask.select(F.col("lat_idx").alias("lat_src"), F.col("lon_idx").alias("lon_src"), F.col(value).alias("__value"))
     out = cells.join(known, ["lat_src", "lon_src"], "left")
     return out.select("lat_idx", "lon_idx", F.coalesce((F.col("__value") == 1).cast("int"), F.lit(0)).alias("mask"))

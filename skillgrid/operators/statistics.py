@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.moments import BASIC, TERMS, means, raw_sums, statistics
+from .align import small
 
 ALL_TERMS = tuple(TERMS)
 
@@ -28,9 +31,10 @@ def regional(cells: DataFrame, keys: list[str], wanted: tuple[str, ...] = ("rms"
 def dense(cells: DataFrame, keys: list[str], grid: DataFrame, values: list[str]) -> DataFrame:
     """One row for every key and grid cell, null where there was none.
 
-    Keys explode into the whole grid's cells by a broadcast of the grid, which is small by construction.
+    The grid, a row a cell, goes along with every key as one array that explodes there (a million cells take 20 MB).
     """
-    every = cells.select(*keys).distinct().withColumn("__k", F.lit(1)).join(F.broadcast(grid.withColumn("__k", F.lit(1))), "__k").drop("__k")
+    whole = F.broadcast(grid.agg(F.collect_list(F.struct(*grid.columns)).alias("__grid")))
+    every = cells.select(*keys).distinct().crossJoin(whole).select(*keys, F.explode("__grid").alias("__g")).select(*keys, "__g.*")
     return every.join(cells.select(*keys, "lat_idx", "lon_idx", *values), [*keys, "lat_idx", "lon_idx"], "left")
 
 
@@ -86,22 +90,21 @@ def dataset_weights(fields: list[tuple[DataFrame, list[str], str]], grid: DataFr
 
     ``fields`` has (cells, time keys, variable) of forecast, analysis and climatology; a cell
     is missing at a time if it has no row or no value there. Counting what is present against
-    the number of times finds it without a dense table.
+    the number of times finds it without a dense table, and without a job while the plan is built.
     """
-    missing = None
-    for cells, times, var in fields:
-        n = cells.select(*times).distinct().count()
-        have = cells.where(F.col(var).isNotNull()).groupBy("lat_idx", "lon_idx").agg(F.count("*").alias("n")).where(F.col("n") >= n)
-        lacking = grid.select("lat_idx", "lon_idx").join(have, ["lat_idx", "lon_idx"], "left_anti")
-        missing = lacking if missing is None else missing.union(lacking)
-    gone = missing.distinct().withColumn("gone", F.lit(True))
-    return grid.join(gone, ["lat_idx", "lon_idx"], "left").select("lat_idx", "lon_idx", F.when(F.col("gone").isNull(), F.col("grid_weight")).alias("weight"))
+    cells_of_grid = grid.select("lat_idx", "lon_idx", "grid_weight")
+    for k, (cells, times, var) in enumerate(fields):
+        n = cells.select(*times).distinct().agg(F.count("*").alias(f"all_{k}"))
+        have = cells.where(F.col(var).isNotNull()).groupBy("lat_idx", "lon_idx").agg(F.count("*").alias(f"n_{k}"))
+        cells_of_grid = cells_of_grid.join(have, ["lat_idx", "lon_idx"], "left").crossJoin(F.broadcast(n))
+    gone = reduce(lambda x, y: x | y, (F.coalesce(F.col(f"n_{k}"), F.lit(0)) < F.col(f"all_{k}") for k in range(len(fields))))
+    return cells_of_grid.select("lat_idx", "lon_idx", F.when(~gone, F.col("grid_weight")).alias("weight"))
 
 
 def statistic_weights(stats: DataFrame, sample: str, grid: DataFrame) -> DataFrame:
     """Grid weights by lead, null wherever a sample statistic is missing at any init date."""
     some = stats.groupBy("lead", "lat_idx", "lon_idx").agg(F.bool_or(F.col(sample).isNull()).alias("gone"))
-    return some.join(F.broadcast(grid), ["lat_idx", "lon_idx"]).select("lead", "lat_idx", "lon_idx", F.when(~F.col("gone"), F.col("grid_weight")).alias("weight"))
+    return some.join(small(grid), ["lat_idx", "lon_idx"]).select("lead", "lat_idx", "lon_idx", F.when(~F.col("gone"), F.col("grid_weight")).alias("weight"))
 
 
 def long_statistics(stats: DataFrame, keys: list[str], names: list[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -66,8 +68,76 @@ def nearest_levels(spark: SparkSession, requested: list[int], table: tuple = MOD
 
 
 def select_levels(df: DataFrame, levels: list[int]) -> DataFrame:
-    """Rows of the requested levels (P4); the predicate reaches the scan."""
-    return df.where(F.col("lev").isin(*levels))
+    """Rows of the requested levels (P4); the predicate reaches the scan. A level that is not there is an error."""
+    found = df.where(F.col("lev").isin(*levels))
+    wanted = df.sparkSession.createDataFrame([("lev", str(v)) for v in levels], "kind string, name string")
+    have = found.select(F.lit("lev").alias("kind"), F.col("lev").cast("string").alias("name"))
+    raise_if_any(missing_elements(wanted, have), "levels")
+    return found
+
+
+def loaded(fields: dict[str, DataFrame], levels: list[int] | None = None, leads: list[int] | None = None, dates: tuple[int, int] | None = None, times: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
+    """Forecast F, analysis and climatology cut to levels, leads and dates before any statistic.
+
+    A level or lead that is not there, and a time of the forecast that another field lacks (``times`` has the
+    columns it shares with the forecast), is an error that names the first of them.
+    """
+    out = dict(fields)
+    if dates is not None:
+        out["F"] = date_range(out["F"], *dates)
+    if leads is not None:
+        wanted = out["F"].sparkSession.createDataFrame([(v,) for v in leads], "lead int")
+        raise_if_any(wanted.join(out["F"].select("lead").distinct(), "lead", "left_anti"), "leads of F")
+        out["F"] = select_leads(out["F"], leads)
+    for name, df in out.items():
+        if levels is not None and "lev" in df.columns:
+            out[name] = select_levels(df, levels)
+    for name, columns in (times or {}).items():
+        lacking = out["F"].select(*columns).distinct().join(out[name].select(*columns).distinct(), columns, "left_anti")
+        raise_if_any(lacking, f"times of {name}")
+    return out
+
+
+def sampled_problems(cells: DataFrame, keys: list[str], value: str, low: float, high: float, parts: int = 100) -> DataFrame:
+    """(keys, n_sampled, n_missing, n_out): a check of one cell in ``parts`` of each key (P16); the sample is the feature.
+
+    The draw is by place on the grid, so it is the same at every run and in every key.
+    """
+    drawn = cells.where(F.pmod(F.col("lat_idx") * 7919 + F.col("lon_idx") * 104729, F.lit(parts)) == 0)
+    x = F.col(value)
+    found = drawn.groupBy(*keys).agg(F.count("*").alias("n_sampled"), F.count_if(x.isNull()).alias("n_missing"), F.count_if((x < low) | (x > high)).alias("n_out"))
+    return found.where("n_missing > 0 OR n_out > 0")
+
+
+def chunks_merged(chunks: list[DataFrame], keys: list[str], date: str, static: tuple[str, ...] = ()) -> DataFrame:
+    """Results of date ranges in one frame, ordered by date and keys.
+
+    Chunks must hold rows and be disjoint in their dates, or it is an error. Static columns take their value at the
+    first date everywhere (U9).
+    """
+    if not chunks:
+        raise ValueError("no chunks")
+    every = reduce(lambda x, y: x.unionByName(y), (c.withColumn("__chunk", F.lit(k)) for k, c in enumerate(chunks)))
+    dates = every.select("__chunk", date).distinct()
+    state = dates.groupBy(date).agg(F.count("*").alias("n")).agg(F.max(F.when(F.col("n") > 1, F.col(date))).alias("twice")).first()
+    if state["twice"] is not None:
+        raise ValueError(f"date {state['twice']} is in several chunks")
+    if (filled := dates.select("__chunk").distinct().count()) < len(chunks):
+        raise ValueError(f"{len(chunks) - filled} of {len(chunks)} chunks have no rows")
+    out = every.drop("__chunk")
+    rest = [k for k in keys if k != date]
+    if static:
+        out = out.drop(*static).join(every.groupBy(*rest).agg(*(F.min_by(s, date).alias(s) for s in static)), rest)
+    return out.orderBy(date, *rest)
+
+
+def wanted_work(stats: DataFrame, **only: list) -> DataFrame:
+    """Rows of the named experiments, regions, variables or leads (P15); a name without rows is an error."""
+    for column, values in only.items():
+        names = stats.sparkSession.createDataFrame([(v,) for v in values], f"{column} {stats.schema[column].dataType.simpleString()}")
+        raise_if_any(names.join(stats.select(column).distinct(), column, "left_anti"), column)
+        stats = stats.where(F.col(column).isin(*values))
+    return stats
 
 
 def select_leads(df: DataFrame, leads: list[int]) -> DataFrame:

@@ -20,11 +20,15 @@ VIEWS = {
     "fcst": ("lineitem", f"{_F}, MAX(l_quantity) + 10*MAX(l_tax) AS f FROM lineitem GROUP BY 1,2,3,4"),
     "fcst2": ("lineitem", f"{_F}, MAX(l_quantity) - 10*MIN(l_tax) AS f FROM lineitem GROUP BY 1,2,3,4"),
     "fcst3": ("lineitem", f"{_F}, CAST(CASE CAST(l_quantity AS INT) % 3 WHEN 0 THEN 1000 WHEN 1 THEN 850 ELSE 500 END AS INT) AS lev, MAX(l_extendedprice)/1000 AS f FROM lineitem GROUP BY 1,2,3,4,5"),
+    # on 91 x 144 cells: as many rows as lineitem has, nearly
+    "fcst_fine": ("lineitem", "SELECT CAST(l_orderkey % 31 AS INT) AS init_idx, CAST(12*(l_linenumber % 7) AS INT) AS lead, CAST((l_orderkey + l_partkey) % 91 AS INT) AS lat_idx, CAST((7*l_suppkey + l_partkey) % 144 AS INT) AS lon_idx, MAX(l_quantity) + 10*MAX(l_tax) AS f FROM lineitem GROUP BY 1,2,3,4"),
+    "ana_fine": ("lineitem", "SELECT CAST(12*(l_linenumber % 7) AS INT) AS lead, CAST((l_orderkey + l_partkey) % 91 AS INT) AS lat_idx, CAST((7*l_suppkey + l_partkey) % 144 AS INT) AS lon_idx, MIN(l_quantity) + 10*MAX(l_discount) AS a FROM lineitem GROUP BY 1,2,3"),
+    "clim_fine": ("lineitem", "SELECT CAST((l_orderkey + l_partkey) % 91 AS INT) AS lat_idx, CAST((7*l_suppkey + l_partkey) % 144 AS INT) AS lon_idx, MAX(l_discount)*100 AS c FROM lineitem GROUP BY 1,2"),
     "ana": ("lineitem", f"SELECT CAST(l_orderkey % 11 AS INT) AS t_idx, {_CELL}, MIN(l_quantity) + 10*MAX(l_discount) AS a FROM lineitem GROUP BY 1,2,3"),
     "clim_raw": ("orders", "SELECT CAST(12*(o_orderkey % 2) AS INT) AS cycle, CAST(EXTRACT(month FROM o_orderdate) AS INT) AS month, CAST(o_orderkey % 13 AS INT) AS lat_idx, CAST(o_custkey % 24 AS INT) AS lon_idx, MAX(o_totalprice)/20000 AS c FROM orders GROUP BY 1,2,3,4"),
     "exp_stats": ("events", "SELECT CAST(user_id % 3 AS INT) AS experiment, CAST(EXTRACT(day FROM ts) AS INT) AS init_day, CAST(12*(event_id % 4) AS INT) AS lead, MAX(value)/500 AS acorr, MAX(value) - MIN(value) AS rms FROM events GROUP BY 1,2,3"),
     "mask_src": ("part", "SELECT CAST(p_partkey % 25 AS INT) AS lat_idx, CAST(CAST(floor(p_partkey/25.0) AS BIGINT) % 48 AS INT) AS lon_idx, CAST(MAX(CASE WHEN p_size > 25 THEN 1 ELSE 0 END) AS INT) AS land FROM part GROUP BY 1,2"),
-    "multilead": ("orders", "SELECT CAST(o_custkey % 7 AS INT) AS init_idx, o_orderdate AS valid_time, MAX(o_totalprice) AS v FROM orders WHERE o_orderkey % 50 = 0 GROUP BY 1,2"),
+    "multilead": ("orders", "SELECT CAST(o_custkey % 7 AS INT) AS init_idx, o_orderdate AS valid_time, MAX(o_totalprice) AS v FROM orders GROUP BY 1,2"),
 }
 
 

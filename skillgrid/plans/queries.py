@@ -55,10 +55,10 @@ def two_pass(keys: str, source: str) -> str:
     on = " AND ".join(f"s.{k} = m.{k}" for k in keys.split(", "))
     return f"""m AS (SELECT {keys}, {wm('f')} AS mf, {wm('a')} AS ma, {wm('c')} AS mc FROM {source} GROUP BY {keys}),
 star AS (SELECT s.*, mf, ma, mc, f-mf AS fs, a-ma AS as_, c-mc AS cs FROM {source} s JOIN m ON {on}),
-p AS (SELECT {keys}, {wm('f-a')} AS me, {wm('(f-a)*(f-a)')} AS mse, {wm('(fs-cs)*(as_-cs)')} AS cov, {wm('(fs-cs)*(fs-cs)')} AS fv, {wm('(as_-cs)*(as_-cs)')} AS av,
+p AS (SELECT {keys}, {wm('f-a')} AS me, {wm('(f-a)*(f-a)')} AS mse, {wm('(fs-cs)*(as_-cs)')} AS cov, {wm('(fs-cs)*(fs-cs)')} AS fv, {wm('(as_-cs)*(as_-cs)')} AS av, {wm('(f-c)*(f-c)')} AS dd, {wm('(a-c)*(a-c)')} AS ee, {wm('f*f')} AS ff, {wm('a*a')} AS aa,
   abs(any_value(mf)-any_value(ma)) AS bar, sqrt({wm('fs*fs')}) AS sf, sqrt({wm('as_*as_')}) AS sa, {wm('fs*as_')} AS fa, sqrt({wm('(fs-as_)*(fs-as_)')}) AS ran, any_value(mf) AS mf FROM star GROUP BY {keys}),
-q AS (SELECT *, CASE WHEN sqrt(fv)*sqrt(av) > 1e-12 THEN cov/(sqrt(fv)*sqrt(av)) END AS acorr, abs(sf-sa) AS amp,
-  CASE WHEN sf*sa > 1e-12 THEN 2*(1 - fa/(sf*sa))*sf*sa END AS dsp FROM p),
+q AS (SELECT *, CASE WHEN fv > 1e-13*dd AND av > 1e-13*ee THEN cov/(sqrt(fv)*sqrt(av)) END AS acorr, abs(sf-sa) AS amp,
+  CASE WHEN sf*sf > 1e-13*ff AND sa*sa > 1e-13*aa THEN 2*(1 - fa/(sf*sa))*sf*sa END AS dsp FROM p),
 z AS (SELECT *, CASE WHEN dsp >= 0 THEN sqrt(dsp) WHEN dsp > -1e-3 THEN 0.0 END AS phz FROM q)"""
 
 
@@ -156,10 +156,11 @@ def global_mean_of_avg(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(statistics.global_mean(_point_avg(spark, sf), weights, ["lead"], ["rms_avg", "acorr_avg"]), ["lead"], ["rms_glo", "acorr_glo"])
 
 
-@query("enhanced_weights_dataset", fx.with_sql("fcst", "ana", fx.GRID_SQL, "ff AS (SELECT lat_idx, lon_idx, count(*) AS n FROM fcst GROUP BY ALL)", "aa AS (SELECT lat_idx, lon_idx, count(*) AS n FROM ana GROUP BY ALL)") + "SELECT g.lat_idx, g.lon_idx, round(CASE WHEN ff.n >= (SELECT count(*) FROM (SELECT DISTINCT init_idx, lead FROM fcst)) AND aa.n >= (SELECT count(DISTINCT t_idx) FROM ana) THEN w END, 6) + 0.0 AS weight FROM grid g LEFT JOIN ff USING (lat_idx, lon_idx) LEFT JOIN aa USING (lat_idx, lon_idx)")
+@query("enhanced_weights_dataset", fx.with_sql("fcst", "ana", "clim_raw", fx.GRID_SQL, "cc AS (SELECT lat_idx, lon_idx, count(*) AS n FROM clim_raw GROUP BY ALL)", "ff AS (SELECT lat_idx, lon_idx, count(*) AS n FROM fcst GROUP BY ALL)", "aa AS (SELECT lat_idx, lon_idx, count(*) AS n FROM ana GROUP BY ALL)") + "SELECT g.lat_idx, g.lon_idx, round(CASE WHEN ff.n >= (SELECT count(*) FROM (SELECT DISTINCT init_idx, lead FROM fcst)) AND aa.n >= (SELECT count(DISTINCT t_idx) FROM ana) AND cc.n >= (SELECT count(*) FROM (SELECT DISTINCT cycle, month FROM clim_raw)) THEN w END, 6) + 0.0 AS weight FROM grid g LEFT JOIN ff USING (lat_idx, lon_idx) LEFT JOIN aa USING (lat_idx, lon_idx) LEFT JOIN cc USING (lat_idx, lon_idx)")
 def enhanced_weights_dataset(spark: SparkSession, sf: str) -> DataFrame:
     """Weights without the cells that any field lacks at any time."""
     fields = [(fx.view(spark, sf, "fcst"), ["init_idx", "lead"], "f"), (fx.view(spark, sf, "ana"), ["t_idx"], "a")]
+    fields.append((fx.view(spark, sf, "clim_raw"), ["cycle", "month"], "c"))
     return rounded(statistics.dataset_weights(fields, fx.grid(spark)), ["lat_idx", "lon_idx"], ["weight"])
 
 
@@ -177,7 +178,7 @@ def chunk_merge(spark: SparkSession, sf: str) -> DataFrame:
     for lo, hi in ((0, 1), (2, 4)):
         cells = validate.date_range(fx.trio(spark, sf), lo, hi)
         parts.append(statistics.regional(align.by_region(cells, regions.box_cells(fx.grid(spark))), RKEYS))
-    long = statistics.long_statistics(parts[0].unionByName(parts[1]), RKEYS, ["rms", "acorr"])
+    long = statistics.long_statistics(validate.chunks_merged(parts, RKEYS, "init_idx"), RKEYS, ["rms", "acorr"])
     return rounded(long, [*RKEYS, "stat"], ["value"])
 
 
@@ -188,8 +189,8 @@ LAND_SQL = "land AS (SELECT g.lat_idx, g.lon_idx FROM grid g JOIN mask_src m ON
 def region_cells(spark: SparkSession, sf: str) -> DataFrame:
     """Cells of all regions: boxes, land by the nearest mask, intersections."""
     land = regrid.nearest_mask(fx.view(spark, sf, "mask_src"), (25, 48), (13, 24), "land")
-    cells = regions.box_cells(fx.grid(spark)).unionByName(regions.mask_cells(land, "LND"))
-    return regions.with_intersections(cells, ("NHL", "TRL", "SHL"))
+    names = (*(b[0] for b in BOX_REGIONS), "LND", "NHL", "TRL", "SHL")
+    return regions.cells_of_regions(fx.grid(spark), {"LND": land}, names)
 
 
 @query("region_coverage", fx.with_sql("fcst", fx.GRID_SQL, BOX_SQL, REGION_SQL) + "SELECT r.region, count(DISTINCT (r.lat_idx, r.lon_idx)) AS n_cells, round(count(DISTINCT (r.lat_idx, r.lon_idx)) / 312.0, 6) + 0.0 AS fraction, count(f.f) AS n_values FROM region_cells r LEFT JOIN fcst f ON f.lat_idx = r.lat_idx AND f.lon_idx = r.lon_idx GROUP BY r.region")

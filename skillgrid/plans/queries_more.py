@@ -39,7 +39,7 @@ OVERLAP_SQL = (
 
 @query("regrid_conservative", fx.with_sql("clim_raw", fx.GRID_SQL, *OVERLAP_SQL, "dense AS (SELECT k.cycle, k.month, g.lat_idx, g.lon_idx, c.c FROM (SELECT DISTINCT cycle, month FROM clim_raw) k CROSS JOIN grid g LEFT JOIN clim_raw c ON c.cycle = k.cycle AND c.month = k.month AND c.lat_idx = g.lat_idx AND c.lon_idx = g.lon_idx)") + "SELECT cycle, month, a.t AS lat_idx, b.t AS lon_idx, round(CASE WHEN count(c) = count(*) THEN sum(c*a.w*b.w)/sum(a.w*b.w) END, 6) + 0.0 AS c FROM dense JOIN lat_ov a ON a.s = lat_idx JOIN lon_ov b ON b.s = lon_idx GROUP BY 1, 2, 3, 4")
 def regrid_conservative(spark: SparkSession, sf: str) -> DataFrame:
-    """Climatology on a coarser grid; a missing source makes its targets missing."""
+    """Climatology on a coarser grid; a missing source makes its targets missing."""
     cells = statistics.dense(fx.view(spark, sf, "clim_raw"), ["cycle", "month"], fx.grid(spark).select("lat_idx", "lon_idx"), ["c"])
     got = regrid.conservative(cells, regrid.overlap_tables(spark, (13, 24), TARGET), ["cycle", "month"], ["c"])
     return rounded(got, ["cycle", "month", "lat_idx", "lon_idx"], ["c"])
@@ -86,18 +86,18 @@ def clim_month_weights(spark: SparkSession, sf: str) -> DataFrame:
     return got.select(calendar.date_labels(F.col("valid_time"))["hour"].alias("valid_time"), "m1", r6("w1").alias("w1"), "m2", r6("w2").alias("w2"))
 
 
-@query("clim_interpolated", fx.with_sql("clim_raw", WEIGHTS_SQL, "tt AS (SELECT t, CAST(12*(day(t) % 2) AS INT) AS cycle, m1, w1, m2, w2 FROM mw WHERE day(t) <= 2)") + "SELECT strftime(t, '%Y%m%d%H') AS valid_time, lat_idx, lon_idx, round(CASE WHEN count(c) = 2 THEN sum(w*c) END, 9) + 0.0 AS c FROM (SELECT t, cycle, m1 AS month, w1 AS w FROM tt UNION ALL SELECT t, cycle, m2, w2 FROM tt) JOIN clim_raw USING (cycle, month) GROUP BY t, lat_idx, lon_idx")
+@query("clim_interpolated", fx.with_sql("clim_raw", WEIGHTS_SQL, "tt AS (SELECT t, CAST(12*(day(t) % 2) AS INT) AS cycle, m1, w1, m2, w2 FROM mw)") + "SELECT strftime(t, '%Y%m%d%H') AS valid_time, lat_idx, lon_idx, round(CASE WHEN count(c) = 2 THEN sum(w*c) END, 9) + 0.0 AS c FROM (SELECT t, cycle, m1 AS month, w1 AS w FROM tt UNION ALL SELECT t, cycle, m2, w2 FROM tt) JOIN clim_raw USING (cycle, month) GROUP BY t, lat_idx, lon_idx")
 def clim_interpolated(spark: SparkSession, sf: str) -> DataFrame:
-    """Climatology at valid times from monthly means of their cycle."""
+    """Climatology at valid times from monthly means of their cycle."""
     t = F.col("valid_time")
-    times = _order_times(spark, sf).where(F.day(t) <= 2).withColumn("cycle", (12 * (F.day(t) % 2)).cast("int")).withColumns(calendar.month_weights(t))
+    times = _order_times(spark, sf).withColumn("cycle", (12 * (F.day(t) % 2)).cast("int")).withColumns(calendar.month_weights(t))
     got = align.interpolated_climatology(times, fx.view(spark, sf, "clim_raw"))
     return got.select(F.date_format(t, "yyyyMMddHH").alias("valid_time"), "lat_idx", "lon_idx", r6("c", 9).alias("c"))
 
 
 @query("valid_times", "SELECT DISTINCT strftime(d + INTERVAL (l) HOUR, '%Y%m%d%H') AS valid_time FROM (SELECT DISTINCT date_trunc('day', o_orderdate) AS d FROM orders), (SELECT unnest([0, 12, 24]) AS l)")
 def valid_times(spark: SparkSession, sf: str) -> DataFrame:
-    """Distinct valid times of all init dates and leads."""
+    """Distinct valid times of all init dates and leads."""
     dates = fx.table(spark, sf, "orders").select(F.date_trunc("day", F.col("o_orderdate").cast("timestamp")).alias("init_date")).distinct()
     got = calendar.valid_times(dates, calendar.leads(spark, 1, 12))
     return got.select(F.date_format("valid_time", "yyyyMMddHH").alias("valid_time"))
@@ -124,18 +124,18 @@ def template_paths(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("lead_from_first_time", fx.with_sql("multilead") + "SELECT init_idx, CAST(date_diff('hour', min(valid_time) OVER (PARTITION BY init_idx), valid_time) AS INT) AS lead, v FROM multilead")
 def lead_from_first_time(spark: SparkSession, sf: str) -> DataFrame:
-    """Leads from the first time of each run."""
+    """Leads from the first time of each run."""
     return align.lead_from_first_time(fx.view(spark, sf, "multilead")).select("init_idx", "lead", "v")
 
 
 # --- checks and matching -----------------------------------------------------------------------
 
-NEEDED_SQL = "needed AS (SELECT DISTINCT f.init_idx, f.lead, CAST(c AS INT) AS coll FROM fcst f, range(2) r(c)), found AS (SELECT DISTINCT CAST(l_orderkey % 5 AS INT) AS init_idx, CAST(12*(l_linenumber % 3) AS INT) AS lead, CAST(l_partkey % 2 AS INT) AS coll FROM lineitem WHERE l_quantity > 49 AND l_orderkey % 3 = 0 AND l_discount > 0.08)"
+NEEDED_SQL = "needed AS (SELECT DISTINCT f.init_idx, f.lead, CAST(c AS INT) AS coll FROM fcst f, range(2) r(c)), found AS (SELECT DISTINCT CAST(l_orderkey % 5 AS INT) AS init_idx, CAST(12*(l_linenumber % 3) AS INT) AS lead, CAST(l_partkey % 2 AS INT) AS coll FROM lineitem WHERE l_quantity > 49 AND l_returnflag = 'R' AND l_discount > 0.09)"
 
 
 def _needed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     needed = fx.view(spark, sf, "fcst").select("init_idx", "lead").distinct().select("init_idx", "lead", F.explode(F.array(F.lit(0), F.lit(1))).alias("coll"))
-    some = fx.table(spark, sf, "lineitem").where("l_quantity > 49 AND l_orderkey % 3 = 0 AND l_discount > 0.08")
+    some = fx.table(spark, sf, "lineitem").where("l_quantity > 49 AND l_returnflag = 'R' AND l_discount > 0.09")
     found = some.select((F.col("l_orderkey") % 5).cast("int").alias("init_idx"), (12 * (F.col("l_linenumber") % 3)).cast("int").alias("lead"), (F.col("l_partkey") % 2).cast("int").alias("coll")).distinct()
     return needed, found
 
@@ -149,7 +149,7 @@ def availability_missing(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("availability_counts", fx.with_sql("fcst", NEEDED_SQL) + "SELECT (SELECT count(*) FROM needed) AS n_expected, count(*) AS n_found, (SELECT count(*) FROM needed) - count(*) AS n_missing FROM needed JOIN found USING (init_idx, lead, coll)")
 def availability_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """Expected and found files."""
+    """Expected and found files."""
     needed, found = _needed(spark, sf)
     return validate.completeness(needed, found, ["init_idx", "lead", "coll"])
 
@@ -178,7 +178,7 @@ REQUESTED = (1000, 980, 925, 850, 700, 500, 300, 250, 200, 100, 10)
 
 @query("nearest_levels", fx.with_sql("fcst3", "lv(pos, model_level, pressure) AS (VALUES " + ", ".join(f"({k},{m},{p})" for k, (m, p) in enumerate(MODEL_LEVELS)) + ")", "rq(turn, requested) AS (VALUES " + ", ".join(f"({k},{p})" for k, p in enumerate(REQUESTED)) + ")", "best AS (SELECT turn, requested, model_level, pressure, abs(pressure - requested) AS off FROM rq, lv QUALIFY row_number() OVER (PARTITION BY turn ORDER BY abs(pressure - requested), pos) = 1)", "kept AS (SELECT * FROM best QUALIFY row_number() OVER (PARTITION BY model_level ORDER BY turn) = 1)") + "SELECT CAST(requested AS INT) AS requested, CAST(model_level AS INT) AS model_level, CAST(pressure AS INT) AS pressure, CAST(off AS INT) AS off, count(f.f) AS n_values FROM kept LEFT JOIN fcst3 f ON f.lev = requested GROUP BY ALL")
 def nearest_levels(spark: SparkSession, sf: str) -> DataFrame:
-    """Model levels for requested pressures, with the values a field has there."""
+    """Model levels for requested pressures, with the values a field has there (P5)."""
     levels = validate.nearest_levels(spark, list(REQUESTED))
     n = fx.view(spark, sf, "fcst3").groupBy(F.col("lev").alias("requested")).agg(F.count("f").alias("n_values"))
     return levels.join(n, "requested", "left").select("requested", "model_level", "pressure", "off", F.coalesce("n_values", F.lit(0)).alias("n_values"))
@@ -196,7 +196,7 @@ def _raw(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("derived_variables", f"WITH r AS ({RAW}), e AS (SELECT *, CASE WHEN q2m > 0 THEN ln(ps/100*q2m/(0.622 + 0.378*q2m)/6.112) END AS lg FROM r) SELECT l_orderkey, l_linenumber, round(243.5*lg/nullif(17.67 - lg, 0) + 273.15, 6) + 0.0 AS d2m, round(ln(aod + 0.01), 6) + 0.0 AS logaod, round(9.80665*h, 9) + 0.0 AS z FROM e")
 def derived_variables(spark: SparkSession, sf: str) -> DataFrame:
-    """Dew point, logarithm of optical depth, geopotential."""
+    """Dew point, logarithm of optical depth, geopotential."""
     got = derive.with_derived(_raw(spark, sf).withColumn("q2m", F.when(F.col("q2m") > 0, F.col("q2m"))), ["D2m", "LOGAOD", "Z"])
     return got.select("l_orderkey", "l_linenumber", r6("D2m").alias("d2m"), r6("LOGAOD").alias("logaod"), r6("Z", 9).alias("z"))
 
@@ -209,9 +209,9 @@ def scaled_variables(spark: SparkSession, sf: str) -> DataFrame:
     return named.select("l_orderkey", "l_linenumber", "var", r6(derive.scaled(F.col("value"), F.col("var"))).alias("value"))
 
 
-@query("collection_merge", fx.with_sql("fcst", "fcst2", "ana", "one AS (SELECT * FROM fcst WHERE lead <= 12)", "two AS (SELECT init_idx, lead, lat_idx, lon_idx, f, f + 1 AS g FROM fcst2 WHERE lead >= 12)") + "SELECT init_idx, lead, lat_idx, lon_idx, round(coalesce(o.f, t.f), 6) + 0.0 AS f, round(g, 6) + 0.0 AS g FROM one o FULL JOIN two t USING (init_idx, lead, lat_idx, lon_idx)")
+@query("collection_merge", fx.with_sql("fcst", "fcst2", "ana", "one AS (SELECT * FROM fcst WHERE lead <= 12)", "two AS (SELECT init_idx, lead, lat_idx, lon_idx, f, f + 1 AS g FROM fcst2 WHERE lead >= 12)") + "SELECT init_idx, lead, lat_idx, lon_idx, round(o.f, 6) + 0.0 AS f, round(g, 6) + 0.0 AS g FROM one o FULL JOIN two t USING (init_idx, lead, lat_idx, lon_idx)")
 def collection_merge(spark: SparkSession, sf: str) -> DataFrame:
-    """Two collections in one frame; the first wins where both have a variable."""
+    """Two collections in one frame; a variable that both have is the first's, whole."""
     keys = ["init_idx", "lead", "lat_idx", "lon_idx"]
     one = validate.select_leads(fx.view(spark, sf, "fcst"), [0, 12])
     two = fx.view(spark, sf, "fcst2").where("lead >= 12").withColumn("g", F.col("f") + 1)
@@ -236,20 +236,20 @@ def experiment_common_dates(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("experiment_date_mismatches", fx.with_sql("exp_stats", "e AS (SELECT CAST(d AS INT) AS init_day FROM range(1, 32) r(d))", "f AS (SELECT DISTINCT init_day FROM exp_stats)") + "SELECT init_day, 'missing' AS problem FROM e WHERE init_day NOT IN (SELECT init_day FROM f) UNION ALL SELECT init_day, 'unexpected' FROM f WHERE init_day NOT IN (SELECT init_day FROM e)")
 def experiment_date_mismatches(spark: SparkSession, sf: str) -> DataFrame:
-    """Dates that are missing or unexpected."""
+    """Dates that are missing or unexpected."""
     expected = spark.range(1, 32).select(F.col("id").cast("int").alias("init_day"))
     return compare.date_mismatches(expected, _experiments(spark, sf))
 
 
 @query("experiment_overlap", "WITH e AS (SELECT DISTINCT CAST(user_id % 3 AS INT) AS experiment, CAST(EXTRACT(day FROM ts) AS INT) AS init_day, CAST(event_id % 2 AS INT) AS file FROM events) SELECT experiment, init_day, count(*) AS n_files FROM e GROUP BY 1, 2 HAVING count(*) > 1")
 def experiment_overlap(spark: SparkSession, sf: str) -> DataFrame:
-    """Dates that several files of an experiment hold."""
+    """Dates that several files of an experiment hold."""
     c = F.col
     files = fx.table(spark, sf, "events").select((c("user_id") % 3).cast("int").alias("experiment"), F.day("ts").alias("init_day"), (c("event_id") % 2).cast("int").alias("file"))
     return compare.overlaps(files)
 
 
-@query("experiment_timing_check", fx.with_sql("exp_stats") + "SELECT experiment, CAST(floor(max(lead)/24) AS INT) AS length_days, CAST(12 AS INT) AS interval FROM exp_stats GROUP BY 1 HAVING floor(max(lead)/24) < 2 OR 12 > 12")
+@query("experiment_timing_check", fx.with_sql("exp_stats") + "SELECT experiment, CAST(floor(max(lead)/24) AS INT) AS length_days, CAST(list_sort(list(DISTINCT lead))[2] - list_sort(list(DISTINCT lead))[1] AS INT) AS interval FROM exp_stats GROUP BY 1 HAVING floor(max(lead)/24) < 2 OR coalesce(list_sort(list(DISTINCT lead))[2] - list_sort(list(DISTINCT lead))[1], 99) > 12")
 def experiment_timing_check(spark: SparkSession, sf: str) -> DataFrame:
     """Experiments that are too short or too coarse for a comparison."""
     return compare.incompatible(compare.timing(_experiments(spark, sf)), 2, 12)
@@ -323,7 +323,7 @@ def synoptic_ci(spark: SparkSession, sf: str) -> DataFrame:
 
 
 MAP_PAIR = "mp AS (SELECT m.lead, m.lat_idx, m.lon_idx, m.init_idx, c.f AS fc, m.f AS fm FROM fcst2 m JOIN fcst c USING (init_idx, lead, lat_idx, lon_idx))"
-SIG_SQL = ("sg AS (SELECT lead, lat_idx, lon_idx, avg(fc - fm) * sqrt(count(*) - 1) / CASE WHEN var_samp(fc - fm) > 1e-12 THEN sqrt(var_samp(fc - fm)) END AS t_stat, count(*) AS n FROM mp GROUP BY 1, 2, 3)", _t_sql(compare.MAP_LEVELS))
+SIG_SQL = ("sg AS (SELECT lead, lat_idx, lon_idx, avg(fc - fm) * sqrt(count(*) - 1) / CASE WHEN sqrt(var_samp(fc - fm)) > 1e-14*max(greatest(abs(fc), abs(fm))) THEN sqrt(var_samp(fc - fm)) END AS t_stat, count(*) AS n FROM mp GROUP BY 1, 2, 3)", _t_sql(compare.MAP_LEVELS))
 
 
 def _maps(spark: SparkSession, sf: str) -> DataFrame:
@@ -333,7 +333,7 @@ def _maps(spark: SparkSession, sf: str) -> DataFrame:
 
 def _significance(spark: SparkSession, sf: str) -> DataFrame:
     pairs = compare.paired(_maps(spark, sf), 0, ["lead", "lat_idx", "lon_idx"], "f", "init_idx")
-    return compare.significance(pairs, ["lead", "lat_idx", "lon_idx"], compare.MAP_LEVELS[0])
+    return compare.significance(pairs, ["lead", "lat_idx", "lon_idx"], compare.MAP_LEVELS[0], "init_idx")
 
 
 @query("significance_mask", fx.with_sql("fcst", "fcst2", MAP_PAIR, *SIG_SQL) + "SELECT lead, lat_idx, lon_idx, round(t_stat, 6) + 0.0 AS t_stat, abs(t_stat) >= t AS significant FROM sg LEFT JOIN tt ON tt.n = sg.n")
@@ -385,7 +385,7 @@ def final_lead(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("dieoff_table", fx.with_sql("exp_stats", *_ci_sql("rc*rc", "rm*rm", "sqrt(greatest(0, {x}))", TIERS), TIER, CURVE_SQL) + "SELECT c.experiment, c.lead, c.lead/24.0::DOUBLE AS day, round(c.rms, 6) + 0.0 AS rms, round(c.rms - k.rms, 6) + 0.0 AS diff, tier FROM cv c LEFT JOIN cv k ON k.experiment = 0 AND k.lead = c.lead LEFT JOIN ti ON ti.experiment = c.experiment AND ti.lead = c.lead")
 def dieoff_table(spark: SparkSession, sf: str) -> DataFrame:
-    """Curves with differences from the control and their tiers."""
+    """Curves with differences from the control and their tiers."""
     got = compare.die_off(_curves(spark, sf), _tiers(spark, sf), 0, ["lead"], "rms")
     return got.select("experiment", "lead", calendar.forecast_day(F.col("lead")).alias("day"), r6("rms").alias("rms"), r6("diff").alias("diff"), "tier")
 
@@ -432,10 +432,9 @@ def incremental_dates(spark: SparkSession, sf: str) -> DataFrame:
     return f.join(F.broadcast(fresh), "init_idx").groupBy("init_idx").agg(F.count("*").alias("n_cells"))
 
 
-@query("stat_names", fx.with_sql("exp_stats", "n(name) AS (VALUES ('T_rms'), ('T2m_rms_bar_avg'), ('Q_acorr_glo'), ('Z_f_c'))") + "SELECT name, regexp_extract(name, '^([^_]+)_', 1) AS var, regexp_extract(regexp_replace(name, '_(avg|glo)$', ''), '^[^_]+_(.*)$', 1) AS stat, CASE WHEN name LIKE '%_avg' THEN 'avg' WHEN name LIKE '%_glo' THEN 'glo' ELSE 'each' END AS kind, (SELECT count(*) FROM exp_stats) AS n_rows FROM n")
+@query("stat_names", fx.with_sql("exp_stats") + "SELECT regexp_extract(name, '^([^_]+)_', 1) AS var, regexp_extract(regexp_replace(name, '_(avg|glo)$', ''), '^[^_]+_(.*)$', 1) AS stat, CASE WHEN name LIKE '%_avg' THEN 'avg' WHEN name LIKE '%_glo' THEN 'glo' ELSE 'each' END AS kind, count(*) AS n, round(max(value), 6) + 0.0 AS top FROM (SELECT acorr AS \"T2m_acorr\", rms AS \"T_rms_bar_avg\", rms*acorr AS \"Q_mse_glo\" FROM exp_stats) UNPIVOT (value FOR name IN (\"T2m_acorr\", \"T_rms_bar_avg\", \"Q_mse_glo\")) GROUP BY 1, 2, 3")
 def stat_names(spark: SparkSession, sf: str) -> DataFrame:
-    """Parts of array names (F15), with the rows of a statistics table."""
-    n = _experiments(spark, sf).agg(F.count("*").alias("n_rows"))
-    names = spark.createDataFrame([("T_rms",), ("T2m_rms_bar_avg",), ("Q_acorr_glo",), ("Z_f_c",)], "name string")
-    got = names.select("name", *(v.alias(k) for k, v in derive.split_stat_name(F.col("name")).items())).withColumn("k", F.lit(1))
-    return got.join(F.broadcast(n.withColumn("k", F.lit(1))), "k").drop("k")
+    """Wide statistics by the parts of their array names."""
+    wide = _experiments(spark, sf).select(F.col("acorr").alias("T2m_acorr"), F.col("rms").alias("T_rms_bar_avg"), (F.col("rms") * F.col("acorr")).alias("Q_mse_glo"))
+    long = wide.unpivot([], wide.columns, "name", "value")
+    return long.groupBy(*(v.alias(k) for k, v in derive.split_stat_name(F.col("name")).items())).agg(F.count("value").alias("n"), r6(F.max("value")).alias("top"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,29 +28,39 @@ def listed_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFr
 def matched_files(keys: DataFrame, templates: list[str], files: DataFrame, base: str = "") -> DataFrame:
     """(keys, path, n_matches): of each key (init_date, valid_time) the file of the first template that has one.
 
-    Templates may hold * and ?; files are matched by their exact path with a hash join where
-    they hold none. Keys without a file keep a null path.
+    Templates may hold * and ?, every other sign stands for itself. Files meet keys in a hash join on their exact
+    path or, with wildcards, on the folders before the first. Keys without a file keep a null path.
     """
-    options = F.array(*(F.struct(F.lit(k).alias("priority"), F.concat(F.lit(base), template_path(t, F.col("init_date"), F.col("valid_time"))).alias("wanted")) for k, t in enumerate(templates)))
-    wide = keys.select(*keys.columns, F.explode(options).alias("o")).select(*keys.columns, "o.priority", "o.wanted")
+    depths = [re.split("[*?]", base + re.sub("{.*?}", "", t))[0].count("/") for t in templates]
+    options = F.array(*(F.struct(F.lit(k).alias("priority"), F.lit(depths[k]).alias("depth"), F.concat(F.lit(base), template_path(t, F.col("init_date"), F.col("valid_time"))).alias("wanted")) for k, t in enumerate(templates)))
+    wide = keys.select(*keys.columns, F.explode(options).alias("o")).select(*keys.columns, "o.*")
     path = F.regexp_replace("path", "^file:/*", "/")
     have = files.select(path.alias("path"))
     if any(c in t for t in templates for c in "*?"):
-        pattern = F.regexp_replace(F.regexp_replace(F.regexp_replace("wanted", r"[.]", r"\\."), r"[*]", "[^/]*"), r"[?]", "[^/]")
-        hits = wide.join(have, F.regexp_like(have["path"], F.concat(F.lit("^"), pattern, F.lit("$"))))
+        # the folders before the first wildcard are an equality key, so that the join hashes
+        folder = lambda p: F.array_join(F.slice(F.split(p, "/"), F.lit(1), F.col("depth")), "/")
+        have = have.withColumn("depth", F.explode(F.array(*(F.lit(d) for d in sorted(set(depths)))))).withColumn("folder", folder("path"))
+        wide = wide.withColumn("folder", folder("wanted"))
+        literal = F.concat(F.lit(r"^\Q"), F.replace(F.replace("wanted", F.lit("*"), F.lit(r"\E[^/]*\Q")), F.lit("?"), F.lit(r"\E[^/]\Q")), F.lit(r"\E$"))
+        hits = wide.join(have, ["depth", "folder"]).where(F.regexp_like("path", literal))
     else:
         hits = wide.join(have, wide["wanted"] == have["path"])
     best = hits.groupBy(*keys.columns).agg(F.min_by("path", F.struct("priority", "path")).alias("path"), F.count("*").alias("n_matches"))
     return keys.join(best, keys.columns, "left")
 
 
-def collection_or_default(collections: dict[str, DataFrame], name: str) -> DataFrame:
-    """A collection's files, or the default's if it names none."""
-    if name in collections:
-        return collections[name]
-    if "default" not in collections:
-        raise ValueError(f"collection {name} has no files and there is no default")
-    return collections["default"]
+def collection_files(wanted: DataFrame, listed: DataFrame) -> DataFrame:
+    """(collection, path): the files of each wanted collection, or the default's if it lists none.
+
+    ``listed`` has (collection, turn, path), folders in their order by ``turn``. A file that a collection listed in
+    an earlier folder is not listed again. Collections without files and without a default have a null path.
+    """
+    names = wanted.select("collection").distinct()
+    own = names.join(listed.select("collection").distinct().withColumn("__own", F.lit(True)), "collection", "left")
+    source = own.select("collection", F.when(F.col("__own"), F.col("collection")).otherwise("default").alias("source"))
+    found = source.join(listed.withColumnRenamed("collection", "source"), "source", "left")
+    name = F.substring_index("path", "/", -1)
+    return found.groupBy("collection", name.alias("name")).agg(F.min_by("path", F.struct("turn", "path")).alias("path")).select("collection", "path")
 
 
 def name_metadata(name: Column) -> dict[str, Column]:
@@ -79,7 +91,8 @@ def write_cells(df: DataFrame, path: str, variables: list[str], partition: str)
     about = {v: {"long_name": VARIABLES.get(v.upper(), (v, "", 1.0))[0], "units": VARIABLES.get(v.upper(), (v, "", 1.0))[1]} for v in variables}
     rest = [c for c in df.columns if c not in variables]
     out = df.select(*rest, *(F.col(v).cast("float").alias(v, metadata=about[v]) for v in variables))
-    out.repartition(partition).write.mode("overwrite").partitionBy(partition).parquet(path)
+    # a date may be more than one task's work: its rows of the grid are dealt, too
+    out.repartition(partition, *(c for c in ("lat_idx",) if c in out.columns)).write.mode("overwrite").partitionBy(partition).parquet(path)
 
 
 def stat_catalog(spark: SparkSession, variables: list[str]) -> DataFrame:
@@ -109,9 +122,20 @@ def run_metadata(spark: SparkSession, excluded: list[str], **about: str) -> Data
     return spark.createDataFrame([tuple(row.values())], ", ".join(f"{k} {'int' if isinstance(v, int) else 'string'}" for k, v in row.items()))
 
 
-def read_experiment(spark: SparkSession, paths: list[str], experiment: str) -> DataFrame:
-    """Statistics of an experiment's files, with the file of each row (S12); the same date in two files is an error."""
-    df = spark.read.parquet(*sorted(set(paths))).withColumns({"experiment": F.lit(experiment), "file": F.input_file_name()})
+def file_list(given: str | list[str]) -> list[str]:
+    """Paths of a file specification: a list, or one text with commas between; patterns stay for Spark's reader."""
+    parts = given.split(",") if isinstance(given, str) else given
+    return list(dict.fromkeys(p.strip() for p in parts if p.strip()))
+
+
+def read_experiment(spark: SparkSession, given: str | list[str], experiment: str) -> DataFrame:
+    """Statistics of an experiment's files, with the file of each row.
+
+    Files are given as a list, with commas between, or by patterns; averages (columns that end in _avg) are
+    left out, as they are not of one date. The same date in two files is an error.
+    """
+    df = spark.read.parquet(*file_list(given))
+    df = df.drop(*(c for c in df.columns if c.endswith("_avg"))).withColumns({"experiment": F.lit(experiment), "file": F.input_file_name()})
     twice = df.select("file", "init_date").distinct().groupBy("init_date").agg(F.count("*").alias("n")).where("n > 1")
     if not twice.isEmpty():
         raise ValueError(f"{experiment}: dates in several files, such as {twice.first()['init_date']}")

@@ -153,7 +153,7 @@ def test_names_levels_and_grid(spark):
     with pytest.raises(ValueError):
         check_spacing(13, 24, 10, 15)
     with pytest.raises(ValueError):
-        regions.check_known(["GLO", "XXX"])
+        regions.cells_of_regions(grid(spark, 13, 24), {}, ("GLO", "XXX"))
     assert catalog.unit_of("T", "mse") == "(K)^2" and catalog.unit_of("T", "acorr") == "unitless"
 
 
@@ -165,17 +165,22 @@ def test_box_over_the_date_line(spark):
 
 def test_merge_prefers_the_first(spark):
     one = spark.createDataFrame([(1, 1.0), (2, None)], "k int, v double")
-    two = spark.createDataFrame([(2, 5.0), (3, 6.0)], "k int, v double")
-    assert sorted(map(tuple, align.merged([one, two], ["k"]).collect())) == [(1, 1.0), (2, 5.0), (3, 6.0)]
+    two = spark.createDataFrame([(2, 5.0, 7.0), (3, 6.0, 8.0)], "k int, v double, w double")
+    # a variable is one file's, whole: the second's values never fill gaps of the first's
+    assert sorted(map(tuple, align.merged([one, two], ["k"]).collect())) == [(1, 1.0, None), (2, None, 7.0), (3, None, 8.0)]
+    got = align.combined(two, one, ["k"])
+    assert got.columns == ["k", "v", "w"] and sorted(map(tuple, got.collect())) == [(1, 1.0, None), (2, None, 7.0), (3, None, 8.0)]
 
 
 def test_write_and_increment(spark, tmp_path):
-    df = cells(spark, 0.1).withColumn("init_date", F.lit("2024-05-01"))
+    df = cells(spark, 0.1).withColumns({"init_date": F.lit("2024-05-01"), "lead": F.lit(0)})
     out = str(tmp_path / "stats")
-    compute = lambda c: statistics.regional(c, ["init_date"])
+    compute = lambda c: statistics.regional(c, ["init_date", "lead"])
     incremental.append_batch(df, out, compute)
     incremental.append_batch(df.union(df.withColumn("init_date", F.lit("2024-05-02"))), out, compute)
     assert spark.read.parquet(out).count() == 2
+    incremental.append_batch(df.withColumn("lead", F.lit(12)), out, compute)  # a later lead of a known date
+    assert sorted((str(r["init_date"]), r["lead"]) for r in spark.read.parquet(out).collect()) == [("2024-05-01", 0), ("2024-05-01", 12), ("2024-05-02", 0)]
     fields.write_cells(df, str(tmp_path / "cells"), ["f"], "init_date")
     back = spark.read.parquet(str(tmp_path / "cells"))
     assert back.count() == 40 and dict(back.dtypes)["f"] == "float"
@@ -183,13 +188,17 @@ def test_write_and_increment(spark, tmp_path):
 
 
 def test_stream_equals_batch(spark, tmp_path):
-    df = cells(spark, 0.1, 7).withColumn("init_date", F.lit("2024-05-01"))
+    df = cells(spark, 0.1, 7).withColumns({"init_date": F.lit("2024-05-01"), "lead": F.lit(0)})
     source, out = str(tmp_path / "in"), str(tmp_path / "out")
     df.coalesce(1).write.parquet(source)
-    compute = lambda c: statistics.regional(c, ["init_date"])
-    incremental.verification_stream(spark, source, df.schema.simpleString()[7:-1].replace(":", " "), out, str(tmp_path / "ck"), compute).awaitTermination()
+    compute = lambda c: statistics.regional(c, ["init_date", "lead"])
+    follow = lambda: incremental.verification_stream(spark, source, df.schema.simpleString()[7:-1].replace(":", " "), out, str(tmp_path / "ck"), compute).awaitTermination()
+    follow()
     got, want = spark.read.parquet(out).first(), compute(df).first()
     assert math.isclose(got["rms"], want["rms"], rel_tol=1e-12)
+    df.withColumn("lead", F.lit(12)).coalesce(1).write.mode("append").parquet(source)  # files that come later
+    follow()
+    assert sorted(r["lead"] for r in spark.read.parquet(out).collect()) == [0, 12]
 
 
 def test_scorecard_files(spark, tmp_path):
@@ -204,3 +213,96 @@ def test_names_of_outputs(spark):
     assert name == "fcst_default_m_20240501-20240531_len7d_int12h_spc1d_excl2_91x144"
     r = spark.createDataFrame([("reg_M_A_C_len7d_int12h_excl2",)], "n string").select(*(c.alias(k) for k, c in fields.name_metadata(F.col("n")).items())).first()
     assert (r["fcst"], r["length_days"], r["interval"], r["spacing"], r["excluded"]) == ("M", 7, 12, 1, 2)
+
+
+def test_a_missing_value_makes_intervals_missing(spark):
+    rows = [(e, d, 0, None if (e, d) == (1, 3) else 0.5 + 0.01 * d * (e + 1)) for e in (0, 1, 2) for d in range(7)]
+    df = spark.createDataFrame(rows, "experiment int, init_day int, lead int, rms double")
+    got = {r["experiment"]: r for r in compare.paired_interval(compare.paired(df, 0, ["lead"], "rms"), ["lead"], (0.95,), False).collect()}
+    assert got[1]["lower"] is None and got[1]["n"] == 7 and got[2]["lower"] is not None
+    sig = {r["experiment"]: r for r in compare.significance(compare.paired(df, 0, ["lead"], "rms"), ["lead"], 0.9).collect()}
+    assert sig[1]["t_stat"] is None and sig[2]["t_stat"] is not None
+    assert compare.synoptic_interval(df, 0, ["lead"], "rms", (0.95,), False).first()["lower"] is None
+
+
+def test_units_do_not_matter(spark):
+    df = cells(spark, 0.1)
+    tiny = df.withColumns({v: F.col(v) * 1e-9 for v in "fac"})
+    one, two = (statistics.regional(d, ["k"], ("acorr", "rms_dsp")).first() for d in (df, tiny))
+    assert math.isclose(one["acorr"], two["acorr"], rel_tol=1e-9) and math.isclose(one["rms_dsp"] * 1e-18, two["rms_dsp"], rel_tol=1e-6)
+    flat = statistics.regional(df.withColumns({"f": F.lit(0.1), "a": F.lit(0.1)}), ["k"], ("rms_dsp",)).first()
+    assert flat["rms_dsp"] is None
+    pairs = spark.createDataFrame([(1, d, 0.5 + 1e-6 * d, 0.5) for d in range(5)] + [(2, d, 0.3 + 0.1, 0.1) for d in range(5)], "experiment int, init_day int, x_model double, x_ctl double")
+    got = {r["experiment"]: r["t_stat"] for r in compare.significance(pairs, [], 0.9).collect()}
+    assert got[1] is not None and got[2] is None
+
+
+def test_loading_names_what_is_missing(spark):
+    f = spark.createDataFrame([(k, lead, lev, 1.0) for k in range(3) for lead in (0, 12) for lev in (1000, 850)], "init_idx int, lead int, lev int, f double")
+    a = spark.createDataFrame([(0, 1.0), (1, 1.0)], "init_idx int, a double")
+    assert validate.loaded({"F": f, "A": a}, [850], [0], (0, 1), {"A": ["init_idx"]})["F"].count() == 2
+    for args, what in ((([700],), "levels"), ((None, [6]), "leads"), ((None, None, None, {"A": ["init_idx"]}), "times of A")):
+        with pytest.raises(ValueError, match=what):
+            validate.loaded({"F": f, "A": a}, *args)
+
+
+def test_chunks(spark):
+    one, two = (spark.createDataFrame([(d, 0, float(d), 10 * d) for d in ds], "init_idx int, lead int, v double, s int") for ds in ((0, 1), (2, 3)))
+    got = validate.chunks_merged([two, one], ["init_idx", "lead"], "init_idx", ("s",)).collect()
+    assert [(r["init_idx"], r["s"]) for r in got] == [(0, 0), (1, 0), (2, 0), (3, 0)]
+    for bad, what in (([], "no chunks"), ([one, one], "several"), ([one, two.where("false")], "no rows")):
+        with pytest.raises(ValueError, match=what):
+            validate.chunks_merged(bad, ["init_idx", "lead"], "init_idx")
+
+
+def test_experiment_files(spark, tmp_path):
+    for k in (1, 2):
+        spark.createDataFrame([(k, 0.5, 0.6)], "init_date int, T_rms double, T_rms_avg double").write.parquet(str(tmp_path / f"f{k}"))
+    assert fields.file_list("a, b,,a") == ["a", "b"]
+    for given in (f"{tmp_path}/f1,{tmp_path}/f2", [f"{tmp_path}/f1", f"{tmp_path}/f2"], f"{tmp_path}/f*"):
+        got = fields.read_experiment(spark, given, "e")
+        assert got.count() == 2 and "T_rms_avg" not in got.columns
+    spark.createDataFrame([(2, 0.5)], "init_date int, T_rms double").write.parquet(str(tmp_path / "f3"))
+    with pytest.raises(ValueError, match="several files"):
+        fields.read_experiment(spark, f"{tmp_path}/f*", "e")
+
+
+def test_written_statistics_and_metadata(spark, tmp_path):
+    stats = spark.createDataFrame([(1, "T", "rms", 0.5), (1, "T", "acorr", 0.9)], "init_date int, var string, stat string, value double")
+    fields.write_statistics(stats, str(tmp_path / "s"))
+    got = {r["stat"]: r["units"] for r in spark.read.parquet(str(tmp_path / "s")).collect()}
+    assert got == {"rms": "K", "acorr": "unitless"}
+    r = fields.run_metadata(spark, ["20240503"], note="x").first()
+    assert (r["excluded_dates"], r["n_excluded"], r["note"]) == ("20240503", 1, "x")
+    back = fields.read_cells(spark, [str(tmp_path / "s")], ["stat"], ["value"])
+    assert back.count() == 2 and back.columns == ["stat", "value"]
+
+
+def test_reuse_of_results(spark):
+    stats = spark.createDataFrame([(d, r) for d in (1, 2) for r in ("GLO", "NHE")], "init_date int, region string")
+    assert incremental.shape_mismatches(stats, 2, ["NHE", "GLO"]) == []
+    assert len(incremental.shape_mismatches(stats, 3, ["GLO"])) == 2
+    assert incremental.shape_mismatches(cells(spark), 1, shape=(5, 9), date="k") == ["grid 5x8 instead of 5x9"]
+
+
+def test_regridding_drops_what_is_no_number(spark):
+    df = cells(spark, n_lat=13, n_lon=24).withColumn("note", F.lit("x"))
+    tables = regrid.overlap_tables(spark, (13, 24), (7, 12))
+    got, gone = regrid.regridded(df, tables, ["k"], ["f", "note", "none"])
+    assert got.count() == 84 and gone == ["note", "none"]
+    with pytest.raises(ValueError, match="note"):
+        regrid.regridded(df, tables, ["k"], ["f", "note"], ("note",))
+
+
+def test_dependencies_in_other_collections(spark):
+    one, two = spark.createDataFrame([(1, 0.004)], "k int, Q2m double"), spark.createDataFrame([(1, 1e5)], "k int, ps double")
+    assert derive.across_collections([one, two], ["k"], ["D2m"]).first()["D2m"] > 270
+    with pytest.raises(ValueError, match="PS"):
+        derive.across_collections([one], ["k"], ["D2m"])
+
+
+def test_work_that_is_not_there(spark):
+    df = spark.createDataFrame([(0, "GLO")], "experiment int, region string")
+    assert validate.wanted_work(df, experiment=[0]).count() == 1
+    with pytest.raises(ValueError, match="region"):
+        validate.wanted_work(df, region=["NHE"])
