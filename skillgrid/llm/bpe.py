@@ -81,13 +81,18 @@ def _encodable(text: str) -> bool:
     return True
 
 
+def _is_space(sign: str) -> bool:
+    r"""What the pattern's \\s matches: white space by Unicode, without the separators U+001C to U+001F."""
+    return sign.isspace() and not "\x1c" <= sign <= "\x1f"
+
+
 def _sync_left(text: str, lo: int, mid: int) -> int:
     """Last synchronisation point in (lo, mid), else lo; looked for in growing windows."""
     reach = FIRST_REACH
     while True:
         a = max(lo, mid - reach)
         for p in range(mid - 1, a, -1):
-            if text[p].isspace() and not text[p - 1].isspace():
+            if _is_space(text[p]) and not _is_space(text[p - 1]):
                 return p
         if a == lo:
             return lo
@@ -100,7 +105,7 @@ def _sync_right(text: str, mid: int, hi: int) -> int:
     while True:
         b = min(hi, mid + reach)
         for p in range(mid + 1, b):
-            if text[p].isspace() and not text[p - 1].isspace():
+            if _is_space(text[p]) and not _is_space(text[p - 1]):
                 return p
         if b == hi:
             return hi

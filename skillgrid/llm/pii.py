@@ -145,6 +145,7 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *(span_count(spans, k).alias(f"n_{k}") for k in BASE_KINDS),
         span_digest(spans, BASE_KINDS).alias("base_sha256"),
         span_text(spans).alias("spans"),
+        F.size(spans).cast("long").alias("n_spans"),
     )
 
 

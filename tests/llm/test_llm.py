@@ -564,3 +564,126 @@ def test_digests_of_the_queries(spark, tmp_path):
     ids = bpe.codec(RANKS, PATTERN).encoding.encode_ordinary("a token=abcdefgh12")
     assert b[1]["ids_sha256"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest() and b[1]["n_tokens"] == len(ids)
     assert b[2]["decoded_sha256"] == hashlib.sha256(b"").hexdigest()
+
+
+def brute_mixture(docs):
+    """Ids of (id, text, lang, source) that capped raking draws, in plain Python."""
+    def topic(t):
+        return next((n for sign, n in ((" | ", "table"), ("@", "contact"), ("icense", "notice"), ("!!", "shout")) if sign in t), "prose") if t is not None else "none"
+
+    key = {i: (source or "", lang or "", topic(t)) for i, t, lang, source in docs}
+    tokens = {}
+    for i, t, *_ in docs:
+        tokens[key[i]] = tokens.get(key[i], 0) + (t.count(" ") + 1 if t else 0)
+    share, weight = mixing.TOKEN_SHARE, {c: n * mixing.TOKEN_SHARE for c, n in tokens.items()}
+    goals = []
+    for d, name in enumerate(("source", "lang", "topic")):
+        sums = {}
+        for c, n in tokens.items():
+            sums[c[d]] = sums.get(c[d], 0) + n
+        powers = {v: n ** mixing.TARGETS[name] for v, n in sums.items()}
+        goals.append({v: p / sum(powers.values()) * sum(tokens.values()) * share for v, p in powers.items()})
+    for _ in range(mixing.PASSES):
+        for d, goal in enumerate(goals):
+            new = dict(weight)
+            for v in goal:
+                cells = [c for c in weight if c[d] == v]
+                full = [c for c in cells if weight[c] >= tokens[c]]
+                whole, taken = sum(weight[c] for c in cells), sum(weight[c] for c in full)
+                for c in cells:
+                    if whole > goal[v]:
+                        factor = goal[v] / whole
+                    else:
+                        factor = 1.0 if c in full or whole == taken else (goal[v] - taken) / (whole - taken)
+                    new[c] = min(tokens[c], weight[c] * factor)
+            weight = new
+    return {i for i in key if tokens[key[i]] and int(hashlib.md5(str(i).encode()).hexdigest()[:12], 16) / 2**48 < weight[key[i]] / tokens[key[i]]}
+
+
+def test_pipeline_equals_brute_force(spark, tmp_path):
+    """The whole pipeline against plain Python, stage by stage."""
+    rnd = random.Random(12)
+    vocab = {"en": "the house and a garden with old trees near water where people walk".split(), "de": "das haus und der garten mit alten baum am wasser wo leute gehen".split()}
+    docs = {}
+    for i in range(160):
+        lang = "en" if rnd.random() < 0.7 else "de"
+        w = [rnd.choice(vocab[lang]) + (str(rnd.randrange(50)) if rnd.random() < 0.3 else "") for _ in range(rnd.randint(8, 60))]
+        docs[i] = (i, " ".join(w), lang if rnd.random() < 0.9 else None, rnd.choice(["web", "web", "book", None]))
+    for i in range(160, 200):
+        base = docs[rnd.randrange(100)]
+        w = base[1].split()
+        w[rnd.randrange(len(w))] = rnd.choice(["changed", "token=abcdefgh1234", "q8Zr7Wm2Xt5Lp9Vd4Bn1Ks6", "mail@host.org"])
+        docs[i] = (i, " ".join(w), base[2], base[3])
+    docs |= {200: (200, None, "en", "web"), 201: (201, "", "en", "web"), 202: (202, "12 34 !!", None, None)}
+    rows = [(*d, len(d[1] or ""), "more") for d in docs.values()]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, extra string")
+    df.repartition(3).write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r["doc_id"]: r for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+
+    model = langid.fit(langid.training_counts(df))
+    left = []
+    for i, text, lang, source in docs.values():
+        if any(c.isalpha() for c in text or ""):
+            bits = langid.code_lengths(model, [text.encode()])[0]
+            if 1 / np.exp2(bits.min() - bits).sum() >= langid.MIN_SCORE:
+                left.append((i, text, lang, source))
+    classes = brute_classes({d[0]: d[1] for d in left}, 5, 80)
+    left = [d for d in left if classes[d[0]][1] == d[0]]
+    assert len(left) < 190
+    own, clean = bpe.codec(RANKS, PATTERN), []
+    for i, text, lang, source in left:
+        out, at = "", 0
+        for _, a, b in secrets.find_secrets(text, own):
+            if a >= at:
+                out += text[at:a] + "[SECRET]"
+            at = max(at, b)
+        clean.append((i, out + text[at:], lang, source))
+    drawn = brute_mixture(clean)
+    assert set(got) == drawn and drawn
+    for i, text, lang, source in clean:
+        if i in drawn:
+            ids = own.encoding.encode_ordinary(text)
+            assert (got[i]["token_ids"], got[i]["n_tokens"], got[i]["round_trip"], got[i]["lang"], got[i]["source"]) == (ids, len(ids), True, lang, source)
+
+
+def test_results_replace_columns_of_their_names(spark, empty):
+    """Columns that the operators make replace given ones; others stay; repeated rows have equal results."""
+    rows = [(1, "a token=abcdefgh12 me@host.org", "en", "s", 1)] * 2 + [(2, None, None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, x int")
+    common.ship(spark)
+    for name in ("secret_spans", "pii_spans", "licences", "licence_sentences", "language", "toxicity", "keep_probability"):
+        df = df.withColumn(name, F.lit("old"))
+    model = langid.fit(langid.training_counts(df))
+    made = {
+        "secret_spans": secrets.scan_secrets(df, RANKS, PATTERN), "pii_spans": pii.scan_pii(df), "licences": licences.scan_licences(df), "language": langid.identify(df, model),
+        "toxicity": toxicity.score_toxicity(df, None), "keep_probability": mixing.mixed(df, {"lang": F.col("lang")}, {"lang": 0.5}, 1.0),
+    }
+    for name, out in made.items():
+        assert sorted(out.columns) == sorted(df.columns), name
+        got = out.collect()
+        assert len(got) == (2 if name == "keep_probability" else 3) and all(r[name] != "old" for r in got), name
+        assert got[0] == got[1] if name != "language" else True
+    extra = spark.createDataFrame([(k, [1.0 * k, 2.0], "c") for k in range(1, 9)], "vec_id long, embedding array<double>, score string").withColumn("rank", F.lit("r"))
+    use = topk.usable(extra)
+    assert use.columns == ["id", "v"] and topk.top_products(use, use.where("id = 1"), 2).count() == 2 and ann.nearest(use, use.where("id = 1"), 2).count() == 2
+
+
+def test_language_ties_go_to_the_first_name(spark):
+    df = spark.createDataFrame([(1, "same words here", "b"), (2, "same words here", "a")], "doc_id long, text string, lang string")
+    common.ship(spark)
+    got = langid.identify(df, langid.fit(langid.training_counts(df))).select("language.*").collect()
+    assert {(r["lang_pred"], r["score"]) for r in got} == {("a", 0.5)}
+
+
+def test_very_long_texts(spark):
+    """Texts of a million characters, one of them a single word, in every operator on texts."""
+    texts = ["word and " * 120_000, "x1y" * 300_000, "token=abcdefgh12 " * 1_000]
+    df = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    common.ship(spark)
+    assert jaccard.jaccard_classes(df).count() == 3
+    assert [len(r["secret_spans"]) for r in secrets.scan_secrets(df, RANKS, PATTERN).orderBy("doc_id").collect()][2] == 1_000
+    assert pii.scan_pii(df).count() == licences.scan_licences(df).count() == 3
+    assert langid.identify(df, langid.fit(langid.training_counts(df))).select("language.score").count() == 3
+    own = bpe.codec(RANKS, PATTERN)
+    for r in bpe.round_trip_documents(df.where("doc_id <> 1"), RANKS, PATTERN).collect():
+        assert bytes(r["decoded"]) == r["text"].encode() and r["token_ids"] == own.encoding.encode_ordinary(r["text"])
