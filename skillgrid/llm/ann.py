@@ -193,29 +193,36 @@ def _top(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def search_block(qi: np.ndarray, q: np.ndarray, far: np.ndarray, ci: np.ndarray, c: np.ndarray, k: int, ratio: float) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
-    """Of each query the k nearest rows of a block (ids, cosines) that it verifies before its test holds, and how many it verified."""
+    """Of each query the k nearest rows of a block (ids, cosines) that it verifies before its test holds, and how many it verified.
+
+    Verified rows are ranked by products of unit vectors; cosines are then computed from the vectors
+    themselves for those that may be among the k.
+    """
     pq, pc = project(q), project(c)
+    unit_q, unit_c = (v / np.sqrt((v * v).sum(1, keepdims=True)) for v in (q, c))
     leaves = kd_leaves(pc, LEAF_ROWS)
     lo, hi = np.array([pc[x].min(0) for x in leaves]), np.array([pc[x].max(0) for x in leaves])
+    away = np.maximum((pq * pq).sum(1)[:, None] + (pc * pc).sum(1) - 2 * pq @ pc.T, 0)
     for n in range(len(qi)):
-        best_s, best_i, limit, seen = np.zeros(0), np.zeros(0, np.int64), far[n], 0
+        limit, seen, rows_seen, cos_seen = far[n], 0, np.zeros(0, np.int64), np.zeros(0)
         near = np.flatnonzero(_gap(pq[n], lo, hi) <= ratio * limit + _EPS)
         if len(near):
             rows = np.concatenate([leaves[x] for x in near])
-            rows = rows[ci[rows] != qi[n]]
-            away = ((pc[rows] - pq[n]) ** 2).sum(1)
-            order = np.argsort(away, kind="stable")
-            rows, away = rows[order], away[order]
+            rows = rows[(away[n, rows] <= ratio * limit + _EPS) & (ci[rows] != qi[n])]
+            rows = rows[np.argsort(away[n, rows], kind="stable")]
             at, step = 0, 4 * k
-            while at < len(rows) and away[at] <= ratio * limit + _EPS:
-                some = rows[at : at + step][away[at : at + step] <= ratio * limit + _EPS]
-                s, i = np.concatenate([best_s, cosines(q[n], c[some])]), np.concatenate([best_i, ci[some]])
-                top = _top(s, i, k)
-                best_s, best_i = s[top], i[top]
-                if len(best_s) == k:
-                    limit = min(limit, max(0.0, 2 - 2 * best_s[-1]))
+            while at < len(rows) and away[n, rows[at]] <= ratio * limit + _EPS:
+                some = rows[at : at + step]
+                some = some[away[n, some] <= ratio * limit + _EPS]
+                rows_seen, cos_seen = np.concatenate([rows_seen, some]), np.concatenate([cos_seen, unit_c[some] @ unit_q[n]])
+                if len(cos_seen) >= k:
+                    kth = np.partition(cos_seen, len(cos_seen) - k)[len(cos_seen) - k]
+                    may = cos_seen >= kth - _EPS
+                    rows_seen, cos_seen, limit = rows_seen[may], cos_seen[may], min(limit, max(0.0, 2 - 2 * kth))
                 seen, at, step = seen + len(some), at + step, 2 * step
-        yield best_i, best_s, seen
+        score, ids = cosines(q[n], c[rows_seen]), ci[rows_seen]
+        top = _top(score, ids, k)
+        yield ids[top], score[top], seen
 
 
 def _search(k: int, ratio: float):
