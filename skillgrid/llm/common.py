@@ -18,8 +18,19 @@ SPAN_DDL = "array<struct<kind:string,start:int,end:int>>"
 SPAN_ARROW = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
 
 
+#: Rows and bytes of a batch between JVM and Python: texts and sets are long, and both sides hold a batch or two at once.
+BATCH_ROWS, BATCH_BYTES = 2048, 16 << 20
+
+
 def ship(spark: SparkSession) -> None:
-    """Sends this package to the session's Python workers, once a context, as --py-files would."""
+    """Sends this package to the session's Python workers, once a context, as --py-files would.
+
+    Also keeps batches small, unless the session has set their size itself.
+    """
+    batch = "spark.sql.execution.arrow.max%sPerBatch"
+    for name, usual, most in ((batch % "Records", ("10000",), BATCH_ROWS), (batch % "Bytes", ("64MB", "64m", "67108864", "67108864b"), BATCH_BYTES)):
+        if spark.conf.get(name) in usual:
+            spark.conf.set(name, str(most))
     context = spark.sparkContext
     if getattr(context, "_skillgrid_shipped", False):
         return
