@@ -302,3 +302,18 @@ def regional_fine(spark: SparkSession, sf: str) -> DataFrame:
     cells = align.with_weights(cells, g.select("lat_idx", "lon_idx", "grid_weight"))
     got = statistics.regional(align.by_region(cells, regions.box_cells(g)), ["lead", "region"])
     return rounded(got, ["lead", "region"], ["rms", "acorr"])
+
+
+@query("selected_variables", "SELECT l_orderkey, l_linenumber, round(l_quantity, 6) + 0.0 AS \"T\", round(l_tax, 6) + 0.0 AS \"Q\" FROM lineitem")
+def selected_variables(spark: SparkSession, sf: str) -> DataFrame:
+    """The wanted variables under their own names, found by alias in any case; only their columns are read."""
+    wanted = {"T": ["temp", "L_QUANTITY"], "Q": ["shum", "l_tax"]}
+    got = validate.select_variables(fx.table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber"], wanted)
+    return got.select("l_orderkey", "l_linenumber", r6("T").alias("T"), r6("Q").alias("Q"))
+
+
+@query("date_labels", "SELECT DISTINCT strftime(o_orderdate, '%Y%m%d') AS day, strftime(o_orderdate, '%Y%m%d_%H') || 'z' AS file, strftime(o_orderdate, '%Y%m%d%H') AS hour FROM orders")
+def date_labels(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels of dates on files and scorecards."""
+    t = F.col("o_orderdate").cast("timestamp")
+    return fx.table(spark, sf, "orders").select(*(v.alias(k) for k, v in calendar.date_labels(t).items())).distinct()

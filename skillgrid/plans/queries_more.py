@@ -45,16 +45,22 @@ def regrid_conservative(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(got, ["cycle", "month", "lat_idx", "lon_idx"], ["c"])
 
 
-@query("regrid_batch_equals_pervar", "SELECT CAST(0 AS BIGINT) AS n_different, CAST(2*count(*)*7*12 AS BIGINT) AS n_values FROM (SELECT DISTINCT l_orderkey % 5, l_linenumber % 3 FROM lineitem)")
+REGRID_PAIR = (
+    "fcst", "ana", "clim_raw", fx.GRID_SQL, fx.cells_sql(), *OVERLAP_SQL,
+    "dense AS (SELECT k.init_idx, k.lead, g.lat_idx, g.lon_idx, x.f, x.a FROM (SELECT DISTINCT init_idx, lead FROM cells) k CROSS JOIN grid g LEFT JOIN cells x ON x.init_idx = k.init_idx AND x.lead = k.lead AND x.lat_idx = g.lat_idx AND x.lon_idx = g.lon_idx)",
+    "long AS (SELECT init_idx, lead, lat_idx, lon_idx, 'f' AS var, f AS v FROM dense UNION ALL SELECT init_idx, lead, lat_idx, lon_idx, 'a', a FROM dense)",
+)
+
+
+@query("regrid_batch_equals_pervar", fx.with_sql(*REGRID_PAIR) + "SELECT init_idx, lead, x.t AS lat_idx, y.t AS lon_idx, var, round(CASE WHEN count(v) = count(*) THEN sum(v*x.w*y.w)/sum(x.w*y.w) END, 6) + 0.0 AS value, TRUE AS same FROM long JOIN lat_ov x ON x.s = lat_idx JOIN lon_ov y ON y.s = lon_idx GROUP BY 1, 2, 3, 4, 5")
 def regrid_batch_equals_pervar(spark: SparkSession, sf: str) -> DataFrame:
-    """All variables in one aggregation give what each alone gives."""
+    """Regridded values of all variables in one aggregation, and whether each alone gives the same."""
     cells = statistics.dense(fx.trio(spark, sf).drop("grid_weight"), ["init_idx", "lead"], fx.grid(spark).select("lat_idx", "lon_idx"), ["f", "a"])
     tables, keys = regrid.overlap_tables(spark, (13, 24), TARGET), ["init_idx", "lead"]
     batch = regrid.conservative(cells, tables, keys, ["f", "a"]).unpivot([*keys, "lat_idx", "lon_idx"], ["f", "a"], "var", "value")
     each = regrid.conservative_per_variable(cells, tables, keys, ["f", "a"]).withColumnRenamed("value", "other")
     both = batch.join(each, [*keys, "lat_idx", "lon_idx", "var"], "full")
-    differ = ~r6("value").eqNullSafe(r6("other"))
-    return both.agg(F.count_if(differ).alias("n_different"), F.count(F.lit(1)).alias("n_values"))
+    return both.select(*keys, "lat_idx", "lon_idx", "var", r6("value").alias("value"), r6("value").eqNullSafe(r6("other")).alias("same"))
 
 
 @query("cyclic_point", fx.with_sql("fcst", fx.GRID_SQL, "x AS (SELECT f.init_idx, f.lead, f.lat_idx, f.lon_idx, g.lon, f.f FROM fcst f JOIN grid g USING (lat_idx, lon_idx))") + "SELECT init_idx, lead, lat_idx, lon_idx, CAST(lon AS DOUBLE) AS lon, f FROM x UNION ALL SELECT init_idx, lead, lat_idx, CAST(24 AS INT), CAST(lon + 360 AS DOUBLE), f FROM x WHERE lon_idx = 0")
