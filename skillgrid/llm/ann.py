@@ -240,8 +240,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, confidence: floa
     """(query_id, rank, vec_id, score): the k vectors (id, v) found nearest to each query (id, v) by cosine.
 
     A query is not its own candidate; ties go to the smaller id; only vectors of
-    one dimension compare, and vectors of length zero take no part. Of at most k candidates all are
-    found. Ids are distinct. Empty tables give an empty result.
+    one dimension compare, and vectors of length zero take no part; ``usable`` leaves out nulls and what is not finite
+    before, and takes integer ids only (a text that is no number is an error). Of at most k candidates all are
+    found. Ids are distinct; a repeated row counts as often as it stands there. Empty tables give an empty result.
     """
     ratio = stop_ratio(confidence)
     context = vectors.sparkSession.sparkContext

@@ -621,7 +621,8 @@ def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
 
     Two documents link when 100 * intersection >= percent * union of their shingle
     sets; component_id is the smallest key that links reach. Keys are distinct
-    integers (a row that is repeated whole is returned as often). Documents without words, and null texts, have
+    integers (a row that is repeated whole is returned as often; one with a null key has no component, and a key that is
+    no number is an error). Documents without words, and null texts, have
     empty sets and are alone. An empty table gives an empty result; other columns are not looked at.
     """
     spark = docs.sparkSession
@@ -629,8 +630,9 @@ def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     order = spark.sparkContext.broadcast(shared_shingles(docs, "text", words))
     schema = "id long, n int, digest binary, prefix array<long>, sketch binary"
     signed = kept(docs.mapInArrow(_signatures(words, percent, order), schema))
-    copies = copies_of(signed.where("n > 0"))
-    reps = matched(signed.where("n > 0"), copies.select("id"), "left_anti")
+    sets = signed.where("n > 0 AND id IS NOT NULL")
+    copies = copies_of(sets)
+    reps = matched(sets, copies.select("id"), "left_anti")
     lists = kept(index_lists(reps, percent, block))
     members = kept(lists.where("kind <> 'block'").select(F.explode("members").alias("id")).distinct(), small=True)
     sketches = kept(matched(reps.select("id", "n", "sketch"), members, "left_semi"))

@@ -99,8 +99,8 @@ def mixed(
     """The drawn rows of ``docs`` with the probability by which each was drawn.
 
     ``dimensions`` gives the column of each dimension, ``targets`` its target weights: by value, or as a power of the
-    tokens. A null value counts as a value of its own (the empty string). Documents without tokens are never
-    drawn. A repeated id is drawn or left out in all its rows. All columns of ``docs`` stay; a column named ``out`` is
+    tokens. A null value counts as a value of its own (the empty string). Documents without tokens, and those
+    without a key, are never drawn. A repeated id is drawn or left out in all its rows. All columns of ``docs`` stay; a column named ``out`` is
     replaced. An empty table gives an empty result.
     """
     names = {n: f"__mix_{n}" for n in dimensions}

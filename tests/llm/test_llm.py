@@ -169,6 +169,14 @@ def test_jaccard_equals_brute_force(spark, n_words, percent, block):
     assert got == brute_classes(docs, n_words, percent)
 
 
+def test_jaccard_of_null_keys_and_repeated_rows(spark):
+    rows = [(None, "a b c d e"), (None, "a b c d e"), (3, "a b c d e"), (3, "a b c d e"), (5, "A b c d e"), (7, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    common.ship(spark)
+    got = sorted(map(tuple, jaccard.jaccard_classes(df).collect()), key=repr)
+    assert got == sorted([(None, 2, None)] * 2 + [(3, 2, 3)] * 2 + [(5, 2, 3), (7, 0, 7)], key=repr)
+
+
 def test_jaccard_of_nothing(empty):
     assert jaccard.jaccard_classes(empty).count() == 0
 
