@@ -382,7 +382,7 @@ def test_language_model(spark, edge, empty):
 def test_long_text_costs_the_same_in_chunks(monkeypatch, spark):
     rows = [(i, "abc abd " * 20, "x") for i in range(30)]
     common.ship(spark)
-    model = langid.fit(langid.training_counts(spark.createDataFrame(rows, "doc_id long, text string, lang string")), min_context=2)
+    model = langid.fit(langid.training_counts(spark.createDataFrame(rows, "doc_id long, text string, lang string")), table_count=2)
     texts = [b"abc", b"", b"abd abc " * 50, b"zzz"]
     one = langid.code_lengths(model, texts)
     monkeypatch.setattr(langid, "_CHUNK", 17)
