@@ -140,21 +140,30 @@ def _local_roots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b): (id, component), component the smallest id that links reach.
 
-    Every task first replaces its own links by stars. Then each round takes the smallest
-    label among a node and its neighbours, and the label of that label, so that long chains need
+    Every task first replaces its own links by stars. An id has at most one root a task; where it has
+    several, these belong together. So only roots are joined further: each round takes the smallest
+    label among a root and its neighbours, and the label of that label, so that long chains need
     few rounds. Labels only fall, so their sum tells whether a round changed any.
     """
-    stars = kept(links.select("a", "b").mapInArrow(_local_roots, "id long, root long"), small=True)
-    both = stars.select(F.col("id").alias("a"), F.col("root").alias("b")).union(stars.select("root", "id")).union(stars.select("id", "id"))
-    label = kept(stars.groupBy("id").agg(F.min("root").alias("component")), small=True)
+    stars = links.select("a", "b").mapInArrow(_local_roots, "id long, root long")
+    of = kept(stars.groupBy("id").agg(F.min("root").alias("root"), F.collect_set("root").alias("roots")), small=True)
+    several = of.where(F.size("roots") > 1).select(F.explode("roots").alias("a"), F.col("root").alias("b"))
+    edges = kept(several.where("a <> b").distinct(), small=True)
+    if edges.isEmpty():
+        return of.select("id", F.col("root").alias("component"))
+    ends = edges.union(edges.select("b", "a"))
+    both = ends.union(ends.select("a", F.col("a").alias("b")).distinct())
+    label = kept(ends.groupBy(F.col("a").alias("id")).agg(F.least(F.first("a"), F.min("b")).alias("component")), small=True)
     total = None
     while True:
         was, total = total, label.agg(F.sum(F.col("component").cast("decimal(38,0)")).alias("t")).first()["t"]
         if total == was:
-            return label
+            break
         near = both.join(label.withColumnRenamed("id", "b"), "b").groupBy(F.col("a").alias("id")).agg(F.min("component").alias("near"))
         beyond = near.select(F.col("id").alias("near"), F.col("near").alias("component"))
         label = kept(near.join(beyond, "near").select("id", "component"), small=True)
+    found = of.join(label.withColumnRenamed("id", "root"), "root", "left")
+    return kept(found.select("id", F.coalesce("component", "root").alias("component")), small=True)
 
 
 def in_slices(f: Callable[..., pa.Array], *arrays: pa.Array, rows: int = 256) -> pa.Array:

@@ -242,6 +242,14 @@ def test_components(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 102), (101, 102)], "a long, b long")
     got = {r[0]: r[1] for r in common.components(links).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100, 102: 100}
+    rnd = random.Random(2)
+    pairs = [(rnd.randrange(300), rnd.randrange(300)) for _ in range(260)]
+    root = list(range(300))
+    for a, b in pairs:
+        x, y = root[a], root[b]
+        root = [min(x, y) if r in (x, y) else r for r in root]
+    many = spark.createDataFrame(pairs, "a long, b long").repartition(9)
+    assert {r[0]: r[1] for r in common.components(many).collect()} == {i: root[i] for p in pairs for i in p}
 
 
 def vectors(spark, seed=0, n=300, dim=8):
