@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import ann, bpe, centroids, dedup, jaccard, langid, licences, mixing, pii, secrets, topk, toxicity
+from . import ann, bpe, centroids, dedup, jaccard, langid, licences, mixing, phrases, pii, secrets, topk, toxicity
 
-_MODULES = (bpe, topk, ann, licences, jaccard, langid, secrets, toxicity, pii, mixing, centroids, dedup)
+_MODULES = (bpe, topk, ann, licences, jaccard, langid, secrets, toxicity, pii, mixing, centroids, phrases, dedup)
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLE = {k: v for m in _MODULES for k, v in m.ORACLE.items()}
