@@ -48,9 +48,14 @@ def grid(spark: SparkSession) -> DataFrame:
 
 def trio(spark: SparkSession, sf_dir: str, forecast: str = "fcst") -> DataFrame:
     """Aligned cells (init_idx, lead, lat_idx, lon_idx, f, a, c, grid_weight)."""
+    return trio_of(spark, sf_dir, view(spark, sf_dir, forecast))
+
+
+def trio_of(spark: SparkSession, sf_dir: str, fcst: DataFrame) -> DataFrame:
+    """The same of any forecast cells (init_idx, lead, lat_idx, lon_idx, f)."""
     from ..operators.align import aligned, with_weights
 
-    fcst = view(spark, sf_dir, forecast).withColumns({"t_idx": F.col("init_idx") * 2 + (F.col("lead") / 12).cast("int"), "cycle": F.col("lead") % 24, "month": F.lit(5)})
+    fcst = fcst.withColumns({"t_idx": F.col("init_idx") * 2 + (F.col("lead") / 12).cast("int"), "cycle": F.col("lead") % 24, "month": F.lit(5)})
     cells = aligned(fcst, view(spark, sf_dir, "ana"), view(spark, sf_dir, "clim_raw"), ("t_idx",), ("cycle", "month"))
     return with_weights(cells, grid(spark).select("lat_idx", "lon_idx", "grid_weight")).drop("t_idx", "cycle", "month")
 
