@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The expressions whose weighted means are needed.
@@ -48,6 +48,28 @@ def raw_sums(f: Column, a: Column, c: Column, w: Column, terms: tuple[str, ...],
     return out
 
 
+def shifts(shifted: bool = True) -> tuple[Column, Column, Column]:
+    """f, a and c, less the column ``shift`` if wanted.
+
+    One constant taken from all three leaves every statistic as it is, as they rest on differences; but sums of squares of values
+    that are large against their spread, such as pressures in Pa, then keep their digits (A5-A12).
+    """
+    return tuple(F.col(x) - F.col("shift") if shifted else F.col(x) for x in "fac")
+
+
+def with_shift(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """Cells with ``shift``: the mean of c, or else of f, over the rows of the same ``keys`` (a variable, a level), null keys included.
+
+    Keys should be few: their means are counted and, if few, broadcast.
+    """
+    centre = F.coalesce(F.avg("c"), F.avg("f"), F.lit(0.0)).alias("shift")
+    if not keys:
+        return cells.crossJoin(F.broadcast(cells.agg(centre)))
+    table = cells.groupBy(*keys).agg(centre).select(*(F.col(k).alias(f"__{k}") for k in keys), "shift")
+    on = [cells[k].eqNullSafe(table[f"__{k}"]) for k in keys]
+    return cells.join(F.broadcast(table), on).drop(*(f"__{k}" for k in keys))
+
+
 def means(terms: tuple[str, ...]) -> dict[str, Column]:
     """Weighted means m_<term>; null where no weight is left (A1)."""
     return {f"m_{t}": F.try_divide(F.col(f"s_{t}"), F.when(F.col(f"n_{t}") != 0, F.col(f"n_{t}"))) for t in terms}

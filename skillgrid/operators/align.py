@@ -19,15 +19,45 @@ def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def aligned(fcst: DataFrame, ana: DataFrame, clim: DataFrame, time: tuple[str, ...], clim_time: tuple[str, ...] | None = None) -> DataFrame:
+def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
+    """Join on equal names in which a missing level is a level of its own: 2-D variables have ``lev`` null.
+
+    Spark still hashes or sorts both sides by all keys.
+    """
+    if "lev" not in keys:
+        return left.join(right, keys, how)
+    r = right.select(*(F.col(c).alias(f"__{c}") if c in keys else F.col(c) for c in right.columns))
+    on = [left[k].eqNullSafe(r[f"__{k}"]) if k == "lev" else left[k] == r[f"__{k}"] for k in keys]
+    return left.join(r, on, how).drop(*(f"__{k}" for k in keys))
+
+
+def with_known_times(cells: DataFrame, other: DataFrame, time: list[str], name: str) -> DataFrame:
+    """``cells``, whose reading fails at a time that the other field lacks altogether (J1); no job runs before.
+
+    Times are few (a row an hour makes a million in a century), so they are broadcast.
+    """
+    times = other.select(*time).distinct().select(*time, F.lit(True).alias("__known"))
+    told = F.concat(F.lit(f"{name} has no time "), F.concat_ws(", ", *(F.concat(F.lit(f"{t}="), F.col(t).cast("string")) for t in time)))
+    flagged = cells.join(F.broadcast(times), time, "left")
+    return flagged.where(F.when(F.col("__known"), F.lit(True)).otherwise(F.raise_error(told).cast("boolean"))).drop("__known")
+
+
+def aligned(fcst: DataFrame, ana: DataFrame, clim: DataFrame, time: tuple[str, ...], clim_time: tuple[str, ...] | None = None, absent: str = "error") -> DataFrame:
     """Forecast cells with the analysis and climatology of their valid time.
 
-    Cells without counterpart keep a null there; whole missing times are what ``missing_times`` reports.
-    Joins are on time and cell, so Spark can hash both sides once on these keys.
+    Cells without counterpart keep a null there; a time that a field lacks altogether is an error when the result is read, or null as well
+    with ``absent="null"``. Joins are on time, variable, level (null for 2-D variables) and cell, where both sides have these, so Spark can
+    hash both sides once on these keys.
     """
-    extra = tuple(k for k in ("lev",) if k in fcst.columns and k in ana.columns)
-    joined = fcst.join(ana, [*time, *extra, *CELL], "left")
-    return joined.join(clim, [*(time if clim_time is None else clim_time), *extra, *CELL], "left")
+    if absent not in ("error", "null"):
+        raise ValueError(f"absent times are an error or null, not {absent}")
+    joined = fcst
+    for other, name, at in ((ana, "the analysis", time), (clim, "the climatology", time if clim_time is None else clim_time)):
+        if absent == "error" and at:
+            joined = with_known_times(joined, other, list(at), name)
+        extra = [k for k in ("var", "lev") if k in fcst.columns and k in other.columns]
+        joined = null_safe_join(joined, other, [*at, *extra, *CELL])
+    return joined
 
 
 def missing_times(fcst: DataFrame, other: DataFrame, time: tuple[str, ...]) -> DataFrame:

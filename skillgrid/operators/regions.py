@@ -17,8 +17,7 @@ def in_box(lat: Column, lon: Column, north: Column, south: Column, east: Column,
 
 
 def cells_of_regions(grid: DataFrame, masks: dict[str, DataFrame], names: tuple[str, ...]) -> DataFrame:
-    """Cells of the named regions, of any kind (M1-M4): components of intersections are made on demand and left out
-    again if they were not asked for; an unknown name is an error."""
+    """Cells of the named regions, of any kind (M1-M4): components of intersections are made on demand and stay; an unknown name is an error."""
     known = {r[0] for r in BOX_REGIONS + MASK_REGIONS} | set(INTERSECTIONS)
     if unknown := [n for n in names if n not in known]:
         raise ValueError(f"unknown regions: {', '.join(unknown)}")
@@ -27,7 +26,7 @@ def cells_of_regions(grid: DataFrame, masks: dict[str, DataFrame], names: tuple[
     for name, mask in masks.items():
         if name in wanted:
             out = out.unionByName(mask_cells(mask, name))
-    return with_intersections(out, tuple(n for n in names if n in INTERSECTIONS)).where(F.col("region").isin(*names))
+    return with_intersections(out, tuple(n for n in names if n in INTERSECTIONS))
 
 
 def box_cells(grid: DataFrame, names: tuple[str, ...] | None = None) -> DataFrame:

@@ -15,6 +15,7 @@ MASK_LAT, MASK_LON = 25, 48
 
 _CELL = "CAST(l_partkey % 13 AS INT) AS lat_idx, CAST(l_suppkey % 24 AS INT) AS lon_idx"
 _F = f"SELECT CAST(l_orderkey % 5 AS INT) AS init_idx, CAST(12*(l_linenumber % 3) AS INT) AS lead, {_CELL}"
+_LEV = "CAST(CASE CAST(l_quantity AS INT) % 3 WHEN 0 THEN 1000 WHEN 1 THEN 850 ELSE 500 END AS INT)"
 #: View name: (table, SQL); the text runs in both engines.
 VIEWS = {
     "fcst": ("lineitem", f"{_F}, MAX(l_quantity) + 10*MAX(l_tax) AS f FROM lineitem GROUP BY 1,2,3,4"),
@@ -29,6 +30,10 @@ VIEWS = {
     "exp_stats": ("events", "SELECT CAST(user_id % 3 AS INT) AS experiment, CAST(EXTRACT(day FROM ts) AS INT) AS init_day, CAST(12*(event_id % 4) AS INT) AS lead, MAX(value)/500 AS acorr, MAX(value) - MIN(value) AS rms FROM events GROUP BY 1,2,3"),
     "mask_src": ("part", "SELECT CAST(p_partkey % 25 AS INT) AS lat_idx, CAST(CAST(floor(p_partkey/25.0) AS BIGINT) % 48 AS INT) AS lon_idx, CAST(MAX(CASE WHEN p_size > 25 THEN 1 ELSE 0 END) AS INT) AS land FROM part GROUP BY 1,2"),
     "multilead": ("orders", "SELECT CAST(o_custkey % 7 AS INT) AS init_idx, o_orderdate AS valid_time, MAX(o_totalprice) AS v FROM orders GROUP BY 1,2"),
+    # variables with levels and without in one frame: T at three levels, T2M with lev null
+    "mixed": ("lineitem", f"SELECT init_idx, lead, 'T' AS var, lev, lat_idx, lon_idx, f FROM ({_F}, {_LEV} AS lev, MAX(l_extendedprice)/1000 AS f FROM lineitem GROUP BY 1,2,3,4,5) x UNION ALL SELECT init_idx, lead, 'T2M', CAST(NULL AS INT), lat_idx, lon_idx, f FROM ({_F}, MAX(l_quantity) + 10*MAX(l_tax) AS f FROM lineitem GROUP BY 1,2,3,4) y"),
+    "ana_mixed": ("lineitem", f"SELECT t_idx, 'T' AS var, lev, lat_idx, lon_idx, a FROM (SELECT CAST(l_orderkey % 11 AS INT) AS t_idx, {_CELL}, {_LEV} AS lev, MIN(l_extendedprice)/1000 AS a FROM lineitem GROUP BY 1,2,3,4) x UNION ALL SELECT t_idx, 'T2M', CAST(NULL AS INT), lat_idx, lon_idx, a FROM (SELECT CAST(l_orderkey % 11 AS INT) AS t_idx, {_CELL}, MIN(l_quantity) + 10*MAX(l_discount) AS a FROM lineitem GROUP BY 1,2,3) y"),
+    "clim_mixed": ("lineitem", f"SELECT cycle, 'T' AS var, lev, lat_idx, lon_idx, c FROM (SELECT CAST(12*(l_orderkey % 2) AS INT) AS cycle, {_CELL}, {_LEV} AS lev, MIN(l_tax)*100 + MAX(l_quantity) AS c FROM lineitem GROUP BY 1,2,3,4) x UNION ALL SELECT cycle, 'T2M', CAST(NULL AS INT), lat_idx, lon_idx, c FROM (SELECT CAST(12*(l_orderkey % 2) AS INT) AS cycle, {_CELL}, MAX(l_discount)*300 AS c FROM lineitem GROUP BY 1,2,3) y"),
 }
 
 
@@ -42,6 +47,15 @@ def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.sql(sql.replace(f"FROM {source}", f"FROM {{{source}}}"), **{source: table(spark, sf_dir, source)})
 
 
+def mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Aligned cells (init_idx, lead, var, lev, lat_idx, lon_idx, f, a, c, grid_weight) of variables with levels and without."""
+    from ..operators.align import aligned, with_weights
+
+    fcst = view(spark, sf_dir, "mixed").withColumns({"t_idx": F.col("init_idx") * 2 + (F.col("lead") / 12).cast("int"), "cycle": F.col("lead") % 24})
+    cells = aligned(fcst, view(spark, sf_dir, "ana_mixed"), view(spark, sf_dir, "clim_mixed"), ("t_idx",), ("cycle",))
+    return with_weights(cells, grid(spark).select("lat_idx", "lon_idx", "grid_weight")).drop("t_idx", "cycle")
+
+
 def grid(spark: SparkSession) -> DataFrame:
     return make_grid(spark, N_LAT, N_LON)
 
@@ -71,6 +85,11 @@ def cells_sql(forecast: str = "fcst", name: str = "cells") -> str:
  LEFT JOIN clim_raw c ON c.cycle = f.lead % 24 AND c.month = 5 AND c.lat_idx = f.lat_idx AND c.lon_idx = f.lon_idx)"""
 
 
+MIXED_SQL = """mcells AS (SELECT f.init_idx, f.lead, f.var, f.lev, f.lat_idx, f.lon_idx, f.f, a.a, c.c, cos(radians(-90.0 + 15.0*f.lat_idx)) AS w
+ FROM mixed f LEFT JOIN ana_mixed a ON a.t_idx = f.init_idx*2 + CAST(f.lead/12 AS INT) AND a.var = f.var AND a.lev IS NOT DISTINCT FROM f.lev AND a.lat_idx = f.lat_idx AND a.lon_idx = f.lon_idx
+ LEFT JOIN clim_mixed c ON c.cycle = f.lead % 24 AND c.var = f.var AND c.lev IS NOT DISTINCT FROM f.lev AND c.lat_idx = f.lat_idx AND c.lon_idx = f.lon_idx)"""
+
+
 def with_sql(*parts: str) -> str:
     """WITH clause of views by name and of further expressions as they are."""
     return "WITH " + ",\n".join(f"{p} AS ({VIEWS[p][1]})" if p in VIEWS else p for p in parts) + "\n"

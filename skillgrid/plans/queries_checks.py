@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar, catalog, derive
 from ..functions.grid import grid as make_grid
 from ..functions.grid import wrapped_longitude
-from ..operators import align, compare, regions, regrid, statistics, validate
+from ..operators import align, atoms, compare, regions, regrid, statistics, validate
 from ..sources import fields
 from ..streaming import incremental
 from . import fixtures as fx
@@ -300,7 +300,7 @@ def regional_fine(spark: SparkSession, sf: str) -> DataFrame:
     g = make_grid(spark, 91, 144)
     cells = align.aligned(fx.view(spark, sf, "fcst_fine"), fx.view(spark, sf, "ana_fine"), fx.view(spark, sf, "clim_fine"), ("lead",), ())
     cells = align.with_weights(cells, g.select("lat_idx", "lon_idx", "grid_weight"))
-    got = statistics.regional(align.by_region(cells, regions.box_cells(g)), ["lead", "region"])
+    got = atoms.regional_by_atoms(cells, regions.box_cells(g), ["lead"], tuple(b[0] for b in catalog.BOX_REGIONS))
     return rounded(got, ["lead", "region"], ["rms", "acorr"])
 
 
