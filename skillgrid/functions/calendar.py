@@ -71,6 +71,67 @@ def template_path(template: str, init_date: Column, valid: Column) -> Column:
     return F.concat(*parts, F.lit(template[end:]))
 
 
+_SIGNS = {"*": "[^/]*", "?": "[^/]"}
+
+
+def _tag_times(template: str, init_date: Column, valid: Column) -> list[tuple[re.Match, Column]]:
+    """The date tags of a template with the time that each writes."""
+    if bad := [m[0] for m in _TAG.finditer(template) if m[3] and m[2] == "YYYYMMDDHH"]:
+        raise ValueError(f"{bad[0]}: YYYYMMDDHH takes no shift")
+    return [(m, (init_date if m[1] == "init" else valid) + F.make_dt_interval(hours=F.lit(int(m[3] or 0) * (24 if m[4] == "d" else 1)))) for m in _TAG.finditer(template)]
+
+
+def template_pattern(template: str) -> str:
+    """A regular expression that whole paths of a template match, with a group for the digits of every date tag."""
+    out, end = "^", 0
+    literal = lambda text: "".join(_SIGNS.get(c, c if c.isalnum() or c in "/_" else "\\" + c) for c in text)
+    for m in _TAG.finditer(template):
+        out += literal(template[end : m.start()]) + f"([0-9]{{{len(_FORMAT[m[2]])}}})"
+        end = m.end()
+    return out + literal(template[end:]) + "$"
+
+
+def one_reading(template: str) -> bool:
+    """Whether a path can be read by a template in one way only: no date tag stands between two stars of one folder's name."""
+    for part in _TAG.sub("\0", template).split("/"):
+        stars = [k for k, c in enumerate(part) if c == "*"]
+        if len(stars) > 1 and "\0" in part[stars[0] : stars[-1]]:
+            return False
+    return True
+
+
+def written_stamp(template: str, init_date: Column, valid: Column) -> Column:
+    """The digits that a template writes for a date, tag by tag."""
+    parts = [F.date_format(time, _FORMAT[m[2]]) for m, time in _tag_times(template, init_date, valid)]
+    return F.concat_ws(" ", *parts) if parts else F.lit("")
+
+
+def read_stamp(template: str, path: Column) -> Column:
+    """The digits that a path has in the places of a template's tags; null if it is no path of the template."""
+    pattern = template_pattern(template)
+    parts = [F.regexp_extract(path, pattern, k + 1) for k in range(len(_TAG.findall(template)))]
+    return F.when(path.rlike(pattern), F.concat_ws(" ", *parts) if parts else F.lit(""))
+
+
+def read_time(template: str, path: Column, which: str) -> Column:
+    """The ``init`` or ``valid`` time that a path of a template is of, shifts undone; null if its tags do not tell the day."""
+    pattern, digits = template_pattern(template), {}
+    for k, m in enumerate(_TAG.finditer(template)):
+        if m[1] == which:
+            hours = int(m[3] or 0) * (24 if m[4] == "d" else 1)
+            text = F.regexp_extract(path, pattern, k + 1)
+            for name, at, size in (("YYYY", 1, 4), ("MM", 5, 2), ("DD", 7, 2), ("HH", 9, 2)):
+                if m[2] == name:
+                    digits.setdefault(hours, {})[name] = text
+                elif len(m[2]) > 4 and len(m[2]) >= at + size - 1:
+                    digits.setdefault(hours, {})[name] = F.substring(text, at, size)
+    for hours, found in digits.items():
+        if {"YYYY", "MM", "DD"} <= found.keys():
+            time = F.try_to_timestamp(F.concat(found["YYYY"], found["MM"], found["DD"], found.get("HH", F.lit("00"))), F.lit("yyyyMMddHH"))
+            return F.when(path.rlike(pattern), time - F.make_dt_interval(hours=F.lit(hours)))
+    return F.lit(None).cast("timestamp")
+
+
 def split_templates(text: str) -> list[str]:
     """Templates of a comma list; commas within braces do not split (S3)."""
     return [t.strip() for t in re.split(r",(?![^{]*\})", text) if t.strip()]

@@ -83,14 +83,21 @@ def unscaled_for_scorecard(value: Column, var: Column, stat: Column) -> Column:
 
 
 def seven_digits(value: Column) -> Column:
-    """A number with seven significant digits as scorecards write it (F8)."""
+    """A number with seven significant digits as scorecards write it (F8).
+
+    Digits are those of the double itself, to the nearest and of two equally near to the even one, as C prints them
+    (but subnormals, which are written from their few own digits).
+    """
     x = value.cast("double")
     size = F.abs(x)
+    pattern = lambda p: F.call_function("format_number", x, F.lit(p))
+    # 1.234567E5 and 1.234567E-5 become 1.234567E+05 and 1.234567E-05
+    power = F.regexp_replace(F.regexp_replace(pattern("0.000000E00"), "E([0-9])", "E+$1"), "E([+-])([0-9])$", "E$10$2")
     out = F.when(x.isNull() | F.isnan(x), "9.9999999E+14").when(x == 0, "0.0000000")
-    out = out.when((size < 0.01) | (size >= 10000), F.format_string("%.6E", x))
+    out = out.when((size < 0.01) | (size >= 10000), power)
     for digits in (1, 2, 3):
-        out = out.when(size < 10**digits, F.format_string(f"%.{7 - digits}f", x))
-    return out.otherwise(F.format_string("%.3f", x))
+        out = out.when(size < 10**digits, pattern("0." + "0" * (7 - digits)))
+    return out.otherwise(pattern("0.000"))
 
 
 def display_name(name: Column) -> Column:

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import functools
-import math
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.distributions import critical_values, t_quantile
+
 #: Significance levels of regional comparisons, and of maps.
 LEVELS, MAP_LEVELS = (0.68, 0.90, 0.95, 0.99, 0.9999), (0.90,)
 CLIP = 1 - 5e-6
@@ -16,42 +16,15 @@ CLIP = 1 - 5e-6
 NO_SPREAD = 1e-14
 
 
-def _t_cdf(t: float, df: int) -> float:
-    """Student's distribution function by Simpson's rule on its density, for t of at least 0."""
-    scale = math.exp(math.lgamma((df + 1) / 2) - math.lgamma(df / 2)) / math.sqrt(df * math.pi)
-    # t = sqrt(df) tan u makes the density cos(u) ** (df - 1) on a finite range
-    top, n = math.atan(t / math.sqrt(df)), 400
-    h = top / n
-    area = sum((1 if k in (0, n) else 4 if k % 2 else 2) * math.cos(k * h) ** (df - 1) for k in range(n + 1))
-    return 0.5 + scale * math.sqrt(df) * area * h / 3
-
-
-@functools.lru_cache(maxsize=4096)
 def t_critical(level: float, n: int) -> float | None:
     """Two-sided critical value for n values, n - 1 degrees of freedom (I7); None under two values."""
-    if n < 2:
-        return None
-    goal, lo, hi = (1 + level) / 2, 0.0, 1e6
-    for _ in range(70):
-        mid = (lo + hi) / 2
-        lo, hi = (mid, hi) if _t_cdf(mid, n - 1) < goal else (lo, mid)
-    return round((lo + hi) / 2, 8)
-
+    return None if n < 2 else t_quantile(level, n - 1)
 
-def t_table(spark: SparkSession, levels: tuple[float, ...], most: int) -> DataFrame:
-    """(level, n, t): critical values for 2 to ``most`` dates; a row a level and number, whatever the statistics' size."""
-    rows = [(lv, n, t_critical(lv, n)) for lv in levels for n in range(2, most + 1)]
-    return spark.createDataFrame(rows, "level double, n long, t double")
 
-
-def with_critical(got: DataFrame, dated: DataFrame, levels: tuple[float, ...], date: str) -> DataFrame:
-    """Aggregates with their number of dates ``n`` joined to critical values.
-
-    No group has more values than there are distinct dates, so only these are counted, on
-    the date column alone; the aggregates run once.
-    """
-    most = dated.select(date).distinct().count()
-    return got.join(F.broadcast(t_table(dated.sparkSession, levels, most)), "n", "left")
+def with_critical(got: DataFrame, levels: tuple[float, ...]) -> DataFrame:
+    """Aggregates with their number of dates ``n``, a row a level with its critical value ``t``; one row without either under two dates."""
+    each = got.withColumn("__c", F.explode_outer(critical_values(levels, F.col("n"))))
+    return each.select(*got.columns, F.col("__c.level").alias("level"), F.col("__c.t").alias("t"))
 
 
 def whole(x: Column, f: Callable[[Column], Column]) -> Column:
@@ -150,7 +123,7 @@ def paired_interval(pairs: DataFrame, keys: list[str], levels: tuple[float, ...]
     got = z.groupBy("experiment", *keys).agg(
         whole(F.col("z_ctl"), F.avg).alias("mean"), whole(F.col("z_d"), F.var_samp).alias("var"), F.count("*").alias("n"), whole(F.col("x_model") - F.col("x_ctl"), F.avg).alias("diff")
     )
-    got = with_critical(got, pairs, levels, date)
+    got = with_critical(got, levels)
     dx = F.col("t") * F.sqrt(F.col("var") / F.col("n"))
     back = F.tanh if correlation else root
     mean = F.col("mean")
@@ -173,7 +146,7 @@ def synoptic_interval(stats: DataFrame, control: int, keys: list[str], value: st
         F.max(F.when(is_ctl, F.col("var"))).alias("var_ctl"), F.when(F.count("var") == F.count(F.lit(1)), F.avg(F.when(~is_ctl, F.col("var")))).alias("var_other"),
         F.max(F.when(is_ctl, F.col("mean"))).alias("mean"), F.max(F.when(is_ctl, F.col("plain"))).alias("plain"), F.max(F.when(is_ctl, F.col("n"))).alias("n"),
     )
-    got = with_critical(got, stats, levels, date)
+    got = with_critical(got, levels)
     dx = F.col("t") * F.sqrt((F.col("var_ctl") + F.col("var_other")) / 2 / F.col("n"))
     back = F.tanh if correlation else root
     mean = F.col("mean")
@@ -186,7 +159,7 @@ def significance(pairs: DataFrame, keys: list[str], level: float, date: str = "i
     got = pairs.groupBy("experiment", *keys).agg(
         whole(d, F.avg).alias("mean"), whole(d, F.var_samp).alias("var"), F.count("*").alias("n"), F.max(F.greatest(F.abs("x_ctl"), F.abs("x_model"))).alias("top")
     )
-    got = with_critical(got, pairs, (level,), date)
+    got = with_critical(got, (level,))
     spread = F.sqrt("var")
     t = F.try_divide(F.col("mean") * F.sqrt(F.col("n") - F.lit(1)), F.when(spread > NO_SPREAD * F.col("top"), spread))
     return got.withColumn("t_stat", t).select("experiment", *keys, "t_stat", (F.abs("t_stat") >= F.col("t")).alias("significant"))

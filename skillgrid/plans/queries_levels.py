@@ -18,11 +18,11 @@ NAMES = tuple(b[0] for b in BOX_REGIONS)
 MIXED = ("mixed", "ana_mixed", "clim_mixed", fx.MIXED_SQL)
 
 
-@query("mixed_aligned", fx.with_sql(*MIXED) + "SELECT var, lev, lead, count(*) AS n, count(a) AS n_a, count(c) AS n_c, round(sum(f), 4) + 0.0 AS f, round(sum(a), 4) + 0.0 AS a, round(sum(c), 4) + 0.0 AS c FROM mcells GROUP BY 1, 2, 3")
+@query("mixed_aligned", fx.with_sql(*MIXED) + "SELECT var, lev, lead, count(*) AS n, count(a) AS n_a, count(c) AS n_c, round(sum(f), 6) + 0.0 AS f, round(sum(a), 6) + 0.0 AS a, round(sum(c), 6) + 0.0 AS c FROM mcells GROUP BY 1, 2, 3")
 def mixed_aligned(spark: SparkSession, sf: str) -> DataFrame:
     """Variables with levels and without in one frame, each with its analysis and climatology."""
     got = fx.mixed(spark, sf).groupBy("var", "lev", "lead")
-    return got.agg(F.count("*").alias("n"), F.count("a").alias("n_a"), F.count("c").alias("n_c"), *(r6(F.sum(x), 4).alias(x) for x in "fac"))
+    return got.agg(F.count("*").alias("n"), F.count("a").alias("n_a"), F.count("c").alias("n_c"), *(r6(F.sum(x)).alias(x) for x in "fac"))
 
 
 # levels take part in group keys, null among them

@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import template_path
+from ..functions.calendar import one_reading, read_stamp, template_path, written_stamp
 from ..functions.catalog import SCORECARD_HEADER, STAT_LONG, long_name_of, unit_of
 from ..operators.align import without_nan
 
@@ -28,27 +28,36 @@ def listed_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFr
 def matched_files(keys: DataFrame, templates: list[str], files: DataFrame, base: str = "") -> DataFrame:
     """(keys, path, n_matches): of each key (init_date, valid_time) the file of the first template that has one.
 
-    Templates may hold * and ?, every other sign stands for itself. Files meet keys in a hash join on their exact
-    path or, with wildcards, on the folders before the first. Keys without a file keep a null path.
+    Templates may hold * and ?, every other sign stands for itself. The dates are read out of each path, as its template would have written them,
+    and files meet keys in a hash join on these digits, wherever the files lie. Where a path can be read in several ways (a date
+    between two stars of one name), the join is on the folders before the first wildcard instead. Keys without a file keep a null path.
     """
-    depths = [re.split("[*?]", base + re.sub("{.*?}", "", t))[0].count("/") for t in templates]
-    options = F.array(*(F.struct(F.lit(k).alias("priority"), F.lit(depths[k]).alias("depth"), F.concat(F.lit(base), template_path(t, F.col("init_date"), F.col("valid_time"))).alias("wanted")) for k, t in enumerate(templates)))
-    wide = keys.select(*keys.columns, F.explode(options).alias("o")).select(*keys.columns, "o.*")
     path = F.regexp_replace("path", "^file:/*", "/")
     have = files.select(path.alias("path"))
-    if any(c in t for t in templates for c in "*?"):
-        # the folders before the first wildcard are an equality key, so that the join hashes
-        folder = lambda p: F.array_join(F.slice(F.split(p, "/"), F.lit(1), F.col("depth")), "/")
-        have = have.withColumn("depth", F.explode(F.array(*(F.lit(d) for d in sorted(set(depths)))))).withColumn("folder", folder("path"))
-        wide = wide.withColumn("folder", folder("wanted"))
-        literal = F.concat(F.lit(r"^\Q"), F.replace(F.replace("wanted", F.lit("*"), F.lit(r"\E[^/]*\Q")), F.lit("?"), F.lit(r"\E[^/]\Q")), F.lit(r"\E$"))
-        hits = wide.join(have, ["depth", "folder"]).where(F.regexp_like("path", literal))
-    else:
-        hits = wide.join(have, wide["wanted"] == have["path"])
+    init, valid = F.col("init_date"), F.col("valid_time")
+    hits = None
+    for k, t in enumerate(templates):
+        whole = base + t
+        if one_reading(whole):
+            wanted = keys.select(*keys.columns, written_stamp(whole, init, valid).alias("__stamp"))
+            found = have.select("path", read_stamp(whole, F.col("path")).alias("__stamp")).where(F.col("__stamp").isNotNull())
+            here = wanted.join(found, "__stamp")
+        else:
+            here = _folder_matches(keys.select(*keys.columns, F.concat(F.lit(base), template_path(t, init, valid)).alias("wanted")), have, re.split("[*?]", base + re.sub("{.*?}", "", t))[0].count("/"))
+        here = here.select(*keys.columns, "path", F.lit(k).alias("priority"))
+        hits = here if hits is None else hits.unionByName(here)
     best = hits.groupBy(*keys.columns).agg(F.min_by("path", F.struct("priority", "path")).alias("path"), F.count("*").alias("n_matches"))
     return keys.join(best, keys.columns, "left")
 
 
+def _folder_matches(wanted: DataFrame, have: DataFrame, depth: int) -> DataFrame:
+    """Keys with the paths that match their own pattern ``wanted``, which are compared within equal first folders."""
+    folder = lambda p: F.array_join(F.slice(F.split(p, "/"), F.lit(1), F.lit(depth)), "/")
+    literal = F.concat(F.lit(r"^\Q"), F.replace(F.replace("wanted", F.lit("*"), F.lit(r"\E[^/]*\Q")), F.lit("?"), F.lit(r"\E[^/]\Q")), F.lit(r"\E$"))
+    both = wanted.withColumn("folder", folder("wanted")).join(have.withColumn("folder", folder("path")), "folder")
+    return both.where(F.regexp_like("path", literal))
+
+
 def collection_files(wanted: DataFrame, listed: DataFrame) -> DataFrame:
     """(collection, path): the files of each wanted collection, or the default's if it lists none.
 
