@@ -32,6 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +52,9 @@ BROADCAST_IDS = 1_000_000
 #: Rows of pairs and lists up to this number are broadcast (about 100 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
+#: Sets that meet the set of a star's centre in one task, about.
+STAR = 64
+
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, hence invertible modulo 2**64
 _LOW = np.uint64((1 << 63) - 1)
@@ -163,6 +167,16 @@ def _sketch(keys: np.ndarray) -> bytes:
     return b"\xff" * size if counts.max(initial=0) >= 255 else counts.astype(np.uint8).tobytes()
 
 
+def _pressed(sketch: bytes) -> bytes:
+    """A sketch for travelling: half its size, as counters are small numbers."""
+    return zstandard.ZstdCompressor(level=1, write_checksum=False).compress(sketch)
+
+
+def _opened(sketches: list[bytes]) -> list[bytes]:
+    opener = zstandard.ZstdDecompressor()
+    return [opener.decompress(s) for s in sketches]
+
+
 def _folded(sketches: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Sketches with as many counters as the shortest has, and which of them bound nothing."""
     size = min(len(s) for s in sketches)
@@ -220,7 +234,7 @@ def _signatures(words: int, percent: int, order):
                     digest.append(xxhash.xxh3_128_digest(keys.tobytes()))
                     size.append(len(s))
                     prefix.append(keys[: prefix_length(len(s), percent)].astype(np.int64))
-                    sketch.append(_sketch(keys))
+                    sketch.append(_pressed(_sketch(keys)))
                 offsets = np.cumsum([0] + [len(p) for p in prefix]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array(size, pa.int32()), pa.array(digest, pa.binary()),
@@ -373,7 +387,7 @@ def _propose(percent: int, turn: int):
             for r in range(batch.num_rows):
                 ids, of, n, sketch = members.values.slice(members.offsets[r].as_py(), len(members[r])).flatten()
                 before = [x.to_numpy() for x in known.values.slice(known.offsets[r].as_py(), len(known[r])).flatten()] if known[r].is_valid else None
-                found = _open_pairs(ids.to_numpy(), of.to_numpy(), n.to_numpy().astype(np.int64), sketch.to_pylist(), batch.column(4)[r].as_py(), before, percent, turn)
+                found = _open_pairs(ids.to_numpy(), of.to_numpy(), n.to_numpy().astype(np.int64), _opened(sketch.to_pylist()), batch.column(4)[r].as_py(), before, percent, turn)
                 at += [r] * len(found)
                 pairs += found
             rows = pa.array(at, pa.int32())
@@ -514,19 +528,18 @@ def _sets(words: int):
 
 def _verify(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """(a, b, overlap, linked) of rows (a, b, shingles) that come two by two, the sets of a pair beside each other."""
-        key, other = None, None
+        """(a, b, overlap, linked) of rows (centre, chunk, role, id, shingles) that come sorted: the set of a star's centre, then those of its ends."""
+        centre, whole = None, None
         for batch in batches:
-            a, b, sets = batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)
+            of, role, ids, sets = batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), batch.column(4)
             out = []
             for k in range(batch.num_rows):
                 x = sets[k].values.to_numpy()
-                if key == (a[k], b[k]):
-                    both = int(np.intersect1d(x, other, assume_unique=True).size)
-                    out.append((*key, both, 100 * both >= percent * (len(x) + len(other) - both)))
-                    key = None
-                else:
-                    key, other = (a[k], b[k]), x.copy()
+                if role[k] == 0:
+                    centre, whole = of[k], x.copy()
+                elif of[k] == centre:
+                    both = int(np.intersect1d(x, whole, assume_unique=True).size)
+                    out.append((min(centre, ids[k]), max(centre, ids[k]), both, 100 * both >= percent * (len(x) + len(whole) - both)))
             cols = list(zip(*out, strict=True)) if out else [()] * 4
             types = pa.int64(), pa.int64(), pa.int32(), pa.bool_()
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names=["a", "b", "overlap", "linked"])
@@ -534,16 +547,31 @@ def _verify(percent: int):
     return run
 
 
+def stars_of(pairs: DataFrame) -> DataFrame:
+    """(id, centre, chunk, role): where the set of each id of distinct pairs (a, b) is to be compared.
+
+    A pair belongs to the end that is in more pairs, its centre (role 0), whose set goes along once for up to about ``STAR`` others (role 1); so
+    a set with very many pairs is spread over tasks, and its star costs half of what its pairs would.
+    """
+    degree = kept(pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n")), small=True)
+    of = lambda x: bounded(degree.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}")))
+    both = pairs.join(of("a"), "a").join(of("b"), "b")
+    at_a = F.col("n_a") >= F.col("n_b")
+    each = both.select(F.when(at_a, F.col("a")).otherwise(F.col("b")).alias("centre"), F.when(at_a, F.col("b")).otherwise(F.col("a")).alias("id"), F.greatest("n_a", "n_b").alias("n"))
+    ends = each.withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / F.lit(STAR))).cast("int"))
+    ends = ends.select("id", "centre", "chunk", F.lit(1).alias("role"))
+    return ends.unionByName(ends.select(F.col("centre").alias("id"), "centre", "chunk", F.lit(0).alias("role")).distinct())
+
+
 def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b, overlap, linked) of distinct pairs (a, b), by the whole sets of docs (id, text).
+    """(a, b, overlap, linked) of distinct pairs (a, b), by the whole sets (of 63-bit hashes of shingles) of docs (id, text).
 
-    Only the sets of ids in pairs are made. A pair's two sets meet by the pair, so
-    that a set with many pairs is spread over tasks.
+    Only the sets of ids in pairs are made. Sets meet by the stars that their pairs form.
     """
-    pairs = kept(pairs, small=True)
-    ends = pairs.select(F.col("a").alias("id"), "a", "b").union(pairs.select("b", "a", "b"))
-    sets = matched(docs.select("id", "text"), kept(ends.select("id").distinct(), small=True), "left_semi").mapInArrow(_sets(words), "id long, shingles array<long>")
-    met = sets.join(bounded(ends), "id").select("a", "b", "shingles").repartition("a", "b").sortWithinPartitions("a", "b")
+    stars = kept(stars_of(kept(pairs, small=True)), small=True)
+    sets = matched(docs.select("id", "text"), kept(stars.select("id").distinct(), small=True), "left_semi").mapInArrow(_sets(words), "id long, shingles array<long>")
+    order = ["centre", "chunk", "role", "id"]
+    met = sets.join(bounded(stars), "id").select(*order, "shingles").repartition("centre", "chunk").sortWithinPartitions(*order)
     return kept(met.mapInArrow(_verify(percent), "a long, b long, overlap int, linked boolean"), small=True)
 
 
@@ -602,7 +630,8 @@ def _filled(lists: DataFrame, sketches: DataFrame, classes: DataFrame | None = N
 def far_blocks(blocks: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs (list, i, j) of blocks of long lists that were not neighbours, are not all of one class, and may hold links.
 
-    Lists of one class take no part, so the pairs are those of lists with several classes.
+    Lists of one class take no part, so the pairs are those of lists with several classes. Blocks meet by list and band of sizes: sets
+    that link lie in one band or in neighbouring ones.
     """
     of = blocks.select("list", "block", "lo", "hi", "left", F.explode("members").alias("id")).join(classes, "id", "left")
     of = of.withColumn("class", F.coalesce("component", "id")).groupBy("list", "block", "lo", "hi", "left")
@@ -613,7 +642,11 @@ def far_blocks(blocks: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     least = F.ceil(percent * (F.col("lo_i") + F.col("lo_j")) / F.lit(100.0 + percent) - 1e-6)
     may = (F.least("left_i", "left_j") >= least) & (100 * F.col("hi_i") >= percent * F.col("lo_j")) & (100 * F.col("hi_j") >= percent * F.col("lo_i"))
     apart = (F.col("block_i") + 1 < F.col("block_j")) & (F.least("low_i", "low_j") < F.greatest("high_i", "high_j"))
-    return i.join(j, "list").where(apart & may).select("list", F.col("block_i").alias("i"), F.col("block_j").alias("j"))
+    width = float(np.log(100 / min(percent, 99)) * (1 + 1e-9))  # a band may be too wide, never too narrow
+    band = lambda x: F.floor(F.log(F.greatest(x, F.lit(1)).cast("double")) / width)
+    i = i.withColumn("band", F.explode(F.sequence(band(F.col("lo_i")), band(F.col("hi_i")))))
+    j = j.withColumn("band", F.explode(F.sequence(band(F.col("lo_j")) - 1, band(F.col("hi_j")) + 1)))
+    return i.join(j, ["list", "band"]).where(apart & may).select("list", F.col("block_i").alias("i"), F.col("block_j").alias("j")).distinct()
 
 
 def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
