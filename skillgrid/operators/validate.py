@@ -17,10 +17,10 @@ def missing_elements(required: DataFrame, available: DataFrame) -> DataFrame:
 
 def raise_if_any(missing: DataFrame, what: str, shown: int = 10) -> None:
     """Raises with the number of missing rows and the first few."""
-    n = missing.count()
-    if n:
-        first = [", ".join(str(v) for v in r) for r in missing.orderBy(*missing.columns).limit(shown).collect()]
-        raise ValueError(f"{n} {what} missing: " + "; ".join(first))
+    some = missing.orderBy(*missing.columns).limit(shown + 1).collect()
+    if some:
+        n = len(some) if len(some) <= shown else missing.count()
+        raise ValueError(f"{n} {what} missing: " + "; ".join(", ".join(str(v) for v in r) for r in some[:shown]))
 
 
 def first_missing(needed: DataFrame, found: DataFrame, keys: list[str], shown: int = 10) -> DataFrame:
@@ -76,13 +76,62 @@ def select_levels(df: DataFrame, levels: list[int]) -> DataFrame:
     return found
 
 
-def loaded(fields: dict[str, DataFrame], levels: list[int] | None = None, leads: list[int] | None = None, dates: tuple[int, int] | None = None, times: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
+def lacking_variables(fields: dict[str, DataFrame], required: dict[str, list[str]]) -> DataFrame:
+    """(kind, name) of the variables that fields lack: columns of wide frames, values of ``var`` in long ones."""
+    spark = next(iter(fields.values())).sparkSession
+    wanted = spark.createDataFrame([(k, v) for k, names in required.items() for v in names], "kind string, name string")
+    have = spark.createDataFrame([(k, c) for k, df in fields.items() for c in df.columns], "kind string, name string")
+    for k, df in fields.items():
+        if "var" in df.columns:
+            have = have.unionByName(df.select(F.lit(k).alias("kind"), F.col("var").alias("name")).distinct())
+    return missing_elements(wanted, have)
+
+
+def sample_file_problems(files: DataFrame, variables: list[str], levels: list[int] | None = None, fmt: str = "parquet") -> list[str]:
+    """What one sample file of each collection (collection, path) lacks of variables and levels.
+
+    The sample is the first path; of its data only the level column is read. Collections are a handful, so they are gone through here.
+    """
+    out = []
+    for r in files.groupBy("collection").agg(F.min("path").alias("path")).orderBy("collection").collect():
+        sample = files.sparkSession.read.format(fmt).load(r["path"])
+        out += [f"{r['collection']}: no variable {v} in {r['path']}" for v in variables if v not in sample.columns]
+        if levels is not None:
+            have = {x["lev"] for x in sample.where(F.col("lev").isin(*levels)).select("lev").distinct().collect()} if "lev" in sample.columns else set()
+            out += [f"{r['collection']}: no level {v} in {r['path']}" for v in levels if v not in have]
+    return out
+
+
+def in_time_order(df: DataFrame, time: str, keys: tuple[str, ...] = ()) -> DataFrame:
+    """Rows in the order of their time (O2), dealt by its ranges; where times are equal, by ``keys``."""
+    return df.orderBy(time, *keys)
+
+
+def single_forecast(fields: dict[str, DataFrame], date: int, column: str = "init_idx", times: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
+    """F, A and C of one initial date, kept in memory for the statistics that follow.
+
+    No stored result is looked for. The analysis and climatology are cut to the times (``times`` has the columns
+    that they share with the forecast) that the date needs. The caller unpersists them.
+    """
+    out = {"F": fields["F"].where(F.col(column) == date).persist()}
+    for name, df in fields.items():
+        if name != "F":
+            at = (times or {}).get(name)
+            out[name] = (df.join(F.broadcast(out["F"].select(*at).distinct()), at, "left_semi") if at else df).persist()
+    return out
+
+
+def loaded(fields: dict[str, DataFrame], levels: list[int] | None = None, leads: list[int] | None = None, dates: tuple[int, int] | None = None, times: dict[str, list[str]] | None = None, required: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
     """Forecast F, analysis and climatology cut to levels, leads and dates before any statistic.
 
+    Required variables that a field lacks are an error that names them all, for all fields: columns, or values of ``var`` in long frames.
+
     A level or lead that is not there, and a time of the forecast that another field lacks (``times`` has the
     columns it shares with the forecast), is an error that names the first of them.
     """
     out = dict(fields)
+    if required:
+        raise_if_any(lacking_variables({k: out[k] for k in required}, required), "required variables")
     if dates is not None:
         out["F"] = date_range(out["F"], *dates)
     if leads is not None:

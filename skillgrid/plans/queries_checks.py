@@ -103,10 +103,10 @@ def exclusion_mismatches(spark: SparkSession, sf: str) -> DataFrame:
     return compare.exclusion_mismatches(x)
 
 
-@query("date_spacing", fx.with_sql("exp_stats") + "SELECT experiment, CAST(min(step) AS INT) AS spacing FROM (SELECT experiment, init_day - lag(init_day) OVER (PARTITION BY experiment ORDER BY init_day) AS step FROM (SELECT DISTINCT experiment, init_day FROM exp_stats WHERE init_day % (experiment + 1) = 0)) GROUP BY 1")
+@query("date_spacing", fx.with_sql("exp_stats") + "SELECT experiment, CAST(min(step) AS INT) AS spacing FROM (SELECT experiment, init_day - lag(init_day) OVER (PARTITION BY experiment ORDER BY init_day) AS step FROM (SELECT DISTINCT experiment, init_day FROM exp_stats WHERE rms > 250)) GROUP BY 1")
 def date_spacing(spark: SparkSession, sf: str) -> DataFrame:
     """Steps between the dates of experiments."""
-    return compare.date_spacing(fx.view(spark, sf, "exp_stats").where("init_day % (experiment + 1) = 0"))
+    return compare.date_spacing(fx.view(spark, sf, "exp_stats").where("rms > 250"))
 
 
 @query("grid_mismatches", fx.with_sql("fcst", "fcst3", "m AS (SELECT DISTINCT 0 AS experiment, lat_idx, lon_idx FROM fcst UNION SELECT 1, lat_idx, lon_idx FROM fcst UNION SELECT 2, lat_idx, lon_idx + 1 FROM fcst3)", "c AS (SELECT * FROM m WHERE experiment = 0)") + "SELECT CAST(m.experiment AS INT) AS experiment, count(*) AS n_cells, (SELECT count(*) FROM c) AS n_control, count(c.lat_idx) AS n_common FROM m LEFT JOIN c ON c.lat_idx = m.lat_idx AND c.lon_idx = m.lon_idx GROUP BY 1 HAVING count(*) <> (SELECT count(*) FROM c) OR count(c.lat_idx) <> (SELECT count(*) FROM c)")
@@ -263,6 +263,35 @@ def ordered_levels(spark: SparkSession, sf: str) -> DataFrame:
     return n.select(place.alias("place"), "lev", "lead", "n").orderBy(F.desc("lev"), "lead")
 
 
+@query("ordered_times", fx.with_sql("ana") + "SELECT CAST(row_number() OVER (ORDER BY t_idx) AS INT) AS place, t_idx, n, round(top, 6) + 0.0 AS top FROM (SELECT t_idx, count(*) AS n, max(a) AS top FROM ana GROUP BY 1)")
+def ordered_times(spark: SparkSession, sf: str) -> DataFrame:
+    """An analysis in the order of its times, each with its place (O2)."""
+    n = fx.view(spark, sf, "ana").groupBy("t_idx").agg(F.count("*").alias("n"), r6(F.max("a")).alias("top"))
+    placed = n.withColumn("place", F.row_number().over(Window.orderBy("t_idx")))  # a row a time
+    return validate.in_time_order(placed, "t_idx").select("place", "t_idx", "n", "top")
+
+
+SINGLE_SQL = tuple(p.replace("FROM fcst f", "FROM (SELECT * FROM fcst WHERE init_idx = 3) f") for p in REGIONAL)
+
+
+@query("single_forecast", fx.with_sql(*SINGLE_SQL, two_pass("init_idx, lead, region", "rc")) + f"SELECT init_idx, lead, region, {s6(STAT_SQL['rms'], 'rms')}, {s6(STAT_SQL['acorr'], 'acorr')} FROM z")
+def single_forecast(spark: SparkSession, sf: str) -> DataFrame:
+    """Regional statistics of one date, from fields that were cut to it and kept; no averages."""
+    f = fx.view(spark, sf, "fcst").withColumns({"t_idx": F.col("init_idx") * 2 + (F.col("lead") / 12).cast("int"), "cycle": F.col("lead") % 24, "month": F.lit(5)})
+    held = validate.single_forecast({"F": f, "A": fx.view(spark, sf, "ana"), "C": fx.view(spark, sf, "clim_raw")}, 3, times={"A": ["t_idx"], "C": ["cycle", "month"]})
+    cells = align.aligned(held["F"], held["A"], held["C"], ("t_idx",), ("cycle", "month"))
+    cells = align.with_weights(cells, fx.grid(spark).select("lat_idx", "lon_idx", "grid_weight"))
+    got = atoms.regional_by_atoms(cells, regions.box_cells(fx.grid(spark)), ["init_idx", "lead"], tuple(b[0] for b in catalog.BOX_REGIONS))
+    return rounded(got, RKEYS, ["rms", "acorr"])
+
+
+@query("required_variables", fx.with_sql("mixed", "ana_mixed") + "SELECT kind, name FROM (VALUES ('F', 'T'), ('F', 'T2M'), ('F', 'Q'), ('A', 'T2M'), ('A', 'PS')) w(kind, name) WHERE NOT EXISTS (SELECT 1 FROM (SELECT DISTINCT 'F' AS kind, var FROM mixed UNION ALL SELECT DISTINCT 'A', var FROM ana_mixed) h WHERE h.kind = w.kind AND h.var = w.name)")
+def required_variables(spark: SparkSession, sf: str) -> DataFrame:
+    """Variables that the forecast or the analysis lacks, of those that are required of each."""
+    both = {"F": fx.view(spark, sf, "mixed"), "A": fx.view(spark, sf, "ana_mixed")}
+    return validate.lacking_variables(both, {"F": ["T", "T2M", "Q"], "A": ["T2M", "PS"]})
+
+
 @query("wanted_work", fx.with_sql("exp_stats") + "SELECT experiment, lead, count(*) AS n, round(max(rms), 6) + 0.0 AS top FROM exp_stats WHERE experiment IN (0, 2) AND lead IN (12, 36) GROUP BY 1, 2")
 def wanted_work(spark: SparkSession, sf: str) -> DataFrame:
     """The part of a comparison that was asked for."""

@@ -58,16 +58,20 @@ def _folder_matches(wanted: DataFrame, have: DataFrame, depth: int) -> DataFrame
     return both.where(F.regexp_like("path", literal))
 
 
-def collection_files(wanted: DataFrame, listed: DataFrame) -> DataFrame:
+def collection_files(wanted: DataFrame, listed: DataFrame, absent: str = "error") -> DataFrame:
     """(collection, path): the files of each wanted collection, or the default's if it lists none.
 
     ``listed`` has (collection, turn, path), folders in their order by ``turn``. A file that a collection listed in
-    an earlier folder is not listed again. Collections without files and without a default have a null path.
+    an earlier folder is not listed again. A collection without files and without a default is an error when the result is read, or has a null
+    path with ``absent="null"``.
     """
     names = wanted.select("collection").distinct()
     own = names.join(listed.select("collection").distinct().withColumn("__own", F.lit(True)), "collection", "left")
     source = own.select("collection", F.when(F.col("__own"), F.col("collection")).otherwise("default").alias("source"))
     found = source.join(listed.withColumnRenamed("collection", "source"), "source", "left")
+    if absent == "error":
+        lacking = F.raise_error(F.concat(F.lit("no files of the collection "), F.col("collection"), F.lit(", and none of a default"))).cast("boolean")
+        found = found.where(F.when(F.col("path").isNotNull(), F.lit(True)).otherwise(lacking))
     name = F.substring_index("path", "/", -1)
     return found.groupBy("collection", name.alias("name")).agg(F.min_by("path", F.struct("turn", "path")).alias("path")).select("collection", "path")
 
