@@ -541,6 +541,13 @@ def test_mixing_to_given_weights_with_capped_cells(spark, edge, empty):
     weight = lambda k, v: sum(r["weight"] for r in raked if r[k] == v)
     assert abs(weight("source", "a") / 9000 - 0.75) < 0.01 and abs(weight("lang", "de") / 9000 - 0.2) < 0.01
     assert max(r["weight"] / r["tokens"] for r in raked) <= 1 + 1e-12
+    # goals beyond what values have, in both margins: these are taken whole, and the total still holds
+    beyond = mixing.rake(cells, {"source": {"a": 1, "b": 9}, "lang": {"en": 0.1, "de": 0.9}}, 0.5)
+    total = sum(r["weight"] for r in beyond.collect())
+    assert abs(total / 15000 - 1) < 1e-3
+    left = {(r["dimension"], r["value"]): (round(r["goal"]), r["weight"]) for r in mixing.margins(beyond, ["source", "lang"]).collect()}
+    assert {k: g for k, (g, _) in left.items()} == {("source", "b"): 10000, ("source", "a"): 5000, ("lang", "de"): 3000, ("lang", "en"): 12000}
+    assert all(abs(w / g - 1) < 2e-3 for g, w in left.values())
     none = mixing.mixed(df, {"lang": F.col("lang")}, {"lang": {"fr": 1.0}}, 0.5)
     assert none.count() == 0
     some = mixing.mixed(df, {"lang": F.col("lang")}, {"lang": {"de": 1.0}}, 0.05).collect()
@@ -597,9 +604,16 @@ def brute_mixture(docs):
         sums = {}
         for c, n in tokens.items():
             sums[c[d]] = sums.get(c[d], 0) + n
-        powers = {v: n ** mixing.TARGETS[name] for v, n in sums.items()}
-        goals.append({v: p / sum(powers.values()) * sum(tokens.values()) * share for v, p in powers.items()})
-    for _ in range(mixing.PASSES):
+        powers = {v: n ** mixing.TARGETS[name] for v, n in sums.items() if n}
+        full, wanted = set(), sum(tokens.values()) * share
+        while True:  # values that would get more than they have are taken whole, and the others share the rest
+            level = (wanted - sum(sums[v] for v in full)) / max(sum(p for v, p in powers.items() if v not in full), 1e-300)
+            over = {v for v in powers if v not in full and level * powers[v] > sums[v]}
+            if not over:
+                break
+            full |= over
+        goals.append({v: sums[v] if v in full else level * powers.get(v, 0) for v in sums})
+    for k in range(1, mixing.PASSES + 1):
         for d, goal in enumerate(goals):
             new = dict(weight)
             for v in goal:
@@ -613,6 +627,9 @@ def brute_mixture(docs):
                         factor = 1.0 if c in full or whole == taken else (goal[v] - taken) / (whole - taken)
                     new[c] = min(tokens[c], weight[c] * factor)
             weight = new
+        off = max(abs(sum(w for c, w in weight.items() if c[d] == v) / g - 1) for d, goal in enumerate(goals) for v, g in goal.items() if g)
+        if k % mixing.ROUND == 0 and off <= mixing.TOLERANCE:
+            break
     return {i for i in key if tokens[key[i]] and int(hashlib.md5(str(i).encode()).hexdigest()[:12], 16) / 2**48 < weight[key[i]] / tokens[key[i]]}
 
 
