@@ -4,8 +4,10 @@ A text is cut into sentences: after signs that end one, and at lines that do not
 is normalised (lower case; anything but letters and digits, comment signs included, becomes one space), and
 known licence sentences are mapped to identifiers. As a cut may fall within a sentence (wrapped lines in
 capitals, "v. 2.0", "software: you can"), a known sentence is one piece or several that follow each
-other. The identifiers of a text, in order, are then matched against ordered rules: a licence
-is found where the identifiers of its rule follow each other. Everything is one
+other. Names that differ from text to text (of holders, of those who provide) are first replaced by the usual words. The
+identifiers of a text, in order, are then matched against ordered rules: a licence
+is found where the identifiers of its rule follow each other. A sentence that is none of the known ones but reads as a clause of
+a licence comes between them, so that a text with a further clause is not taken for the licence without it. Everything is one
 projection: no shuffle, no Python.
 """
 
@@ -72,8 +74,30 @@ SENTENCES = {
     "ccby-work": "this work is licensed under a creative commons attribution 4 0 international license",
     "ccbysa-work": "this work is licensed under a creative commons attribution sharealike 4 0 international license",
     "cc0-work": "this work is dedicated to the public domain under the cc0 1 0 universal licence",
+    "bsd-author": "the name of the author may not be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-advert": "all advertising materials mentioning features or use of this software must display the following acknowledgement",
+    "gpl2only-free": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license version 2 as published by the free software foundation",
+    "gpl2only-also": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation version 2 of the license",
+    "lgpl20-free": "this library is free software you can redistribute it and or modify it under the terms of the gnu library general public license as published by the free software foundation either version 2 of the license or at your option any later version",
+    "lgpl20-see": "see the gnu library general public license for more details",
+    "lgpl20-title": "gnu library general public license version 2 june 1991",
+    "epl1-terms": "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html",
+    "epl1-title": "eclipse public license v 1 0",
+    "wtfpl-title": "do what the fuck you want to public license version 2 december 2004",
+    "wtfpl-terms": "do what the fuck you want to public license terms and conditions for copying distribution and modification",
+    "artistic2-title": "the artistic license 2 0",
+    "ofl-line": "this font software is licensed under the sil open font license version 1 1",
+    "cddl-terms": "the contents of this file are subject to the terms of the common development and distribution license",
+    "cddl-title": "common development and distribution license cddl version 1 0",
     "rights": "all rights reserved",
 }
+# Places with a name of the text's own, as the words before, the words after, and what is read there.
+NAMES = (
+    ("neither the name of ", "nor the names of ", "the copyright holder "),
+    ("this software is provided by ", "as is and any express", "the copyright holders and contributors "),
+)
+#: Words of such a name at most, and what makes an unknown sentence a clause.
+NAME_WORDS, CLAUSE, OTHER = 15, "endorse or promote|advertising materials|redistributions|this list of conditions|must be retained", "other"
 # Licences by the identifiers that follow each other; several rules may give one licence.
 RULES = (
     ("Apache-2.0", ("apache-line",)),
@@ -99,6 +123,21 @@ RULES = (
     ("AGPL-3.0", ("agpl-title",)),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-asis")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-name", "bsd-asis")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-author", "bsd-asis")),
+    ("BSD-4-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-advert", "bsd-name", "bsd-asis")),
+    ("BSD-4-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-advert", "bsd-author", "bsd-asis")),
+    ("GPL-2.0", ("gpl2only-free", "gpl-hope", "gpl-see")),
+    ("GPL-2.0", ("gpl2only-also", "gpl-hope", "gpl-see")),
+    ("LGPL-2.0", ("lgpl20-free", "lgpl-hope", "lgpl20-see")),
+    ("LGPL-2.0", ("lgpl20-title",)),
+    ("EPL-1.0", ("epl1-terms",)),
+    ("EPL-1.0", ("epl1-title",)),
+    ("WTFPL", ("wtfpl-title",)),
+    ("WTFPL", ("wtfpl-terms",)),
+    ("Artistic-2.0", ("artistic2-title",)),
+    ("OFL-1.1", ("ofl-line",)),
+    ("CDDL-1.0", ("cddl-terms",)),
+    ("CDDL-1.0", ("cddl-title",)),
     ("BSD", ("bsd-grant", "bsd-asis")),
     ("BSD", ("bsd-line",)),
     ("MPL-2.0", ("mpl2-terms",)),
@@ -125,7 +164,7 @@ for _name in dict.fromkeys(n for n, _ in RULES if n not in (WEAK, "BSD", "Classp
         SENTENCES[f"spdx-{_id}"] = "spdx license identifier " + re.sub("[^a-z0-9]+", " ", _id)
         RULES += ((_name, (f"spdx-{_id}",)),)
 #: Every known sentence has one of these words; texts without any need no cutting.
-CUES = "licen|permission|warrant|redistribution|copyright|public domain|rights reserved|compliance|cc by|held liable"
+CUES = "licen|advertising materials|permission|warrant|redistribution|copyright|public domain|rights reserved|compliance|cc by|held liable"
 #: Ends of sentences, and line ends before a line that does not go on in lower case.
 _END, _LINE = r"([.;:!?])[ \t\r\n]+", r"[ \t\r]*\n[ \t\r\n]*([^a-z \t\r\n])"
 #: What stands between sentences after cutting.
@@ -133,18 +172,21 @@ _MARK = "\u0001"
 
 
 def _known_pattern() -> str:
-    """Any known sentence from the start of a piece to the end of one, the longest that fits."""
+    """Any known sentence from the start of a piece to the end of one, the longest that fits; or else a piece that reads as a clause."""
     some = "|".join(re.sub(" ", f"[ {_MARK}]", s) for s in sorted(SENTENCES.values(), key=len, reverse=True))
-    return f"(?<={_MARK})(?:{some})(?={_MARK})"
+    return f"(?<={_MARK})(?:{some}|[^{_MARK}]*(?:{CLAUSE})[^{_MARK}]*)(?={_MARK})"
 
 
-def sentence_ids(text: Column) -> Column:
-    """Identifiers of the known sentences of a text, in order (array<string>); null and texts without any: empty."""
+def sentence_chain(text: Column) -> Column:
+    """Identifiers of the known sentences of a text, in order, and ``OTHER`` for unknown clauses (array<string>); null and texts without any: empty."""
     cut = F.regexp_replace(F.regexp_replace(text, _END, "$1" + _MARK), _LINE, _MARK + "$1")
     known = F.create_map(*(F.lit(x) for name, sentence in SENTENCES.items() for x in (sentence, name)))
     plain = F.regexp_replace(F.lower(F.concat(F.lit(_MARK), cut, F.lit(_MARK))), f"[^a-z0-9{_MARK}]+", " ")
     pieces = F.regexp_replace(plain, f" ?{_MARK}[ {_MARK}]*", _MARK)
-    found = F.transform(F.regexp_extract_all(pieces, F.lit(_known_pattern()), F.lit(0)), lambda s: F.try_element_at(known, F.translate(s, _MARK, " ")))
+    gap = f"[ {_MARK}]"
+    for before, after, words in NAMES:
+        pieces = F.regexp_replace(pieces, f"({before.replace(' ', gap)})(?:[a-z0-9]+{gap}){{1,{NAME_WORDS}}}?({after.replace(' ', gap)})", f"$1{words}$2")
+    found = F.transform(F.regexp_extract_all(pieces, F.lit(_known_pattern()), F.lit(0)), lambda s: F.coalesce(F.try_element_at(known, F.translate(s, _MARK, " ")), F.lit(OTHER)))
     none = F.array().cast("array<string>")
     return F.when(F.regexp_replace(F.lower(text), "[^a-z0-9]+", " ").rlike(CUES), found).otherwise(none)
 
@@ -162,7 +204,7 @@ def scan_licences(docs: DataFrame, text: str = "text", ids: str = "licence_sente
 
     Null and empty texts have none; texts are read whole, rows are independent, so repeated rows have equal results.
     """
-    return docs.withColumn(ids, sentence_ids(F.col(text))).withColumn(out, licences(F.col(ids)))
+    return docs.withColumn(ids, sentence_chain(F.col(text))).withColumn(out, licences(F.col(ids))).withColumn(ids, F.array_remove(ids, OTHER))
 
 
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,16 +222,21 @@ def _oracle() -> str:
     """The same cut; marks are doubled, so that pieces can be taken with the marks on either side."""
     sentences = ", ".join(f"('{s}', '{n}')" for n, s in SENTENCES.items())
     rules = ", ".join(f"('{n}', ',{','.join(r)},')" for n, r in RULES)
-    some = "|".join(s.replace(" ", r"[ \x01]+") for s in sorted(SENTENCES.values(), key=len, reverse=True))
+    gap = r"[ \x01]+"
+    some = "|".join(s.replace(" ", gap) for s in sorted(SENTENCES.values(), key=len, reverse=True))
+    named = "s"
+    for before, after, words in NAMES:
+        named = rf"regexp_replace({named}, '({before.replace(' ', gap)})(?:[a-z0-9]+{gap}){{1,{NAME_WORDS}}}?({after.replace(' ', gap)})', '\1{words}\2', 'g')"
     return rf"""
 WITH known(sentence, id) AS (VALUES {sentences}), rules(licence, chain) AS (VALUES {rules}),
 cut AS (SELECT doc_id, lower(chr(1) || regexp_replace(regexp_replace(text, '([.;:!?])[ \t\r\n]+', '\1' || chr(1), 'g'), '[ \t\r]*\n[ \t\r\n]*([^a-z \t\r\n])', chr(1) || '\1', 'g') || chr(1)) AS s FROM documents WHERE text IS NOT NULL),
 plain AS (SELECT doc_id, regexp_replace(regexp_replace(s, '[^a-z0-9\x01]+', ' ', 'g'), ' ?\x01[ \x01]*', chr(1) || chr(1), 'g') AS s FROM cut),
-found AS (SELECT doc_id, regexp_extract_all(s, '\x01(?:{some})\x01') AS hits FROM plain),
+cued AS (SELECT doc_id FROM documents WHERE regexp_matches(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), '{CUES}')),
+found AS (SELECT doc_id, regexp_extract_all({named}, '\x01(?:{some}|[^\x01]*(?:{CLAUSE})[^\x01]*)\x01') AS hits FROM plain SEMI JOIN cued USING (doc_id)),
 one AS (SELECT doc_id, unnest(hits) AS hit, unnest(range(len(hits))) AS pos FROM found),
-named_ids AS (SELECT doc_id, pos, id FROM one JOIN known ON trim(regexp_replace(hit, '[ \x01]+', ' ', 'g')) = sentence),
-chained AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY pos) AS ids FROM named_ids GROUP BY doc_id),
-hit AS (SELECT DISTINCT doc_id, licence FROM chained JOIN rules ON contains(',' || ids || ',', chain)),
+named_ids AS (SELECT doc_id, pos, coalesce(id, '{OTHER}') AS id FROM one LEFT JOIN known ON trim(regexp_replace(hit, '[ \x01]+', ' ', 'g')) = sentence),
+chained AS (SELECT doc_id, count(*) FILTER (id <> '{OTHER}') AS n, coalesce(string_agg(id, ',' ORDER BY pos) FILTER (id <> '{OTHER}'), '') AS ids, string_agg(id, ',' ORDER BY pos) AS chain FROM named_ids GROUP BY doc_id),
+hit AS (SELECT DISTINCT doc_id, licence FROM chained JOIN rules ON contains(',' || chained.chain || ',', rules.chain)),
 named AS (SELECT doc_id, string_agg(licence, ',' ORDER BY licence) AS licenses FROM hit h
           WHERE licence <> '{WEAK}' OR NOT EXISTS (SELECT 1 FROM hit o WHERE o.doc_id = h.doc_id AND o.licence <> '{WEAK}') GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_sentences, coalesce(ids, '') AS sentence_ids, coalesce(licenses, '') AS licenses

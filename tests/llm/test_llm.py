@@ -479,6 +479,53 @@ def test_licences(spark, edge, empty):
     assert licences.scan_licences(edge).where("size(licences) > 0").count() == 0 and licences.scan_licences(empty).count() == 0
 
 
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+{more}
+THIS SOFTWARE IS PROVIDED BY {who} ``AS IS'' AND
+ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED
+WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED.  IN NO EVENT SHALL ANYONE BE LIABLE FOR ANY DAMAGES.
+"""
+NAME = """3. Neither the name of {who} nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.
+"""
+
+
+def test_licences_with_names_and_further_clauses(spark):
+    """Holders of any name; a clause that is not known keeps a text from being taken for the shorter licence."""
+    advert = "3. All advertising materials mentioning features or use of this software\n   must display the following acknowledgement:\n   This product includes software developed by the University of\n   California, Berkeley and its contributors.\n"
+    author = "3. The name of the author may not be used to endorse or promote products\n   derived from this software without specific prior written permission.\n"
+    gpl2 = "This program is free software; you can redistribute it and/or modify\nit under the terms of the GNU General Public License version 2 as\npublished by the Free Software Foundation.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.\n"
+    lgpl = "This library is free software; you can redistribute it and/or\nmodify it under the terms of the GNU Library General Public\nLicense as published by the Free Software Foundation; either\nversion 2 of the License, or (at your option) any later version.\n\nThis library is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU\nLibrary General Public License for more details.\n"
+    texts = [
+        (BSD.format(who="THE COPYRIGHT HOLDERS AND CONTRIBUTORS", more=""), ["BSD-2-Clause"]),
+        (BSD.format(who="THE REGENTS AND CONTRIBUTORS", more=""), ["BSD-2-Clause"]),
+        (BSD.format(who="THE COPYRIGHT HOLDERS AND CONTRIBUTORS", more=NAME.format(who="Example Inc.")), ["BSD-3-Clause"]),
+        (BSD.format(who="THE REGENTS AND CONTRIBUTORS", more=NAME.format(who="the University of California, Berkeley")), ["BSD-3-Clause"]),
+        (BSD.format(who="THE AUTHOR", more=author), ["BSD-3-Clause"]),
+        (BSD.format(who="THE REGENTS AND CONTRIBUTORS", more=advert + NAME.format(who="the University")), ["BSD-4-Clause"]),
+        (BSD.format(who="X", more="3. You must not endorse or promote products with the name of this work.\n"), []),
+        (gpl2, ["GPL-2.0"]), (lgpl, ["LGPL-2.0"]),
+        ("This program and the accompanying materials\nare made available under the terms of the Eclipse Public License v1.0\nwhich accompanies this distribution, and is available at\nhttp://www.eclipse.org/legal/epl-v10.html\n", ["EPL-1.0"]),
+        ("        DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE\n                    Version 2, December 2004\n", ["WTFPL"]),
+        ("This Font Software is licensed under the SIL Open Font License, Version 1.1.\n", ["OFL-1.1"]),
+        ("The contents of this file are subject to the terms of the Common Development\nand Distribution License (the License).\n", []),
+        ("The contents of this file are subject to the terms of the\nCommon Development and Distribution License.\n", ["CDDL-1.0"]),
+    ]
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(texts)], "k int, text string")
+    got = licences.scan_licences(df).orderBy("k").collect()
+    assert [r["licences"] for r in got] == [n for _, n in texts]
+    assert not any("other" in r["licence_sentences"] for r in got)
+
+
 def test_licences_of_wrapped_notices(spark):
     gpl = "This program is free software%s you can redistribute it and/or modify\nit under the terms of the GNU General Public License as published by\nthe Free Software Foundation, either version %s of the License, or\n(at your option) any later version.\n\nThis program is distributed in the hope that it will be useful,\nbut WITHOUT ANY WARRANTY; without even the implied warranty of\nMERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the\nGNU General Public License for more details.\n"
     apache = 'Licensed under the Apache License, Version 2.0 (the "License");\nyou may not use this file except in compliance with the License.\nYou may obtain a copy of the License at\n\n    http://www.apache.org/licenses/LICENSE-2.0\n\nUnless required by applicable law or agreed to in writing, software\ndistributed under the License is distributed on an "AS IS" BASIS,\nWITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.\nSee the License for the specific language governing permissions and\nlimitations under the License.\n'
