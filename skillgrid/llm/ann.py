@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import kept, table
-from .topk import in_blocks, met, narrow, one_by_one, ranked, unpacked, usable, with_block_names
+from .topk import in_blocks, met, narrow, one_by_one, ranked, sent_to, unpacked, usable, with_block_names
 
 K, QUERY_STEP = 5, 50
 #: Projected dimensions (even, for the closed form of the chi-square distribution).
@@ -276,7 +276,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = K, confidence: floa
     gap = F.aggregate(side, F.lit(0.0), lambda s, x: s + x)
     about = blocks.select("block", "dim", "cell", "lo", "hi").join(home.select("block", F.lit(True).alias("is_home")), "block", "left")
     new = F.col("is_home").isNull() | (F.col("home") != F.col("cell"))
-    routed = routed.join(about, ["dim", "cell"]).where(new & (gap <= F.lit(ratio) * F.col("bound") + _EPS))
+    routed = sent_to(routed, about, ["dim", "cell"]).where(new & (gap <= F.lit(ratio) * F.col("bound") + _EPS))
     return ranked(seed.union(met(routed, blocks).mapInArrow(_search(k, ratio), schema)), k)
 
 

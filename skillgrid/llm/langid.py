@@ -10,11 +10,12 @@ counts as often as there are distinct followers); below the empty context all
 its bytes, and the language with the shortest code wins.
 
 As the statistics are frozen, the cost of a byte depends only on the deepest
-known context before it. Contexts of up to two bytes and the frequent ones of three are numbered once, and the costs of
-every (context, byte class) pair are laid out as one table for each language;
-scoring then is two array look-ups a byte. The rare contexts of three bytes are kept as sorted lists of what followed them
-and of their escapes, and are looked up where a text has one: which contexts are laid out changes speed and never a
-result. Bytes unseen in training share a class. The model is a few MB a language.
+known context before it. The most frequent contexts are numbered once, and the costs of
+every (context, byte class) pair are laid out as one table for each language, in ``TABLE_BYTES`` for all of them together;
+scoring then is two array look-ups a byte. Of the other contexts each language keeps, as sorted lists, only those that it knows, with what followed them
+and their escapes, and looks them up where a text has one: which contexts are laid out changes speed and never a
+result. Bytes unseen in training share a class. Beside the tables the model has about 12 bytes for each distinct string of three or four bytes
+of a language's sample (one or two MB), and two arrays by three bytes (at most 84 MB).
 """
 
 from __future__ import annotations
@@ -36,6 +37,8 @@ TRAIN_ROWS = 1500
 #: Contexts of three bytes that are laid out as tables: seen so often in all languages together, and the most frequent
 #: so many of these. The others are looked up in lists.
 TABLE_COUNT, TABLE_CONTEXTS = 24, 40_000
+#: Size of the tables of all languages together, at most (but for contexts of one byte, which are always laid out).
+TABLE_BYTES = 64 << 20
 #: A document with less posterior probability than this is not accepted as any language.
 MIN_SCORE = 0.5
 
@@ -50,13 +53,41 @@ class Model:
 
     languages: list[str]
     classes: np.ndarray  # byte -> class; the last class is for unseen bytes
-    context: np.ndarray  # three classes -> number of the deepest known context
+    context: np.ndarray  # three classes -> number of the deepest context that is laid out
     cost: np.ndarray  # language, context * n_classes + class -> bits
-    rare: np.ndarray  # three classes -> whether they are a rare context
-    rare_contexts: np.ndarray  # sorted
-    rare_escape: np.ndarray  # rare context, language -> bits of its escape, 0 where the language does not know it
-    rare_grams: np.ndarray  # rare context * n_classes + class, sorted
-    rare_cost: np.ndarray  # rare gram, language -> bits
+    rare: list[np.ndarray]  # by order 2 and 3: classes of a context -> whether a language knows it and it is not laid out
+    known: list[list[Known]]  # by order 2 and 3, language
+
+
+@dataclass
+class Known:
+    """Contexts that are not laid out, of one language and order."""
+
+    contexts: np.ndarray  # sorted
+    escape: np.ndarray  # bits of the escape of each
+    grams: np.ndarray  # context * n_classes + class, sorted
+    cost: np.ndarray  # bits of each
+
+    def bits(self, context: np.ndarray, gram: np.ndarray, below: np.ndarray) -> np.ndarray:
+        """Costs of grams whose costs in the next shorter context are ``below``."""
+        if not len(self.grams):
+            return below
+        i = np.minimum(np.searchsorted(self.grams, gram), len(self.grams) - 1)
+        j = np.minimum(np.searchsorted(self.contexts, context), len(self.contexts) - 1)
+        escape = np.where(self.contexts[j] == context, self.escape[j], 0)
+        return np.where(self.grams[i] == gram, self.cost[i], escape + below)
+
+
+def _known(context: np.ndarray, symbol: np.ndarray, n: np.ndarray, size: int, lower: np.ndarray, row: np.ndarray) -> Known:
+    """Of distinct grams (context, symbol) with their counts: escape method C. ``lower`` has the probability of each symbol in the next shorter
+    context, ``row`` the sum of all probabilities there."""
+    contexts, first, of = np.unique(context, return_index=True, return_inverse=True)
+    total, kinds = np.bincount(of, n, len(contexts)), np.bincount(of, minlength=len(contexts))
+    rest = row[first] - np.bincount(of, lower, len(contexts))
+    share = kinds / np.maximum(total + kinds, 1) / np.maximum(rest, 1e-12)
+    order = np.argsort(context * size + symbol)
+    cost = -np.log2(n / (total + kinds)[of])
+    return Known(contexts, -np.log2(np.maximum(share, 1e-12)).astype(np.float32), (context * size + symbol)[order], cost[order].astype(np.float32))
 
 
 def _gram_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -102,7 +133,7 @@ def training_counts(
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def fit(counts: DataFrame, table_count: int = TABLE_COUNT, table_contexts: int = TABLE_CONTEXTS) -> Model | None:
+def fit(counts: DataFrame, table_count: int = TABLE_COUNT, table_contexts: int = TABLE_CONTEXTS, table_bytes: int = TABLE_BYTES) -> Model | None:
     """Context trees from gram counts; None without any. The counts of the bounded sample fit the driver."""
     got = counts.toArrow()
     if not len(got):
@@ -120,17 +151,17 @@ def fit(counts: DataFrame, table_count: int = TABLE_COUNT, table_contexts: int =
     size = int(seen.sum()) + 1
     cls = classes[bytes_]
 
-    # longest contexts that are frequent, in all languages together; all shorter ones
-    code3 = (cls[:, 0] * size + cls[:, 1]) * size + cls[:, 2]
-    ctx3, inv = np.unique(code3, return_inverse=True)
-    total = np.bincount(inv, n)
-    keep = ctx3[np.argsort(-total, kind="stable")[:table_contexts]]
-    keep3 = np.sort(keep[np.isin(keep, ctx3[total >= table_count])])
-    keep2 = np.unique(cls[:, 1] * size + cls[:, 2])
-    is_rare = ~np.isin(code3, keep3)
-    grams = code3 * size + cls[:, 3]
-    rare_contexts, rare_grams = np.unique(code3[is_rare]), np.unique(grams[is_rare])
-    rare_escape, rare_cost = np.zeros((len(rare_contexts), len(langs))), np.zeros((len(rare_grams), len(langs)))
+    # contexts that are laid out: the most frequent in all languages together, those of three bytes only with their ends of two
+    code2, code3 = cls[:, 1] * size + cls[:, 2], (cls[:, 0] * size + cls[:, 1]) * size + cls[:, 2]
+    rows = table_bytes // (4 * len(langs) * size)
+    ctx2, inv2 = np.unique(code2, return_inverse=True)
+    keep2 = np.sort(ctx2[np.argsort(-np.bincount(inv2, n), kind="stable")[: rows // 2]])
+    ctx3, inv3 = np.unique(code3, return_inverse=True)
+    total = np.bincount(inv3, n)
+    able = (total >= table_count) & np.isin(ctx3 % (size * size), keep2)
+    order = np.argsort(-total, kind="stable")
+    keep3 = np.sort(ctx3[order[able[order]]][: min(table_contexts, max(0, rows - len(keep2)))])
+    rare2, rare3 = ~np.isin(code2, keep2), ~np.isin(code3, keep3)
 
     # numbers: 0 the empty context, then one byte, two bytes, three bytes
     first2, first3 = 1 + size, 1 + size + len(keep2)
@@ -139,9 +170,8 @@ def fit(counts: DataFrame, table_count: int = TABLE_COUNT, table_contexts: int =
     two[keep2] = first2 + np.arange(len(keep2))
     three = np.tile(two, size)
     three[keep3] = first3 + np.arange(len(keep3))
-    n_ctx = first3 + len(keep3)
 
-    cost = np.empty((len(langs), n_ctx * size), np.float32)
+    cost, known = np.empty((len(langs), (first3 + len(keep3)) * size), np.float32), [[], []]
     for li in range(len(langs)):
         own = lang == li
         at, w = cls[own], n[own]
@@ -156,24 +186,27 @@ def fit(counts: DataFrame, table_count: int = TABLE_COUNT, table_contexts: int =
         # the class of unseen bytes stands for one of them
         p0 = _escape(np.bincount(at[:, 3], w, size)[None], below)
         p1 = _escape(table_of(at[:, 2], np.arange(size)), np.repeat(p0, size, 0))
-        p2 = _escape(table_of(at[:, 1] * size + at[:, 2], keep2), p1[keep2 % size])
-        suffix = two[keep3 % (size * size)]
+        p2 = _escape(table_of(code2[own], keep2), p1[keep2 % size])
         lower = np.concatenate([p0, p1, p2])
-        p3 = _escape(table_of((at[:, 0] * size + at[:, 1]) * size + at[:, 2], keep3), lower[suffix])
+        p3 = _escape(table_of(code3[own], keep3), lower[two[keep3 % (size * size)]])
         cost[li] = -np.log2(np.maximum(np.concatenate([lower, p3]), 1e-12)).ravel()
-        # the same for rare contexts, without laying them out
-        of = np.flatnonzero(own & is_rare)
-        ctx, below2 = np.searchsorted(rare_contexts, code3[of]), two[code3[of] % (size * size)]
-        seen_n, kinds = np.bincount(ctx, n[of], len(rare_contexts)), np.bincount(ctx, minlength=len(rare_contexts))
-        rest = lower.sum(1)[two[rare_contexts % (size * size)]] - np.bincount(ctx, lower[below2, cls[of, 3]], len(rare_contexts))
-        share = kinds / np.maximum(seen_n + kinds, 1) / np.maximum(rest, 1e-12)
-        rare_escape[:, li] = np.where(kinds > 0, -np.log2(np.maximum(share, 1e-12)), 0)
-        at_ctx = rare_grams // size
-        rare_cost[:, li] = rare_escape[np.searchsorted(rare_contexts, at_ctx), li] - np.log2(np.maximum(lower[two[at_ctx % (size * size)], rare_grams % size], 1e-12))
-        rare_cost[np.searchsorted(rare_grams, grams[of]), li] = -np.log2(n[of] / (seen_n + kinds)[ctx])
-    rare = np.zeros(size**3, bool)
-    rare[rare_contexts] = True
-    return Model(langs, classes.astype(np.int32), three.astype(np.int32), cost, rare, rare_contexts, rare_escape, rare_grams, rare_cost)
+        # the same for contexts that are not laid out: of two bytes, then of three, whose ends may be among those
+        some = np.flatnonzero(rare2[own])
+        gram2, inv = np.unique(code2[own][some] * size + at[some, 3], return_inverse=True)
+        c, x = gram2 // size, gram2 % size
+        short = _known(c, x, np.bincount(inv, w[some], len(gram2)), size, lower[one[c % size], x], lower.sum(1)[one[c % size]])
+        some = np.flatnonzero(rare3[own])
+        c, x = code3[own][some], at[some, 3]
+        end, laid = c % (size * size), ~rare2[own][some]
+        under, row = lower[two[end], x], lower.sum(1)[two[end]]
+        if not laid.all():
+            row = np.where(laid, row, 1.0)
+            under[~laid] = np.exp2(-short.cost[np.searchsorted(short.grams, end[~laid] * size + x[~laid])].astype(np.float64))
+        known[0].append(short)
+        known[1].append(_known(c, x, w[some], size, under, row))
+    flags = [np.zeros(size**2, bool), np.zeros(size**3, bool)]
+    flags[0][code2[rare2]], flags[1][code3[rare3]] = True, True
+    return Model(langs, classes.astype(np.int32), three.astype(np.int32), cost, flags, known)
 
 
 def _escape(count: np.ndarray, lower: np.ndarray) -> np.ndarray:
@@ -203,11 +236,10 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
                 continue
             code = (c[:-3] * size + c[1:-2]) * size + c[2:-1]
             idx = model.context[code] * np.int32(size) + c[3:]
-            odd = np.flatnonzero(model.rare[code])
-            gram = code[odd].astype(np.int64) * size + c[3:][odd]
-            place = np.minimum(np.searchsorted(model.rare_grams, gram), max(0, len(model.rare_grams) - 1))
-            known = model.rare_grams[place] == gram if len(model.rare_grams) else np.zeros(0, bool)
-            escape = model.rare_escape[np.searchsorted(model.rare_contexts, code[odd])]
+            sought = []
+            for order, context in enumerate((code % np.int32(size * size), code)):
+                odd = np.flatnonzero(model.rare[order][context])
+                sought.append((odd, context[odd].astype(np.int64), context[odd].astype(np.int64) * size + c[3:][odd]))
             first = a + ORDER  # place of the first scored byte
             lo_doc = np.searchsorted(starts, first, "right") - 1
             hi_doc = np.searchsorted(starts, hi - 1, "right") - 1
@@ -215,8 +247,9 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
             ends = np.append(np.maximum(starts[lo_doc + 1 : hi_doc + 1] - first, 0), hi - first)
             for li in range(len(model.languages)):
                 each = model.cost[li][idx].astype(np.float64)
-                if len(odd):
-                    each[odd] = np.where(known, model.rare_cost[place, li], escape[:, li] + each[odd])
+                for known, (odd, context, gram) in zip(model.known, sought, strict=True):
+                    if len(odd):
+                        each[odd] = known[li].bits(context, gram, each[odd])
                 bits = np.concatenate([[0.0], np.cumsum(each)])
                 lo_i, hi_i = np.minimum(cuts, len(idx)), np.minimum(ends, len(idx))
                 out[[group[k] for k in range(lo_doc, hi_doc + 1)], li] += np.where(hi_i > lo_i, bits[hi_i] - bits[lo_i], 0)

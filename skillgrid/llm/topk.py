@@ -34,6 +34,9 @@ CLASS_RATIO = 1.05
 #: Local cosine threshold from which coordinates prune, and how many of the query's take part.
 COORDINATE_THRESHOLD, FOCUS = 0.6, 12
 
+#: Blocks whose facts are broadcast at most (under 50 MB), and salts of queries beyond.
+BROADCAST_BLOCKS, SALTS = 100_000, 64
+
 _TYPES = (np.int8, np.int16, np.float32, np.float64)
 
 
@@ -232,6 +235,18 @@ def _seeds(buckets: DataFrame, seed_rows: int) -> dict[int, tuple[np.ndarray, np
     return out
 
 
+def sent_to(asked: DataFrame, about: DataFrame, keys: list[str]) -> DataFrame:
+    """Queries with every block of their ``keys``.
+
+    Keys have few values, so neither side may be dealt by them alone: facts about blocks (a number or two each) are broadcast up to
+    ``BROADCAST_BLOCKS``, and beyond that queries are dealt by a salt as well, with a copy of the facts for each.
+    """
+    if about.limit(BROADCAST_BLOCKS + 1).count() <= BROADCAST_BLOCKS:
+        return asked.join(F.broadcast(about), keys)
+    copies = about.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return asked.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).join(copies, [*keys, "salt"]).drop("salt")
+
+
 def ranked(found: DataFrame, k: int) -> DataFrame:
     """(query_id, rank, vec_id, score) of the k highest scores of each query, ties to smaller ids."""
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
@@ -279,7 +294,7 @@ def top_products(vectors: DataFrame, queries: DataFrame, k: int = K, bucket_rows
 
     asked = queries.withColumn("to", route("id", "v")).select("id", "v", F.size("v").alias("dim"), length_of(F.col("v")).alias("length"), F.col("to.bound").alias("bound"), F.explode("to.classes").alias("class"))
     about = buckets.select("block", "dim", "class", "longest")
-    routed = asked.join(about, ["dim", "class"]).where(F.col("length") * F.col("longest") * (1 + 1e-9) >= F.col("bound"))
+    routed = sent_to(asked, about, ["dim", "class"]).where(F.col("length") * F.col("longest") * (1 + 1e-9) >= F.col("bound"))
     return ranked(met(routed, buckets).mapInArrow(_search(k, COORDINATE_THRESHOLD, FOCUS), "query_id long, vec_id long, score long"), k)
 
 

@@ -361,7 +361,7 @@ def test_language_model_equals_brute_force(spark):
         return {s: got[s] / (total + kinds) if s in got else (kinds / (total + kinds) if total else 1.0) * p / left for s, p in below.items()}
 
     texts = ["der garten", "the gardens", "zzz é haus", "unde", "q"]
-    for args in ({}, {"table_count": 2}, {"table_contexts": 3, "table_count": 1}, {"table_count": 10**9}):
+    for args in ({}, {"table_count": 2}, {"table_contexts": 3, "table_count": 1}, {"table_count": 10**9}, {"table_bytes": 0}, {"table_bytes": 1500, "table_count": 1}, {"table_bytes": 6000, "table_count": 1}):
         model = langid.fit(counts, **args)
         got = langid.code_lengths(model, [t.encode() for t in texts])
         for t, row in zip(texts, got, strict=True):
@@ -387,6 +387,26 @@ def test_language_model(spark, edge, empty):
     assert langid.identify(edge, None).where("language.lang_pred <> 'und'").count() == 0
 
 
+def test_a_model_of_twenty_languages_stays_small(spark):
+    """Scripts of their own make many contexts; what is laid out keeps its bound, and predictions are right with little laid out."""
+    rnd, rows, vocab = random.Random(3), [], {}
+    for k, start in enumerate((0x61, 0x430, 0x4E00, 0xAC00, 0x5D0, 0x3B1, 0x905, 0xE01, 0x10D0, 0x561) * 2):
+        vocab[f"l{k}"] = ["".join(chr(start + rnd.randrange(20)) for _ in range(rnd.randint(2, 7))) for _ in range(200)]
+    for i in range(1200):
+        lang = f"l{i % 20}"
+        rows.append((i, " ".join(rnd.choice(vocab[lang]) for _ in range(30)), lang))
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    common.ship(spark)
+    model = langid.fit(langid.training_counts(df), table_bytes=1 << 20)
+    size = int(model.classes.max()) + 1
+    assert model.cost.nbytes <= (1 << 20) + 4 * 20 * (1 + size) * size
+    assert sum(k.grams.nbytes + k.cost.nbytes + k.contexts.nbytes + k.escape.nbytes for order in model.known for k in order) < 20 * (1 << 20)
+    bits = langid.code_lengths(model, [t.encode() for _, t, _ in rows[:400]])
+    assert [model.languages[b] for b in bits.argmin(1)] == [g for _, _, g in rows[:400]]
+    full = langid.code_lengths(langid.fit(langid.training_counts(df), table_count=1), [t.encode() for _, t, _ in rows[:60]])
+    assert np.allclose(full, bits[:60], rtol=1e-4)
+
+
 def test_long_text_costs_the_same_in_chunks(monkeypatch, spark):
     rows = [(i, "abc abd " * 20, "x") for i in range(30)]
     common.ship(spark)

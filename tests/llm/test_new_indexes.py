@@ -6,7 +6,7 @@ import random
 import numpy as np
 import pytest
 
-from skillgrid.llm import centroids, common, dedup
+from skillgrid.llm import centroids, common, dedup, topk
 
 
 def words_of(texts):
@@ -135,3 +135,12 @@ def test_clusters_equal_plain_python(spark):
     assert centroids.clustered(centroids.whole_vectors(df.where("vec_id >= 600"))).count() == 0
     with pytest.raises(Exception, match="too large"):
         centroids.whole_vectors(spark.createDataFrame([(1, [1e30] * 64)], "vec_id long, embedding array<double>")).collect()
+
+
+def test_queries_are_sent_alike_by_broadcast_and_by_salt(spark, monkeypatch):
+    asked = spark.createDataFrame([(k, 64, k % 2, float(k)) for k in range(50)], "id long, dim int, class int, bound double")
+    about = spark.createDataFrame([(b, 64, b % 2, b * 1.5) for b in range(9)], "block long, dim int, class int, longest double")
+    one = sorted(map(tuple, topk.sent_to(asked, about, ["dim", "class"]).collect()))
+    monkeypatch.setattr(topk, "BROADCAST_BLOCKS", 3)
+    two = topk.sent_to(asked, about, ["dim", "class"])
+    assert sorted(map(tuple, two.collect())) == one and len(one) == 25 * 5 + 25 * 4
