@@ -25,7 +25,7 @@ from .common import kept, table
 #: Share of all tokens that is wanted.
 TOKEN_SHARE = 0.5
 #: Relative error of a margin at which raking ends, passes between two looks at it, and passes at most.
-TOLERANCE, ROUND, PASSES = 1e-3, 4, 32
+TOLERANCE, ROUND, PASSES = 2e-3, 4, 32
 #: Target weights of a dimension's values: fixed ones by value, or in proportion to a power of the tokens.
 TARGETS: dict[str, dict[str, float] | float] = {"source": 0.5, "lang": 0.5, "topic": 0.7}
 #: Cells up to this number are broadcast; more are joined by a shuffle.
