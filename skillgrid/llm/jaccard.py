@@ -52,8 +52,8 @@ BROADCAST_IDS = 1_000_000
 #: Rows of pairs and lists up to this number are broadcast (about 100 bytes each); more are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
-#: Sets that meet the set of a star's centre in one task, about.
-STAR = 64
+#: Tasks that the stars of one set in different lists are dealt to.
+CHUNKS = 16
 
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BASE = np.uint64(0x9E3779B97F4A7C15)  # odd, hence invertible modulo 2**64
@@ -382,7 +382,7 @@ def _propose(percent: int, turn: int):
         """Pairs to verify of rows (list, i, j, members, cut, known), one row at a time."""
         for batch in batches:
             at: list[int] = []
-            pairs: list[tuple[int, int]] = []
+            pairs: list[tuple[int, int, int]] = []
             members, known = batch.column(3), batch.column(5)
             for r in range(batch.num_rows):
                 ids, of, n, sketch = members.values.slice(members.offsets[r].as_py(), len(members[r])).flatten()
@@ -392,8 +392,8 @@ def _propose(percent: int, turn: int):
                 pairs += found
             rows = pa.array(at, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k).take(rows) for k in range(3)), pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())],
-                names=["list", "i", "j", "a", "b"],
+                [*(batch.column(k).take(rows) for k in range(3)), *(pa.array([p[k] for p in pairs], pa.int64()) for k in range(3))],
+                names=["list", "i", "j", "a", "b", "centre"],
             )
 
     return run
@@ -415,13 +415,13 @@ def _roots(of: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.unique(np.array([find(x) for x in range(len(parent))])[root], return_inverse=True)[1]
 
 
-def _open_pairs(ids: np.ndarray, of: np.ndarray, n: np.ndarray, sketches: list[bytes], cut: int, before: list[np.ndarray] | None, percent: int, turn: int) -> list[tuple[int, int]]:
+def _open_pairs(ids: np.ndarray, of: np.ndarray, n: np.ndarray, sketches: list[bytes], cut: int, before: list[np.ndarray] | None, percent: int, turn: int) -> list[tuple[int, int, int]]:
     """Pairs between classes that may link: a forest of stars over the classes.
 
     Bounds on overlaps are those of the sketches and, once pairs were verified, those that follow
     from the answers of similar sets. From the second turn on each set outside the largest class also proposes its
     best pairs, sixteen times as many each turn, so that few turns are needed. With ``cut`` only members
-    on either side of that place are compared.
+    on either side of that place are compared. A pair (a, b, centre) comes with the end whose star it is of.
     """
     m = len(ids)
     of = np.unique(of, return_inverse=True)[1]
@@ -481,7 +481,12 @@ def _open_pairs(ids: np.ndarray, of: np.ndarray, n: np.ndarray, sketches: list[b
             got[side[among] == side[u]] = -1
         return got
 
-    pairs: set[tuple[int, int]] = set()
+    pairs: dict[tuple[int, int], int] = {}
+
+    def add(u: int, v: int) -> None:
+        if u != v:
+            pairs.setdefault((min(ids[u], ids[v]), max(ids[u], ids[v])), int(ids[u]))
+
     reached = np.zeros(of.max() + 1, bool)
     by_class = np.argsort(of, kind="stable")
     first = np.searchsorted(of[by_class], np.arange(of.max() + 2))
@@ -500,15 +505,16 @@ def _open_pairs(ids: np.ndarray, of: np.ndarray, n: np.ndarray, sketches: list[b
             best = best[got[best] >= 0]
             for v in among[best[np.unique(of[among[best]], return_index=True)[1]]]:
                 reached[of[v]] = True
-                pairs.add((int(ids[u]), int(ids[v])))
+                add(u, v)
                 todo += list(by_class[first[of[v]] : first[of[v] + 1]])
     if turn > 1:
         largest = np.bincount(of).argmax()
         for u in np.flatnonzero(of != largest):
             best = np.argsort(-whole[u], kind="stable")[: 16 ** (turn - 1)]
-            pairs |= {(int(ids[u]), int(ids[v])) for v in best[whole[u, best] >= 0]}
+            for v in best[whole[u, best] >= 0]:
+                add(u, v)
     asked = set() if before is None else set(zip(before[0].tolist(), before[1].tolist(), strict=True))
-    return sorted({(min(p), max(p)) for p in pairs if p[0] != p[1]} - asked)
+    return sorted((int(a), int(b), c) for (a, b), c in pairs.items() if (a, b) not in asked)
 
 
 def _sets(words: int):
@@ -547,28 +553,24 @@ def _verify(percent: int):
     return run
 
 
-def stars_of(pairs: DataFrame) -> DataFrame:
-    """(id, centre, chunk, role): where the set of each id of distinct pairs (a, b) is to be compared.
+def stars_of(proposed: DataFrame) -> DataFrame:
+    """(id, centre, chunk, role): where the set of each id of proposed pairs (list, i, j, a, b, centre) is to be compared.
 
-    A pair belongs to the end that is in more pairs, its centre (role 0), whose set goes along once for up to about ``STAR`` others (role 1); so
-    a set with very many pairs is spread over tasks, and its star costs half of what its pairs would.
+    The set of a star's centre (role 0) goes along once for its other ends (role 1), so that a star costs half of what its pairs would. The stars
+    that a set has in different lists are dealt to ``CHUNKS`` tasks. A pair that several lists propose is of one star.
     """
-    degree = kept(pairs.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("n")), small=True)
-    of = lambda x: bounded(degree.select(F.col("id").alias(x), F.col("n").alias(f"n_{x}")))
-    both = pairs.join(of("a"), "a").join(of("b"), "b")
-    at_a = F.col("n_a") >= F.col("n_b")
-    each = both.select(F.when(at_a, F.col("a")).otherwise(F.col("b")).alias("centre"), F.when(at_a, F.col("b")).otherwise(F.col("a")).alias("id"), F.greatest("n_a", "n_b").alias("n"))
-    ends = each.withColumn("chunk", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / F.lit(STAR))).cast("int"))
-    ends = ends.select("id", "centre", "chunk", F.lit(1).alias("role"))
-    return ends.unionByName(ends.select(F.col("centre").alias("id"), "centre", "chunk", F.lit(0).alias("role")).distinct())
+    chunk = F.pmod(F.xxhash64("list", "i", "j"), F.lit(CHUNKS)).cast("int")
+    one = proposed.groupBy("a", "b").agg(F.min(F.struct(F.col("centre"), chunk.alias("chunk"))).alias("s"))
+    ends = F.array(F.struct(F.col("s.centre").alias("id"), F.lit(0).alias("role")), F.struct(F.when(F.col("s.centre") == F.col("a"), F.col("b")).otherwise(F.col("a")).alias("id"), F.lit(1).alias("role")))
+    return one.select("s.centre", "s.chunk", F.explode(ends).alias("e")).select("e.id", "centre", "chunk", "e.role").distinct()
 
 
-def verified(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """(a, b, overlap, linked) of distinct pairs (a, b), by the whole sets (of 63-bit hashes of shingles) of docs (id, text).
+def verified(proposed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(a, b, overlap, linked) of proposed pairs, each once, by the whole sets (of 63-bit hashes of shingles) of docs (id, text).
 
     Only the sets of ids in pairs are made. Sets meet by the stars that their pairs form.
     """
-    stars = kept(stars_of(kept(pairs, small=True)), small=True)
+    stars = kept(stars_of(proposed), small=True)
     sets = matched(docs.select("id", "text"), kept(stars.select("id").distinct(), small=True), "left_semi").mapInArrow(_sets(words), "id long, shingles array<long>")
     order = ["centre", "chunk", "role", "id"]
     met = sets.join(bounded(stars), "id").select(*order, "shingles").repartition("centre", "chunk").sortWithinPartitions(*order)
@@ -600,10 +602,10 @@ def links_of(filled: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     rows = filled.withColumn("known", F.lit(None).cast(_KNOWN))
     while True:
         columns = rows.select("list", "i", "j", "members", "cut", "known")
-        proposed = kept(columns.mapInArrow(_propose(percent, turn), "list string, i long, j long, a long, b long"), small=True)
+        proposed = kept(columns.mapInArrow(_propose(percent, turn), "list string, i long, j long, a long, b long, centre long"), small=True)
         if proposed.isEmpty():
             return links
-        checked = verified(proposed.select("a", "b").distinct(), docs, words, percent)
+        checked = verified(proposed, docs, words, percent)
         new = checked.where("linked").select("a", "b")
         links = new if links is None else links.union(new)
         found = kept(proposed.join(bounded(checked), ["a", "b"]).select("list", "i", "j", "a", "b", "overlap", (~F.col("linked")).alias("open"), F.lit(turn).alias("turn")), small=True)
