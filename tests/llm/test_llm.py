@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from skillgrid.llm import ann, bpe, common, jaccard, langid, licences, mixing, pii, secrets, topk, toxicity
+from skillgrid.llm import ann, bpe, common, dedup, jaccard, langid, licences, mixing, phrases, pii, secrets, topk, toxicity
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 #: Null, empty, white space, no letters, repeated, clashing names, very long.
@@ -785,5 +785,13 @@ def test_very_long_texts(spark):
     assert pii.scan_pii(df).count() == licences.scan_licences(df).count() == 3
     assert langid.identify(df, langid.fit(langid.training_counts(df))).select("language.score").count() == 3
     own = bpe.codec(RANKS, PATTERN)
-    for r in bpe.round_trip_documents(df.where("doc_id <> 1"), RANKS, PATTERN).collect():
+    for r in bpe.round_trip_documents(df, RANKS, PATTERN).collect():
         assert bytes(r["decoded"]) == r["text"].encode() and r["token_ids"] == own.encoding.encode_ordinary(r["text"])
+    drawn = mixing.mixed(df, {"lang": F.col("lang")}, {"lang": 0.5}, 1.0).collect()
+    assert {r["doc_id"] for r in drawn} == {0, 1, 2}
+    assert dedup.deduplicated(df).where("kept").count() == 3
+    top = phrases.collocations(df).orderBy("rank").first()
+    assert top["n"] == 241_001 and 0 < top["score"] <= 1_000_000
+    labels = df.select("doc_id", F.when(F.col("doc_id") == 0, 1).otherwise(0).alias("toxic"))
+    model = toxicity.train(toxicity.labelled_sample(df.select("doc_id", "text"), labels))
+    assert toxicity.score_toxicity(df, model).where("toxicity BETWEEN 0 AND 1").count() == 3
