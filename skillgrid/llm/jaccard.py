@@ -37,7 +37,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, kept, table
+from .common import components, give_back, giving_back, kept, table
 
 #: Words of a shingle, and similarity in hundredths from which sets link.
 WORDS, PERCENT = 4, 85
@@ -64,7 +64,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Bytes of text that are hashed at once.
-_GROUP_BYTES = 1 << 20
+_GROUP_BYTES = 1 << 18
 #: Words of more bytes are hashed one by one.
 _LONG_WORD = 256
 
@@ -213,12 +213,14 @@ def shared_shingles(docs: DataFrame, text: str, words: int) -> tuple[np.ndarray,
     They only set the order in which shingles are indexed: which ones are
     found affects the cost of the join, never its result.
     """
-    found = docs.select(text).mapInArrow(_shared_summaries(words), "shingle long, n long")
+    found = docs.select(text).mapInArrow(giving_back(_shared_summaries(words)), "shingle long, n long")
     found = found.groupBy("shingle").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "shingle").limit(SHARED).toArrow()
     shingle = found.column("shingle").to_numpy().astype(np.uint64)
     rank = np.empty(len(shingle), np.uint64)
     rank[np.lexsort((shingle, found.column("n").to_numpy()))] = np.arange(len(shingle), dtype=np.uint64)
     order = np.argsort(shingle)
+    del found
+    give_back()  # the driver's
     return shingle[order], rank[order]
 
 
@@ -370,8 +372,8 @@ def index_lists(reps: DataFrame, percent: int, block: int = BLOCK) -> DataFrame:
     needs one task. Single lists with the same members are kept once.
     """
     order = ["key", "band", "pos", "n", "id"]
-    entries = reps.select("id", "n", "prefix").mapInArrow(_entries(percent), "key long, band int, pos int, n int, id long")
-    lists = entries.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(_lists(percent, block), _LIST)
+    entries = reps.select("id", "n", "prefix").mapInArrow(giving_back(_entries(percent)), "key long, band int, pos int, n int, id long")
+    lists = entries.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(giving_back(_lists(percent, block)), _LIST)
     # equal single lists have one name, by their members
     name = F.when(F.col("kind") == "single", F.concat(F.lit("="), F.sha1(F.array_join(F.col("members").cast("array<string>"), ",")))).otherwise(F.col("list"))
     return lists.withColumn("list", name).dropDuplicates(["list", "block", "kind"])
@@ -571,10 +573,14 @@ def verified(proposed: DataFrame, docs: DataFrame, words: int, percent: int) ->
     Only the sets of ids in pairs are made. Sets meet by the stars that their pairs form.
     """
     stars = kept(stars_of(proposed), small=True)
-    sets = matched(docs.select("id", "text"), kept(stars.select("id").distinct(), small=True), "left_semi").mapInArrow(_sets(words), "id long, shingles array<long>")
+    few = stars.count() <= BROADCAST_ROWS
+    # few rows are broadcast as they are: making their ids distinct takes a shuffle
+    wanted = F.broadcast(stars.select("id")) if few else stars.select("id").distinct()
+    sets = docs.select("id", "text").join(wanted, "id", "left_semi") if few else matched(docs.select("id", "text"), kept(wanted, small=True), "left_semi")
+    sets = sets.mapInArrow(giving_back(_sets(words)), "id long, shingles array<long>")
     order = ["centre", "chunk", "role", "id"]
-    met = sets.join(bounded(stars), "id").select(*order, "shingles").repartition("centre", "chunk").sortWithinPartitions(*order)
-    return kept(met.mapInArrow(_verify(percent), "a long, b long, overlap int, linked boolean"), small=True)
+    met = sets.join(F.broadcast(stars) if few else stars, "id").select(*order, "shingles").repartition("centre", "chunk").sortWithinPartitions(*order)
+    return kept(met.mapInArrow(giving_back(_verify(percent)), "a long, b long, overlap int, linked boolean"), small=True)
 
 
 def copies_of(signed: DataFrame) -> DataFrame:
@@ -602,7 +608,7 @@ def links_of(filled: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     rows = filled.withColumn("known", F.lit(None).cast(_KNOWN))
     while True:
         columns = rows.select("list", "i", "j", "members", "cut", "known")
-        proposed = kept(columns.mapInArrow(_propose(percent, turn), "list string, i long, j long, a long, b long, centre long"), small=True)
+        proposed = kept(columns.mapInArrow(giving_back(_propose(percent, turn)), "list string, i long, j long, a long, b long, centre long"), small=True)
         if proposed.isEmpty():
             return links
         checked = verified(proposed, docs, words, percent)
@@ -664,7 +670,7 @@ def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     docs = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
     order = spark.sparkContext.broadcast(shared_shingles(docs, "text", words))
     schema = "id long, n int, digest binary, prefix array<long>, sketch binary"
-    signed = kept(docs.mapInArrow(_signatures(words, percent, order), schema))
+    signed = kept(docs.mapInArrow(giving_back(_signatures(words, percent, order)), schema))
     sets = signed.where("n > 0 AND id IS NOT NULL")
     copies = copies_of(sets)
     reps = matched(sets, copies.select("id"), "left_anti")

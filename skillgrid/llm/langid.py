@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import in_slices, split_remainder, table, texts_of
+from .common import give_back, giving_back, in_slices, split_remainder, table, texts_of
 
 #: Longest context in bytes.
 ORDER = 3
@@ -129,7 +129,7 @@ def training_counts(
         share = {"": 1.0}
     shares = F.create_map(*(F.lit(x) for pair in share.items() for x in pair))
     drawn = F.pmod(F.xxhash64("key", F.lit(6)), F.lit(1 << 30)) < shares[F.col("lang")] * (1 << 30)
-    counted = known.where(drawn).select("text", "lang").mapInArrow(_gram_counts, "lang string, gram long, n long")
+    counted = known.where(drawn).select("text", "lang").mapInArrow(giving_back(_gram_counts), "lang string, gram long, n long")
     return counted.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
@@ -204,6 +204,8 @@ def fit(counts: DataFrame, table_count: int = TABLE_COUNT, table_contexts: int =
             under[~laid] = np.exp2(-short.cost[np.searchsorted(short.grams, end[~laid] * size + x[~laid])].astype(np.float64))
         known[0].append(short)
         known[1].append(_known(c, x, w[some], size, under, row))
+    del got, gram, n, bytes_, cls
+    give_back()  # the driver's
     flags = [np.zeros(size**2, bool), np.zeros(size**3, bool)]
     flags[0][code2[rare2]], flags[1][code3[rare3]] = True, True
     return Model(langs, classes.astype(np.int32), three.astype(np.int32), cost, flags, known)
