@@ -630,7 +630,7 @@ def _filled(lists: DataFrame, sketches: DataFrame, classes: DataFrame | None = N
     if classes is None:
         one = one.withColumn("class", F.col("id"))
     else:
-        one = one.join(classes.withColumnRenamed("component", "class"), "id", "left").withColumn("class", F.coalesce("class", "id"))
+        one = one.join(bounded(classes.withColumnRenamed("component", "class")), "id", "left").withColumn("class", F.coalesce("class", "id"))
     member = F.struct("id", "class", "n", "sketch")
     return one.join(sketches, "id").groupBy("list", "block").agg(F.collect_list(member).alias("members"))
 
@@ -639,13 +639,14 @@ def far_blocks(blocks: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     """Pairs (list, i, j) of blocks of long lists that were not neighbours, are not all of one class, and may hold links.
 
     Lists of one class take no part, so the pairs are those of lists with several classes. Blocks meet by list and band of sizes: sets
-    that link lie in one band or in neighbouring ones.
+    that link lie in one band or in neighbouring ones. Few rows meet by broadcast, without tasks of a shuffle.
     """
-    of = blocks.select("list", "block", "lo", "hi", "left", F.explode("members").alias("id")).join(classes, "id", "left")
+    of = blocks.select("list", "block", "lo", "hi", "left", F.explode("members").alias("id")).join(bounded(classes), "id", "left")
     of = of.withColumn("class", F.coalesce("component", "id")).groupBy("list", "block", "lo", "hi", "left")
     about = kept(of.agg(F.min("class").alias("low"), F.max("class").alias("high")), small=True)
-    mixed = about.groupBy("list").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most").select("list")
-    about = about.join(mixed, "list")
+    mixed = kept(about.groupBy("list").agg(F.min("low").alias("least"), F.max("high").alias("most")).where("least < most").select("list"), small=True)
+    few = about.count() <= BROADCAST_ROWS
+    about = about.join(F.broadcast(mixed) if few else mixed, "list")
     i, j = (about.select("list", *(F.col(c).alias(f"{c}_{k}") for c in about.columns if c != "list")) for k in "ij")
     least = F.ceil(percent * (F.col("lo_i") + F.col("lo_j")) / F.lit(100.0 + percent) - 1e-6)
     may = (F.least("left_i", "left_j") >= least) & (100 * F.col("hi_i") >= percent * F.col("lo_j")) & (100 * F.col("hi_j") >= percent * F.col("lo_i"))
@@ -654,7 +655,7 @@ def far_blocks(blocks: DataFrame, classes: DataFrame, percent: int) -> DataFrame
     band = lambda x: F.floor(F.log(F.greatest(x, F.lit(1)).cast("double")) / width)
     i = i.withColumn("band", F.explode(F.sequence(band(F.col("lo_i")), band(F.col("hi_i")))))
     j = j.withColumn("band", F.explode(F.sequence(band(F.col("lo_j")) - 1, band(F.col("hi_j")) + 1)))
-    return i.join(j, ["list", "band"]).where(apart & may).select("list", F.col("block_i").alias("i"), F.col("block_j").alias("j")).distinct()
+    return j.join(F.broadcast(i) if few else i, ["list", "band"]).where(apart & may).select("list", F.col("block_i").alias("i"), F.col("block_j").alias("j")).distinct()
 
 
 def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
@@ -680,26 +681,27 @@ def jaccard_classes(docs: DataFrame, text: str = "text", key: str = "doc_id", wo
     near = _filled(lists.where("kind <> 'block'"), sketches).withColumns({"i": F.col("block"), "j": F.col("block"), "cut": F.lit(0)})
     links = links_of(kept(near), docs, words, percent)
     blocks = lists.where("kind = 'block'")
-    blocks = kept(blocks.join(blocks.groupBy("list").agg(F.count("*").alias("blocks")).where("blocks > 1").select("list"), "list"), small=True)
+    several = kept(blocks.groupBy("list").agg(F.count("*").alias("blocks")).where("blocks > 1").select("list"), small=True)
+    blocks = kept(blocks.join(bounded(several), "list"), small=True)
     classes = None if links is None else components(links)
     if not blocks.isEmpty():
         none = copies.select("id", F.col("rep").alias("component")).where("false")
         apart = kept(far_blocks(blocks, none if classes is None else classes, percent), small=True)
         if not apart.isEmpty():
-            wanted = apart.select("list", F.col("i").alias("block")).union(apart.select("list", "j")).distinct()
-            ids = blocks.join(wanted, ["list", "block"], "left_semi")
+            wanted = kept(apart.select("list", F.col("i").alias("block")).union(apart.select("list", "j")).distinct(), small=True)
+            ids = blocks.join(bounded(wanted), ["list", "block"], "left_semi")
             some = kept(ids.select(F.explode("members").alias("id")).distinct(), small=True)
             filled = kept(_filled(ids, matched(reps.select("id", "n", "sketch"), some, "left_semi"), classes))
             i, j = (filled.select("list", F.col("block").alias(k), F.col("members").alias(f"of_{k}")) for k in "ij")
-            far = apart.join(i, ["list", "i"]).join(j, ["list", "j"])
+            far = i.join(bounded(apart), ["list", "i"]).join(j, ["list", "j"])
             far = far.select("list", "i", "j", F.concat("of_i", "of_j").alias("members"), F.size("of_i").alias("cut"))
             more = links_of(kept(far), docs, words, percent)
             if more is not None:
                 links = more if links is None else links.union(more)
                 classes = components(links)
-    whole = signed.select("id", "n").join(copies, "id", "left").withColumn("rep", F.coalesce("rep", "id"))
+    whole = signed.select("id", "n").join(bounded(copies), "id", "left").withColumn("rep", F.coalesce("rep", "id"))
     if classes is not None:
-        whole = whole.join(classes.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+        whole = whole.join(bounded(classes.withColumnRenamed("id", "rep")), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     else:
         whole = whole.withColumn("component", F.col("rep"))
     return whole.select(F.col("id").alias(key), F.col("n").cast("long").alias("n_shingles"), F.col("component").alias("component_id"))

@@ -846,3 +846,29 @@ def test_few_proposed_pairs_are_verified_with_one_shuffle_less(spark, monkeypatc
     pairs = spark.createDataFrame([("x", 0, 0, k, k + 1, k) for k in range(0, 8, 2)], "list string, i long, j long, a long, b long, centre long")
     assert sorted(r[:] for r in jaccard.verified(pairs, docs, 4, 85).select("a", "b", "linked").collect()) == [(k, k + 1, True) for k in range(0, 8, 2)]
     assert len(plans) == 2
+
+
+def test_few_far_blocks_and_labels_meet_without_shuffles(spark, monkeypatch):
+    """Blocks, classes and pairs of blocks are few rows: only groups and distinct rows are shuffled. Results are the same with shuffles."""
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"))
+        return df
+
+    for module in (common, jaccard):
+        monkeypatch.setattr(module, "kept", lambda df, f=module.kept, **how: f(noted(df), **how))
+    rnd = random.Random(8)
+    rows = [(f"l{k // 12}", k % 12, 10 * (k % 12) + 20, 10 * (k % 12) + 40, 35, rnd.sample(range(300), 4)) for k in range(60)]
+    blocks = spark.createDataFrame(rows, "list string, block long, lo int, hi int, left int, members array<long>")
+    classes = spark.createDataFrame([(k, k % 5) for k in range(0, 300, 2)], "id long, component long")
+    found = [sorted(noted(jaccard.far_blocks(blocks, classes, 85)).collect())]
+    assert found[0] and plans == [1, 1, 1]
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)], "a long, b long").repartition(9)
+    plans.clear()
+    found.append(sorted(common.components(links).collect()))
+    assert len(plans) > 6 and max(plans) == 1
+    monkeypatch.setattr(common, "BROADCAST_LABELS", 0)
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
+    assert found == [sorted(jaccard.far_blocks(blocks, classes, 85).collect()), sorted(common.components(links).collect())]
+    assert {r["component"] for r in found[1]} == {0}
