@@ -567,13 +567,15 @@ def stars_of(proposed: DataFrame) -> DataFrame:
     return one.select("s.centre", "s.chunk", F.explode(ends).alias("e")).select("e.id", "centre", "chunk", "e.role").distinct()
 
 
-def verified(proposed: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def verified(proposed: DataFrame, docs: DataFrame, words: int, percent: int, few: bool | None = None) -> DataFrame:
     """(a, b, overlap, linked) of proposed pairs, each once, by the whole sets (of 63-bit hashes of shingles) of docs (id, text).
 
-    Only the sets of ids in pairs are made. Sets meet by the stars that their pairs form.
+    Only the sets of ids in pairs are made. Sets meet by the stars that their pairs form. ``few`` says that the pairs have at most
+    ``BROADCAST_ROWS`` ends; without it the rows of stars are counted.
     """
     stars = kept(stars_of(proposed), small=True)
-    few = stars.count() <= BROADCAST_ROWS
+    if few is None:
+        few = stars.count() <= BROADCAST_ROWS
     # few rows are broadcast as they are: making their ids distinct takes a shuffle
     wanted = F.broadcast(stars.select("id")) if few else stars.select("id").distinct()
     sets = docs.select("id", "text").join(wanted, "id", "left_semi") if few else matched(docs.select("id", "text"), kept(wanted, small=True), "left_semi")
@@ -609,19 +611,21 @@ def links_of(filled: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
     while True:
         columns = rows.select("list", "i", "j", "members", "cut", "known")
         proposed = kept(columns.mapInArrow(giving_back(_propose(percent, turn)), "list string, i long, j long, a long, b long, centre long"), small=True)
-        if proposed.isEmpty():
+        n = proposed.count()  # a pair has two ends, is checked once and found again in each of its lists: one count bounds all of these
+        if not n:
             return links
-        checked = verified(proposed, docs, words, percent)
+        few = 2 * n <= BROADCAST_ROWS
+        checked = verified(proposed, docs, words, percent, few or None)
         new = checked.where("linked").select("a", "b")
         links = new if links is None else links.union(new)
-        found = kept(proposed.join(bounded(checked), ["a", "b"]).select("list", "i", "j", "a", "b", "overlap", (~F.col("linked")).alias("open"), F.lit(turn).alias("turn")), small=True)
+        found = kept(proposed.join(F.broadcast(checked) if few else bounded(checked), ["a", "b"]).select("list", "i", "j", "a", "b", "overlap", (~F.col("linked")).alias("open"), F.lit(turn).alias("turn")), small=True)
         known = found if known is None else known.union(found)
         answers = F.collect_list(F.struct("a", "b", "overlap")).alias("known")
         unsure = known.groupBy("list", "i", "j").agg(answers, F.max(F.col("open") & (F.col("turn") == turn)).alias("open")).where("open").drop("open")
         unsure, turn = kept(unsure, small=True), turn + 1
         if unsure.isEmpty():
             return links
-        rows = filled.join(F.broadcast(unsure) if found.count() <= BROADCAST_ROWS else unsure, ["list", "i", "j"])
+        rows = filled.join(F.broadcast(unsure) if n <= BROADCAST_ROWS else unsure, ["list", "i", "j"])
 
 
 def _filled(lists: DataFrame, sketches: DataFrame, classes: DataFrame | None = None) -> DataFrame:

@@ -872,3 +872,14 @@ def test_few_far_blocks_and_labels_meet_without_shuffles(spark, monkeypatch):
     monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
     assert found == [sorted(jaccard.far_blocks(blocks, classes, 85).collect()), sorted(common.components(links).collect())]
     assert {r["component"] for r in found[1]} == {0}
+
+
+def test_a_turn_counts_its_pairs_once(spark, monkeypatch):
+    """Stars, checked pairs and answers are at most so many rows; each count would be a job of two stages."""
+    counted, frame = [], type(spark.range(1))
+    monkeypatch.setattr(frame, "count", lambda self, f=frame.count: (counted.append(self.columns), f(self))[1])
+    docs = spark.createDataFrame([(k, " ".join(words(k // 3, 60)[: 60 - k % 3])) for k in range(90)], "doc_id long, text string")
+    got = jaccard.jaccard_classes(docs).collect()
+    assert len({r["component_id"] for r in got}) == 30
+    assert ["list", "i", "j", "a", "b", "centre"] in counted
+    assert not any(c[:1] == ["id"] and "role" in c or "overlap" in c for c in counted)
